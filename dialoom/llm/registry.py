@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, mixing, quality, urls
+from dialoom.llm import chat, decontaminate, mixing, quality, tokens, urls
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_mixing": mixing.op1_mixing,
         "op2_host_rules": quality.op2_host_rules,
         "op3_url_filter": urls.op3_url_filter,
+        "op4_token_ids": tokens.op4_token_ids,
+        "op6_decontamination": decontaminate.op6_decontamination,
         "op10_chat_format": chat.op10_chat_format,
     }
 
