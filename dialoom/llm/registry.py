@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, decontaminate, mixing, quality, tokens, urls
+from dialoom.llm import chat, decontaminate, mixing, quality, tokens, toxicity, urls
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_url_filter": urls.op3_url_filter,
         "op4_token_ids": tokens.op4_token_ids,
         "op6_decontamination": decontaminate.op6_decontamination,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op10_chat_format": chat.op10_chat_format,
     }
 
