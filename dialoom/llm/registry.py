@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, decontaminate, mixing, quality, tokens, toxicity, urls
+from dialoom.llm import chat, decontaminate, jaccard, mixing, quality, tokens, toxicity, urls
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_token_ids": tokens.op4_token_ids,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op8_jaccard_join": jaccard.op8_jaccard_join,
         "op10_chat_format": chat.op10_chat_format,
     }
 
