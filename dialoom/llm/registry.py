@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, decontaminate, jaccard, mixing, quality, tokens, toxicity, urls
+from dialoom.llm import chat, decontaminate, html, jaccard, mixing, quality, tokens, toxicity, urls
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_jaccard_join": jaccard.op8_jaccard_join,
+        "op9_html_text": html.op9_html_text,
         "op10_chat_format": chat.op10_chat_format,
     }
 
