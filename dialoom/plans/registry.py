@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "q_session_structure"
+from dialoom.plans import dialogue_queries, queries as plain  # noqa: F401  (dialogue_queries registers its own)
+
+FLAGSHIP = "q_entity_metrics"
 
 
 def queries() -> dict:
-    return {}
+    return dict(plain.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(plain.ORACLES)
