@@ -93,7 +93,7 @@ def two_factor(pairs: DataFrame) -> DataFrame:
     depth = (F.col("b_average_turns") - F.col("a_average_turns")) * (F.col("a_sessions") + F.col("b_sessions")) / 2
     total = (F.col("b_turns") - F.col("a_turns")).cast("double")
     share = lambda x: F.try_divide(x, F.nullif(total, F.lit(0.0)))
-    return pairs.select("data_date", "previous_date", total.cast("long").alias("total_delta"), F.round(sessions, 6).alias("sessions_part"), F.round(depth, 6).alias("depth_part"), share(sessions).alias("sessions_share"), share(depth).alias("depth_share"))
+    return pairs.select("data_date", "previous_date", total.cast("long").alias("total_delta"), (F.round(sessions, 6) + 0.0).alias("sessions_part"), (F.round(depth, 6) + 0.0).alias("depth_part"), share(sessions).alias("sessions_share"), share(depth).alias("depth_share"))
 
 
 def previous_comparable(series: DataFrame, *by: str) -> DataFrame:

@@ -30,7 +30,7 @@ def domain(spark: SparkSession, column: str, values) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 9) for c in columns})
+    return df.withColumns({c: F.round(c, 9) + 0.0 for c in columns})  # no negative zero
 
 
 # --- sessions
@@ -504,7 +504,7 @@ def q_prev_comparable(spark, d):
     return _previous(spark, d).select("data_date", F.col("previous.data_date").alias("previous_date"))
 
 
-@query(f"WITH {PREV} SELECT data_date, pd AS previous_date, t - pt AS total_delta, round((c - pc) * (v + pv) / 2, 6) AS sessions_part, round((v - pv) * (c + pc) / 2, 6) AS depth_part, round((c - pc) * (v + pv) / 2 / nullif(t - pt, 0), 9) AS sessions_share, round((v - pv) * (c + pc) / 2 / nullif(t - pt, 0), 9) AS depth_share FROM p WHERE pd IS NOT NULL")
+@query(f"WITH {PREV} SELECT data_date, pd AS previous_date, t - pt AS total_delta, round((c - pc) * (v + pv) / 2, 6) + 0.0 AS sessions_part, round((v - pv) * (c + pc) / 2, 6) + 0.0 AS depth_part, round((c - pc) * (v + pv) / 2 / nullif(t - pt, 0), 9) + 0.0 AS sessions_share, round((v - pv) * (c + pc) / 2 / nullif(t - pt, 0), 9) + 0.0 AS depth_share FROM p WHERE pd IS NOT NULL")
 def q_two_factor(spark, d):
     names = {"turns": "total_turns", "sessions": "total_sessions", "average_turns": "average_turns"}
     pairs = _previous(spark, d).select("data_date", F.col("previous.data_date").alias("previous_date"), *[F.col(c).alias(f"b_{k}") for k, c in names.items()], *[F.col(f"previous.{c}").alias(f"a_{k}") for k, c in names.items()])
