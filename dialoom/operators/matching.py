@@ -92,10 +92,11 @@ def match_by_gram(df: DataFrame, text_col: str, aliases: list[Alias], out: str,
     table = df.sparkSession.createDataFrame(rows, "rank int, entity_id string, normalized string, mode string, pattern string, terms array<string>, gram string")
     df = df.withColumns({"_norm": normalize_text(F.col(text_col)), "_token": nfkc(F.coalesce(text_col, F.lit("")))})
     places = F.sequence(F.lit(1), F.greatest(F.char_length("_norm") - 1, F.lit(1)))
-    grams = df.select(key, "_norm", "_token", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.transform(places, lambda i: F.substring(F.col("_norm"), i, F.lit(2)))))).alias("gram"))
-    found = grams.join(table, "gram").select(key, _hit(F.struct("rank", "entity_id", "normalized", "mode", "pattern", "terms"), F.col("_norm"), F.col("_token")).alias("h")).filter("h.start >= 0")
-    hits = found.groupBy(key).agg(greedy(F.array_sort(F.collect_set("h")).cast(HITS)).alias(out))
-    return df.drop("_norm", "_token").join(hits, key, "left").withColumn(out, F.coalesce(out, F.array().cast(HITS)))
+    own = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(places, lambda i: F.substring(F.col("_norm"), i, F.lit(2)))))
+    found = df.select(key, F.explode(own).alias("gram")).join(table, "gram")  # texts stay out of this shuffle
+    near = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", "entity_id", "normalized", "mode", "pattern", "terms"))).cast(f"array<{ALIAS}>").alias("_near"))
+    hits = F.when(F.col("_near").isNull(), F.array().cast(HITS)).otherwise(greedy(all_hits(F.col("_near"), F.col("_norm"), F.col("_token"))))
+    return df.join(near, key, "left").withColumn(out, hits).drop("_near", "_norm", "_token")
 
 
 def effective_aliases(approved: DataFrame, extra: DataFrame) -> DataFrame:

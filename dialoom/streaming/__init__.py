@@ -1,0 +1 @@
+"""Empty on purpose: every operator of this library is a batch job; none has stream semantics."""
