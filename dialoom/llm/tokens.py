@@ -32,13 +32,16 @@ from dialoom.llm.common import new_path, table
 
 BLOCK_IDS, BLOCK_DOCS = 1_000_000, 4096
 BATCH_CHARS = 2_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000
+CHAIN = 256
+CLOSING = ".,;:!?#*$%&"
 HINT = 256
 END_ID = 0
 BLOCKS = ("part int, seq int, part_start long, n_docs int, n_ids long, width int, ids binary, "
           "low_bits int, lows binary, highs binary, hints binary, doc_ids array<long>")
 BOUNDARY = re.compile(r"(?<=\S) ")
-LOOSE = re.compile(r"\A |\s ")
+#: White space before a space: such texts are cut with care.
+LOOSE = [chr(c) + " " for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 class EliasFano:
@@ -85,10 +88,11 @@ class EliasFano:
 
 
 class Encoder:
-    """Texts to ids with a tokenizers file, word by word with a bounded cache.
+    """Texts to ids with a tokenizers file, word by word with bounded caches.
 
     The pre-tokenizer of a byte-level vocabulary never joins a non-space character with the space after
-    it, so a text may be cut before such spaces and the ids of the pieces concatenated.
+    it, so a text may be cut before such spaces and the ids of the pieces concatenated. New words go through the
+    library in chains of ``CHAIN``; the ids of a chain are cut where a token begins with a space.
     """
 
     def __init__(self, vocabulary: str):
@@ -99,32 +103,70 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.cache: dict[str, bytes] = {}
+        self.atoms: dict[str, bytes] = {}
+        self.opens = np.zeros(1 << 8 * np.dtype(self.dtype).itemsize if self.dtype == "<u2" else self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token.startswith("\u0120")  # the vocabulary's sign for a leading space
+
+    def _atoms(self, piece: str) -> list[str]:
+        """A piece (to be encoded after a space) as strings whose ids may be concatenated: cut at single line ends and
+        before closing punctuation, which the pre-tokenizer never joins with the letters before it."""
+        lines = piece.split("\n") if "\n" in piece else [piece]
+        if len(lines) > 1 and piece.split() != lines:
+            return [" " + piece]
+        out = []
+        for k, line in enumerate(lines):
+            base = line.rstrip(CLOSING)
+            if not base or not base[-1].isalpha():
+                base = line
+            out += ["\n", base] if k else [" " + base]
+            if len(base) < len(line):
+                out.append(line[len(base) :])
+        return out
+
+    def _chains(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters, each encoded after a space, many in one call."""
+        chains = [words[lo : lo + CHAIN] for lo in range(0, len(words), CHAIN)]
+        for chain, e in zip(chains, self.tokenizer.encode_batch_fast([" " + " ".join(c) for c in chains], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=self.dtype)
+            starts = np.flatnonzero(self.opens[ids]).tolist()
+            if len(starts) != len(chain):
+                raise ValueError("the vocabulary does not mark every space")
+            width, raw = ids.itemsize, ids.tobytes()
+            for word, lo, hi in zip(chain, starts, [*starts[1:], len(ids)], strict=True):
+                yield word, raw[lo * width : hi * width]
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.cache) + len(pieces) > CACHE_WORDS:
+        plain = {p for p in pieces if p.isalpha()}
+        cut = [(p, self._atoms(p)) for p in pieces if not p.isalpha()]
+        atoms = {a for _, c in cut for a in c}
+        words = {a for a in atoms if a[0:1] == " " and a[1:].isalpha()}
+        plain.update(w for a in words if (w := a[1:]) not in self.cache)
+        self.cache.update(self._chains(list(plain)))
+        missing = [a for a in atoms - words if a not in self.atoms]
+        if len(self.atoms) + len(missing) > CACHE_WORDS:
+            self.atoms.clear()
+            missing = list(atoms - words)
+        for a, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            self.atoms[a] = np.array(e.ids, dtype=self.dtype).tobytes()
+        for p, c in cut:
+            self.cache[p] = b"".join([self.cache[a[1:]] if a in words else self.atoms[a] for a in c])
+
+    def prepare(self, texts: list[list[str]]) -> None:
+        """Put all the pieces of some texts into the cache."""
+        wanted = set().union(*texts)
+        missing = wanted.difference(self.cache)
+        if len(self.cache) + len(missing) > CACHE_WORDS:
             self.cache.clear()
-        for lo in range(0, len(pieces), 20_000):
-            part = pieces[lo : lo + 20_000]
-            found = self.tokenizer.encode_batch_fast([" " + p for p in part], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            lens = [len(x) for x in ids]
-            flat = np.array([t for x in ids for t in x], dtype=self.dtype).tobytes()
-            width, at = np.dtype(self.dtype).itemsize, 0
-            for p, n in zip(part, lens, strict=True):
-                self.cache[p] = flat[at : at + n * width]
-                at += n * width
+            missing = wanted
+        self._learn(list(missing))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``dtype``."""
-        cut = [BOUNDARY.split(t) if LOOSE.search(t) else t.split(" ") for t in texts]
+        cut = [BOUNDARY.split(t) if t[:1] == " " or any(x in t for x in LOOSE) else t.split(" ") for t in texts]
         heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
         rest = [c[1:] for c in cut]
-        wanted = set().union(*rest)
-        missing = wanted.difference(self.cache)
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = wanted
-        self._learn(list(missing))
+        self.prepare(rest)
         find = self.cache.__getitem__
         return [np.array(h.ids, dtype=self.dtype).tobytes() + b"".join(map(find, r)) for h, r in zip(heads, rest, strict=True)]
 
