@@ -49,6 +49,7 @@ def mix(docs: DataFrame, size_col: str = "size", source_col: str = "source", id_
     One aggregation to a row per source; the small result is written and joined back, so Spark
     broadcasts it only if its file is below the broadcast threshold and else splits the hot source (AQE).
     """
+    docs = docs.drop(*[c for c in ("source_size", "target", "mix_source", "mix_size", "mix_target", "mix_rate", "mix_copies") if c not in (size_col, source_col, id_col)])
     totals = docs.groupBy(F.col(source_col).alias("mix_source")).agg(F.sum(size_col).alias("source_size"))
     targets = save(source_targets(totals, weights, max_rate).select("mix_source", F.col("source_size").alias("mix_size"), F.col("target").alias("mix_target")), "targets")
     rate = F.when(F.col("mix_size") > 0, F.col("mix_target") / F.col("mix_size")).otherwise(F.lit(0.0))

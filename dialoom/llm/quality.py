@@ -9,7 +9,8 @@ and the verdict of the host is joined back:
 * ``trusted``: the shrunk rate is below ``trust_rate``; one soft failure is forgiven.
 
 Defined results: null and empty texts have no words and fail the length rule; a null host is a host of
-its own; equal rows get equal results; an empty table gives an empty table; extra columns pass through.
+its own; equal rows get equal results; an empty table gives an empty table; extra columns pass through, but for those with the name of a result,
+which is replaced.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def _measures(texts: pd.Series) -> pd.DataFrame:
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add the counts, base_failed and soft_failures."""
     out = docs.withColumn("quality_measures", F.pandas_udf(_measures, MEASURES)(F.col(text_col)))
-    out = out.select(*docs.columns, "quality_measures.*")
+    out = out.select(*[c for c in docs.columns if c not in {part.split()[0] for part in MEASURES.split(", ")}], "quality_measures.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     soft = (5 * F.col("n_symbols") > F.col("n_words")).cast("int") + (2 * F.col("n_dup_lines") > F.col("n_lines")).cast("int")
     return out.withColumns({"base_failed": failed, "soft_failures": soft})
@@ -99,7 +100,7 @@ def host_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source"
     scored = measured(docs, text_col)
     scored = save(scored if keep_text else scored.drop(text_col), "measured")
     hosts = host_verdicts(scored, host_col, max_rate, trust_rate)
-    out = scored.join(save(hosts, "verdicts"), F.col(host_col).eqNullSafe(F.col("rule_host")), "left").drop("rule_host")
+    out = scored.drop(*[c for c in hosts.columns if c != host_col]).join(save(hosts, "verdicts"), F.col(host_col).eqNullSafe(F.col("rule_host")), "left").drop("rule_host")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("soft_failures") <= F.col("tolerance")))
 
 

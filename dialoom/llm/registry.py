@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, decontaminate, html, jaccard, mixing, quality, tokens, toxicity, urls
+from dialoom.llm import chat, decontaminate, html, jaccard, lm, mixing, quality, tokens, toxicity, urls
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_host_rules": quality.op2_host_rules,
         "op3_url_filter": urls.op3_url_filter,
         "op4_token_ids": tokens.op4_token_ids,
+        "op5_lm_scoring": lm.op5_lm_scoring,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_jaccard_join": jaccard.op8_jaccard_join,
