@@ -59,7 +59,7 @@ def candidate_phrases(turns: DataFrame, text_col: str = "text", aliases_col: str
 def aggregate_candidates(found: DataFrame, *by: str) -> DataFrame:
     """C6 from rows (norm, phrase, client_id, cid, text): counts, distinct users and sessions, at most three examples in order."""
     keys = [*by, "norm"]
-    pairs = found.groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
+    pairs = found.repartition(*keys, "client_id").groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
     users = pairs.groupBy(*keys, "client_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sessions"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
     out = users.groupBy(*keys).agg(F.min("phrase").alias("phrase"), F.sum("n").alias("query_count"), F.count(F.lit(1)).alias("users"), F.sum("sessions").alias("sessions"))
     examples = found.groupBy(*keys, "text").agg(F.lit(1).alias("one"))

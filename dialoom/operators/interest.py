@@ -20,7 +20,8 @@ def entity_metrics(mentions: DataFrame, key: str = "entity_id", *by: str) -> Dat
     """A3, A4: per entity the distinct queries, users, sessions, initiators, continuers, active users, deep sessions (three queries or more) and their share, 0 without sessions."""
     keys = [*by, key]
     has = {s: F.max((F.col("signal") == s).cast("int")).alias(s) for s in ACTIVE}
-    queries = mentions.groupBy(*keys, "client_id", "cid", "query").agg(*has.values())
+    dealt = mentions.repartition(*keys, "client_id")  # serves all three levels of grouping below it
+    queries = dealt.groupBy(*keys, "client_id", "cid", "query").agg(*has.values())
     sessions = queries.groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("queries"), *[F.max(s).alias(s) for s in ACTIVE])
     users = sessions.groupBy(*keys, "client_id").agg(F.sum("queries").alias("queries"), F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("queries") >= 3).alias("deep"), *[F.max(s).alias(s) for s in ACTIVE])
     out = users.groupBy(*keys).agg(

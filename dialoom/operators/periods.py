@@ -16,6 +16,7 @@ def contribution_users(profiles: DataFrame, *dimensions: str) -> DataFrame:
 def contribution_hits(mentions: DataFrame, members: DataFrame) -> DataFrame:
     """(data_date, client_id, rollup_id, cid): queries, initiated, continued, polarities; a query counts once per rollup."""
     joined = mentions.join(members, "entity_id")
+    joined = joined.repartition("data_date", "client_id", "rollup_id", "cid")  # serves both groupings
     queries = joined.groupBy("data_date", "client_id", "rollup_id", "cid", "query").agg(F.bool_or(F.col("signal") == "initiation").alias("initiated"), F.bool_or(F.col("signal") == "continuation").alias("continued"), F.collect_set("polarity").alias("polarities"))
     return queries.groupBy("data_date", "client_id", "rollup_id", "cid").agg(F.count(F.lit(1)).alias("queries"), F.bool_or("initiated").alias("initiated"), F.bool_or("continued").alias("continued"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("polarities")))).alias("polarities"))
 
@@ -32,7 +33,8 @@ def in_period(rows: DataFrame, period: str, value: str | None = None) -> DataFra
 
 def period_metrics(hits: DataFrame) -> DataFrame:
     """Per rollup the distinct active users, sessions, deep sessions (queries of a session summed over days) and users with a positive or negative mark."""
-    sessions = hits.groupBy("rollup_id", "client_id", "cid").agg(F.sum("queries").alias("queries"), F.bool_or(F.col("initiated") | F.col("continued")).alias("active"), F.bool_or(F.array_contains("polarities", "positive")).alias("pos"), F.bool_or(F.array_contains("polarities", "negative")).alias("neg"))
+    dealt = hits.repartition("rollup_id", "client_id")  # serves both levels of grouping below it
+    sessions = dealt.groupBy("rollup_id", "client_id", "cid").agg(F.sum("queries").alias("queries"), F.bool_or(F.col("initiated") | F.col("continued")).alias("active"), F.bool_or(F.array_contains("polarities", "positive")).alias("pos"), F.bool_or(F.array_contains("polarities", "negative")).alias("neg"))
     users = sessions.groupBy("rollup_id", "client_id").agg(F.sum("queries").alias("queries"), F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("queries") >= 3).alias("deep"), F.bool_or("active").alias("active"), F.bool_or("pos").alias("pos"), F.bool_or("neg").alias("neg"))
     return users.groupBy("rollup_id").agg(F.count_if("active").alias("active_users"), F.sum("sessions").alias("sessions"), F.sum("deep").alias("deep_sessions"), F.sum("queries").alias("queries"), F.count_if("pos").alias("positive_users"), F.count_if("neg").alias("negative_users"))
 

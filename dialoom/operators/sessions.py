@@ -138,7 +138,7 @@ def active_days(active: DataFrame, last: Column) -> DataFrame:
 
 def intent_demand(turns: DataFrame, label: str) -> DataFrame:
     """Users, sessions and turns by label; penetration over all users. Two-level, so a hot label is split by session first."""
-    pairs = turns.groupBy(label, "client_id", "cid").agg(F.count(F.lit(1)).alias("turns"))
+    pairs = turns.repartition(label, "client_id").groupBy(label, "client_id", "cid").agg(F.count(F.lit(1)).alias("turns"))
     users = pairs.groupBy(label, "client_id").agg(F.sum("turns").alias("turns"), F.count(F.lit(1)).alias("sessions"))
     out = users.groupBy(label).agg(F.count(F.lit(1)).alias("users"), F.sum("sessions").alias("sessions"), F.sum("turns").alias("turns"))
     total = turns.select("client_id").distinct().agg(F.count(F.lit(1)).alias("total"))
