@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dialoom.functions import rules, text
 from dialoom.operators import audit, candidates, classify, interest, matching, periods, review, sessions
 from dialoom.plans import views as v
-from dialoom.plans.queries import DAYS, HITS, LATEST, SEG, STRUCTURE, V2A, _active, _daily, _days, _hits, _pairs, _reviewed, _sessions3, _user_days, domain, query, rounded
+from dialoom.plans.queries import DAYS, HITS, LATEST, SEG, STRUCTURE, V2A, _active, _daily, _days, _hits, _pairs, _reviewed, _sessions3, _user_days, _whole, domain, query, rounded
 from dialoom.sources import sinks
 
 #: The six literal aliases of the dictionary view; they overlap on purpose.
@@ -27,7 +27,7 @@ def _greedy_sql(source: str, key: str) -> str:
 
 
 def _docs(spark, d):
-    return v.table(spark, d, "documents").filter("lang = 'en'").select("doc_id", "text")
+    return _whole(spark, d).filter("lang = 'en'").select("doc_id", "text")
 
 
 LAST = f"g{len(ORDERED)}"
@@ -36,7 +36,16 @@ EN = "en AS (SELECT doc_id, text FROM documents WHERE lang = 'en')"
 
 @query(f"WITH {EN}, n AS (SELECT doc_id, {NORM_SQL} AS norm FROM en) " + " UNION ALL ".join(f"SELECT doc_id, '{a}' AS entity_id, CAST(strpos(norm, '{a}') - 1 AS INTEGER) AS start FROM n WHERE strpos(norm, '{a}') > 0" for a in ORDERED))
 def q_alias_hits(spark, d):
-    df = _docs(spark, d).withColumn("norm", text.normalize_text(F.col("text")))
+    return _every_hit(_docs(spark, d))
+
+
+@query()
+def q_alias_hits_whole(spark, d):
+    return _every_hit(_whole(spark, d))
+
+
+def _every_hit(df):
+    df = df.withColumn("norm", text.normalize_text(F.col("text")))
     hits = matching.all_hits(matching.alias_array(ALIASES), F.col("norm"), F.col("text"))
     return df.select("doc_id", F.inline(hits)).select("doc_id", "entity_id", "start")
 
@@ -49,11 +58,21 @@ def q_match_greedy(spark, d):
     return matching.match(_docs(spark, d), "text", ALIASES).select("doc_id", F.inline("hits")).select("doc_id", "entity_id", "start")
 
 
+@query()
+def q_match_greedy_whole(spark, d):
+    return matching.match(_whole(spark, d), "text", ALIASES).select("doc_id", F.inline("hits")).select("doc_id", "entity_id", "start")
+
+
 @query(GREEDY)
 def q_match_by_gram(spark, d):
     return matching.match_by_gram(_docs(spark, d), "text", ALIASES, "hits", "doc_id").select("doc_id", F.inline("hits")).select("doc_id", "entity_id", "start")
 
 
+@query()
+def q_match_by_gram_whole(spark, d):
+    return matching.match_by_gram(_whole(spark, d), "text", ALIASES, "hits", "doc_id").select("doc_id", F.inline("hits")).select("doc_id", "entity_id", "start")
+
+
 @query("WITH a AS (SELECT * FROM (VALUES ('1', 'a'), ('2', 'b')) t(entity_id, value)) SELECT DISTINCT CAST(p_partkey % 5 AS VARCHAR) AS entity_id, p_type AS value FROM part WHERE p_size < 25 UNION SELECT DISTINCT CAST(p_partkey % 5 AS VARCHAR), p_type FROM part")
 def q_effective_aliases(spark, d):
     p = v.table(spark, d, "part").select((F.col("p_partkey") % 5).cast("string").alias("entity_id"), F.col("p_type").alias("value"), "p_size")

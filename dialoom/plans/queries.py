@@ -163,7 +163,12 @@ def q_prev_turn(spark, d):
 
 
 def _english(spark, d):
-    return v.table(spark, d, "documents").filter("lang = 'en'").select("doc_id", "text")
+    return _whole(spark, d).filter("lang = 'en'").select("doc_id", "text")
+
+
+def _whole(spark, d):
+    """All languages: DuckDB has neither NFKC nor casefold, so the q_*_whole queries have no SQL; tests hold them against Python."""
+    return v.table(spark, d, "documents").select("doc_id", "text", "lang")
 
 
 @query(r"""SELECT doc_id, sha256(regexp_replace(replace(lower(text), 'ß', 'ss'), '[\s，。！？、,.!?；;：:“”"''‘’（）()《》【】\[\]~～_\-]+', '', 'g')) AS norm_hash FROM documents WHERE lang = 'en'""")
@@ -171,11 +176,21 @@ def q_normalize(spark, d):
     return _english(spark, d).select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("norm_hash"))
 
 
+@query()
+def q_normalize_whole(spark, d):
+    return _whole(spark, d).select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("norm_hash"))
+
+
 @query(r"""SELECT doc_id, sha256(regexp_replace(lower(trim(text, E' \t\n\r')), '[\s，。！？、,.!?；;：:“”"''‘’（）()《》【】\[\]~～\-_/]+', '', 'g')) AS norm_hash FROM documents WHERE lang = 'en'""")
 def q_normalize_opening(spark, d):
     return _english(spark, d).select("doc_id", F.sha2(text.normalize_opening(F.col("text")), 256).alias("norm_hash"))
 
 
+@query()
+def q_normalize_opening_whole(spark, d):
+    return _whole(spark, d).select("doc_id", F.sha2(text.normalize_opening(F.col("text")), 256).alias("norm_hash"))
+
+
 @query("SELECT doc_id, substr(sha256('user' || chr(0) || 'src' || chr(0) || CAST(doc_id AS VARCHAR)), 1, 20) AS pseudonym FROM documents")
 def q_pseudonym(spark, d):
     return v.table(spark, d, "documents").select("doc_id", text.day_key("user", F.col("doc_id").cast("string"), F.lit("src")).alias("pseudonym"))
@@ -191,9 +206,19 @@ def q_contact_scan(spark, d):
     return _english(spark, d).select("doc_id", text.is_contact_like(F.col("text")).alias("contact_like"))
 
 
+@query()
+def q_contact_scan_whole(spark, d):
+    return _whole(spark, d).select("doc_id", text.is_contact_like(F.col("text")).alias("contact_like"))
+
+
 @query(r"SELECT doc_id, substr(regexp_replace(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b', '[redacted]', 'g'), 1, 160) AS example FROM documents WHERE lang = 'en'")
 def q_redacted(spark, d):
-    return _english(spark, d).select("doc_id", F.substring(F.regexp_replace("text", text.EMAIL, "[redacted]"), 1, 160).alias("example"))
+    return _english(spark, d).select("doc_id", text.redacted(F.col("text")).alias("example"))
+
+
+@query()
+def q_redacted_whole(spark, d):
+    return _whole(spark, d).select("doc_id", text.redacted(F.col("text")).alias("example"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 17 THEN p_size END AS age, CASE WHEN p_size % 3 = 0 THEN p_brand END AS gender, CASE WHEN p_size % 3 = 0 THEN 'M1' ELSE 'M2' END AS product, CASE WHEN p_size >= 30 THEN 'describable' ELSE 'small_sample' END AS label FROM part")
