@@ -16,8 +16,9 @@ would leave nothing (a host of copies of one page), the page keeps its branches.
 into blocks at block elements; white space inside a block becomes one space, and blocks are joined by two line ends.
 
 Trees are sums over (host, key, content hash), so a hot host is added up inside tasks first and then dealt by content.
-Only keys to remove are joined to pages: per host in one row, a list bounded by ``MAX_KEYS``, which no template comes near;
-a host with more removes nothing beyond its strongest ones.
+The keys of each page are saved once as rows (host, page, key), where a page is named by the digest of its html, and joined to the keys to
+remove of its host and to those of the merged tree, dealt over ``SALTS`` parts, as one key can stand on most pages. A page then gets its own found
+keys as a list, which is never longer than the page's DOM; no list goes over a host or over all hosts, and none to the driver.
 
 Defined results: null and empty html give an empty text of length 0; a null or odd URL belongs to the empty
 host; unclosed, stray and cut-off tags are read as browsers do in simple cases; repeated rows get equal results
@@ -27,7 +28,6 @@ and count as pages of their own; an empty table gives no rows; extra columns pas
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -37,12 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import table
+from dialoom.llm.common import save, table
 
 DEPTH = 4
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.3
-MAX_KEYS = 2_000
+SALTS = 8
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "object", "canvas", "audio", "video"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -208,27 +208,24 @@ def _below(node: Node, top: Node) -> bool:
     return node is top
 
 
-def style_trees(pages: DataFrame) -> DataFrame:
-    """(host, html) to (host, key): pages and importance, for every host and, under host '', for all of them."""
+KEYED = "host string, page string, key string, content long"
 
-    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def out():
-            keys, values = list(held), list(held.values())
-            held.clear()
-            columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int64()), pa.array(values, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["host", "key", "content", "n"])
+def page_keys(pages: DataFrame) -> DataFrame:
+    """(host, page, html) to a row (host, page, key, content) for every distinct key of every page."""
 
+    def keys(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
-            for host, html in zip(batch.column(0), batch.column(1), strict=True):
-                for key, content in style_rows(html.as_py() or "").items():
-                    held[(host.as_py(), key, content)] += 1
-            if len(held) > 100_000:
-                yield out()
-        yield out()
-
-    own = pages.mapInArrow(count, "host string, key string, content long, n long").groupBy("host", "key", "content").agg(F.sum("n").alias("n"))
+            rows = [(host, page, key, content) for host, page, html in zip(*(c.to_pylist() for c in batch.columns), strict=True) for key, content in style_rows(html or "").items()]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "key", "content"])
+
+    return pages.select("host", "page", "html").mapInArrow(keys, KEYED)
+
+
+def style_trees(keys: DataFrame) -> DataFrame:
+    """Rows of ``page_keys`` to (host, key): pages and importance, for every host and, under host '', for all of them."""
+    own = keys.groupBy("host", "key", "content").agg(F.count(F.lit(1)).alias("n"))
     every = own.groupBy(F.lit("").alias("host"), "key", "content").agg(F.sum("n").alias("n"))
     rows = own.filter("host != ''").unionByName(every)
     sums = rows.groupBy("host", "key").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log2("n")).alias("s"))
@@ -237,26 +234,32 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
 
 def keys_to_remove(trees: DataFrame, min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
-    """One row per host with keys of low importance, strongest first."""
-    low = trees.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    listed = F.slice(F.array_sort(F.collect_list(F.struct("importance", "key"))), 1, MAX_KEYS)
-    return low.groupBy(F.col("host").alias("tree_host")).agg(F.transform(listed, lambda x: x["key"]).alias("tree_keys"))
+    """(host, key) of low importance."""
+    return trees.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance)).select("host", "key")
+
+
+def found_keys(keys: DataFrame, low: DataFrame) -> DataFrame:
+    """(tree_host, tree_page, tree_keys): the keys of a page that its host's tree or the merged tree removes."""
+    salted = keys.select("host", "page", "key", F.pmod(F.xxhash64("page"), F.lit(SALTS)).alias("salt"))
+    low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    own = salted.join(low.filter("host != ''"), ["host", "key", "salt"], "left_semi").select("host", "page", "key")
+    every = salted.join(low.filter("host = ''").drop("host"), ["key", "salt"], "left_semi").select("host", "page", "key")
+    return own.unionByName(every).groupBy(F.col("host").alias("tree_host"), F.col("page").alias("tree_page")).agg(F.collect_set("key").alias("tree_keys"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """Add text to every page."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
-    hosted = pages.withColumn("page_host", host)
-    removed = keys_to_remove(style_trees(hosted.select(F.col("page_host").alias("host"), F.col(html_col).alias("html"))), min_pages)
-    removed = removed.persist()
-    shared = [k for r in removed.filter("tree_host = ''").collect() for k in r["tree_keys"]]
-    joined = hosted.join(removed.filter("tree_host != ''"), F.col("page_host") == F.col("tree_host"), "left")
+    digest = F.md5(F.col(html_col).cast("binary"))
+    keys = save(page_keys(pages.select(host.alias("host"), digest.alias("page"), F.col(html_col).alias("html"))), "page_keys")
+    low = save(keys_to_remove(style_trees(keys), min_pages), "low_keys")
+    hosted = pages.withColumns({"page_host": host, "page_digest": F.coalesce(digest, F.md5(F.col(url_col).cast("binary")))})  # null pages stay apart
+    joined = hosted.join(found_keys(keys, low), (F.col("page_host") == F.col("tree_host")) & (F.col("page_digest") == F.col("tree_page")), "left")
 
-    def text(html: pd.Series, keys: pd.Series) -> pd.Series:
-        base = frozenset(shared)
-        return pd.Series([main_text(h, base.union(k) if k is not None and len(k) else base) for h, k in zip(html, keys, strict=True)], dtype=object)
+    def text(html: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([main_text(h, frozenset(k) if k is not None else frozenset()) for h, k in zip(html, found, strict=True)], dtype=object)
 
-    return joined.withColumn("text", F.pandas_udf(text, "string")(F.col(html_col), F.col("tree_keys"))).drop("page_host", "tree_host", "tree_keys")
+    return joined.withColumn("text", F.pandas_udf(text, "string")(F.col(html_col), F.col("tree_keys"))).drop("page_host", "page_digest", "tree_host", "tree_page", "tree_keys")
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

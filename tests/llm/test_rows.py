@@ -196,6 +196,17 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert all(got[i] == f"own text {i}" for i in range(12)) and got[100] == "all alike"
 
 
+@pytest.mark.parametrize("hosts", [1, 8])
+def test_style_trees_remove_any_number_of_keys(spark, hosts):
+    """Over 2,000 keys to remove, by the host's own tree (other hosts say something else there) or by the merged tree."""
+    page = lambda said, own: "<body>" + "".join(f"<div class='c{k}'>{said} {k}</div>" for k in range(2_100)) + f"<p>{own}</p></body>"
+    rows = [(i, f"http://h{i % hosts}.net/{i}", page("menu", f"own text {i}")) for i in range(8)]
+    rows += [(100 + i, f"http://o{i}.net/", page(f"text {i}", "own")) for i in range(8 if hosts == 1 else 0)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(8)] == [f"own text {i}" for i in range(8)]
+    assert all(f"text {i} 2099" in got[100 + i] for i in range(len(rows) - 8))
+
+
 def test_entities_decode():
     assert html.main_text("<p>&amp;&copy;&quot;&am x</p>") == unescape("&amp;&copy;&quot;&am x")
 
