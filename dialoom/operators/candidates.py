@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import CONTACT_LIKE, growth, normalize_text, redacted
+from dialoom.operators import matching
 
 # Extraction patterns and the generic-phrase lists.
 TITLE = r"《([^》]{2,16})》"
@@ -56,6 +57,13 @@ def candidate_phrases(turns: DataFrame, text_col: str = "text", aliases_col: str
     return both.groupBy("source_row", "norm").agg(F.min_by("phrase", F.struct("piece_no", "no")).alias("phrase"))
 
 
+def unknown(found: DataFrame, aliases: list[matching.Alias]) -> DataFrame:
+    """Rows whose phrase the dictionary does not match. Each distinct phrase is matched once; (norm, phrase) is its key, as token aliases look at the phrase itself."""
+    phrases = found.select("norm", "phrase").distinct().withColumn("phrase_key", F.to_json(F.struct("norm", "phrase")))
+    known = matching.match(phrases, "phrase", aliases, "known_hits", "phrase_key").filter(F.size("known_hits") > 0)
+    return found.join(known.select("norm", "phrase"), ["norm", "phrase"], "left_anti")
+
+
 def aggregate_candidates(found: DataFrame, *by: str) -> DataFrame:
     """C6 from rows (norm, phrase, client_id, cid, text): counts, distinct users and sessions, at most three examples in order."""
     keys = [*by, "norm"]

@@ -150,7 +150,8 @@ def _phrased(spark, d):
 
 def _found(spark, d):
     t = _phrased(spark, d)
-    return candidates.candidate_phrases(t).join(t.select("source_row", "client_id", "cid", "text", "data_date"), "source_row")
+    found = candidates.unknown(candidates.candidate_phrases(t), ALIASES)
+    return found.join(t.select("source_row", "client_id", "cid", "text", "data_date"), "source_row")
 
 
 CAND = v.V2 + ", p AS (SELECT *, event_type || ' ' || CAST(k AS VARCHAR) AS phrase, event_type || CAST(k AS VARCHAR) AS norm FROM v2), ca AS (SELECT norm, min(phrase) AS phrase, count(*) AS query_count, count(DISTINCT client_id) AS users, count(DISTINCT cid) AS sessions, list_aggregate(list_sort(list(DISTINCT phrase))[1:3], 'string_agg', '|') AS examples FROM p GROUP BY norm)"
