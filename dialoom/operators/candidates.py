@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import CONTACT_LIKE, growth, normalize_text, redacted
@@ -25,6 +25,7 @@ BEGINNING = r"^(?:我|你|他|她|它|这|那|嗯|哦|啊|哇|咳|哈喽|好|不
 ENDING = r"(?:呀|啊|吧|呢|啦|的|味|色)$"
 FALLBACK_ASKING = r"为什么|怎么|什么|是谁|哪里|可以吗|好不好"
 PIECES = r"[，,；;]|以及|还有|和"
+EXAMPLES, DEALT = 3, 64
 
 
 def is_generic(norm: Column) -> Column:
@@ -70,9 +71,15 @@ def aggregate_candidates(found: DataFrame, *by: str) -> DataFrame:
     pairs = found.repartition(*keys, "client_id").groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
     users = pairs.groupBy(*keys, "client_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sessions"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
     out = users.groupBy(*keys).agg(F.min("phrase").alias("phrase"), F.sum("n").alias("query_count"), F.count(F.lit(1)).alias("users"), F.sum("sessions").alias("sessions"))
-    examples = found.groupBy(*keys, "text").agg(F.lit(1).alias("one"))
-    ranked = examples.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_set(redacted(F.col("text")))), 1, 3).alias("examples"))
-    return out.join(ranked, keys, "left")
+    return out.join(first_examples(found, keys), keys, "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
+
+
+def first_examples(found: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, examples): the first distinct redacted texts; a phrase's texts are dealt by hash and cut in every part, so that EXAMPLES * DEALT at most meet."""
+    texts = found.select(*keys, redacted(F.col("text")).alias("example")).filter("example is not null").distinct()
+    order = Window.partitionBy(*keys, "dealt").orderBy("example")
+    first = texts.withColumn("dealt", F.pmod(F.xxhash64("example"), F.lit(DEALT))).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= EXAMPLES)
+    return first.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("example")), 1, EXAMPLES).alias("examples"))
 
 
 def eligible(stats: DataFrame, baseline: DataFrame | None = None, min_users: int = 5, min_sessions: int = 8, min_growth: float = 3.0, growth_users: int = 3) -> DataFrame:
@@ -104,8 +111,6 @@ def merge_days(daily: DataFrame) -> DataFrame:
 
 def push_back(daily: DataFrame, selected: DataFrame, public: int = 10) -> DataFrame:
     """Each day's rows that the batch selected, the first ten of a day, without examples."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("data_date").orderBy(F.desc("users"), F.desc("sessions"), F.desc("query_count"), "norm")
     kept = daily.join(selected.select("norm"), "norm", "left_semi").drop("examples")
     return kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= public)
