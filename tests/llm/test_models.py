@@ -199,6 +199,19 @@ def test_windows_score_every_target_once(n):
     assert (later[scored[1:].any(axis=1)] == lm.OVERLAP).all()
 
 
+def test_every_window_is_trained_on(spark):
+    texts = ["one two three", None, "", *(f"short text {i}" for i in range(40)), " ".join(f"w{i}" for i in range(300))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    vocabulary = lm.default_vocabulary()
+    kept = [r["window"] for r in lm.count_pass(df, vocabulary).filter("kind = 2").select("window").collect()]
+    every = [lm.windows_of(x) for x in lm.word_ids(vocabulary).encode([lm.words_of(t) for t in texts])]
+    assert sorted(kept) == sorted(w[k].astype("<u2").tobytes() + m[k].astype("u1").tobytes() for w, m in every for k in range(len(w)))
+    rng = np.random.default_rng(0)
+    groups = [(rng.integers(0, lm.N_IN, (n, lm.WINDOW)), rng.integers(0, lm.N_OUT, (n, lm.WINDOW)), np.ones((n, lm.WINDOW), bool)) for n in (70, 5)]
+    flat, seen = lm.train_shard(lm.first_weights(), np.zeros((lm.N_IN, lm.N_OUT), np.float32), iter(groups), 0)
+    assert seen == 75 and flat.dtype == np.float32 and np.isfinite(flat).all() and not np.array_equal(flat, lm.first_weights())
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(1)
     counts = np.zeros(lm.VOCABULARY)
