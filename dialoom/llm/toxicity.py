@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,7 +41,8 @@ BEGINNINGS = range(4, 8)
 WINDOW = 8
 THRESHOLD = 0.3
 TOKEN = re.compile(r"\w+")
-OPEN, CLOSE, BOTH = "“„«‹", "”»›", '"'
+CLOSED_BY = {"“": "”", "„": "“”", "«": "»", "‹": "›", '"': '"'}
+MARK = re.compile("[“”„«»‹›\"\\n]")
 #: A start for the lexicon: common insults, with the weight of a learned word of medium strength.
 SEEDS = "arsehole asshole bastard bitch clown cretin disgusting dumbass freak idiot imbecile jerk loser moron pathetic pervert scum scumbag stupid trash ugly useless vermin worthless arschloch abschaum dummkopf drecksack schlampe connard crétin ordure pourriture salaud estúpido imbécil gilipollas basura escoria".split()
 SEED_WEIGHT = 1.5
@@ -156,12 +158,12 @@ class Lexicon:
             return (0.0,) * 6
         strongest = total = fuzzy = quoted = 0.0
         n = 0
-        where = list(TOKEN.finditer(low))
+        where, spans = list(TOKEN.finditer(low)), quoted_spans(low)
         for i, m in enumerate(where):
             if m[0] not in hits:
                 continue
             exact, near = self.hit(m[0])
-            if is_quoted(low, m.start(), m.end()) or any(x[0] in REPORTING for x in where[max(0, i - WINDOW) : i]):
+            if is_quoted(spans, m.start(), m.end()) or any(x[0] in REPORTING for x in where[max(0, i - WINDOW) : i]):
                 quoted += exact or near
                 continue
             n += 1
@@ -170,13 +172,33 @@ class Lexicon:
         return strongest, np.log1p(total), np.log1p(n), min(100.0 * n / len(tokens), 20.0) / 10, np.log1p(fuzzy), np.log1p(quoted)
 
 
-def is_quoted(text: str, start: int, end: int) -> bool:
-    """Between quotation marks on its line, looking at most 200 characters to each side."""
-    before = text[max(text.rfind("\n", 0, start) + 1, start - 200) : start]
-    stop = text.find("\n", end)
-    after = text[end : min(end + 200, len(text) if stop < 0 else stop)]
-    opened = max(before.rfind(c) for c in OPEN) > max(before.rfind(c) for c in CLOSE)
-    return (opened and any(c in after for c in CLOSE + "“")) or (before.count(BOTH) % 2 == 1 and BOTH in after)
+def quoted_spans(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of what stands between quotation marks, in one pass over the marks of every whole line; merged and in order."""
+    spans: list[tuple[int, int]] = []
+    opened: dict[str, list[int]] = {c: [] for c in CLOSED_BY}
+    for m in MARK.finditer(text):
+        c = m[0]
+        if c == "\n":
+            opened = {c: [] for c in CLOSED_BY}
+            continue
+        last = max((o for o in CLOSED_BY if opened[o] and c in CLOSED_BY[o]), key=lambda o: opened[o][-1], default=None)
+        if last is not None:
+            spans.append((opened[last].pop(), m.start()))
+        elif c in CLOSED_BY:
+            opened[c].append(m.end())
+    starts, ends = [], []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def is_quoted(spans: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    at = bisect_right(spans[0], start) - 1
+    return at >= 0 and end <= spans[1][at]
 
 
 _LEXICONS: dict[str, Lexicon] = {}

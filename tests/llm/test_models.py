@@ -199,6 +199,15 @@ def test_windows_score_every_target_once(n):
     assert (later[scored[1:].any(axis=1)] == lm.OVERLAP).all()
 
 
+def test_quotations_reach_over_the_whole_line():
+    far = "calm words " * 40
+    tries = toxicity.Lexicon([("idiot", "w", 3.0)])
+    said = {f'"{far}" then "{far}" you idiot': 0, f'{far} "{far} idiot {far}" {far}': 1, f"„{far} idiot {far}“ {far}": 1, f"„{far}“ idiot „{far}“": 0, f"«{far}» idiot": 0, '"open\nidiot"': 0, f"“{far} ‹a› idiot {far}”": 1}
+    for text, quoted in said.items():
+        f = tries.features(text)
+        assert (f[5] > 0, f[0] > 0) == (quoted == 1, quoted == 0), text[-30:]
+
+
 def test_every_window_is_trained_on(spark):
     texts = ["one two three", None, "", *(f"short text {i}" for i in range(40)), " ".join(f"w{i}" for i in range(300))]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
