@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,11 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: A key of at least 1/HUBS of all rows is a hub, so there are HUBS of them at most, whatever the input.
+HUBS = 5_000
+HUB_ROWS = 500
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,6 +50,19 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hub_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Inner join on ``key`` that leaves no task with all rows of a hub.
+
+    ``right`` has one row for each key and says in ``weight`` how many rows of ``left`` the key has (``total`` in all).
+    Rows of hubs meet a broadcast of ``HUBS`` rows at most, the others are shuffled.
+    """
+    least = max(HUB_ROWS, ceil(total / HUBS))
+    hubs = right.filter(F.col(weight) >= least)
+    marked = left.join(F.broadcast(hubs.select(key).withColumn("is_hub", F.lit(True))), key, "left")
+    hot = marked.filter("is_hub").drop("is_hub").join(F.broadcast(hubs), key)
+    return hot.unionByName(marked.filter("is_hub is null").drop("is_hub").join(right.filter(F.col(weight) < least), key))
+
+
 def crc32_of(value: Column) -> Column:
     return F.crc32(value.cast("string").cast("binary"))
 

@@ -56,20 +56,39 @@ def test_jaccard_join_is_exact(spark, seed):
     assert got == brute_classes(docs)
 
 
-def test_large_group_goes_through_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("held", [2048, 16])
+def test_large_group_goes_through_blocks(spark, monkeypatch, held):
     monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "HELD_ROWS", held)
     base = [f"w{i}" for i in range(100)]
     docs = [(i, " ".join([*base[:i], f"new{i}", *base[i + 1 :]])) for i in range(60)]
+    docs += [(100 + i, " ".join([*base[: 20 + i], *(f"far{k}" for k in range(i % 7 * 4)), *base[20 + i :]])) for i in range(40)]
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == brute_classes(docs)
 
 
-def test_jaccard_odd_rows(spark):
-    got = [(r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(odd(spark)).collect()]
-    assert len(got) == 10 and {(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 4, 0), (6, 6, 0), (None, None, 0)} <= set(got) and got.count((7, 7, 1)) == 2
-    kept = jaccard.deduplicate(odd(spark))
-    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 3, 4, 5, 6, 7, 9] and "label" in kept.columns
-    assert jaccard.near_duplicates(empty(spark)).isEmpty()
+def test_rows_that_repeat_an_id_are_judged_by_their_text(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    docs = [(7, " ".join(a)), (7, " ".join(b)), (8, near(a)), (9, near(b)), (7, " ".join(b)), (7, None), (7, ""), (3, "alone"), (3, "alone"), (9, "some more")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(df).collect())
+    assert got == sorted([(7, 7, 1), (7, 7, 2), (8, 7, 1), (9, 7, 2), (7, 7, 2), (7, 7, 0), (7, 7, 0), (3, 3, 1), (3, 3, 1), (9, 9, 0)])
+    kept = sorted((r["doc_id"], r["text"] or "") for r in jaccard.deduplicate(df).collect())
+    assert kept == sorted([(7, " ".join(a)), (7, " ".join(b)), (7, ""), (3, "alone"), (9, "some more")])
+
+
+def test_prune_makes_rows_in_proportion_to_a_group(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    base, made = [f"w{i}" for i in range(200)], {}
+    plain = jaccard.prune
+    for n in (60, 240):
+        counts = []
+        monkeypatch.setattr(jaccard, "prune", lambda dealt, counts=counts: (lambda df: counts.append(df.count()) or df)(plain(dealt).persist()))
+        docs = [(i, " ".join([*base[: i % 190], f"new{i}", *base[i % 190 + 1 :]])) for i in range(n)]
+        jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).count()
+        made[n] = sum(counts)
+    assert made[240] < 6 * made[60]
 
 
 def test_pruning_bounds_are_a_posterior():
