@@ -15,7 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: A key of at least 1/HUBS of all rows is a hub, so there are HUBS of them at most, whatever the input.
 HUBS = 5_000
-HUB_ROWS = 500
+#: Fewer rows than these fit in any task, so their hubs need no care.
+FEW_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +57,9 @@ def hub_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
     ``right`` has one row for each key and says in ``weight`` how many rows of ``left`` the key has (``total`` in all).
     Rows of hubs meet a broadcast of ``HUBS`` rows at most, the others are shuffled.
     """
-    least = max(HUB_ROWS, ceil(total / HUBS))
+    if total <= FEW_ROWS:
+        return left.join(right, key)
+    least = max(FEW_ROWS // 200, ceil(total / HUBS))
     hubs = right.filter(F.col(weight) >= least)
     marked = left.join(F.broadcast(hubs.select(key).withColumn("is_hub", F.lit(True))), key, "left")
     hot = marked.filter("is_hub").drop("is_hub").join(F.broadcast(hubs), key)

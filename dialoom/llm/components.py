@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import hub_join, save
@@ -17,16 +17,14 @@ def components(edges: DataFrame) -> DataFrame:
     is when a step changes nothing.
     """
     edges = edges.select("a", "b").filter("a != b")
-    edges = save(edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct(), "edges")
-    before = _state(edges)
+    edges, before = _saved(edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct())
     while before[0]:
         both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionAll(edges.select(F.col("b").alias("x"), F.col("a").alias("y")))
         lowest = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"), F.count(F.lit(1)).alias("degree"))
         large = hub_join(both.filter("y > x"), lowest, "x", "degree", 2 * before[0]).select(F.col("y").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         down = large.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m"))
         small = large.join(down, large["a"] == down["x"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").unionAll(down.select(F.col("x").alias("a"), F.col("m").alias("b")))
-        edges = save(small.distinct(), "edges")
-        after = _state(edges)
+        edges, after = _saved(small.distinct())
         if after == before:
             break
         before = after
@@ -42,6 +40,9 @@ def relabelled(first: DataFrame, then: DataFrame) -> DataFrame:
     return both.unionByName(alone)
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _saved(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, with their number and a digest that the write took on its way."""
+    state = Observation()
+    out = save(edges.observe(state, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("digest")), "edges")
+    found = state.get
+    return out, (found["n"], found["digest"])
