@@ -18,7 +18,6 @@ id are ordered by text; an empty table gives an empty folder and no rows; extra
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,23 +31,20 @@ from dialoom.llm.common import new_path, table
 
 BLOCK_IDS, BLOCK_DOCS = 1_000_000, 4096
 BATCH_CHARS = 2_000_000
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 3_000_000
 CHAIN = 256
-CLOSING = ".,;:!?#*$%&"
+LONG_PIECE = 256
 HINT = 256
 END_ID = 0
 BLOCKS = ("part int, seq int, part_start long, n_docs int, n_ids long, width int, ids binary, "
           "low_bits int, lows binary, highs binary, hints binary, doc_ids array<long>")
-BOUNDARY = re.compile(r"(?<=\S) ")
-#: White space before a space: such texts are cut with care.
-LOOSE = [chr(c) + " " for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
-
 
 class EliasFano:
     """A non-decreasing sequence of integers in [0, universe]."""
 
     def __init__(self, n: int, low_bits: int, lows: bytes, highs: bytes, hints: bytes):
         self.n, self.low_bits, self.lows, self.highs, self.hints = n, low_bits, lows, highs, hints
+        self.places = np.frombuffer(hints, "<u4").tolist()
 
     @classmethod
     def encode(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -69,7 +65,7 @@ class EliasFano:
         """Value i: start at the hint below it and count ones byte by byte."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        at = int(np.frombuffer(self.hints, "<u4")[i // HINT])
+        at = self.places[i // HINT]
         left, byte = i % HINT, at // 8
         bits = self.highs[byte] >> (at % 8) << (at % 8)
         while left >= (ones := bits.bit_count()):
@@ -87,12 +83,93 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.low_bits) | (low.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64)))
 
 
+LETTER, DIGIT, SIGN, SPACE, LINE, CONTROL, OTHER = range(7)
+_KIND = np.full(256, OTHER, dtype=np.uint8)
+_KIND[:128] = CONTROL
+_KIND[33:127] = SIGN
+_KIND[ord("0") : ord("9") + 1] = DIGIT
+_KIND[ord("a") : ord("z") + 1] = _KIND[ord("A") : ord("Z") + 1] = LETTER
+_KIND[ord(" ")], _KIND[ord("\n")] = SPACE, LINE
+#: Kinds between which the pre-tokenizer always ends a piece (a sign before a letter only if it is no apostrophe).
+_ENDS = np.zeros((7, 7), dtype=bool)
+_ENDS[LETTER, [DIGIT, SIGN, SPACE, LINE]] = _ENDS[DIGIT, [LETTER, SIGN, SPACE, LINE]] = _ENDS[SIGN, [LETTER, DIGIT, SPACE, LINE]] = _ENDS[OTHER, SPACE] = True
+_ENDS = _ENDS.ravel()
+#: Three-byte white space: last two bytes after 0xE2, and the two single ones.
+_E2_SPACE = {(0x80, x) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)} | {(0x81, 0x9F)}
+
+
+def piece_starts(raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Places where UTF-8 texts may be cut so that the ids of the pieces, concatenated, are those of the texts (which start at ``texts``).
+
+    A cut lies between an ASCII letter, digit or sign and what the pre-tokenizer never joins to it, before a space that
+    follows a visible character, and after a single line end between visible ASCII characters.
+    """
+    kind = _KIND[raw]
+    cut = np.zeros(len(raw) + 1, dtype=bool)
+    cut[1:-1] = _ENDS[kind[:-1] * np.uint8(7) + kind[1:]]
+    cut[1:-1] &= ~((raw[:-1] == ord("'")) & (kind[1:] == LETTER))
+    if len(raw) > 2:
+        visible = kind <= SIGN
+        cut[2:-1] |= (kind[1:-1] == LINE) & visible[:-2] & visible[2:]
+        after = np.flatnonzero(cut[:-1] & (kind == SPACE))  # a space after a character of several bytes, which may be white space itself
+        after = after[kind[after - 1] == OTHER]
+        one, two, three = raw[after - 1], raw[after - 2], raw[np.maximum(after - 3, 0)]
+        blank = (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (three == 0xE1) & (two == 0x9A) & (one == 0x80) | (three == 0xE3) & (two == 0x80) & (one == 0x80)
+        for x, y in _E2_SPACE:
+            blank |= (three == 0xE2) & (two == x) & (one == y)
+        cut[after[blank]] = False
+    cut[texts] = True
+    cut[-1] = False
+    return np.flatnonzero(cut)
+
+
+class Pieces:
+    """Ids of known pieces by two 64-bit hashes: a sorted array, so a million pieces take some 30 MB and no objects."""
+
+    def __init__(self, dtype: str):
+        self.dtype = dtype
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, dtype), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, -1 if new."""
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return np.where(known, at, -1)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, encoded: list[bytes]) -> None:
+        """New pieces, keys in ascending order."""
+        raw = np.frombuffer(b"".join(encoded), self.dtype)
+        count = np.array([len(e) for e in encoded], dtype=np.int64) // raw.itemsize
+        if self.used + len(raw) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(raw), self.dtype)])
+        self.ids[self.used : self.used + len(raw)] = raw
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.checks, self.count = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks), np.insert(self.count, at, count)
+        self.first = np.insert(self.first, at, self.used + np.cumsum(count) - count)
+        self.used += len(raw)
+
+    def spelled(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows' pieces in a row, and how many each has."""
+        count = self.count[rows]
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.first[rows] - ends + count, count) + np.arange(total)], count
+
+
+_MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
+_LETTERS = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+
+
 class Encoder:
-    """Texts to ids with a tokenizers file, word by word with bounded caches.
+    """Texts to ids with a tokenizers file, piece by piece with a bounded cache.
 
-    The pre-tokenizer of a byte-level vocabulary never joins a non-space character with the space after
-    it, so a text may be cut before such spaces and the ids of the pieces concatenated. New words go through the
-    library in chains of ``CHAIN``; the ids of a chain are cut where a token begins with a space.
+    Texts are cut where the pre-tokenizer always cuts (``piece_starts``), so the library sees every distinct piece once per cache
+    period. Pieces are told apart by two polynomial hashes of their bytes, taken for all pieces at once. Texts with a piece of over
+    ``LONG_PIECE`` bytes go to the library whole, and so do all should two pieces ever share one hash but not the other. New
+    pieces that begin with a space go through the library in chains of ``CHAIN``, whose ids are cut where a token begins with a space.
     """
 
     def __init__(self, vocabulary: str):
@@ -102,80 +179,103 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.cache: dict[str, bytes] = {}
-        self.atoms: dict[str, bytes] = {}
+        self.pieces = Pieces(self.dtype)
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
         self.opens = np.zeros(1 << 8 * np.dtype(self.dtype).itemsize if self.dtype == "<u2" else self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")  # the vocabulary's sign for a leading space
 
-    def _atoms(self, piece: str) -> list[str]:
-        """A piece (to be encoded after a space) as strings whose ids may be concatenated: cut at single line ends and
-        before closing punctuation, which the pre-tokenizer never joins with the letters before it."""
-        lines = piece.split("\n") if "\n" in piece else [piece]
-        if len(lines) > 1 and piece.split() != lines:
-            return [" " + piece]
-        out = []
-        for k, line in enumerate(lines):
-            base = line.rstrip(CLOSING)
-            if not base or not base[-1].isalpha():
-                base = line
-            out += ["\n", base] if k else [" " + base]
-            if len(base) < len(line):
-                out.append(line[len(base) :])
-        return out
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """Straight through the library."""
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chains(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Words of letters, each encoded after a space, many in one call."""
-        chains = [words[lo : lo + CHAIN] for lo in range(0, len(words), CHAIN)]
-        for chain, e in zip(chains, self.tokenizer.encode_batch_fast([" " + " ".join(c) for c in chains], add_special_tokens=False), strict=True):
+    def spaced(self, pieces: list[str]) -> list[bytes]:
+        """Pieces of a space and no other white space, many in one call."""
+        out = []
+        chains = [pieces[lo : lo + CHAIN] for lo in range(0, len(pieces), CHAIN)]
+        for chain, e in zip(chains, self.tokenizer.encode_batch_fast(["".join(c) for c in chains], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype=self.dtype)
             starts = np.flatnonzero(self.opens[ids]).tolist()
             if len(starts) != len(chain):
                 raise ValueError("the vocabulary does not mark every space")
             width, raw = ids.itemsize, ids.tobytes()
-            for word, lo, hi in zip(chain, starts, [*starts[1:], len(ids)], strict=True):
-                yield word, raw[lo * width : hi * width]
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain = {p for p in pieces if p.isalpha()}
-        cut = [(p, self._atoms(p)) for p in pieces if not p.isalpha()]
-        atoms = {a for _, c in cut for a in c}
-        words = {a for a in atoms if a[0:1] == " " and a[1:].isalpha()}
-        plain.update(w for a in words if (w := a[1:]) not in self.cache)
-        self.cache.update(self._chains(list(plain)))
-        missing = [a for a in atoms - words if a not in self.atoms]
-        if len(self.atoms) + len(missing) > CACHE_WORDS:
-            self.atoms.clear()
-            missing = list(atoms - words)
-        for a, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.atoms[a] = np.array(e.ids, dtype=self.dtype).tobytes()
-        for p, c in cut:
-            self.cache[p] = b"".join([self.cache[a[1:]] if a in words else self.atoms[a] for a in c])
-
-    def prepare(self, texts: list[list[str]]) -> None:
-        """Put all the pieces of some texts into the cache."""
-        wanted = set().union(*texts)
-        missing = wanted.difference(self.cache)
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = wanted
-        self._learn(list(missing))
+            out += [raw[lo * width : hi * width] for lo, hi in zip(starts, [*starts[1:], len(ids)], strict=True)]
+        return out
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Each piece alone."""
+        chained = [p[0] == " " and (p[1:].isalpha() or p.split() == [p[1:]]) for p in pieces]
+        found = iter(self.spaced([p for p, c in zip(pieces, chained, strict=True) if c])), iter(self.plain([p for p, c in zip(pieces, chained, strict=True) if not c]))
+        return [next(found[not c]) for c in chained]
+
+    def after_space(self, words: list[str]) -> list[bytes]:
+        """Ids of words as after a space."""
+        return self.encode_pieces([" " + w for w in words])
+
+    def _hashes(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for k, by in enumerate(_MULTIPLIERS):
+            if len(self.powers[k][0]) <= len(raw):
+                inverse = np.uint64(pow(int(by), -1, 1 << 64))
+                self.powers[k] = tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(raw) + (1 << 20), x, np.uint64))]) for x in (by, inverse))
+            up, down = self.powers[k]
+            total = np.zeros(len(raw) + 1, dtype=np.uint64)
+            np.cumsum(_LETTERS[k][raw] * up[: len(raw)], out=total[1:])
+            x = (total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * by
+            x ^= x >> np.uint64(32)
+            out.append(x * np.uint64(0xFF51AFD7ED558CCD))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``dtype``."""
-        cut = [BOUNDARY.split(t) if t[:1] == " " or any(x in t for x in LOOSE) else t.split(" ") for t in texts]
-        heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
-        rest = [c[1:] for c in cut]
-        self.prepare(rest)
-        find = self.cache.__getitem__
-        return [np.array(h.ids, dtype=self.dtype).tobytes() + b"".join(map(find, r)) for h, r in zip(heads, rest, strict=True)]
+        encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        sizes = np.array([len(e) for e in encoded], dtype=np.int64)
+        joined = b"".join(encoded)
+        raw = np.frombuffer(joined, np.uint8)
+        if not len(raw):
+            return [b""] * len(texts)
+        offsets = np.cumsum(sizes) - sizes
+        start = piece_starts(raw, offsets[sizes > 0])
+        end = np.append(start[1:], len(raw))
+        long = np.flatnonzero(end - start > LONG_PIECE)
+        if len(long):
+            whole = set((np.searchsorted(offsets, start[long], side="right") - 1).tolist())
+            found = iter(self.plain([texts[k] for k in sorted(whole)])), iter(self.encode([t for k, t in enumerate(texts) if k not in whole]))
+            return [next(found[k not in whole]) for k in range(len(texts))]
+        hashed, checked = self._hashes(raw, start, end)
+        keys, one, which = np.unique(hashed, return_index=True, return_inverse=True)
+        checks = checked[one]
+        rows = self.pieces.find(keys)
+        known = rows >= 0
+        if (checks[which] != checked).any() or (self.pieces.checks[rows[known]] != checks[known]).any():
+            return self.plain(texts)
+        if not known.all():
+            if len(self.pieces.keys) + len(keys) > CACHE_WORDS or self.pieces.used > 8 * CACHE_WORDS:
+                self.pieces = Pieces(self.dtype)
+                known[:] = False
+            new = np.flatnonzero(~known)
+            bounds = zip(start[one[new]].tolist(), end[one[new]].tolist(), strict=True)
+            self.pieces.add(keys[new], checks[new], self.encode_pieces([joined[lo:hi].decode("utf-8", "surrogatepass") for lo, hi in bounds]))
+            rows = self.pieces.find(keys)
+        ids, count = self.pieces.spelled(rows[which])
+        ends = np.concatenate([[0], np.cumsum(count)])
+        bounds = (ends[np.searchsorted(start, np.append(offsets, len(raw)))] * ids.itemsize).tolist()
+        spelled = ids.tobytes()
+        return [spelled[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
-    """One encoder for each worker process and vocabulary."""
+def default_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoder(vocabulary: str | None = None) -> Encoder:
+    """One encoder for each worker process and vocabulary; without one the default is looked up where the task runs."""
+    vocabulary = vocabulary or default_vocabulary()
     if vocabulary not in _ENCODERS:
         _ENCODERS[vocabulary] = Encoder(vocabulary)
     return _ENCODERS[vocabulary]
@@ -204,7 +304,7 @@ def _block(part: int, seq: int, start: int, docs: list[tuple[int | None, bytes]]
     return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()], names=list(row))
 
 
-def write_blocks(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
+def write_blocks(docs: DataFrame, path: str, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
     """Encode every document and write the folder, in ascending order of the id column."""
 
     def encoded(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +341,8 @@ def boundaries(spark: SparkSession, path: str) -> DataFrame:
     def decoded(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             for b in batch.to_pylist():
-                ends = EliasFano(b["n_docs"], b["low_bits"], b["lows"], b["highs"], b["hints"]).decode()
+                found = EliasFano(b["n_docs"], b["low_bits"], b["lows"], b["highs"], b["hints"])
+                ends = np.array([found.select(i) for i in range(found.n)])
                 starts = np.concatenate([[0], ends[:-1]])
                 ids = np.frombuffer(b["ids"], f"<u{b['width']}").astype("<u4")
                 raw = memoryview(ids.tobytes())
@@ -252,17 +353,11 @@ def boundaries(spark: SparkSession, path: str) -> DataFrame:
     return read_blocks(spark, path).select(*wanted).mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def default_vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def token_boundaries(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Write the folder below the shared folder and read it back."""
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
-    write_blocks(docs, path, vocabulary or default_vocabulary())
+    write_blocks(docs, path, vocabulary)
     return boundaries(spark, path)
 
 

@@ -153,11 +153,40 @@ def test_elias_fano(gaps):
     assert (ef.decode() == values).all() and [ef.select(i) for i in range(0, len(values), 7)] == values[::7].tolist()
 
 
+TEXTS = ["", " x", "a  b\n c \n\n d  ", "don't  stop 'll \t x", "日本 語 ", "\x1c a \x1f b", "x\u00a0 y,\nz.\nQ!", "<|endoftext|> hi", "it's\n's end...", LONG, "é.\u0301 e\u0301, ok", "", "y" * 3000 + " end", "'s're 'x 7's", "a\n", "\nb\nc", "z"]
+
+
 def test_encoder_equals_library():
-    texts = ["", " x", "a  b\n c \n\n d  ", "don't  stop 'll \t x", "日本 語 ", "\x1c a \x1f b", "x\u00a0 y,\nz.\nQ!", "<|endoftext|> hi", "it's\n's end...", LONG, "é.\u0301 e\u0301, ok"]
     coder = tokens.Encoder(tokens.default_vocabulary())
-    plain = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    assert [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(texts)] == [e.ids for e in plain]
+    plain = coder.tokenizer.encode_batch(TEXTS, add_special_tokens=False)
+    for _ in range(2):  # new and known pieces
+        assert [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(TEXTS)] == [e.ids for e in plain]
+    assert coder.encode([]) == [] and coder.encode(["", ""]) == [b"", b""]
+    words = ["a", "é", "x\u00a0y", "'s", "12", "\u2003"]
+    assert coder.after_space(words) == coder.plain([" " + w for w in words])
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return tokens.Encoder(tokens.default_vocabulary())
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=40), st.text(alphabet="ab'stredlvm 1.,-\n\t\r\u00a0\u2003é\u0301“日\u0085\x1c", max_size=40)), max_size=4))
+def test_encoder_equals_library_on_any_text(coder, texts):
+    assert coder.encode(texts) == coder.plain(texts)
+
+
+def test_a_full_cache_is_emptied(coder, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    for lo in range(0, 400, 40):
+        texts = [f"word{i} and word{i + 1}" for i in range(lo, lo + 40)]
+        assert coder.encode(texts) == coder.plain(texts)
+
+
+def test_two_pieces_with_one_hash(coder, monkeypatch):
+    monkeypatch.setattr(coder, "_hashes", lambda raw, start, end: [np.zeros(len(start), np.uint64), np.arange(len(start), dtype=np.uint64)])
+    assert coder.encode(TEXTS) == coder.plain(TEXTS)
 
 
 def test_token_files(spark):
