@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import NO, YES
+from dialoom.functions.text import NO, YES, nfkc, strip
 
 # Domains and patterns of the dialogue rules.
 ROUTES = ("无效模板", "ASR/噪声", "纯对话行为", "设备控制", "上下文不足", "有效内容")
@@ -89,23 +89,41 @@ def polarity(text: Column) -> Column:
 
 def opening_category(text: Column, norm: Column) -> Column:
     """X9."""
-    raw = F.trim(F.coalesce(text, F.lit("")))
+    raw = strip(text)
     return first_of((raw == PLACEHOLDER, "startPrompt"), (norm.isin(*LEGACY_EXACT) | raw.startswith(LEGACY_PREFIX), "legacyDefault"), otherwise="other")
 
 
 def is_reply(text: Column, norm: Column) -> Column:
     """X10."""
-    return (F.trim(F.coalesce(text, F.lit(""))) != "") & (opening_category(text, norm) == "other") & ~norm.isin(*SYSTEM_HINTS)
+    return (strip(text) != "") & (opening_category(text, norm) == "other") & ~norm.isin(*SYSTEM_HINTS)
 
 
 def direction_of(prompt: Column) -> Column:
     """What stands before the first '==' (1 to 120 characters of one line), by alias or operation prefix; null if there is none, 'unsupported' if unknown."""
-    prefix = F.regexp_replace(F.lower(F.trim(F.regexp_extract(F.trim(prompt), r"^\s*([^\r\n=]{1,120})==", 1))), " ", "")
+    prefix = F.regexp_replace(strip(F.regexp_extract(strip(nfkc(prompt, "lower")), r"^([^\r\n=]{1,120})==", 1)), " ", "")
     cases = [(prefix.startswith(p) & (F.char_length(prefix) > len(p)), "operation") for p in OPERATION_PREFIXES]
     cases += [(prefix.isin(*[a.lower() for a in aliases]), key) for key, aliases in DIRECTIONS.items()]
     return F.when(F.coalesce(prefix, F.lit("")) == "", F.lit(None)).otherwise(first_of(*cases, otherwise="unsupported"))
 
 
 def row_order(timestamp: Column, created_at: Column, source_row: Column) -> Column:
-    """The ordering key of rows in a session; invalid timestamps count 0."""
-    return F.struct(F.coalesce(timestamp.try_cast("double"), F.lit(0.0)).alias("ts"), F.trim(F.coalesce(created_at, F.lit(""))).alias("at"), source_row.cast("long").alias("row"))
+    """The ordering key of rows in a session; invalid timestamps count 0, and so do those that ``is_orderable`` rejects."""
+    stamp = strip(timestamp.cast("string")).try_cast("double")
+    return F.struct(F.coalesce(F.when(_finite(stamp), stamp), F.lit(0.0)).alias("ts"), strip(created_at).alias("at"), source_row.cast("long").alias("row"))
+
+
+def _finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+
+def is_orderable(timestamp: Column) -> Column:
+    """False for NaN and infinity, by which no first row can be told."""
+    return F.coalesce(_finite(strip(timestamp.cast("string")).try_cast("double")), F.lit(True))
+
+
+def opening_prompt(response: Column) -> tuple[Column, Column]:
+    """X11: whether a response is a JSON object (empty counts as one), and its ``extra.opening_prompt`` if that is a string."""
+    value = F.try_parse_json(F.coalesce(F.nullif(response, F.lit("")), F.lit("{}")))
+    found = F.try_variant_get(value, "$.extra.opening_prompt", "variant")
+    is_text = F.schema_of_variant(found) == "STRING"
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False)), F.when(is_text, F.try_variant_get(value, "$.extra.opening_prompt", "string"))

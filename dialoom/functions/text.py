@@ -15,10 +15,16 @@ OPENING_PUNCTUATION = r"""(?U)[\s，。！？、,.!?；;：:“”"'‘’（）
 CONTACT_LIKE = r"(?i)(?:\d{6,}|[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}|身份证|银行卡|家庭住址|手机号|电话号)"
 PHONE = r"(?<!\d)1[3-9]\d{9}(?!\d)"
 EMAIL = r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"
+STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 YES, NO, NORMAL = "是", "否", "正常"
 SCENES = {"488": "M1", "904": "M2"}
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends; null is empty."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), STRIP, "")
+
+
 def nfkc(text: Column, fold: str = "casefold") -> Column:
     """Unicode NFKC and then casefold or lower; null stays null."""
 
@@ -35,7 +41,7 @@ def normalize_text(text: Column) -> Column:
 
 def normalize_opening(text: Column) -> Column:
     """Strip, NFKC, lower, without the wider punctuation."""
-    return F.regexp_replace(nfkc(F.trim(F.coalesce(text, F.lit(""))), "lower"), OPENING_PUNCTUATION, "")
+    return F.regexp_replace(nfkc(strip(text), "lower"), OPENING_PUNCTUATION, "")
 
 
 def day_key(kind: str, value: Column, source: Column) -> Column:

@@ -6,8 +6,10 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dialoom.functions.text import EMAIL, PHONE
+from dialoom.functions.text import EMAIL, NORMAL, PHONE, sample_label
+from dialoom.operators.sessions import confirm_coverage
 
 # What an aggregate table must not hold.
 FORBIDDEN = re.compile(r"(^|_)(cid|clientid|client_id|text|ai_text|response|query|evidence|preview|fingerprint|birthday|city|city_normalized|constellation)(_|$)", re.I)
@@ -17,6 +19,28 @@ PSEUDONYM = r"^[0-9a-f]{20}$"
 HEX64 = r"^[0-9a-f]{64}$"
 
 
+def _rule(rows: DataFrame, rule: str, key: str) -> DataFrame:
+    return rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
+
+
+def _all(found: list[DataFrame]) -> DataFrame:
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _off(share: Column, n: Column, d: Column) -> Column:
+    """The share is not n over max(1, d)."""
+    return ~F.coalesce(F.abs(share - n / F.greatest(d, F.lit(1))) < 1e-12, F.lit(False))
+
+
+def _inexact(rate: Column, n: Column, d: Column) -> Column:
+    """The rate is not n over d, null over zero."""
+    right = F.try_divide(n.cast("double"), d.cast("double"))
+    return ~F.coalesce(F.abs(rate - right) < 1e-12, rate.isNull() & right.isNull())
+
+
 def required_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """P1."""
     return df.sparkSession.createDataFrame([(c,) for c in sorted(set(required) - set(df.columns))], "missing string")
@@ -41,19 +65,15 @@ def date_span(df: DataFrame) -> DataFrame:
 
 def identity(df: DataFrame, row_start: int = 1, longest: int = 10_000) -> DataFrame:
     """(rule, key): repeated ids or rows, gaps, empty users or sessions, sessions of several users or of unexpected length."""
-    say = lambda rows, rule, key: rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
     span = df.agg(F.min("source_row").alias("lo"), F.max("source_row").alias("hi"), F.count(F.lit(1)).alias("n"))
     sessions = df.groupBy("cid").agg(F.min("client_id").alias("a"), F.max("client_id").alias("b"), F.count(F.lit(1)).alias("n"))
     found = [
-        say(df.groupBy("id").count().filter("count > 1"), "id repeated", "id"), say(df.groupBy("source_row").count().filter("count > 1"), "row repeated", "source_row"),
-        say(span.filter((F.col("lo") != row_start) | (F.col("hi") - F.col("lo") + 1 != F.col("n"))), "rows have gaps", "n"),
-        say(df.filter("coalesce(client_id, '') = ''"), "no user", "source_row"), say(df.filter("coalesce(cid, '') = ''"), "no session", "source_row"),
-        say(sessions.filter("a != b"), "several users", "cid"), say(sessions.filter(F.col("n") > longest), "long session", "cid"),
+        _rule(df.groupBy("id").count().filter("count > 1"), "id repeated", "id"), _rule(df.groupBy("source_row").count().filter("count > 1"), "row repeated", "source_row"),
+        _rule(span.filter((F.col("lo") != row_start) | (F.col("hi") - F.col("lo") + 1 != F.col("n"))), "rows have gaps", "n"),
+        _rule(df.filter("coalesce(client_id, '') = ''"), "no user", "source_row"), _rule(df.filter("coalesce(cid, '') = ''"), "no session", "source_row"),
+        _rule(sessions.filter("a != b"), "several users", "cid"), _rule(sessions.filter(F.col("n") > longest), "long session", "cid"),
     ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return _all(found)
 
 
 def ratios(rows: DataFrame) -> DataFrame:
@@ -80,6 +100,25 @@ def partition_sums(rows: DataFrame, by: list[str], parts: Column, whole: DataFra
     return sums.join(whole.select(*by, F.col(total).alias("whole")), by, "full_outer").filter(~F.col("part_sum").eqNullSafe(F.col("whole")))
 
 
+def profile_section(section: DataFrame, statuses: DataFrame, items: DataFrame, by: str) -> DataFrame:
+    """(rule, key) over sections (by, eligible_users, normal_users, coverage), their statuses (by, status, users) and their items
+    (by, label, users, sessions, turns, five_plus_sessions, user_share, average, five_plus_share, sample_status)."""
+    users, sessions = F.col("users"), F.col("sessions")
+    parts = statuses.groupBy(by).agg(F.sum("users").alias("status_sum"), F.coalesce(F.sum(F.when(F.col("status") == NORMAL, users)), F.lit(0)).alias("status_normal"))
+    parts = section.join(parts, by, "left").join(items.groupBy(by).agg(F.sum("users").alias("item_sum")), by, "left")
+    known = items.join(section.select(by, "normal_users"), by)
+    negative = F.least("users", "sessions", "turns", "five_plus_sessions") < 0
+    return _all([
+        _rule(section.filter((F.col("normal_users") < 0) | (F.col("normal_users") > F.col("eligible_users"))), "counts", by), _rule(section.filter(_off(F.col("coverage"), F.col("normal_users"), F.col("eligible_users"))), "coverage", by),
+        _rule(parts.filter(F.coalesce("status_sum", F.lit(0)) != F.col("eligible_users")), "statuses do not cover users", by), _rule(parts.filter(F.coalesce("status_normal", F.lit(0)) != F.col("normal_users")), "normal status", by),
+        _rule(parts.filter(F.coalesce("item_sum", F.lit(0)) != F.col("normal_users")), "items do not cover normal users", by), _rule(statuses.filter("users < 0"), "status count", by),
+        _rule(statuses.groupBy(by, "status").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "status repeated", by), _rule(items.groupBy(by, "label").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "label repeated", by),
+        _rule(items.filter(negative | (F.col("five_plus_sessions") > sessions)), "item counts", "label"), _rule(known.filter(_off(F.col("user_share"), users, F.col("normal_users"))), "user share", "label"),
+        _rule(items.filter(_off(F.col("average"), F.col("turns"), sessions)), "average", "label"), _rule(items.filter(_off(F.col("five_plus_share"), F.col("five_plus_sessions"), sessions)), "five plus share", "label"),
+        _rule(items.filter(F.col("sample_status") != sample_label(users)), "sample label", "label"),
+    ])
+
+
 def shares(rows: DataFrame, by: list[str], label: str, count: str, share: str) -> DataFrame:
     """Repeated labels, shares that are not count over the group's sum."""
     sums = rows.groupBy(*by).agg(F.sum(count).alias("all_rows")) if by else rows.agg(F.sum(count).alias("all_rows"))
@@ -93,6 +132,13 @@ def share_difference(rows: DataFrame) -> DataFrame:
     return rows.filter(F.abs(F.col("difference") - (F.col("ending_share") - F.col("all_share"))) >= 1e-12)
 
 
+def ending_cross_check(comparison: DataFrame, ending: DataFrame, label: str) -> DataFrame:
+    """P10: labels whose nonzero ending rows are not those of the ending table (label, rows)."""
+    one = comparison.filter("ending_rows > 0").select(label, F.col("ending_rows").alias("compared_rows"))
+    both = one.join(ending.filter("rows > 0").select(label, F.col("rows").alias("own_rows")), label, "full_outer")
+    return both.filter(~F.col("compared_rows").eqNullSafe(F.col("own_rows")))
+
+
 def opening_groups(groups: DataFrame, structure_row: DataFrame) -> DataFrame:
     """Groups that do not add up to the day's structure, or with more replies than sessions of several turns."""
     sums = groups.agg(F.sum("sessions").alias("s"), F.sum("total_turns").alias("t"), F.sum("multi_sessions").alias("m")).join(F.broadcast(structure_row))
@@ -101,6 +147,21 @@ def opening_groups(groups: DataFrame, structure_row: DataFrame) -> DataFrame:
     return wrong.select(F.lit("sums").alias("rule")).unionByName(over)
 
 
+def opening_directions(directions: DataFrame, coverage: DataFrame, groups: DataFrame) -> DataFrame:
+    """(rule, key): directions that are repeated, have more replies than sessions or a wrong share, or do not add up to the classified
+    sessions; parts of the coverage that do not add up to the placeholder sessions. ``coverage`` and the placeholder group are one row each."""
+    start = groups.filter("category = 'startPrompt'").select(F.col("sessions").alias("start_sessions"), F.col("total_turns").alias("start_turns"), F.col("reply_sessions").alias("start_replies"))
+    sums = directions.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{c}") for c in ("sessions", "turns", "reply_sessions")])
+    whole = coverage.join(F.broadcast(start)).join(F.broadcast(sums))
+    every = F.col("classified") + F.col("unlabelled") + F.col("unsupported")
+    return _all([
+        _rule(directions.groupBy("direction").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "direction"), _rule(directions.filter("reply_sessions > sessions or least(sessions, turns, reply_sessions) < 0"), "counts", "direction"),
+        _rule(directions.join(F.broadcast(start)).filter(_inexact(F.col("share"), F.col("sessions"), F.col("start_sessions"))), "share", "direction"), _rule(whole.filter(every != F.col("start_sessions")), "coverage parts", "start_sessions"),
+        _rule(whole.filter(_inexact(F.col("coverage"), F.col("classified"), F.col("start_sessions"))), "coverage", "coverage"), _rule(whole.filter("sum_sessions != classified"), "directions are not the classified", "sum_sessions"),
+        _rule(whole.filter("sum_sessions > start_sessions or sum_turns > start_turns or sum_reply_sessions > start_replies"), "more than the group", "sum_sessions"),
+    ])
+
+
 def grid_complete(rows: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
     """Keys missing from the table, keys outside the grid, repeated keys."""
     side = lambda df, what: df.select(*keys).withColumn("problem", F.lit(what))
@@ -121,30 +182,76 @@ def segment_counts(rows: DataFrame) -> DataFrame:
     return rows.filter((F.col("interest_users") < 0) | (F.col("interest_users") > F.col("eligible_users")) | ~exact)
 
 
-def _paths(schema, prefix: str = "") -> list[tuple[str, object]]:
-    out = []
-    for field in schema.fields:
-        path = f"{prefix}{field.name}"
-        out.append((path, field.dataType))
-        if hasattr(field.dataType, "fields"):
-            out += _paths(field.dataType, path + ".")
-    return out
+def segment_sets(groups: DataFrame, overall: DataFrame, counts: DataFrame, sets: list[str], key: str = "entity_id") -> DataFrame:
+    """(rule, key): dimension sets that are missing from the overall table, listed entities that are repeated, sparse counts that are
+    zero, above the group's eligible users or of an entity the overall table does not list, groups with a wrong sample label."""
+    asked = overall.sparkSession.createDataFrame([(s,) for s in sets], "dimension_set string")
+    dims = [c for c in groups.columns if c not in ("dimension_set", "users", "eligible_users", "sample_status")]
+    own, other = counts.alias("x"), groups.alias("y")
+    same = F.col("x.dimension_set") == F.col("y.dimension_set")
+    for d in dims:
+        same &= F.col(f"x.{d}").eqNullSafe(F.col(f"y.{d}"))
+    found = [
+        _rule(asked.join(overall, "dimension_set", "left_anti"), "set missing", "dimension_set"), _rule(overall.groupBy("dimension_set", key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "entity repeated", key),
+        _rule(counts.join(overall.select("dimension_set", key), ["dimension_set", key], "left_anti"), "entity not listed", key), _rule(own.join(other, same, "left_anti").select("x.dimension_set"), "group missing", "dimension_set"),
+        _rule(own.join(other, same).filter("x.interest_users <= 0 or x.interest_users > y.eligible_users").select(F.col(f"x.{key}").alias("who")), "sparse count", "who"),
+        _rule(groups.filter("users < 0 or eligible_users < 0 or eligible_users > users"), "group counts", "dimension_set"),
+    ]
+    if "sample_status" in groups.columns:
+        found.append(_rule(groups.filter(F.col("sample_status") != sample_label(F.col("eligible_users"))), "sample label", "dimension_set"))
+    return _all(found)
+
+
+def demographic_view(rows: DataFrame, overall: DataFrame, groups: DataFrame, dims: list[str], key: str = "entity_id") -> DataFrame:
+    """(rule, key) over the dense view (dims, key, eligible_users, interest_users, coverage, difference), the overall list (key, rank,
+    eligible_users, interest_users, coverage) of one dimension set and its groups (dims, position, eligible_users) in the fixed order of the domains."""
+    fixed = groups.withColumn("right_position", F.row_number().over(Window.orderBy(*dims)))  # a grid of small fixed domains
+    eligible = overall.agg(F.max("eligible_users").alias("overall_eligible")).join(F.broadcast(groups.agg(F.sum("eligible_users").alias("group_sum"))))
+    both = rows.join(overall.select(key, F.col("coverage").alias("overall_coverage")), key, "left")
+    gap = F.when(F.col("coverage").isNull() | F.col("overall_coverage").isNull(), F.col("difference").isNull()).otherwise(F.coalesce(F.abs(F.col("difference") - (F.col("coverage") - F.col("overall_coverage"))) < 1e-12, F.lit(False)))
+    order = Window.orderBy(F.desc("interest_users"), F.desc(F.coalesce("coverage", F.lit(0.0))), key)  # one row for each listed entity
+    ranked = overall.withColumn("right_rank", F.row_number().over(order))
+    return _all([
+        _rule(fixed.filter("position != right_position"), "group order", "position"), _rule(eligible.filter("overall_eligible != group_sum"), "eligible users", "group_sum"), _rule(ranked.filter("rank != right_rank"), "list order", key),
+        _rule(rows.filter("interest_users < 0 or interest_users > eligible_users"), "counts", key), _rule(rows.filter(_inexact(F.col("coverage"), F.col("interest_users"), F.col("eligible_users"))), "coverage", key),
+        _rule(both.filter(~gap), "difference", key), _rule(rows.join(overall, key, "left_anti"), "entity not listed", key),
+    ])
+
+
+def _columns(schema: T.StructType) -> list[tuple[str, Column, T.DataType, bool]]:
+    """Names and values of all fields, those of structs, arrays and maps too; what lies in an array or map is an array of values."""
+
+    def below(kind: T.DataType, value: Column, path: str, many: bool) -> list[tuple[str, Column, T.DataType, bool]]:
+        out = [(path, value, kind, many)]
+        inside = (lambda f: F.transform(value, f)) if many else (lambda f: f(value))
+        if isinstance(kind, T.StructType):
+            for field in kind.fields:
+                out += below(field.dataType, inside((lambda name: lambda v: v[name])(field.name)), f"{path}.{field.name}", many)
+        elif isinstance(kind, T.ArrayType):
+            out += below(kind.elementType, F.flatten(value) if many else value, path, True)
+        elif isinstance(kind, T.MapType):
+            for name, of, part in (("key", F.map_keys, kind.keyType), ("value", F.map_values, kind.valueType)):
+                out += below(part, F.flatten(F.transform(value, of)) if many else of(value), f"{path}.{name}", True)
+        return out
+
+    return [x for field in schema.fields for x in below(field.dataType, F.col(f"`{field.name}`"), field.name, False)]
 
 
 def aggregate_only(df: DataFrame) -> DataFrame:
-    """Forbidden column names, and string columns with identifiers, contacts, long or many-line values; one pass over the rows."""
-    spark, names = df.sparkSession, []
-    for path, _ in _paths(df.schema):
+    """Forbidden column names, and strings at any depth that are identifiers, contacts, long or of several lines; one pass over the rows."""
+    spark, fields = df.sparkSession, _columns(df.schema)
+    names = {}
+    for path, *_ in fields:
         snake = re.sub(r"(?<!^)(?=[A-Z])", "_", path.split(".")[-1]).lower()
         if FORBIDDEN.search(snake) and snake not in ALLOWED:
-            names.append((path, "forbidden name", 1))
-    out = spark.createDataFrame(names, "column string, problem string, rows long")
-    strings = [c for c, t in df.dtypes if t == "string"]
+            names[path] = (path, "forbidden name", 1)
+    out = spark.createDataFrame(list(names.values()), "column string, problem string, rows long")
+    strings = [(path, value, many) for path, value, kind, many in fields if isinstance(kind, T.StringType)]
     if not strings:
         return out
     tests = {"identifier": lambda c: c.rlike(IDENTIFIER), "contact": lambda c: c.rlike(EMAIL) | c.rlike(PHONE), "long text": lambda c: c.rlike(r"[\r\n]") | (F.char_length(c) > 240)}
-    flat = df.agg(*[F.count_if(test(F.col(c))).alias(f"{k}|{i}") for i, c in enumerate(strings) for k, test in tests.items()])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("problem"), F.col(f"`{k}|{i}`").alias("rows")) for i, c in enumerate(strings) for k in tests])
+    flat = df.agg(*[F.count_if(F.exists(value, test) if many else test(value)).alias(f"{k}|{i}") for i, (_, value, many) in enumerate(strings) for k, test in tests.items()])
+    rows = F.array(*[F.struct(F.lit(path).alias("column"), F.lit(k).alias("problem"), F.col(f"`{k}|{i}`").alias("rows")) for i, (path, *_) in enumerate(strings) for k in tests])
     return out.unionByName(flat.select(F.inline(rows)).filter("rows > 0"))
 
 
@@ -164,6 +271,24 @@ def compared(one: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("columns", F.array_join(wrong, ",")).filter("columns != ''").select(*keys, "columns")
 
 
+def recomputed(stored: dict[str, DataFrame], again: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
+    """(table, key, columns) of all tables of a day (counters, entities, rollups, structure) that differ from their second computation."""
+    out = None
+    for name, df in stored.items():
+        found = compared(df, again[name], keys[name])
+        rows = found.select(F.lit(name).alias("table"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys[name]]).alias("key"), "columns")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def paired(one: DataFrame, other: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Two turn tables side by side by row, and (key, missing_side) of the rows that only one of them has."""
+    a, b = one.withColumn("has_left", F.lit(1)), other.withColumn("has_right", F.lit(1))
+    both = a.join(b, key, "full_outer")
+    alone = both.filter("has_left is null or has_right is null").select(key, F.when(F.col("has_left").isNull(), "left").otherwise("right").alias("missing_side"))
+    return both.filter("has_left = 1 and has_right = 1").drop("has_left", "has_right"), alone
+
+
 def evidence(rows: DataFrame, ids: str, lists: list[str], is_content: Column) -> DataFrame:
     """Lists of other length than the ids, repeated ids, evidence on rows without content."""
     bad = F.size(F.array_distinct(ids)) != F.size(ids)
@@ -174,51 +299,42 @@ def evidence(rows: DataFrame, ids: str, lists: list[str], is_content: Column) ->
 
 def dictionary(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """(rule, key)."""
-    say = lambda rows, rule, key: rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
     twice = lambda df, *c: df.groupBy(*c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     parents = entities.select(F.col("entity_id").alias("p1"), F.col("parent_id").alias("p2"))
     up = entities.filter("parent_id is not null").join(parents, F.col("parent_id") == F.col("p1"), "left")
     up2 = up.join(parents.select(F.col("p1").alias("q1"), F.col("p2").alias("q2")), F.col("p2") == F.col("q1"), "left")
     loops = (F.col("parent_id") == F.col("entity_id")) | (F.col("p2") == F.col("entity_id")) | (F.col("q2") == F.col("entity_id"))
     found = [
-        say(twice(entities, "entity_id"), "id repeated", "entity_id"), say(twice(entities, "name"), "name repeated", "name"), say(twice(aliases, "mode", "normalized"), "alias repeated", "normalized"),
-        say(aliases.filter("policy = 'context' and coalesce(size(terms), 0) <= 0"), "context without terms", "normalized"),
-        say(aliases.filter((F.col("mode") == "pattern") & (~F.col("value").rlike(r"^\^.*\$$") | (F.char_length("value") > 128) | F.col("value").contains(".*"))), "pattern form", "value"),
-        say(up.filter("p1 is null"), "unknown parent", "entity_id"), say(up2.filter(loops), "cycle", "entity_id"), say(up2.filter(F.col("q2").isNotNull() & ~loops), "too deep", "entity_id"),
+        _rule(twice(entities, "entity_id"), "id repeated", "entity_id"), _rule(twice(entities, "name"), "name repeated", "name"), _rule(twice(aliases, "mode", "normalized"), "alias repeated", "normalized"),
+        _rule(aliases.filter("policy = 'context' and coalesce(size(terms), 0) <= 0"), "context without terms", "normalized"),
+        _rule(aliases.filter((F.col("mode") == "pattern") & (~F.col("value").rlike(r"^\^.*\$$") | (F.char_length("value") > 128) | F.col("value").contains(".*"))), "pattern form", "value"),
+        _rule(up.filter("p1 is null"), "unknown parent", "entity_id"), _rule(up2.filter(loops), "cycle", "entity_id"), _rule(up2.filter(F.col("q2").isNotNull() & ~loops), "too deep", "entity_id"),
     ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return _all(found)
 
 
-def contributions(users: DataFrame, hits: DataFrame, rollups: DataFrame, allowed: list[str]) -> DataFrame:
-    """(rule, key)."""
-    say = lambda rows, rule, key: rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
+def contributions(users: DataFrame, hits: DataFrame, rollups: DataFrame, allowed: list[str], totals: DataFrame | None = None) -> DataFrame:
+    """(rule, key); ``totals`` (rollup_id, queries) are the day's rollups, which the hits have to add up to."""
     found = [
-        say(users.filter(~F.col("client_id").rlike(HEX64)), "user key form", "client_id"), say(hits.join(users, "client_id", "left_anti"), "unknown user", "client_id"), say(hits.join(rollups, "rollup_id", "left_anti"), "unknown rollup", "rollup_id"),
-        say(hits.filter("queries <= 0"), "count not positive", "rollup_id"), say(hits.filter(F.size(F.array_except("polarities", F.lit(allowed))) > 0), "polarity", "rollup_id"),
-        say(hits.groupBy("client_id", "rollup_id", "cid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "rollup_id"),
+        _rule(users.filter(~F.col("client_id").rlike(HEX64)), "user key form", "client_id"), _rule(hits.join(users, "client_id", "left_anti"), "unknown user", "client_id"), _rule(hits.join(rollups, "rollup_id", "left_anti"), "unknown rollup", "rollup_id"),
+        _rule(hits.filter("queries <= 0"), "count not positive", "rollup_id"), _rule(hits.filter(F.size(F.array_except("polarities", F.lit(allowed))) > 0), "polarity", "rollup_id"),
+        _rule(hits.groupBy("client_id", "rollup_id", "cid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "rollup_id"),
     ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    if totals is not None:
+        sums = hits.groupBy("rollup_id").agg(F.sum("queries").alias("hit_queries")).join(totals.select("rollup_id", F.col("queries").alias("day_queries")), "rollup_id", "full_outer")
+        found.append(_rule(sums.filter(~F.col("hit_queries").eqNullSafe(F.col("day_queries"))), "day sum", "rollup_id"))
+    return _all(found)
 
 
 def candidate_table(rows: DataFrame, most: int = 200, min_users: int = 5, min_sessions: int = 8, growth_users: int = 3, min_growth: float = 3.0) -> DataFrame:
     """P20: (rule, key)."""
-    say = lambda df, rule, key: df.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
     eligible = ((F.col("users") >= min_users) & (F.col("sessions") >= min_sessions)) | ((F.col("users") >= growth_users) & F.coalesce(F.col("growth") >= min_growth, F.lit(False)))
     found = [
-        say(rows.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most), "too many", "n"), say(rows.groupBy("norm").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "norm"),
-        say(rows.filter("users < 0 or sessions < 0 or query_count < 0"), "negative", "norm"), say(rows.filter(F.isnan("growth") | (F.abs("growth") == float("inf"))), "growth", "norm"),
-        say(rows.filter(F.size("examples") > 3), "examples", "norm"), say(rows.filter(F.col("eligible") != eligible), "eligibility", "norm"),
+        _rule(rows.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most), "too many", "n"), _rule(rows.groupBy("norm").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "norm"),
+        _rule(rows.filter("users < 0 or sessions < 0 or query_count < 0"), "negative", "norm"), _rule(rows.filter(F.isnan("growth") | (F.abs("growth") == float("inf"))), "growth", "norm"),
+        _rule(rows.filter(F.size("examples") > 3), "examples", "norm"), _rule(rows.filter(F.col("eligible") != eligible), "eligibility", "norm"),
     ]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return _all(found)
 
 
 def contiguous(days: DataFrame, most: int = 7) -> DataFrame:
@@ -229,13 +345,30 @@ def contiguous(days: DataFrame, most: int = 7) -> DataFrame:
     return gaps.unionByName(whole.select(F.lit("batch").alias("rule"), F.col("n").cast("string").alias("key")))
 
 
-def research_report(daily: DataFrame, cohorts: DataFrame) -> DataFrame:
-    """Daily parts that do not add up, cohorts that do not match their day, observed counts over cohort size."""
-    wrong = daily.filter("first_observed_users + returning_users != active_users").select(F.lit("daily sum").alias("rule"), F.col("data_date").cast("string").alias("key"))
-    both = daily.filter("first_observed_users > 0").join(cohorts, F.col("data_date") == F.col("first_date"), "full_outer")
-    unlike = both.filter(~F.col("first_observed_users").eqNullSafe(F.col("users"))).select(F.lit("cohort size").alias("rule"), F.coalesce("first_date", "data_date").cast("string").alias("key"))
-    over = cohorts.filter("d1_observed > users or d7_observed > users").select(F.lit("observed").alias("rule"), F.col("first_date").cast("string").alias("key"))
-    return wrong.unionByName(unlike).unionByName(over)
+def research_report(daily: DataFrame, cohorts: DataFrame, covered: DataFrame | None = None, lags: tuple[int, ...] = (1, 7)) -> DataFrame:
+    """Daily parts that do not add up, cohorts that do not match their day, observed counts over cohort size, and, with the days
+    declared complete, cohorts that have a rate before their window is covered or none after it."""
+    wrong = _rule(daily.filter("first_observed_users + returning_users != active_users"), "daily sum", "data_date")
+    both = daily.filter("first_observed_users > 0").join(cohorts, F.col("data_date") == F.col("first_date"), "full_outer").withColumn("day", F.coalesce("first_date", "data_date"))
+    found = [wrong, _rule(both.filter(~F.col("first_observed_users").eqNullSafe(F.col("users"))), "cohort size", "day"), _rule(cohorts.filter(" or ".join(f"d{lag}_observed > users" for lag in lags)), "observed", "first_date")]
+    if covered is not None:
+        right = confirm_coverage(cohorts, covered, lags).select("first_date", *[F.col(f"d{lag}_rate").alias(f"right_{lag}") for lag in lags])
+        joined = cohorts.join(right, "first_date")
+        unlike = F.lit(False)
+        for lag in lags:
+            unlike |= ~F.col(f"d{lag}_rate").eqNullSafe(F.col(f"right_{lag}"))
+        found.append(_rule(joined.filter(unlike), "maturity", "first_date"))
+    return _all(found)
+
+
+def outcome_rows(rows: DataFrame, domain: list[str]) -> DataFrame:
+    """(rule, key) over reviewed demand (label, complete, partial, unmet, unknown, reviewed_sessions, reviewed_users, completion)."""
+    n = F.col("reviewed_sessions")
+    parts = F.col("complete") + F.col("partial") + F.col("unmet") + F.col("unknown")
+    return _all([
+        _rule(rows.filter(~F.coalesce(F.col("label").isin(*domain), F.lit(False))), "label", "label"), _rule(rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "label"),
+        _rule(rows.filter((parts != n) | (F.col("reviewed_users") > n)), "outcomes", "label"), _rule(rows.filter(_inexact(F.col("completion"), F.col("complete"), n - F.col("unknown"))), "completion", "label"),
+    ])
 
 
 def labels(rows: DataFrame, domains: dict[str, list], annotators: tuple[str, str] | None = None) -> DataFrame:
@@ -249,6 +382,17 @@ def labels(rows: DataFrame, domains: dict[str, list], annotators: tuple[str, str
     return rows.filter(bad)
 
 
+def aligned_labels(rows: DataFrame, key: str, entities: str, lists: dict[str, list[str]], provenance: tuple[str, str] | None = None) -> DataFrame:
+    """P25: (rule, key): reviewed rows with a repeated entity, with label lists (arrays beside the entities) of another length or outside
+    their domain, or of another provenance (column, wanted value)."""
+    found = [_rule(rows.filter(F.size(F.array_distinct(entities)) != F.size(entities)), "entity repeated", key)]
+    for column, domain in lists.items():
+        found += [_rule(rows.filter(F.size(column) != F.size(entities)), f"{column}: length", key), _rule(rows.filter(F.size(F.array_except(column, F.lit(domain))) > 0), f"{column}: domain", key)]
+    if provenance:
+        found.append(_rule(rows.filter(~F.col(provenance[0]).eqNullSafe(F.lit(provenance[1]))), "provenance", key))
+    return _all(found)
+
+
 def ranks(rows: DataFrame, by: list[str], rank: str, order: list[Column]) -> DataFrame:
     """Rows whose stored rank is not the rank of the order."""
     return rows.withColumn("right_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(rank) != F.col("right_rank"))

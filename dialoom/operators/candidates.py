@@ -60,8 +60,8 @@ def candidate_phrases(turns: DataFrame, text_col: str = "text", aliases_col: str
 
 def unknown(found: DataFrame, aliases: list[matching.Alias]) -> DataFrame:
     """Rows whose phrase the dictionary does not match. Each distinct phrase is matched once; (norm, phrase) is its key, as token aliases look at the phrase itself."""
-    phrases = found.select("norm", "phrase").distinct().withColumn("phrase_key", F.to_json(F.struct("norm", "phrase")))
-    known = matching.match(phrases, "phrase", aliases, "known_hits", "phrase_key").filter(F.size("known_hits") > 0)
+    phrases = found.select("norm", "phrase").distinct()
+    known = matching.match(phrases, "phrase", aliases, "known_hits").filter(F.size("known_hits") > 0)
     return found.join(known.select("norm", "phrase"), ["norm", "phrase"], "left_anti")
 
 

@@ -29,10 +29,10 @@ def clause(text: Column, norm: Column, hit: Column, hits: Column, pieces: Column
     return F.substring(whole, before + 1, F.greatest(after - before, F.lit(0)))
 
 
-def with_row_labels(turns: DataFrame, aliases: list[Alias], topics: dict[str, str], canonical: dict[str, str]) -> DataFrame:
+def with_row_labels(turns: DataFrame, aliases: list[Alias], topics: dict[str, str]) -> DataFrame:
     """Everything a row tells by itself: normal form, hits of both sides, local clauses, polarity, route, topic, behaviour."""
-    df = match(turns, "text", aliases, "hits", "source_row")
-    df = match(df, "ai_text", aliases, "ai_hits", "source_row")
+    df = match(turns, "text", aliases, "hits")
+    df = match(df, "ai_text", aliases, "ai_hits")
     df = df.withColumns({"norm": normalize_text(F.col("text")), "ai_norm": normalize_text(F.col("ai_text"))})
     broken = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), rules.CLAUSE_BREAK, -1), lambda p: p), "\u0001")
     df = df.withColumn("pieces", F.split(_normalized_pieces(broken), "\u0001", -1))
@@ -44,7 +44,7 @@ def with_row_labels(turns: DataFrame, aliases: list[Alias], topics: dict[str, st
         "is_content": rules.route(F.col("norm"), F.col("is_invalid_turn"), F.col("is_template"), F.size("hits") > 0) == rules.ROUTES[5],
         "row_route": rules.route(F.col("norm"), F.col("is_invalid_turn"), F.col("is_template"), F.size("hits") > 0),
         "row_topic": rules.topic(F.col("norm"), entity_topic), "row_behavior": rules.behavior(F.col("norm")),
-        "asks_on": F.col("norm").rlike(rules.CONTINUE_REQUEST), "self_named": F.lit(sorted(canonical)) if canonical else F.array().cast("array<string>"),
+        "asks_on": F.col("norm").rlike(rules.CONTINUE_REQUEST),
     })
 
 
@@ -52,20 +52,21 @@ def _normalized_pieces(text: Column) -> Column:
     return normalize_text(text)
 
 
-def session_fold(rows: DataFrame) -> DataFrame:
+def session_fold(rows: DataFrame, canonical: list[str]) -> DataFrame:
     """source_row, entities (id, signal, polarity, basis) and inherited, folded along each session.
 
     A session is one array (one dialogue of a day; ``audit`` reports longer ones than expected), so the state passes from turn to turn
     without a shuffle per step; a window lag could not see inherited entities.
     """
     usable = (F.col("is_invalid_turn") == "否") & (F.col("is_template") != "是")
-    item = F.struct("source_row", usable.alias("usable"), "norm", F.when(usable, F.col("located")).otherwise(F.filter("located", lambda x: F.lit(False))).alias("located"), F.transform("ai_hits", lambda h: h["entity_id"]).alias("ai_ids"), "ai_norm", "is_content", "asks_on", "self_named")
+    item = F.struct("source_row", usable.alias("usable"), "norm", F.when(usable, F.col("located")).otherwise(F.filter("located", lambda x: F.lit(False))).alias("located"), F.transform("ai_hits", lambda h: h["entity_id"]).alias("ai_ids"), "ai_norm", "is_content", "asks_on")
     none = F.array().cast("array<string>")
+    self_named = F.lit(canonical) if canonical else none
     start = F.struct(none.alias("users"), none.alias("assistants"), F.lit("").alias("ai_norm"), F.array().cast(f"array<struct<source_row:bigint,entities:{SIGNALED},inherited:boolean>>").alias("rows")).cast(STATE)
 
     def step(state, turn):
         context = F.array_union(state["users"], state["assistants"])
-        inherits = turn["usable"] & (F.size(turn["located"]) == 0) & turn["asks_on"] & (F.size(context) == 1) & F.array_contains(turn["self_named"], F.get(context, F.lit(0)))
+        inherits = turn["usable"] & (F.size(turn["located"]) == 0) & turn["asks_on"] & (F.size(context) == 1) & F.array_contains(self_named, F.get(context, F.lit(0)))
 
         def judged(x):
             before = F.array_contains(state["users"], x["entity_id"])
@@ -86,8 +87,9 @@ def session_fold(rows: DataFrame) -> DataFrame:
 
 def classify_turns(turns: DataFrame, aliases: list[Alias], topics: dict[str, str] | None = None, canonical: dict[str, str] | None = None) -> DataFrame:
     """The classified turn table: route, topic, behaviour, entities, summary signal. ``canonical`` lists entities whose own name matches them."""
-    rows = with_row_labels(turns, aliases, topics or {}, canonical if canonical is not None else {a.entity_id: a.value for a in aliases if a.policy == "auto"})
-    out = rows.drop("pieces", "located", "hits", "ai_hits", "self_named").join(session_fold(rows), "source_row")
+    rows = with_row_labels(turns, aliases, topics or {})
+    names = sorted(canonical if canonical is not None else {a.entity_id for a in aliases if a.policy == "auto"})
+    out = rows.drop("pieces", "located", "hits", "ai_hits").join(session_fold(rows, names), "source_row")
     named = F.create_map(*[F.lit(x) for kv in (topics or {}).items() for x in kv]) if topics else None
     route = F.when(F.col("inherited"), rules.ROUTES[5]).otherwise(F.col("row_route"))
     content = route == rules.ROUTES[5]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import rate
+from dialoom.functions.text import rate, sample_label, valid_if
 
 ACTIVE = ("initiation", "continuation")
 POLARITIES = ("positive", "negative", "mixed", "neutral")
@@ -84,6 +84,14 @@ def domain_counts(rows: DataFrame, column: str, domain: DataFrame) -> DataFrame:
     return out.select(column, count.alias("rows"), F.coalesce(rate(count, F.col("all_rows")), F.lit(0.0)).alias("share"))
 
 
+def with_region(turns: DataFrame, cities: DataFrame, city: str = "city_normalized", status: str = "city_status") -> DataFrame:
+    """region_id of a city with a normal status, and whether such a city has no region; ``cities`` (city, region_id) is joined by size."""
+    valid = valid_if(F.col(city), F.col(status))
+    named = cities.select(F.col("city").alias("mapped_city"), F.col("region_id").alias("mapped_region"))
+    joined = turns.withColumn("valid_city", valid).join(named, F.col("valid_city") == F.col("mapped_city"), "left")
+    return joined.withColumns({"region_id": F.col("mapped_region"), "unmapped": F.col("valid_city").isNotNull() & F.col("mapped_region").isNull()}).drop("valid_city", "mapped_city", "mapped_region")
+
+
 def stable_profile(turns: DataFrame, dimensions: list[str], eligible: Column, unmapped: Column | None = None) -> DataFrame:
     """A dimension survives if it is valid and equal on all rows of the user."""
     kept = [F.when((F.min(d) == F.max(d)) & (F.count(d) == F.count(F.lit(1))), F.min(d)).alias(d) for d in dimensions]
@@ -126,7 +134,8 @@ def segment_overall(pairs: DataFrame, profiles: DataFrame, dimensions: list[str]
     """Per dimension set and entity the interested users among those whose dimensions are known, coverage, zero rows kept."""
     known = grouping_sets(dimensions, sets, profiles.filter("eligible"), [], [F.count(F.lit(1)).alias("n")]).groupBy("dimension_set").agg(F.sum("n").alias("eligible_users"))
     found = segment_interest(pairs, profiles, dimensions, sets, key).groupBy("dimension_set", key).agg(F.sum("interest_users").alias("interest_users"))
-    grid = known.join(F.broadcast(entities.select(key)))
+    asked = F.explode(F.array(*[F.lit("+".join(s)) for s in sets]))
+    grid = entities.select(key).withColumn("dimension_set", asked).join(F.broadcast(known), "dimension_set")  # one row for each set
     out = grid.join(found, ["dimension_set", key], "left")
     users = F.coalesce("interest_users", F.lit(0)).cast("long")
     return out.select("dimension_set", key, "eligible_users", users.alias("interest_users"), rate(users, F.col("eligible_users")).alias("coverage"))
@@ -147,12 +156,36 @@ def dense_interest(grid: DataFrame, overall: DataFrame, counts: DataFrame, dims:
     name = "+".join(dims)
     listed = overall.filter(F.col("dimension_set") == name).select(key, F.col("coverage").alias("overall_coverage"))
     own = counts.filter(F.col("dimension_set") == name).select(*dims, key, "interest_users")
-    out = grid.join(F.broadcast(listed)).join(own, [*dims, key], "left")
+    out = listed.join(F.broadcast(grid)).join(own, [*dims, key], "left")  # the grid is a product of small fixed domains
     users = F.coalesce("interest_users", F.lit(0)).cast("long")
     cover = rate(users, F.col("eligible_users"))
     return out.select(*dims, key, "eligible_users", users.alias("interest_users"), cover.alias("coverage"), (cover - F.col("overall_coverage")).alias("difference"))
 
 
+def age_gender_view(dense: DataFrame, labels: dict[str, str], age: str = "age", gender: str = "gender", key: str = "entity_id") -> DataFrame:
+    """The age and gender view in the older shape: gender labels instead of ids, shares as coverage and points of difference, list order by group."""
+    named = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    order = Window.partitionBy(age, gender).orderBy(F.desc("interest_users"), key)
+    rows = dense.withColumn("position", F.row_number().over(order))
+    return rows.select(age, F.coalesce(F.try_element_at(named, F.col(gender)), F.col(gender)).alias("gender_label"), key, "position", "eligible_users", "interest_users", "coverage", (F.col("difference") * 100).alias("difference_points"), sample_label(F.col("eligible_users")).alias("sample"))
+
+
+def segment_query(groups: DataFrame, overall: DataFrame, counts: DataFrame, domains: dict[str, DataFrame], dimensions: list[str], dims: list[str], wanted: list[tuple]) -> DataFrame:
+    """T5: one to four groups (values of ``dims``) of a set, each with every listed entity (A13, A14); a group outside the domains is an error."""
+    if not 1 <= len(wanted) <= 4 or len(set(wanted)) != len(wanted):
+        raise ValueError("one to four different groups")
+    asked = groups.sparkSession.createDataFrame([tuple(map(str, w)) for w in wanted], ", ".join(f"{d} string" for d in dims))
+    grid = dense_groups(groups, domains, dimensions, dims).join(F.broadcast(asked), dims)
+    if grid.count() != len(wanted):
+        raise ValueError("a group is outside the domains")
+    return dense_interest(grid, overall, counts, dims, key=[c for c in overall.columns if c not in ("dimension_set", "eligible_users", "interest_users", "coverage")][0])
+
+
+def segment_summary(groups: DataFrame, dims: list[str]) -> DataFrame:
+    """T5: the groups of a set with users and sample label, without entity counts."""
+    return groups.filter(F.col("dimension_set") == "+".join(dims)).select(*dims, "users", "eligible_users", sample_label(F.col("eligible_users")).alias("sample_status"))
+
+
 def top_per_group(dense: DataFrame, dims: list[str], n: int = 10, key: str = "entity_id") -> DataFrame:
     """The n entities of every group."""
     order = Window.partitionBy(*dims).orderBy(F.desc("interest_users"), key)

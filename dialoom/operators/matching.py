@@ -1,21 +1,23 @@
 """Dictionary matching over turn tables.
 
-The dictionary is a driver-side list of aliases, checked against ``MAX_ALIASES``; up to that size it is a literal
-array inside the expression, so matching needs no shuffle. A larger one goes through ``match_by_gram``, an equi-join on
-two-character grams that first narrows each text to the aliases whose first gram it holds.
+The dictionary is a driver-side list of aliases. ``match`` builds one automaton of it in each worker and reads every text once, so
+matching needs no shuffle and its time does not grow with the dictionary. One that no worker can hold goes through ``match_by_gram``, an
+equi-join on two-character grams that first narrows each text to the aliases whose first gram it holds.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import nfkc, normalize_text
+from dialoom.functions.text import PUNCTUATION, nfkc, normalize_text
 
-MAX_ALIASES = 5_000
+STRIPPED = re.compile(PUNCTUATION.removeprefix("(?U)"))
 ALIAS = "struct<rank:int,entity_id:string,normalized:string,mode:string,pattern:string,terms:array<string>>"
 HITS = "array<struct<rank:int,entity_id:string,normalized:string,start:int,stop:int>>"
 
@@ -58,7 +60,7 @@ def _hit(alias: Column, norm: Column, token_text: Column) -> Column:
         .otherwise(F.instr(norm, alias["normalized"]) - 1)
     )
     at = F.when(alias["terms"].isNotNull() & ~F.exists(alias["terms"], lambda t: F.instr(norm, t) > 0), -1).otherwise(at)
-    size = F.when(alias["mode"] == "pattern", F.char_length(norm)).otherwise(F.char_length(alias["normalized"]))
+    size = F.when(alias["mode"] == "pattern", F.char_length(norm)).when(alias["mode"] == "token", F.char_length(F.regexp_substr(token_text, alias["pattern"]))).otherwise(F.char_length(alias["normalized"]))
     return F.struct(alias["rank"].alias("rank"), alias["entity_id"].alias("entity_id"), alias["normalized"].alias("normalized"), at.cast("int").alias("start"), (at + size).cast("int").alias("stop"))
 
 
@@ -78,24 +80,92 @@ def greedy(hits: Column) -> Column:
     return F.aggregate(hits, empty, take)
 
 
-def match(df: DataFrame, text_col: str, aliases: list[Alias], out: str = "hits", key: str | None = None) -> DataFrame:
+class Matcher:
+    """One pass over a text for all aliases: an automaton for substrings, a table for exact ones, patterns one by one."""
+
+    def __init__(self, aliases: list[Alias]):
+        import ahocorasick
+
+        self.aliases = ordered(aliases)
+        self.automaton, self.exact, self.other = ahocorasick.Automaton(), {}, []
+        places: dict[str, list[int]] = {}
+        for rank, a in enumerate(self.aliases):
+            if a.mode == "exact":
+                self.exact.setdefault(a.normalized, []).append(rank)
+            elif a.mode in ("token", "pattern"):
+                self.other.append((rank, re.compile(rf"(?<!\w){re.escape(a.value.casefold())}(?!\w)" if a.mode == "token" else f"^(?:{a.value})$", re.I if a.mode == "pattern" else 0)))
+            elif a.normalized:
+                places.setdefault(a.normalized, []).append(rank)
+        for text, ranks in places.items():
+            self.automaton.add_word(text, (len(text), ranks))
+        self.automaton.make_automaton()
+
+    def every(self, text: str) -> list[tuple[int, int, int]]:
+        """(rank, start, stop) of every alias that matches, in rank order, only its first place."""
+        folded = unicodedata.normalize("NFKC", text).casefold()
+        norm = STRIPPED.sub("", folded)
+        found = {rank: (0, len(norm)) for rank in self.exact.get(norm, ())}
+        for end, (size, ranks) in self.automaton.iter(norm) if len(self.automaton) else ():
+            for rank in ranks:
+                found.setdefault(rank, (end - size + 1, end + 1))
+        for rank, pattern in self.other:
+            m = pattern.search(folded if self.aliases[rank].mode == "token" else norm)
+            if m:
+                found[rank] = m.span()
+        fits = lambda a: a.policy != "context" or any(t in norm for t in a.terms)
+        return [(rank, *span) for rank, span in sorted(found.items()) if fits(self.aliases[rank])]
+
+    def hits(self, text: str | None, greedily: bool) -> list[dict]:
+        out: list[dict] = []
+        for rank, start, stop in self.every(text or ""):
+            a = self.aliases[rank]
+            if greedily and any(k["entity_id"] == a.entity_id or (start < k["stop"] and stop > k["start"]) for k in out):
+                continue
+            out.append({"rank": rank, "entity_id": a.entity_id, "normalized": a.normalized, "start": start, "stop": stop})
+        return out
+
+
+_MATCHERS: dict[tuple, Matcher] = {}
+
+
+def matcher(aliases: tuple[Alias, ...]) -> Matcher:
+    """One automaton for each worker process and dictionary."""
+    if aliases not in _MATCHERS:
+        _MATCHERS.clear() if len(_MATCHERS) > 8 else None
+        _MATCHERS[aliases] = Matcher(list(aliases))
+    return _MATCHERS[aliases]
+
+
+def hits_of(text: Column, aliases: list[Alias], greedily: bool = True) -> Column:
+    """E1 to E5 on a text column: the greedy matches, or every alias that matches."""
+    frozen = tuple(aliases)
+
+    def find(texts: pd.Series) -> pd.Series:
+        found = matcher(frozen)
+        return pd.Series([found.hits(t, greedily) for t in texts], dtype=object)
+
+    return F.pandas_udf(find, HITS)(text)
+
+
+def match(df: DataFrame, text_col: str, aliases: list[Alias], out: str = "hits") -> DataFrame:
     """Add the greedy matches of a text column."""
-    if len(aliases) > MAX_ALIASES:
-        return match_by_gram(df, text_col, aliases, out, key)
-    df = df.withColumns({"_norm": normalize_text(F.col(text_col)), "_token": nfkc(F.coalesce(text_col, F.lit("")))})
-    return df.withColumn(out, greedy(all_hits(alias_array(aliases), F.col("_norm"), F.col("_token")))).drop("_norm", "_token")
+    return df.withColumn(out, hits_of(F.col(text_col), aliases))
 
 
 def match_by_gram(df: DataFrame, text_col: str, aliases: list[Alias], out: str, key: str) -> DataFrame:
-    """The same for large dictionaries; ``key`` names a unique column of the rows. Patterns and one-character aliases match under an empty gram, which every row has."""
+    """The same as a join, for dictionaries that a worker cannot hold; ``key`` names a unique column of the rows. Patterns and one-character aliases
+    are few; they stay a literal array that every row is tried on."""
     rows = [(k, a.entity_id, a.normalized, a.mode, _pattern(a), list(a.terms) if a.policy == "context" else None, a.normalized[:2] if a.mode in ("substring", "exact") and len(a.normalized) > 1 else "") for k, a in enumerate(ordered(aliases))]
-    table = df.sparkSession.createDataFrame(rows, "rank int, entity_id string, normalized string, mode string, pattern string, terms array<string>, gram string")
+    plain = alias_array(aliases) if any(r[-1] == "" for r in rows) else F.array().cast(f"array<{ALIAS}>")
+    plain = F.filter(plain, lambda a: F.array_contains(F.array(*[F.lit(r[0]) for r in rows if r[-1] == ""]).cast("array<int>"), a["rank"]))
+    table = df.sparkSession.createDataFrame([r for r in rows if r[-1]], "rank int, entity_id string, normalized string, mode string, pattern string, terms array<string>, gram string")
     df = df.withColumns({"_norm": normalize_text(F.col(text_col)), "_token": nfkc(F.coalesce(text_col, F.lit("")))})
     places = F.sequence(F.lit(1), F.greatest(F.char_length("_norm") - 1, F.lit(1)))
-    own = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(places, lambda i: F.substring(F.col("_norm"), i, F.lit(2)))))
+    own = F.array_distinct(F.transform(places, lambda i: F.substring(F.col("_norm"), i, F.lit(2))))
     found = df.select(key, F.explode(own).alias("gram")).join(table, "gram")  # texts stay out of this shuffle
     near = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", "entity_id", "normalized", "mode", "pattern", "terms"))).cast(f"array<{ALIAS}>").alias("_near"))
-    hits = F.when(F.col("_near").isNull(), F.array().cast(HITS)).otherwise(greedy(all_hits(F.col("_near"), F.col("_norm"), F.col("_token"))))
+    near_all = F.array_sort(F.concat(F.coalesce("_near", F.array().cast(f"array<{ALIAS}>")), plain))
+    hits = greedy(all_hits(near_all, F.col("_norm"), F.col("_token")))
     return df.join(near, key, "left").withColumn(out, hits).drop("_near", "_norm", "_token")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import change_ratio, growth, rate
+from dialoom.functions.text import change_ratio, growth, rate, sample_label
 
 
 def contribution_users(profiles: DataFrame, *dimensions: str) -> DataFrame:
@@ -21,6 +21,22 @@ def contribution_hits(mentions: DataFrame, members: DataFrame) -> DataFrame:
     return queries.groupBy("data_date", "client_id", "rollup_id", "cid").agg(F.count(F.lit(1)).alias("queries"), F.bool_or("initiated").alias("initiated"), F.bool_or("continued").alias("continued"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("polarities")))).alias("polarities"))
 
 
+def union_days(*days: DataFrame) -> DataFrame:
+    """The rows of several days' tables; a table that lacks a column has nulls there. A day that comes twice is an error of the caller (``audit.identity``)."""
+    out = days[0]
+    for more in days[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def repaired(stored: DataFrame, daily: DataFrame, key: str, value: str, users: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows with baseline, change and sample label computed anew from the daily table, and the rows (key, data_date, columns) that this changed."""
+    right = with_baseline(daily, daily, key, value).withColumn("sample", sample_label(F.col(users)))
+    columns = [c for c in stored.columns if c in right.columns]
+    right = right.select(*columns)
+    return right, changed(stored.select(*columns), right, [key, "data_date"])
+
+
 def in_period(rows: DataFrame, period: str, value: str | None = None) -> DataFrame:
     """A day, a month (YYYY-MM) or all; a plain filter on the partition column."""
     if period == "all":

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions import rules
-from dialoom.functions.text import rate
+from dialoom.functions.text import rate, strip
 
 
 def long(c: Column) -> Column:
@@ -85,7 +85,7 @@ def direction_coverage(directed: DataFrame) -> DataFrame:
 
 def opening_diagnostics(first: DataFrame, norm: Column) -> DataFrame:
     """A21."""
-    return first.agg(F.count_if(F.trim("text") == "").alias("empty_first"), F.count_if(norm.isin(*rules.SYSTEM_HINTS)).alias("hint_first"))
+    return first.agg(F.count_if(strip(F.col("text")) == "").alias("empty_first"), F.count_if(norm.isin(*rules.SYSTEM_HINTS)).alias("hint_first"))
 
 
 def raw_row_check(first: DataFrame, raw: DataFrame) -> DataFrame:
@@ -136,6 +136,31 @@ def active_days(active: DataFrame, last: Column) -> DataFrame:
     return domain.join(counted, "days", "left").select("days", long(F.col("users")).alias("users"))
 
 
+def week_coverage(active: DataFrame, covered: DataFrame, last: Column) -> DataFrame:
+    """How many of the last seven days have rows, and whether all seven are declared complete."""
+    end = active.agg(last.alias("last_date"))
+    near = lambda days: days.select("data_date").distinct().join(F.broadcast(end)).filter(F.datediff("last_date", "data_date").between(0, 6))  # noqa: E731  (end is one row)
+    seen, whole = near(active).agg(F.count(F.lit(1)).alias("covered_days")), near(covered).agg((F.count(F.lit(1)) == 7).alias("week_complete"))
+    return seen.join(F.broadcast(whole))
+
+
+def confirm_coverage(cohorts: DataFrame, covered: DataFrame, lags: tuple[int, ...] = (1, 7)) -> DataFrame:
+    """The rates of stored cohorts (``retention``) anew, after more days were declared complete; observed counts stay as they are."""
+    days = covered.select("data_date").distinct().select(F.col("data_date").alias("covered_date"), F.explode(F.sequence(F.lit(0), F.lit(max(lags)))).alias("back"))
+    days = days.select(F.date_sub("covered_date", F.col("back")).alias("first_date"), "back").groupBy("first_date").agg(*[F.count_if(F.col("back") <= lag).alias(f"d{lag}_days") for lag in lags])
+    out = cohorts.join(days, "first_date", "left")
+    for lag in lags:
+        out = out.withColumn(f"d{lag}_rate", F.when(F.coalesce(f"d{lag}_days", F.lit(0)) == lag + 1, F.col(f"d{lag}_observed_rate"))).drop(f"d{lag}_days")
+    return out
+
+
+def volume_check(volume: DataFrame, structure: DataFrame) -> DataFrame:
+    """A42 against A17: days on which turns or sessions differ."""
+    other = structure.select("data_date", F.col("total_turns").alias("t"), F.col("total_sessions").alias("s"))
+    both = volume.join(other, "data_date", "full_outer")
+    return both.filter(~F.col("turns").eqNullSafe(F.col("t")) | ~F.col("sessions").eqNullSafe(F.col("s"))).select("data_date", "turns", "t", "sessions", "s")
+
+
 def intent_demand(turns: DataFrame, label: str) -> DataFrame:
     """Users, sessions and turns by label; penetration over all users. Two-level, so a hot label is split by session first."""
     pairs = turns.repartition(label, "client_id").groupBy(label, "client_id", "cid").agg(F.count(F.lit(1)).alias("turns"))
@@ -168,6 +193,14 @@ def strata_population(rows: DataFrame, strata: str) -> DataFrame:
     return rows.select(F.explode(strata).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("population"))
 
 
+def strata_coverage(rows: DataFrame, strata: str, key: str, sampled: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Population, sampled and reviewed rows of every stratum; the two tables hold keys."""
+    marked = rows.select(key, F.explode(strata).alias("stratum"))
+    for name, keys in (("is_sampled", sampled), ("is_reviewed", reviewed)):
+        marked = marked.join(keys.select(key).distinct().withColumn(name, F.lit(True)), key, "left")
+    return marked.groupBy("stratum").agg(F.count(F.lit(1)).alias("population"), F.count("is_sampled").alias("sampled"), F.count("is_reviewed").alias("reviewed"))
+
+
 def transcripts(turns: DataFrame, sampled: DataFrame) -> DataFrame:
     """The ordered turns of sampled sessions as JSON."""
     rows = turns.join(sampled.select("cid"), "cid", "left_semi")

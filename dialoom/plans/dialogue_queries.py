@@ -45,9 +45,7 @@ def q_alias_hits_whole(spark, d):
 
 
 def _every_hit(df):
-    df = df.withColumn("norm", text.normalize_text(F.col("text")))
-    hits = matching.all_hits(matching.alias_array(ALIASES), F.col("norm"), F.col("text"))
-    return df.select("doc_id", F.inline(hits)).select("doc_id", "entity_id", "start")
+    return df.select("doc_id", F.inline(matching.hits_of(F.col("text"), ALIASES, greedily=False))).select("doc_id", "entity_id", "start")
 
 
 GREEDY = f"WITH {EN}, {_greedy_sql('en', 'doc_id')} " + " UNION ALL ".join(f"SELECT doc_id, '{a}' AS entity_id, CAST(s{i} - 1 AS INTEGER) AS start FROM {LAST} WHERE s{i} > 0" for i, a in enumerate(ORDERED))
@@ -80,7 +78,7 @@ def q_effective_aliases(spark, d):
 
 
 def _labelled(spark, d):
-    return classify.with_row_labels(v.v1_turns(spark, d), ALIASES, {}, {})
+    return classify.with_row_labels(v.v1_turns(spark, d), ALIASES, {})
 
 
 def _case(pairs, otherwise):
@@ -403,9 +401,7 @@ def q_audit_p27_openings(spark, d):
 def q_pair_turns(spark, d):
     """One-to-one merge of two turn tables; rows that only one side has."""
     o = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("source_row"))
-    one, two = o.filter("source_row % 5 != 0 or source_row % 3 = 0").withColumn("l", F.lit(1)), o.filter("source_row % 3 != 0").withColumn("r", F.lit(1))
-    both = one.join(two, "source_row", "full_outer")
-    return both.filter("l is null or r is null").select("source_row", F.when(F.col("l").isNull(), "left").otherwise("right").alias("missing_side"))
+    return audit.paired(o.filter("source_row % 5 != 0 or source_row % 3 = 0"), o.filter("source_row % 3 != 0"), "source_row")[1]
 
 
 # --- incremental

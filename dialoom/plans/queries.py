@@ -69,7 +69,7 @@ def q_opening_groups(spark, d):
 
 
 def _directed(spark, d):
-    return sessions.with_direction(v.v2_first(spark, d), F.get_json_object("response", "$.extra.opening_prompt"))
+    return sessions.with_direction(v.v2_first(spark, d), rules.opening_prompt(F.col("response"))[1])
 
 
 @query(f"""WITH {v.V2F} {v.DIRECTED}, c AS (SELECT found AS direction, count(*) AS sessions, sum(n) AS turns, count(*) FILTER (later_replies > 0) AS reply_sessions FROM g WHERE found <> 'unsupported' GROUP BY found),
@@ -472,7 +472,7 @@ def q_period_coverage(spark, d):
 @query(f"WITH {v.V2} SELECT client_id, cid FROM v2 WHERE day(data_date) = 1 UNION ALL SELECT client_id, cid FROM v2 WHERE day(data_date) = 2")
 def q_union_days(spark, d):
     t = v.v2_turns(spark, d).select("client_id", "cid", "data_date")
-    return t.filter(F.dayofmonth("data_date") == 1).unionByName(t.filter(F.dayofmonth("data_date") == 2)).select("client_id", "cid")
+    return periods.union_days(t.filter(F.dayofmonth("data_date") == 1), t.filter(F.dayofmonth("data_date") == 2)).select("client_id", "cid")
 
 
 # --- history and comparison

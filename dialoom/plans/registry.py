@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.plans import dialogue_queries, queries as plain  # noqa: F401  (dialogue_queries registers its own)
+from dialoom.plans import check_queries, dialogue_queries, queries as plain  # noqa: F401  (the first two register their own)
 
 FLAGSHIP = "q_entity_metrics"
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialoom.functions.text import normalize_text
+from dialoom.functions.text import normalize_text, strip
 
 TURN_COLUMNS = ("source_row", "clientId", "cid", "sceneId", "text", "ai_text", "turn_index", "is_template", "is_invalid_turn", "invalid_reason", "profile_age", "age_status", "profile_gender", "gender_status", "city_normalized", "city_status")
 
@@ -32,9 +32,15 @@ def header_separator(spark: SparkSession, path: str) -> str:
 
 
 def raw_export(spark: SparkSession, path: str) -> DataFrame:
-    """The raw export by sniffed separator; the physical row number has to be a column of the landed file."""
+    """The raw export by sniffed separator, with ``source_row``, the record's number in its file, the header being 1.
+
+    Quoted line ends keep a file in one task, so the running number of Spark counts without gaps in a file; its first value is taken off.
+    """
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", header_separator(spark, path)).csv(path)
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    counted = df.withColumns({"_file": F.input_file_name(), "_no": F.monotonically_increasing_id()})
+    firsts = counted.groupBy("_file").agg(F.min("_no").alias("_first"))  # one row for each file
+    return counted.join(F.broadcast(firsts), "_file").withColumn("source_row", F.col("_no") - F.col("_first") + 2).drop("_file", "_no", "_first")
 
 
 def ragged_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -46,6 +52,32 @@ def ragged_lines(spark: SparkSession, path: str) -> DataFrame:
     return joined.select(F.col("value").alias("line"), F.size("cells").alias("n_cells"), at.alias("created_at"), (F.size("cells") != F.col("width")).alias("is_ragged"))
 
 
+def date_contract(spark: SparkSession, path: str, date: str, scene: str) -> DataFrame:
+    """S3: (line, rule, value) of lines that break the contract of a day's export: cells that do not fit the header (tab lines may be ragged,
+    comma lines must match), a created_at without a date or of another day, another scene. An export without rows is one violation."""
+    head = spark.read.text(path).limit(1).collect()
+    header = head[0][0].lstrip("\ufeff") if head else ""
+    tabs = header.count("\t") > header.count(",")
+    names = [c.strip('"') for c in header.split("\t" if tabs else ",")]
+    missing = sorted({"created_at", "sceneId"} - set(names))
+    if missing:
+        raise ValueError(f"columns missing: {missing}")
+    lines = spark.read.text(path).filter(F.ltrim(F.regexp_replace("value", "^\ufeff", "")) != header)
+    rows = lines.withColumn("cells", F.split("value" if tabs else F.regexp_replace("value", r'"(?:[^"]|"")*"', ""), "\t" if tabs else ",", -1))
+    fits = F.size("cells") == len(names)
+    at, where = names.index("created_at"), names.index("sceneId")
+    plain = F.from_csv(F.col("value"), ", ".join(f"c{k} string" for k in range(len(names))), {"escape": '"'}) if not tabs else None
+    created = F.when(fits, F.get("cells", F.lit(at)) if tabs else plain[f"c{at}"]).otherwise(F.element_at("cells", -1))
+    said = F.get("cells", F.lit(where)) if tabs else plain[f"c{where}"]
+    day = F.try_to_date(F.substring(strip(created), 1, 10), "yyyy-MM-dd")
+    broken = ~fits if not tabs else ~fits & (F.size("cells") <= where)
+    rule = F.when(broken, "cells").when(day.isNull(), "created_at").when(day != F.lit(date).cast("date"), "date").when(strip(said) != scene, "scene")
+    value = F.when(broken, F.size("cells").cast("string")).when(rule == "scene", said).otherwise(created)
+    found = rows.select(F.col("value").alias("line"), rule.alias("rule"), value.alias("value")).filter("rule is not null")
+    none = lines.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit("").alias("line"), F.lit("no rows").alias("rule"), F.lit("0").alias("value"))
+    return found.unionByName(none)
+
+
 def history(spark: SparkSession, path: str, product: str, first: str, last: str) -> DataFrame:
     """Stored daily rows of a product and a date range; partition filters only."""
     return spark.read.parquet(path).filter((F.col("product") == product) & F.col("data_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
@@ -77,8 +109,13 @@ def region_map(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return raw.select(F.inline("regions")).toDF("region_id", "name"), raw.select(F.explode("aliases").alias("city", "region_id"))
 
 
-def daily_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One JSON document per product and day from a folder, the newest file of a day."""
-    rows = spark.read.option("multiLine", True).json(folder).withColumn("_file", F.input_file_name())
+METRICS = ", ".join(f"{c} long" for c in ("total_turns", "total_sessions", "users", "single_sessions", "multi_sessions", "multi_turns", "five_plus_sessions"))
+RATIOS = ", ".join(f"{c} double" for c in ("average_turns", "multi_rate", "multi_average_turns", "five_plus_rate"))
+DOCUMENT = f"product string, data_date date, {METRICS}, {RATIOS}"
+
+
+def daily_documents(spark: SparkSession, folder: str, schema: str = DOCUMENT) -> DataFrame:
+    """One JSON document per product and day from a folder, the newest file of a day; columns and types are those of the schema."""
+    rows = spark.read.schema(schema).option("multiLine", True).json(folder).withColumn("_file", F.input_file_name())
     order = Window.partitionBy("product", "data_date").orderBy(F.desc("_file"))
     return rows.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r", "_file")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import inspect
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -10,6 +13,7 @@ from dialoom.functions.text import day_key
 from dialoom.operators import periods
 
 DAY = ("product", "data_date")
+PRIVATE = ("source_row", "client_id", "cid", "created_at", "turn_index", "text", "ai_text", "route", "topic", "behavior", "entity_names", "signal")
 SAFE = ("source_row", "user_key", "session_key", "turn_index", "route", "topic", "behavior", "entity_ids", "signal", "signals", "polarities", "bases")
 
 
@@ -24,7 +28,7 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def replace_days(df: DataFrame, path: str, by: tuple[str, ...] = DAY) -> None:
-    """Write the partitions that the rows have; others stay. Rows of a day are replaced, never added."""
+    """S9 to S11 (days are few, so they may be listed): write the partitions that the rows have; others stay. Rows of a day are replaced, never added."""
     df.repartition(*[F.col(c) for c in by], F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(16))).write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
@@ -55,10 +59,34 @@ def write_turns(classified: DataFrame, source: str, safe_path: str, private_path
     """Both turn tables from one persisted frame."""
     held = classified.persist()
     replace_days(safe_turns(held, source), safe_path)
-    replace_days(held, private_path)
+    replace_days(private_turns(held), private_path)
     held.unpersist()
 
 
+def private_turns(classified: DataFrame) -> DataFrame:
+    """The turn table with raw ids and texts: the private columns and nothing else."""
+    named = classified.withColumn("entity_names", F.array_join(F.transform("entities", lambda e: e["entity_id"]), "|"))
+    return named.select(*[c for c in (*DAY, *PRIVATE) if c in named.columns])
+
+
+def report_tables(rollups: DataFrame, entities: DataFrame, dictionary: DataFrame, candidates: DataFrame, topics: DataFrame, behaviors: DataFrame, routes: DataFrame, aliases: DataFrame) -> dict[str, DataFrame]:
+    """The eight report tables: ranked rollups, public and restricted entities, candidates, topics, behaviours, routes, dictionary.
+
+    Ranks run over one row for each rollup, entity or kept candidate.
+    """
+    by = lambda *columns: F.row_number().over(Window.orderBy(*columns))
+    users = [F.desc("active_users"), F.desc("mention_users"), F.desc("queries")]
+    named = entities.join(dictionary.select("entity_id", "name", "type", "visibility"), "entity_id")
+    listed = lambda kind: named.filter(F.col("visibility") == kind).drop("visibility").withColumn("rank", by(*users, F.col("entity_id")))
+    counted = lambda df: df.withColumn("rank", by(F.desc("rows"), F.col(df.columns[0])))
+    rules = aliases.groupBy("entity_id").agg(F.array_sort(F.collect_set("value")).alias("aliases"))
+    return {
+        "rollups": rollups.withColumn("rank", by(*users, F.col("rollup_id"))), "entities": listed("public"), "restricted": listed("restricted"),
+        "candidates": candidates.withColumn("rank", by(F.desc("users"), F.desc("sessions"), F.desc("query_count"), F.col("norm"))).filter("rank <= 200"),
+        "topics": counted(topics), "behaviors": counted(behaviors), "routes": counted(routes), "dictionary": dictionary.join(rules, "entity_id", "left"),
+    }
+
+
 def write_reports(tables: dict[str, DataFrame], folder: str) -> None:
     """One table per report list."""
     for name, df in tables.items():
@@ -74,7 +102,19 @@ def load_documents(spark: SparkSession, docs: DataFrame, path: str, audits: list
 
 def changed_days(current: DataFrame, done: DataFrame | None) -> DataFrame:
     """Days whose input digest is not among the finished ones."""
-    return current if done is None else current.join(done, [*DAY, "hash_sum", "rows"], "left_anti")
+    return current if done is None else current.join(done, [*DAY, *[c for c in ("hash_sum", "rows", "code") if c in current.columns]], "left_anti")
+
+
+def with_code(digests: DataFrame, *modules: object) -> DataFrame:
+    """Digests with the identity of the code that computes the result (a digest of the modules' sources)."""
+    code = hashlib.sha256("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()
+    return digests.withColumn("code", F.lit(code))
+
+
+def run_days(current: DataFrame, done: DataFrame | None, last: str, days: int = 7) -> tuple[DataFrame, DataFrame]:
+    """Days to compute, and the days of the window up to ``last`` whose growth is computed anew in any case."""
+    end = F.lit(last).cast("date")
+    return changed_days(current, done), current.filter(F.col("data_date").between(F.date_sub(end, days - 1), end))
 
 
 def backfill(rows: DataFrame, last: str, days: int = 8) -> DataFrame:

@@ -144,3 +144,85 @@ def test_days_are_replaced(spark, tmp_path):
     assert sinks.replace_if_changed(make([("M1", D(2026, 8, 2), 4)]), path)
     assert sinks.stored(spark, str(tmp_path / "none")) is None
     assert [r["n"] for r in readers.history(spark, path, "M1", "2026-08-02", "2026-08-09").collect()] == [4]
+
+
+def test_raw_export_counts_records(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_text('cid,text,response\ns1,"two\nlines",x\ns2,b,y\ns3,c,z\n', encoding="utf-8-sig")
+    assert {(r["source_row"], r["cid"]) for r in readers.raw_export(spark, str(path)).collect()} == {(2, "s1"), (3, "s2"), (4, "s3")}
+
+
+def test_date_contract(spark, tmp_path):
+    tabs, commas, none = (tmp_path / n for n in ("t.tsv", "c.csv", "n.csv"))
+    tabs.write_text("cid\tsceneId\ttext\tcreated_at\ns\t488\ta\t2026-08-01 01:00\ns\t488\ta\tb\t2026-08-01 02:00\ns\t488\ta\t2026-08-02 01:00\ns\t904\ta\t2026-08-01\ns\t488\ta\tsoon\ns\n")
+    got = [(r["rule"], r["value"]) for r in readers.date_contract(spark, str(tabs), "2026-08-01", "488").collect()]
+    assert sorted(got) == [("cells", "1"), ("created_at", "soon"), ("date", "2026-08-02 01:00"), ("scene", "904")]
+    commas.write_text('cid,sceneId,text,created_at\ns,488,"a, b",2026-08-01\ns,488,a,b,2026-08-01\n', encoding="utf-8-sig")
+    assert [(r["rule"], r["value"]) for r in readers.date_contract(spark, str(commas), "2026-08-01", "488").collect()] == [("cells", "5")]
+    none.write_text("sceneId,created_at\n")
+    assert [r["rule"] for r in readers.date_contract(spark, str(none), "2026-08-01", "488").collect()] == ["no rows"]
+    (tmp_path / "m.csv").write_text("cid\n1\n")
+    with pytest.raises(ValueError):
+        readers.date_contract(spark, str(tmp_path / "m.csv"), "2026-08-01", "488")
+
+
+def test_turn_tables_are_written_and_read_back(spark, tmp_path):
+    from dialoom.operators import classify
+    from dialoom.operators.matching import Alias
+
+    rows = [(1, "u1", "s1", "look at the comet", "yes", 1), (2, "u1", "s1", "hm", "", 2)]
+    df = spark.createDataFrame(rows, "source_row long, client_id string, cid string, text string, ai_text string, turn_index int")
+    df = df.withColumns({"is_template": F.lit("否"), "is_invalid_turn": F.lit("否"), "created_at": F.lit("2026-08-01"), "profile_age": F.lit("6"), "product": F.lit("M1"), "data_date": F.lit("2026-08-01").cast("date")})
+    sinks.write_turns(classify.classify_turns(df, [Alias("E", "comet", "comet")]), "day", str(tmp_path / "safe"), str(tmp_path / "private"))
+    safe, private = spark.read.parquet(str(tmp_path / "safe")), spark.read.parquet(str(tmp_path / "private"))
+    assert set(private.columns) == {*sinks.DAY, *sinks.PRIVATE} and not {"text", "cid", "client_id"} & set(safe.columns)
+    assert {(r["source_row"], r["text"], r["entity_names"]) for r in private.collect()} == {(1, "look at the comet", "E"), (2, "hm", "")}
+    assert {(r["source_row"], tuple(r["entity_ids"])) for r in safe.collect()} == {(1, ("E",)), (2, ())}
+
+
+def test_daily_documents_are_audited_and_loaded(spark, tmp_path):
+    day = {"product": "M1", "data_date": "2026-08-01", "total_turns": 10, "total_sessions": 4, "users": 3, "single_sessions": 2, "multi_sessions": 2, "multi_turns": 8, "five_plus_sessions": 1, "average_turns": 2.5, "extra": "x"}
+    (tmp_path / "a.json").write_text(json.dumps({**day, "users": 1}))
+    (tmp_path / "b.json").write_text(json.dumps(day))
+    docs = readers.daily_documents(spark, str(tmp_path))
+    assert [(r["users"], r["average_turns"]) for r in docs.collect()] == [(3, 2.5)] and "extra" not in docs.columns
+    sinks.load_documents(spark, docs, str(tmp_path / "out"), [audit.structure(docs)])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    with pytest.raises(ValueError):
+        sinks.load_documents(spark, docs, str(tmp_path / "out"), [audit.structure(docs.withColumn("multi_turns", F.lit(1)))])
+
+
+def test_reports_are_written(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "k string, n long")
+    sinks.write_reports({"one": df, "two": df}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "two")).collect() == df.collect()
+
+
+def test_privacy_audit_looks_into_nested_columns(spark):
+    rows = [([{"who": "a@b.co"}], ("x", ["13812345678"]), {"k": "two\nlines"}, [["0123456789abcdef0123"]])]
+    df = spark.createDataFrame(rows, "list array<struct<who:string>>, one struct<name:string,phones:array<string>>, map map<string,string>, deep array<array<string>>")
+    got = {(r["column"], r["problem"], r["rows"]) for r in audit.aggregate_only(df).collect()}
+    assert got == {("list.who", "contact", 1), ("one.phones", "contact", 1), ("map.value", "long text", 1), ("deep", "identifier", 1)}
+    assert {r["column"] for r in audit.aggregate_only(spark.createDataFrame([([("t",)],)], "rows array<struct<clientId:string>>")).collect()} == {"rows.clientId"}
+
+
+def test_changed_days_follow_the_code(spark):
+    day = spark.createDataFrame([("M1", D(2026, 8, 1), 1, 2), ("M1", D(2026, 8, 9), 3, 4)], "product string, data_date date, hash_sum long, rows long")
+    now = sinks.with_code(day, audit)
+    todo, window = sinks.run_days(now, now, "2026-08-09")
+    assert todo.isEmpty() and [r["data_date"] for r in window.collect()] == [D(2026, 8, 9)]
+    assert sinks.changed_days(now, sinks.with_code(day, sinks)).count() == 2
+
+
+def test_segment_query_takes_one_to_four_known_groups(spark):
+    from dialoom.operators import interest
+
+    profiles = spark.createDataFrame([("u", "a", True)], "client_id string, g string, eligible boolean")
+    pairs = spark.createDataFrame([("u", "e")], "client_id string, entity_id string")
+    groups, sets = interest.segment_groups(profiles, ["g"], [["g"]]), [["g"]]
+    overall = interest.segment_overall(pairs, profiles, ["g"], sets, pairs.select("entity_id"))
+    ask = lambda *w: interest.segment_query(groups, overall, interest.segment_interest(pairs, profiles, ["g"], sets), {"g": spark.createDataFrame([("a",), ("b",)], "g string")}, ["g"], ["g"], list(w))
+    assert {(r["g"], r["interest_users"]) for r in ask(("a",), ("b",)).collect()} == {("a", 1), ("b", 0)}
+    for wrong in ([], [("a",)] * 2, [("z",)]):
+        with pytest.raises(ValueError):
+            ask(*wrong)
