@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from math import ceil
 
@@ -29,12 +28,12 @@ def word_count(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set."""
+    """The cluster's shared folder (spark.checkpoint.dir); where none is set, as in tests, a folder of the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-dialoom-"))
+            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
             known = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = known.get()
     return found.rstrip("/")
@@ -51,6 +50,22 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns and all others in one struct, so that no column of an operator can meet one of the same name."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, (F.struct(*others) if others else F.lit(None).cast("int")).alias("other_columns"))
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of a table before ``packed``, in their order."""
+    return df.select(*[F.col(c) if c in df.columns and c != "other_columns" and not _inside(df, c) else F.col("other_columns")[c].alias(c) for c in columns])
+
+
+def _inside(df: DataFrame, column: str) -> bool:
+    kind = df.schema["other_columns"].dataType
+    return hasattr(kind, "names") and column in kind.names
+
+
 def hub_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     """Inner join on ``key`` that leaves no task with all rows of a hub.
 

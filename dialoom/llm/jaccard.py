@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import hub_join, save, table
+from dialoom.llm.common import hub_join, packed, save, table, unpacked
 from dialoom.llm.components import components, relabelled
 from dialoom.llm.tokens import batches
 
@@ -403,16 +403,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stays = F.col("wins") & (F.col("doc_id") == F.col("class_id"))
     ids = _rows(sign, known).filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or(stays).alias("stays"))
     ids = save(ids.filter("n > 1 or not stays").select(F.col("doc_id").alias("near_id"), (F.col("n") > 1).alias("near_repeated")), "near_ids")
+    columns, docs = docs.columns, packed(docs, id_col, text_col)
     out = docs.join(ids.select("near_id"), F.col(id_col) == F.col("near_id"), "left_anti")
     repeated = ids.filter("near_repeated").select("near_id")
     if repeated.isEmpty():
-        return out
+        return unpacked(out, columns)
     key = F.pandas_udf(lambda texts: pd.Series(set_keys(pa.array(texts, pa.string()))[0], dtype=object), "binary")
     again = docs.join(repeated, F.col(id_col) == F.col("near_id"), "left_semi").withColumn("near_key", key(F.col(text_col)))
     winners = known.filter("wins").select(F.col("set_key").alias("near_set"), F.col("class_id").alias("near_class"))
     won = again.join(winners, (F.col("near_key") == F.col("near_set")) & (F.col(id_col) == F.col("near_class")), "left_semi")
     again = won.unionByName(again.filter("near_key is null")).dropDuplicates([id_col, "near_key"]).drop("near_key")
-    return out.unionByName(again)
+    return unpacked(out.unionByName(again), columns)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

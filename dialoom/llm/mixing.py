@@ -8,7 +8,8 @@ hash of its id is below the fraction.
 Defined results: a null source is a source of its own and the last in order; documents without words
 have size 0 and never change a target; a source of size 0 has target 0 and its documents are emitted
 ``0`` times; rows that repeat an id draw the same number; a null id draws as the text 'null'; an empty
-table gives an empty table. Extra columns pass through.
+table gives an empty table. Extra columns pass through, but for those with the name of a result or beginning
+with ``mix_``, which are dropped.
 """
 
 from __future__ import annotations

@@ -9,11 +9,12 @@ quoted hits go to a feature of their own. A logistic model turns the features in
 
 Only labelled rows that ``train`` admits are learned from, at most ``MAX_TRAIN`` of them in hash order (so
 their ids may be broadcast); the features the model is fitted on come from the lexicon of the other folds.
-At most ``MAX_TERMS`` lexicon entries are used, the strongest first. Scoring reads every whole text.
+The lexicon holds every term that passes, so its size is bounded by that sample. Scoring reads every whole text.
 
 Defined results: null and empty texts have no hits and get the score of a text without hits; a document
 with several labels counts as toxic if one says so; without toxic or without clean training rows every
-score is the smoothed share of toxic ones; repeated rows score alike; extra columns are ignored.
+score is the smoothed share of toxic ones; labels other than 0 and 1 are none; repeated rows score alike; extra columns pass
+through, but for score and predicted, which are replaced.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 from dialoom.llm.common import crc32_of, table
 
 MAX_TRAIN = 20_000
-MAX_TERMS = 3_000
 MIN_DOCS = 3
 MIN_STRENGTH = 0.7
 MAX_EDITS, MIN_FUZZY = 1, 5
@@ -229,7 +229,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
             for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = set(TOKEN.findall((text or "").lower()))
                 slot = 2 * fold + toxic
-                held.update(("w", w, slot) for w in words if len(w) <= 40)
+                held.update(("w", w, slot) for w in words)
                 held.update(("b", b, slot) for b in {w[:n] for w in words for n in BEGINNINGS if len(w) > n})
                 if len(held) > 400_000:
                     yield out()
@@ -245,7 +245,7 @@ def strongest_terms(counts: DataFrame, sizes: dict[int, int], folds: list[int])
     odds = F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
     strength = odds - 1.96 * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
     found = counts.filter(toxic >= MIN_DOCS).withColumn("strength", F.round(strength, 6)).filter(F.col("strength") >= MIN_STRENGTH)
-    return SEED_ENTRIES + [(r["term"], r["kind"], r["strength"]) for r in found.orderBy(F.desc("strength"), "kind", "term").limit(MAX_TERMS).collect()]
+    return SEED_ENTRIES + [(r["term"], r["kind"], r["strength"]) for r in found.orderBy(F.desc("strength"), "kind", "term").collect()]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
@@ -266,7 +266,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[tuple[str, str, float]], list[float]]:
     """The lexicon and the model's weights from labelled documents."""
-    picked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("doc_id is not null and toxic is not null")
+    picked = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(FOLDS)).cast("int").alias("fold"), F.xxhash64("doc_id").alias("draw"))
     picked = picked.orderBy("draw", "doc_id").limit(max_train).drop("draw")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")

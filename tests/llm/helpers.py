@@ -9,7 +9,7 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Column names that operators use inside.
-CLASHES = ["size", "host", "score", "n_words", "rows", "label", "set_key", "hits", "word", "n", "key", "part", "prediction", "features", "bucket", "rid", "weight"]
+CLASHES = ["size", "host", "score", "n_words", "rows", "label", "set_key", "hits", "word", "n", "key", "part", "prediction", "features", "bucket", "rid", "weight", "lexical", "url_raw", "url_probability", "url_class", "f_len", "suffix", "rule_verdict", "page", "tree_host", "tree_keys", "page_host", "near_id", "near_key", "found_id", "mix_rate", "mix_words", "target", "kept", "tolerance", "other_columns", "html_text"]
 
 
 def odd(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dialoom.llm import decontaminate, jaccard, lm, toxicity
 from dialoom.llm.components import components
-from tests.llm.helpers import LONG, empty, odd
+from tests.llm.helpers import CLASHES, LONG, empty, odd
 
 
 def brute_classes(docs):
@@ -269,6 +269,29 @@ def test_base_scores_and_odd_rows(spark):
     assert lm.lm_scores(empty(spark), F.lit(False)).isEmpty()
 
 
+def test_pipeline_stages_on_odd_and_empty_tables(spark, monkeypatch):
+    """Clashing columns come back with the values of the input; null, empty, long and repeated rows pass every stage."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda spark, d, name: spark.createDataFrame([(1, "which river runs here, the Onda river")], "item_id long, text string"))
+    for make in (odd, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = make(spark)
+            out = stage(spark, docs, "")
+            rows = out.collect()
+            assert make is odd or not rows, name
+            if name != "token_output":
+                assert out.columns == docs.columns, name
+                assert all(r[c] == "clash" for r in rows for c in CLASHES if c in out.columns), name
+
+
+def test_labels_other_than_two_are_none(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7} words") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, (0, 1, 5, None)[i % 4]) for i in range(60)], "doc_id long, toxic int")
+    plain = toxicity.learn(docs, labels.filter("toxic in (0, 1)"))
+    assert toxicity.learn(docs, labels) == plain
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
     from dialoom.llm import mixing, quality

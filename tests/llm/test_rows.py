@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dialoom.llm import chat, html, mixing, quality, tokens, urls
-from tests.llm.helpers import LONG, empty, odd
+from tests.llm.helpers import CLASHES, LONG, empty, odd
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -108,6 +108,30 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in urls.url_verdicts(df.filter("url = 'no url'")).collect()} == {"allow"}
 
 
+def test_url_odd_rows(spark):
+    long = "http://h.net/" + "a1-" * 30_000
+    rows = [(i, u) for i, u in enumerate(["http://a.com/de/1", "http://a.com/fr/x", long, long, None, "http://b.net/x"] * 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumns({c: F.lit("clash") for c in CLASHES})
+    out = urls.url_verdicts(df)
+    got = out.collect()
+    assert len(got) == 18 and all(r[c] == "clash" for r in got for c in CLASHES if c not in ("host", "rule", "verdict"))
+    assert len({(r["verdict"], r["block_score"]) for r in got if r["url"] == long}) == 1
+
+
+@pytest.mark.parametrize("few", [100_000, 10])
+def test_suffix_statistics_cover_all_rows(spark, monkeypatch, few):
+    """Common suffixes by broadcast, the others by shuffle, or all in one join: the same figures."""
+    from dialoom.llm import common
+
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    monkeypatch.setattr(common, "HUBS", 2)
+    rows = [(i, f"http://h.{'com' if i % 2 else f's{i}'}/{'de' if i % 4 == 1 else 'fr'}/") for i in range(60)]
+    df = urls.with_features(spark.createDataFrame(rows, "page_id long, url string"), "url")
+    joined = common.hub_join(df, common.save(urls.suffix_statistics(df), "suffixes"), "suffix", "rows", 60)
+    got = [(r["url"], r["rows"], r["f_suffix_block"]) for r in joined.collect()]
+    assert len(got) == 60 and ("http://h.com/de/", 30, 16 / 32) in got and ("http://h.s2/fr/", 1, 0.5) in got
+
+
 def test_url_trees_learn(spark):
     rows = [(i, f"http://h{i}.com/{'de' if i % 2 else 'fr'}/{'9' * 12 if i % 2 else 'abc'}") for i in range(200)] + [(1000, "http://h.net/x/999999999999"), (1001, "http://h.net/x/abc")]
     got = {r["page_id"]: r["verdict"] for r in urls.url_verdicts(spark.createDataFrame(rows, "page_id long, url string")).collect()}
