@@ -1,7 +1,7 @@
 """HTML extraction with site style trees.
 
-Each page is parsed to a DOM whose nodes carry a presentation key (tag, class, id and role, below the key of the
-parent, ``DEPTH`` levels deep). The DOMs of one host are merged: for every key the tree counts pages,
+Each page is parsed to a DOM whose nodes carry a presentation key (a hash of tag, class, id and role and of the key of the
+parent, so of the whole branch). The DOMs of one host are merged: for every key the tree counts pages,
 visible text, and how pages differ in what stands there. The importance of a node is the
 entropy of its contents over the pages of the host, relative to the largest possible (log of the pages): a menu that
 is the same everywhere has 0, an article has 1. Keys whose content repeats that way, with ``MIN_PAGES`` pages to judge
@@ -21,8 +21,9 @@ remove of its host and to those of the merged tree, dealt over ``SALTS`` parts,
 keys as a list, which is never longer than the page's DOM; no list goes over a host or over all hosts, and none to the driver.
 
 Defined results: null and empty html give an empty text of length 0; a null or odd URL belongs to the empty
-host; unclosed, stray and cut-off tags are read as browsers do in simple cases; repeated rows get equal results
-and count as pages of their own; an empty table gives no rows; extra columns pass through.
+host; unclosed, stray and cut-off tags are read as browsers do in simple cases, and a tag with an unbalanced quotation mark
+ends at its next ``>``; repeated rows get equal results and count as pages of their own; an empty table gives no rows; extra columns
+pass through whatever their name, but for text, which is replaced. Time is linear in the page, however deep its elements are nested.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.common import save, table
 
-DEPTH = 4
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.3
 SALTS = 8
+BASE, PRIME = 0x2545F4914F6CDD1D, (1 << 61) - 1
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "object", "canvas", "audio", "video"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -52,7 +53,7 @@ NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|adsense|banner|bre
 P_CLOSERS = BLOCK - {"html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "legend", "summary"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset(("ul", "ol", "dl", "table", "select", "menu"))
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"(?=[\s/>])|'[^']*'(?=[\s/>])|[\"'])*+)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 HEADER_OK = frozenset(("article", "main"))
@@ -60,12 +61,12 @@ HOST = r"(?s)^.*?://([^/?#]*)"
 
 
 class Node:
-    __slots__ = ("children", "content", "key", "names", "noise", "parent", "tag")
+    __slots__ = ("children", "key", "names", "noise", "parent", "tag")
 
     def __init__(self, tag: str, parent: Node | None, names: str = "", noise: bool = False):
         self.tag, self.parent, self.names, self.noise = tag, parent, names, noise
         self.children: list[Node | str] = []
-        self.key = self.content = ""
+        self.key = 0
 
 
 def is_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
@@ -133,41 +134,58 @@ def walk(root: Node) -> Iterator[Node]:
         if node.noise:
             continue
         if node.parent is not None:
-            node.key = "/".join([*node.parent.key.split("/")[-DEPTH + 1 :], f"{node.tag}.{node.names}" if node.names else node.tag]) if node.parent.key else node.tag
+            node.key = xxhash.xxh64_intdigest(f"{node.parent.key}/{node.tag}.{node.names}") - (1 << 63)
         yield node
         todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
-def text_of(node: Node) -> str:
-    out, todo = [], [node]
+def has_text(node: Node) -> bool:
+    todo: list[Node | str] = [node]
     while todo:
         x = todo.pop()
         if isinstance(x, str):
-            out.append(x)
+            if not x.isspace():
+                return True
         elif not x.noise:
-            todo += reversed(x.children)
-    return SPACE.sub(" ", " ".join(out)).strip()
-
-
-def style_rows(html: str) -> dict[str, int]:
-    """Key to content hash for the page's block nodes with text; equal keys of a page are hashed together."""
-    held: dict[str, list[str]] = {}
-    for node in walk(parse(html)):
-        if node.tag in BLOCK and node.tag not in ("html", "body"):
-            said = text_of(node)
-            if said:
-                held.setdefault(node.key, []).append(said)
-    return {k: xxhash.xxh64_intdigest("\n".join(v)) - (1 << 63) for k, v in held.items()}
-
-
-def main_text(html: str | None, removed: frozenset[str] = frozenset()) -> str:
+            todo += x.children
+    return False
+
+
+def style_rows(html: str) -> dict[int, int]:
+    """Key to content hash for the page's block nodes with text; equal keys of a page are hashed together.
+
+    A content is the sequence of texts below a node. Its hash is a polynomial one, so a node's is made of those of its children and each
+    text is hashed once.
+    """
+    nodes = list(walk(parse(html)))
+    found: dict[int, tuple[int, int]] = {}
+    sums: dict[int, tuple[int, int]] = {}  # hash and length of the sequence below a node
+    for node in reversed(nodes):  # children before parents
+        h, n = 0, 0
+        for child in node.children:
+            if isinstance(child, str):
+                said = SPACE.sub(" ", child).strip()
+                if said:
+                    h, n = (h * BASE + xxhash.xxh64_intdigest(said)) % PRIME, n + 1
+            elif not child.noise:
+                below, length = sums.pop(id(child))
+                if length:
+                    h, n = (h * pow(BASE, length, PRIME) + below) % PRIME, n + length
+        sums[id(node)] = h, n
+        if n and node.tag in BLOCK and node.tag not in ("html", "body"):
+            before, length = found.get(node.key, (0, 0))
+            found[node.key] = ((before * BASE + h + 1) % PRIME, length + 1)
+    return {key: h for key, (h, _) in found.items()}
+
+
+def main_text(html: str | None, removed: frozenset[int] = frozenset()) -> str:
     """The blocks of the page without noise and without the given keys."""
     if not html:
         return ""
     return (_main_text(html, removed) or _main_text(html, frozenset())) if removed else _main_text(html, removed)
 
 
-def _main_text(html: str, removed: frozenset[str]) -> str:
+def _main_text(html: str, removed: frozenset[int]) -> str:
     root = parse(html)
     tops, within = [], set()
     for node in walk(root):
@@ -177,8 +195,14 @@ def _main_text(html: str, removed: frozenset[str]) -> str:
             node.noise = True
         elif node.tag in HEADER_OK:
             tops.append(node)
-    tops = [t for t in tops if not t.noise and text_of(t)]
-    chosen = [t for t in tops if not any(_below(t, u) for u in tops if u is not t)] or [root]
+    chosen, within = [], set()
+    for top in tops:  # parents first
+        if top.noise or not has_text(top):
+            continue
+        if not _below(top, within):
+            chosen.append(top)
+            within.add(id(top))
+    chosen = chosen or [root]
     blocks: list[list[str]] = [[]]
     for top in chosen:
         blocks.append([])
@@ -202,13 +226,15 @@ def _main_text(html: str, removed: frozenset[str]) -> str:
     return "\n\n".join(b for b in joined if b)
 
 
-def _below(node: Node, top: Node) -> bool:
-    while node is not None and node is not top:
+def _below(node: Node, tops: set[int]) -> bool:
+    """A node below one of some article or main elements; only such elements are asked for, so a page has few walks."""
+    node = node.parent
+    while node is not None and id(node) not in tops:
         node = node.parent
-    return node is top
+    return node is not None
 
 
-KEYED = "host string, page string, key string, content long"
+KEYED = "host string, page string, key long, content long"
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
@@ -217,7 +243,7 @@ def page_keys(pages: DataFrame) -> DataFrame:
     def keys(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             rows = [(host, page, key, content) for host, page, html in zip(*(c.to_pylist() for c in batch.columns), strict=True) for key, content in style_rows(html or "").items()]
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "key", "content"])
 
     return pages.select("host", "page", "html").mapInArrow(keys, KEYED)
@@ -253,13 +279,15 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_
     digest = F.md5(F.col(html_col).cast("binary"))
     keys = save(page_keys(pages.select(host.alias("host"), digest.alias("page"), F.col(html_col).alias("html"))), "page_keys")
     low = save(keys_to_remove(style_trees(keys), min_pages), "low_keys")
-    hosted = pages.withColumns({"page_host": host, "page_digest": F.coalesce(digest, F.md5(F.col(url_col).cast("binary")))})  # null pages stay apart
+    # null pages stay apart
+    hosted = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in (html_col, "text")]).alias("other_columns"), F.col(html_col).alias("page_html"), host.alias("page_host"), F.coalesce(digest, F.md5(F.col(url_col).cast("binary"))).alias("page_digest"))
     joined = hosted.join(found_keys(keys, low), (F.col("page_host") == F.col("tree_host")) & (F.col("page_digest") == F.col("tree_page")), "left")
 
     def text(html: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([main_text(h, frozenset(k) if k is not None else frozenset()) for h, k in zip(html, found, strict=True)], dtype=object)
 
-    return joined.withColumn("text", F.pandas_udf(text, "string")(F.col(html_col), F.col("tree_keys"))).drop("page_host", "page_digest", "tree_host", "tree_page", "tree_keys")
+    kept = [F.col("page_html").alias(c) if c == html_col else F.col("other_columns")[c].alias(c) for c in pages.columns if c != "text"]
+    return joined.select(*kept, F.pandas_udf(text, "string")(F.col("page_html"), F.col("tree_keys")).alias("text"))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,3 +269,65 @@ def test_hash_is_portable(spark):
 
     got = spark.range(1).select(unit_hash("s", F.lit(7))).first()[0]
     assert got == int(hashlib.md5(b"s:7").hexdigest()[:13], 16) / 2**52
+
+
+def test_no_markup_is_left_by_unbalanced_quotes():
+    pages = {'<p>a <a href="x>link</a> b</p><p class="y">c</p>': "a link b\n\nc", "<p title='it\">said</p>": "said", '<p title="a > b" class=\'c\'>d</p>': "d", '<p x="">e<br/>f</p>': "e f", '<p a="b': "", "<p>it's 5 < 6 \"so\"</p>": "it's 5 < 6 \"so\""}
+    assert {h: html.main_text(h) for h in pages} == pages
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    deep = lambda n: "<div class='a'>" * n + "x" + "<p>y</p>" * 3 + "</div>" * n
+    assert html.main_text(deep(10_000)) == "x\n\ny\n\ny\n\ny"
+    began = time.process_time()
+    assert len(html.style_rows(deep(10_000))) == 10_001
+    assert time.process_time() - began < 5
+
+
+def brute_trees(pages):
+    """Low keys by host from the contents of all nodes, compared as whole texts."""
+    held = {}
+    for host, page in pages:
+        own = {}
+        for node in html.walk(html.parse(page)):
+            if node.tag in html.BLOCK and node.tag not in ("html", "body"):
+                said, todo = [], [node]
+                while todo:
+                    x = todo.pop()
+                    if isinstance(x, str):
+                        said += [" ".join(x.split())] if x.strip() else []
+                    elif not x.noise:
+                        todo += reversed(x.children)
+                if said:
+                    own.setdefault(node.key, []).append(tuple(said))
+        for key, contents in own.items():
+            for h in {host, ""}:
+                held.setdefault((h, key), Counter())[tuple(contents)] += 1
+    low = set()
+    for at, contents in held.items():
+        n = sum(contents.values())
+        if n >= html.MIN_PAGES and -sum(c / n * np.log2(c / n) for c in contents.values()) / np.log2(n) < html.MIN_IMPORTANCE:
+            low.add(at)
+    return low
+
+
+def test_style_trees_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        host = f"h{min(rng.randrange(6), rng.randrange(6))}.net"
+        parts = [f"<div class='k{k}'><p>{'same ' * k if rng.random() < k / 6 else rng.random()}</p><i>{rng.choice('ab')}</i></div>" for k in range(6)]
+        rng.shuffle(parts)
+        rows.append((i, f"http://{host}/{i}", f"<body>{''.join(parts)}<p>page {i}</p></body>"))
+    low = brute_trees([(u.split("/")[2], h) for _, u, h in rows])
+    want = {}
+    for i, u, h in rows:
+        host = u.split("/")[2]
+        want[i] = html.main_text(h, frozenset(k for k in html.style_rows(h) if (host, k) in low or ("", k) in low))
+    assert any(h != "" for h, _ in low) and any(t.count("\n\n") < 12 for t in want.values())
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in CLASHES})
+    got = html.extract(df).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+    assert all(r[c] == "clash" for r in got for c in CLASHES)
