@@ -250,12 +250,46 @@ def test_probabilities_add_up():
     before = np.full(lm.VOCABULARY, 17)
     h = model.hidden(np.full((1, lm.WINDOW), classes.into[17]))[-1][0, 0]
     logits = h @ model.w["out"] + classes.bigram[classes.into[17]]
+    logits -= logits.max()
     by_class = logits - np.log(np.exp(logits).sum())
     every = np.arange(lm.VOCABULARY)
     total = np.exp(by_class[classes.out[classes.into[every]]] + classes.rest(before, every)).sum()
     assert total == pytest.approx(1.0, abs=2e-3)
 
 
+def test_contexts_are_those_of_the_words():
+    coder = lm.word_ids(None)
+    words = [b"w%d" % i for i in range(400)]
+    twice = [*words, b"other", *words]
+    (ids,) = coder.encode([twice])
+    where, before, follows = lm.contexts(ids, np.append(coder.lengths(twice), 1))
+    assert 0 < len(where) < 400 and (where >= lm.ORDER).all()
+    by = {}
+    for k, c, f in zip(where.tolist(), before.tolist(), follows.tolist(), strict=True):
+        by.setdefault((tuple(twice[k - lm.ORDER : k]), twice[k] if k < len(twice) else None), set()).add((c, f))
+    assert all(len(v) == 1 for v in by.values()) and len({next(iter(v)) for v in by.values()}) == len(by)
+    assert len(lm.contexts(ids[:0], np.array([1]))[0]) == 0
+
+
+def test_large_logits_stay_finite():
+    model = lm.Attention(lm.first_weights(), np.full((lm.N_IN, lm.N_OUT), 3e4, np.float32))
+    into = np.zeros((2, lm.WINDOW), int)
+    assert np.isfinite(model.log_probabilities(into, into, np.ones((2, lm.WINDOW), bool))).all()
+
+
+@pytest.mark.parametrize("few", [100_000, 10])
+def test_repeated_documents_are_remembered(spark, monkeypatch, few):
+    from dialoom.llm import common
+
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    rng = random.Random(6)
+    said = lambda: " ".join(f"w{rng.randint(0, 3000)}" for _ in range(200))
+    once, twice = [said() for _ in range(40)], [said() for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate([*once, *twice, *twice, twice[0]])), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in lm.lm_scores(docs, F.col("doc_id") == 50).collect()}
+    assert max(got[i] for i in range(40)) < min(got[i] for i in range(40, 51))
+
+
 def test_base_scores_and_odd_rows(spark):
     docs = [(i, f"The cat {i % 3} sat\ton the MAT é{i}") for i in range(60)] + [(100, None), (101, ""), (102, LONG)]
     got = {r["doc_id"]: r for r in lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string").withColumn("word", F.lit("clash")), F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2).collect()}
