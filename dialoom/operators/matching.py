@@ -15,10 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import PUNCTUATION, nfkc, normalize_text
+from dialoom.functions.text import PUNCTUATION, normalize_text
 
 STRIPPED = re.compile(PUNCTUATION.removeprefix("(?U)"))
-ALIAS = "struct<rank:int,entity_id:string,normalized:string,mode:string,pattern:string,terms:array<string>>"
 HITS = "array<struct<rank:int,entity_id:string,normalized:string,start:int,stop:int>>"
 
 
@@ -38,48 +37,6 @@ def ordered(aliases: list[Alias]) -> list[Alias]:
     return sorted(kept, key=lambda a: (a.mode != "pattern", -len(a.normalized)))
 
 
-def _pattern(alias: Alias) -> str:
-    if alias.mode == "token":
-        return rf"(?U)(?<!\w){re.escape(alias.value.casefold())}(?!\w)"
-    return f"(?iU)^(?:{alias.value})$" if alias.mode == "pattern" else "$^"
-
-
-def alias_array(aliases: list[Alias]) -> Column:
-    text = F.lit
-    rows = [F.struct(F.lit(k).alias("rank"), text(a.entity_id).alias("entity_id"), text(a.normalized).alias("normalized"), text(a.mode).alias("mode"), text(_pattern(a)).alias("pattern"),
-                     F.array(*map(text, a.terms)).cast("array<string>").alias("terms") if a.policy == "context" else F.lit(None).cast("array<string>").alias("terms")) for k, a in enumerate(ordered(aliases))]
-    return F.array(*rows).cast(f"array<{ALIAS}>")
-
-
-def _hit(alias: Column, norm: Column, token_text: Column) -> Column:
-    """The span of an alias, start -1 without a match."""
-    at = (
-        F.when(alias["mode"] == "exact", F.when(norm == alias["normalized"], 0).otherwise(-1))
-        .when(alias["mode"] == "token", F.regexp_instr(token_text, alias["pattern"]) - 1)
-        .when(alias["mode"] == "pattern", F.when(F.regexp_like(norm, alias["pattern"]), 0).otherwise(-1))
-        .otherwise(F.instr(norm, alias["normalized"]) - 1)
-    )
-    at = F.when(alias["terms"].isNotNull() & ~F.exists(alias["terms"], lambda t: F.instr(norm, t) > 0), -1).otherwise(at)
-    size = F.when(alias["mode"] == "pattern", F.char_length(norm)).when(alias["mode"] == "token", F.char_length(F.regexp_substr(token_text, alias["pattern"]))).otherwise(F.char_length(alias["normalized"]))
-    return F.struct(alias["rank"].alias("rank"), alias["entity_id"].alias("entity_id"), alias["normalized"].alias("normalized"), at.cast("int").alias("start"), (at + size).cast("int").alias("stop"))
-
-
-def all_hits(aliases: Column, norm: Column, token_text: Column) -> Column:
-    """Every alias that matches, in rank order, only its first place."""
-    return F.filter(F.transform(aliases, lambda a: _hit(a, norm, token_text)), lambda h: h["start"] >= 0).cast(HITS)
-
-
-def greedy(hits: Column) -> Column:
-    """E5: in rank order, the first hit of each entity whose span is free."""
-    empty = F.array().cast(HITS)
-
-    def take(kept, hit):
-        clash = F.exists(kept, lambda k: (k["entity_id"] == hit["entity_id"]) | ((hit["start"] < k["stop"]) & (hit["stop"] > k["start"])))
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(hit).cast(HITS)))
-
-    return F.aggregate(hits, empty, take)
-
-
 class Matcher:
     """One pass over a text for all aliases: an automaton for substrings, a table for exact ones, patterns one by one."""
 
@@ -116,13 +73,21 @@ class Matcher:
         return [(rank, *span) for rank, span in sorted(found.items()) if fits(self.aliases[rank])]
 
     def hits(self, text: str | None, greedily: bool) -> list[dict]:
-        out: list[dict] = []
-        for rank, start, stop in self.every(text or ""):
-            a = self.aliases[rank]
-            if greedily and any(k["entity_id"] == a.entity_id or (start < k["stop"] and stop > k["start"]) for k in out):
-                continue
-            out.append({"rank": rank, "entity_id": a.entity_id, "normalized": a.normalized, "start": start, "stop": stop})
-        return out
+        found = [_row(rank, self.aliases[rank].entity_id, self.aliases[rank].normalized, start, stop) for rank, start, stop in self.every(text or "")]
+        return free(found) if greedily else found
+
+
+def _row(rank: int, entity_id: str, normalized: str, start: int, stop: int) -> dict:
+    return {"rank": rank, "entity_id": entity_id, "normalized": normalized, "start": start, "stop": stop}
+
+
+def free(hits: list[dict]) -> list[dict]:
+    """E5: in rank order, the first hit of each entity whose span is free."""
+    out: list[dict] = []
+    for h in hits:
+        if not any(k["entity_id"] == h["entity_id"] or (h["start"] < k["stop"] and h["stop"] > k["start"]) for k in out):
+            out.append(h)
+    return out
 
 
 _MATCHERS: dict[tuple, Matcher] = {}
@@ -153,20 +118,30 @@ def match(df: DataFrame, text_col: str, aliases: list[Alias], out: str = "hits")
 
 
 def match_by_gram(df: DataFrame, text_col: str, aliases: list[Alias], out: str, key: str) -> DataFrame:
-    """The same as a join, for dictionaries that a worker cannot hold; ``key`` names a unique column of the rows. Patterns and one-character aliases
-    are few; they stay a literal array that every row is tried on."""
-    rows = [(k, a.entity_id, a.normalized, a.mode, _pattern(a), list(a.terms) if a.policy == "context" else None, a.normalized[:2] if a.mode in ("substring", "exact") and len(a.normalized) > 1 else "") for k, a in enumerate(ordered(aliases))]
-    plain = alias_array(aliases) if any(r[-1] == "" for r in rows) else F.array().cast(f"array<{ALIAS}>")
-    plain = F.filter(plain, lambda a: F.array_contains(F.array(*[F.lit(r[0]) for r in rows if r[-1] == ""]).cast("array<int>"), a["rank"]))
-    table = df.sparkSession.createDataFrame([r for r in rows if r[-1]], "rank int, entity_id string, normalized string, mode string, pattern string, terms array<string>, gram string")
-    df = df.withColumns({"_norm": normalize_text(F.col(text_col)), "_token": nfkc(F.coalesce(text_col, F.lit("")))})
-    places = F.sequence(F.lit(1), F.greatest(F.char_length("_norm") - 1, F.lit(1)))
-    own = F.array_distinct(F.transform(places, lambda i: F.substring(F.col("_norm"), i, F.lit(2))))
-    found = df.select(key, F.explode(own).alias("gram")).join(table, "gram")  # texts stay out of this shuffle
-    near = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("rank", "entity_id", "normalized", "mode", "pattern", "terms"))).cast(f"array<{ALIAS}>").alias("_near"))
-    near_all = F.array_sort(F.concat(F.coalesce("_near", F.array().cast(f"array<{ALIAS}>")), plain))
-    hits = greedy(all_hits(near_all, F.col("_norm"), F.col("_token")))
-    return df.join(near, key, "left").withColumn(out, hits).drop("_near", "_norm", "_token")
+    """The same as a join, for dictionaries that a worker cannot hold; ``key`` names a unique column of the rows. Patterns, tokens and one-character
+    aliases have no gram; they are few and every text is tried on them."""
+    every = ordered(aliases)
+    plain = [k for k, a in enumerate(every) if a.mode not in ("substring", "exact") or len(a.normalized) < 2]
+    rows = [(k, a.entity_id, a.normalized, a.mode, list(a.terms) if a.policy == "context" else None, a.normalized[:2]) for k, a in enumerate(every) if k not in set(plain)]
+    few = tuple(every[k] for k in plain)
+    table = df.sparkSession.createDataFrame(rows, "rank int, entity_id string, normalized string, mode string, terms array<string>, gram string")
+    grams = F.pandas_udf(lambda texts: pd.Series([sorted({t[i : i + 2] for i in range(len(t) - 1)}) for t in texts], dtype=object), "array<string>")
+    found = df.select(key, F.explode(grams(normalize_text(F.col(text_col)))).alias("gram")).join(table, "gram")  # texts stay out of this shuffle
+    near = found.groupBy(key).agg(F.collect_list(F.struct("rank", "entity_id", "normalized", "mode", "terms")).alias("_near"))
+
+    def find(texts: pd.Series, near: pd.Series) -> pd.Series:
+        own, held = matcher(few), []
+        for text, aliases in zip(texts, near, strict=True):
+            norm = STRIPPED.sub("", unicodedata.normalize("NFKC", text or "").casefold())
+            hits = [{**h, "rank": plain[h["rank"]]} for h in own.hits(text, False)]
+            for a in aliases if aliases is not None else ():
+                at = norm.find(a["normalized"]) if a["mode"] == "substring" else 0 if norm == a["normalized"] else -1
+                if at >= 0 and (a["terms"] is None or any(t in norm for t in a["terms"])):
+                    hits.append(_row(a["rank"], a["entity_id"], a["normalized"], at, at + len(a["normalized"])))
+            held.append(free(sorted(hits, key=lambda h: h["rank"])))
+        return pd.Series(held, dtype=object)
+
+    return df.join(near, key, "left").withColumn(out, F.pandas_udf(find, HITS)(F.col(text_col), F.col("_near"))).drop("_near")
 
 
 def effective_aliases(approved: DataFrame, extra: DataFrame) -> DataFrame:
