@@ -16,9 +16,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 HUBS = 5_000
 #: Fewer rows than these fit in any task, so their hubs need no care.
 FEW_ROWS = 100_000
+#: Most bytes of an Arrow batch where the session sets no bound of its own; a task holds one batch in the JVM and one in Python.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Small Arrow batches for texts; a bound that the session has set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +55,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def save(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the table to the shared folder and read it back."""
+    bounded_batches(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
