@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import table
+from dialoom.llm.common import lean, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -233,7 +233,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                 columns = list(zip(*out, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.float64()] * 3, strict=True)], names=[x.split()[0] for x in HITS.split(", ")])
 
-        hits = rows.mapInArrow(search, HITS)
+        hits = rows.mapInArrow(lean(search), HITS)
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return docs.sparkSession.createDataFrame([], HITS)

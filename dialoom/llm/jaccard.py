@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import hub_join, packed, save, table, unpacked
+from dialoom.llm.common import hub_join, lean, packed, save, table, unpacked
 from dialoom.llm.components import components, relabelled
 from dialoom.llm.tokens import batches
 
@@ -182,9 +182,10 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     mixed = _finish(mixed + values.reshape(BANDS, ROWS)[:, k].astype(np.uint64) * _MIX[k])
                 bands.append(mixed.view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "set_key", "low", "bands"])
+        _words.clear()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, set_key binary, low binary, bands array<long>")
+    return rows.mapInArrow(lean(sign), "doc_id long, set_key binary, low binary, bands array<long>")
 
 
 def lows_of(rows: list[tuple], at: int) -> np.ndarray:
@@ -211,7 +212,7 @@ def prune(dealt: DataFrame) -> DataFrame:
                 edges = []
         yield _pairs(edges)
 
-    return grouped(dealt.select("bucket", "i", "j", "own", "node", "low"), ["bucket", "i", "j"]).mapInArrow(forests, "a long, b long")
+    return grouped(dealt.select("bucket", "i", "j", "own", "node", "low"), ["bucket", "i", "j"]).mapInArrow(lean(forests), "a long, b long")
 
 
 def candidates(sets: DataFrame) -> DataFrame:
@@ -284,7 +285,7 @@ def with_shingles(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFr
 
     members = save(chosen.withColumnRenamed("node", "sid").join(sets.select("sid", "set_key", "first_id", "copies", "low"), "sid"), "chosen")
     ids = save(members.select(F.col("first_id").alias("doc_id")).distinct(), "chosen_ids")  # Spark broadcasts it if its file is small
-    texts = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(read, "set_key binary, shingles binary").dropDuplicates(["set_key"])
+    texts = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(lean(read), "set_key binary, shingles binary").dropDuplicates(["set_key"])
     held = save(members.drop("first_id").join(texts, "set_key").drop("set_key"), "shingles")
     sizes = held.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("shingles")).alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("m") / F.lit(HELD_ROWS), F.col("bytes") / F.lit(HELD_BYTES))).cast("int")
@@ -346,7 +347,7 @@ def verify(dealt: DataFrame) -> DataFrame:
                 yield out(own, edges)
 
     wanted = dealt.select("component", "i", "apart", "label", "sid", "copies", "low", "shingles")
-    return wanted.repartition("component", "i").sortWithinPartitions("component", "i", "apart").mapInArrow(check, "sid long, links long, a long, b long")
+    return wanted.repartition("component", "i").sortWithinPartitions("component", "i", "apart").mapInArrow(lean(check), "sid long, links long, a long, b long")
 
 
 def links_and_classes(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import new_path, table
+from dialoom.llm.common import lean, new_path, table
 
 BLOCK_IDS, BLOCK_DOCS = 1_000_000, 4096
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 CACHE_WORDS = 3_000_000
 CHAIN = 256
 LONG_PIECE = 256
@@ -323,7 +323,7 @@ def write_blocks(docs: DataFrame, path: str, vocabulary: str | None = None, id_c
             yield _block(part, seq, start, held, coder.dtype)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(encoded, BLOCKS).write.parquet(path)
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(lean(encoded), BLOCKS).write.parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -350,7 +350,7 @@ def boundaries(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(b["doc_ids"], pa.int64()), pa.array(starts + b["block_start"], pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     wanted = ["block_start", "n_docs", "width", "ids", "low_bits", "lows", "highs", "hints", "doc_ids"]
-    return read_blocks(spark, path).select(*wanted).mapInArrow(decoded, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_blocks(spark, path).select(*wanted).mapInArrow(lean(decoded), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_boundaries(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
