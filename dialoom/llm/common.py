@@ -21,6 +21,8 @@ HUBS = 5_000
 FEW_ROWS = 100_000
 #: Most bytes of an Arrow batch where the session sets no bound of its own; a task holds one batch in the JVM and one in Python.
 BATCH_BYTES = 4 << 20
+#: Spark's setting to delete the shuffle files of a query at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -70,11 +72,16 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write the table to the shared folder and read it back."""
-    bounded_batches(df.sparkSession)
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut the lineage: write the table to the shared folder and read it back; what the write shuffled is deleted with it."""
+    spark = df.sparkSession
+    bounded_batches(spark)
+    path, before = new_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def packed(docs: DataFrame, *used: str) -> DataFrame:

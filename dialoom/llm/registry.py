@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.llm import chat, decontaminate, html, jaccard, lm, mixing, quality, tokens, toxicity, urls
+from dialoom.llm import align, chat, decontaminate, html, jaccard, lm, mixing, quality, repeats, resample, tokens, toxicity, urls
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_jaccard_join": jaccard.op8_jaccard_join,
         "op9_html_text": html.op9_html_text,
         "op10_chat_format": chat.op10_chat_format,
+        "op11_importance_resampling": resample.op11_importance_resampling,
+        "op12_suffix_dedup": repeats.op12_suffix_dedup,
+        "op13_tokenizer_alignment": align.op13_tokenizer_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_host_rules": quality.ORACLE, "op10_chat_format": chat.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_host_rules": quality.ORACLE, "op10_chat_format": chat.ORACLE, "op11_importance_resampling": resample.ORACLE, "op12_suffix_dedup": repeats.ORACLE}

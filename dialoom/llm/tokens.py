@@ -170,14 +170,18 @@ class Encoder:
     period. Pieces are told apart by two polynomial hashes of their bytes, taken for all pieces at once. Texts with a piece of over
     ``LONG_PIECE`` bytes go to the library whole, and so do all should two pieces ever share one hash but not the other. New
     pieces that begin with a space go through the library in chains of ``CHAIN``, whose ids are cut where a token begins with a space.
+
+    The vocabulary's special tokens inside a text get their ids, as the library gives them; with ``plain_specials`` their strings are
+    ordinary text. Texts that hold one go to the library whole.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        self.specials = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.pieces = Pieces(self.dtype)
         self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
@@ -238,8 +242,9 @@ class Encoder:
         start = piece_starts(raw, offsets[sizes > 0])
         end = np.append(start[1:], len(raw))
         long = np.flatnonzero(end - start > LONG_PIECE)
-        if len(long):
-            whole = set((np.searchsorted(offsets, start[long], side="right") - 1).tolist())
+        whole = {k for k, t in enumerate(texts) if any(x in t for x in self.specials)}
+        if len(long) or whole:
+            whole.update((np.searchsorted(offsets, start[long], side="right") - 1).tolist())
             found = iter(self.plain([texts[k] for k in sorted(whole)])), iter(self.encode([t for k, t in enumerate(texts) if k not in whole]))
             return [next(found[k not in whole]) for k in range(len(texts))]
         hashed, checked = self._hashes(raw, start, end)
@@ -264,7 +269,7 @@ class Encoder:
         return [spelled[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def default_vocabulary() -> str:
@@ -273,12 +278,12 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(vocabulary: str | None = None) -> Encoder:
+def encoder(vocabulary: str | None = None, plain_specials: bool = False) -> Encoder:
     """One encoder for each worker process and vocabulary; without one the default is looked up where the task runs."""
-    vocabulary = vocabulary or default_vocabulary()
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    key = vocabulary or default_vocabulary(), plain_specials
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 def batches(rows: Iterator, size, most: int) -> Iterator[list]:
@@ -323,7 +328,8 @@ def write_blocks(docs: DataFrame, path: str, vocabulary: str | None = None, id_c
             yield _block(part, seq, start, held, coder.dtype)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(lean(encoded), BLOCKS).write.parquet(path)
+    # rows that repeat an id are dealt by the head of their text, so no task has all of them
+    rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text").mapInArrow(lean(encoded), BLOCKS).write.parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
