@@ -19,9 +19,11 @@ empty table gives no rows; extra columns are ignored. Special tokens' strings in
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from math import isqrt
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import lean, save, table
-from dialoom.llm.tokens import batches, encoder
+from dialoom.llm.tokens import Encoder, Pieces, batches, encoder
 
 #: Distinct pairs of a segment, about.
 SEGMENT = 1 << 15
 #: Bits a key of the hash's levels, and bytes of an index that a task may hold.
 GAMMA, INDEX_BYTES = 2, 128 << 20
 BATCH_CHARS = 500_000
+#: Text pieces that a worker keeps for its next task.
+KEPT_PIECES = 200_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -103,30 +107,72 @@ def build(keys: np.ndarray) -> tuple[list[int], bytes, np.ndarray]:
     return levels, b"".join(words), np.concatenate(order) if order else keys
 
 
-class Vocabularies:
-    """Both tokenizers with the number of bytes that each id stands for."""
+class PieceEncoder(Encoder):
+    """The piece tokenizer with the same cache of text pieces: no piece of its vocabulary holds a space behind another character, so texts may be cut before such a space."""
 
-    def __init__(self, byte_vocabulary: str | None, piece_model: str | None):
-        import public_tokenizers
+    def __init__(self, model: str):
         import sentencepiece
 
-        self.coder = encoder(byte_vocabulary, True)
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_model or public_tokenizers.path("piece_bpe_32k.model"))
-        letters = byte_letters()
-        n = self.coder.tokenizer.get_vocab_size()
-        spelled = [self.coder.tokenizer.id_to_token(i) or "" for i in range(n)]
-        self.a_bytes = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in spelled]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, self.pieces.id_to_piece(i)) for i in range(self.pieces.get_piece_size()))]
+        self.library = sentencepiece.SentencePieceProcessor(model_file=model)
+        n = self.library.get_piece_size()
+        if any("\u2581" in self.library.id_to_piece(i).lstrip("\u2581") for i in range(n)):
+            raise ValueError("pieces of this model may cross a space")
+        self.dtype = "<u2" if n <= 1 << 16 else "<u4"
+        self.specials, self.pieces = [], Pieces(self.dtype)
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
+
+    def starts(self, raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        cut = np.zeros(len(raw), dtype=bool)
+        cut[1:] = (raw[1:] == 32) & (raw[:-1] != 32)
+        cut[texts] = True
+        return np.flatnonzero(cut)
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """Texts with the space before them that the library adds."""
+        return [np.array(x, dtype=self.dtype).tobytes() for x in self.library.encode([t[1:] for t in texts], num_threads=1)]
+
+    encode_pieces = plain
+
+
+class Spelling(NamedTuple):
+    """The bytes of each id: all in a row, where an id's begin, and how many they are."""
+
+    raw: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
 
+    @classmethod
+    def of(cls, tokens: list[bytes]) -> Spelling:
+        size = np.array([len(t) for t in tokens])
+        return cls(np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size)
 
-_LOADED: dict[tuple, Vocabularies] = {}
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.raw[np.repeat(self.first[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def vocabularies(byte_vocabulary: str | None = None, piece_model: str | None = None) -> Vocabularies:
-    key = byte_vocabulary, piece_model
-    if key not in _LOADED:
-        _LOADED[key] = Vocabularies(*key)
-    return _LOADED[key]
+@functools.cache
+def spellings(byte_vocabulary: str | None = None, piece_model: str | None = None) -> tuple[Spelling, Spelling]:
+    """What the ids of both vocabularies stand for."""
+    letters, tokenizer, pieces = byte_letters(), encoder(byte_vocabulary, True).tokenizer, piece_encoder(piece_model).library
+    spelled = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+    a = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in spelled]
+    b = [bytes([int(p[3:5], 16)]) if pieces.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in ((i, pieces.id_to_piece(i)) for i in range(pieces.get_piece_size()))]
+    return Spelling.of(a), Spelling.of(b)
+
+
+_LOADED: dict[str, PieceEncoder] = {}
+
+
+def piece_encoder(model: str | None = None) -> PieceEncoder:
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    if model not in _LOADED:
+        _LOADED[model] = PieceEncoder(model)
+    return _LOADED[model]
 
 
 def byte_letters() -> dict[str, int]:
@@ -140,61 +186,76 @@ def encoded(docs: DataFrame, byte_vocabulary: str | None = None, piece_model: st
     """doc_id, row, a_ids and b_ids (little-endian 32-bit ids; empty without tokens)."""
 
     def encode(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = vocabularies(byte_vocabulary, piece_model)
+        coders, spelled = (encoder(byte_vocabulary, True), piece_encoder(piece_model)), spellings(byte_vocabulary, piece_model)
         rows = (r for batch in incoming for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for group in batches(rows, lambda r: len(r[2] or "") + 100, BATCH_CHARS):
-            texts = [r[2] or "" for r in group]
-            a = [np.frombuffer(x, both.coder.dtype).astype("<u4") for x in both.coder.encode([" " + t for t in texts])]
-            b = [np.array(x, dtype="<u4") for x in both.pieces.encode(texts, num_threads=1)]
-            for k, t in enumerate(texts):
-                raw = b" " + t.encode()
-                if not t or any(b"".join(map(by.__getitem__, ids[k].tolist())) != raw for by, ids in ((both.a_bytes, a), (both.b_bytes, b))):
-                    a[k] = b[k] = np.zeros(0, "<u4")
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in group], pa.int64()) for k in (0, 1)] + [pa.array([x.tobytes() for x in ids], pa.binary()) for ids in (a, b)], names=["doc_id", "row", "a_ids", "b_ids"])
+            texts = [" " + r[2] if r[2] else "" for r in group]
+            whole = "".join(texts).encode()
+            sides = [coder.encode(texts) for coder in coders]
+            if any(not np.array_equal(by.spelled(np.frombuffer(b"".join(ids), coder.dtype)), np.frombuffer(whole, np.uint8)) for by, coder, ids in zip(spelled, coders, sides, strict=True)):
+                for k, t in enumerate(texts):
+                    if any(by.spelled(np.frombuffer(ids[k], coder.dtype)).tobytes() != t.encode() for by, coder, ids in zip(spelled, coders, sides, strict=True)):
+                        sides[0][k] = sides[1][k] = b""
+            wide = [pa.array([np.frombuffer(x, coder.dtype).astype("<u4").tobytes() for x in ids], pa.binary()) for coder, ids in zip(coders, sides, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in group], pa.int64()) for k in (0, 1)] + wide, names=["doc_id", "row", "a_ids", "b_ids"])
+        for coder in coders:  # later tasks of the worker need its memory
+            if len(coder.pieces.keys) > KEPT_PIECES:
+                coder.pieces = Pieces(coder.dtype)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(lean(encode), "doc_id long, row long, a_ids binary, b_ids binary")
 
 
 class Aligned:
-    """Documents' tokens laid over each other: for every common end the places of both tokens, and the document of each."""
+    """Documents' tokens laid over each other: for every common end the places of both tokens, and its document."""
 
-    def __init__(self, both: Vocabularies, a_ids: list[bytes], b_ids: list[bytes]):
+    def __init__(self, spelled: tuple[Spelling, Spelling], a_ids: list[bytes], b_ids: list[bytes]):
         self.ids = [np.frombuffer(b"".join(x), "<u4") for x in (a_ids, b_ids)]
         self.sizes = [np.array([len(x) // 4 for x in ids]) for ids in (a_ids, b_ids)]
-        ends = [np.cumsum(np.array([len(x) for x in by])[ids]) for by, ids in zip((both.a_bytes, both.b_bytes), self.ids, strict=True)]
-        _, self.a, self.b = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+        ends = [np.cumsum(by.size[ids]) for by, ids in zip(spelled, self.ids, strict=True)]
+        place = np.full(int(ends[0][-1]) + 1 if len(ends[0]) else 1, -1, dtype=np.int32)
+        place[ends[0]] = np.arange(len(ends[0]), dtype=np.int32)
+        at = place[ends[1]]
+        self.b = np.flatnonzero(at >= 0)
+        self.a = at[self.b]
         self.doc = np.repeat(np.arange(len(a_ids)), self.sizes[0])[self.a]
         self.keys = self.ids[0][self.a].astype(np.uint64) << np.uint64(32) | self.ids[1][self.b].astype(np.uint64)
 
-    def digests(self) -> list[str]:
-        """sha256 of the groups of each document, '' for one without tokens."""
-        words = [list(map(str, ids.tolist())) for ids in self.ids]
-        starts = [np.cumsum(s) - s for s in self.sizes]
-        out, lo = [], 0
-        for n, a0, b0 in zip(np.bincount(self.doc, minlength=len(self.sizes[0])).tolist(), starts[0].tolist(), starts[1].tolist(), strict=True):
-            parts = []
-            for a, b in zip((self.a[lo : lo + n] + 1).tolist(), (self.b[lo : lo + n] + 1).tolist(), strict=True):
-                parts.append(",".join(words[0][a0:a]) + "|" + ",".join(words[1][b0:b]))
-                a0, b0 = a, b
-            out.append(hashlib.sha256(";".join(parts).encode()).hexdigest() if n else "")
+    def digests(self, numbers: list[str]) -> list[str]:
+        """sha256 of the groups of each document, '' for one without tokens; ``numbers`` are decimals with each of the three signs behind them."""
+        order, signs = [], []
+        for mine, other in ((self.a, self.b), (self.b, self.a)):
+            n = int(mine[-1]) + 1 if len(mine) else 0
+            last = np.zeros(n, dtype=np.int64)
+            last[mine] = 1
+            group = np.cumsum(last) - last
+            # behind the other side's tokens of earlier groups, and of its own group for the second side
+            before = np.concatenate([[0], other.astype(np.int64) + 1])[group + (mine is self.b)]
+            order.append(np.arange(n) + before)
+            signs.append(np.where(last == 1, 1 if mine is self.a else 2, 0))
+        total = len(order[0]) + len(order[1])
+        index = np.zeros(total, dtype=np.int64)
+        for place, sign, ids in zip(order, signs, self.ids, strict=True):
+            index[place] = ids[: len(place)].astype(np.int64) * 3 + sign
+        words, out, lo = index.tolist(), [], 0
+        for n in (self.sizes[0] + self.sizes[1]).tolist():
+            out.append(hashlib.sha256("".join(map(numbers.__getitem__, words[lo : lo + n]))[:-1].encode()).hexdigest() if n else "")
             lo += n
         return out
 
 
-def laid(incoming: Iterator[pa.RecordBatch], byte_vocabulary: str | None, piece_model: str | None) -> Iterator[tuple[list, Aligned]]:
-    both = vocabularies(byte_vocabulary, piece_model)
+def laid(incoming: Iterator[pa.RecordBatch], spelled: tuple[Spelling, Spelling]) -> Iterator[tuple[list, Aligned]]:
     rows = (r for batch in incoming for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
     for group in batches(rows, lambda r: len(r[2]) + 100, 4 * BATCH_CHARS):
-        yield group, Aligned(both, [r[2] for r in group], [r[3] for r in group])
+        yield group, Aligned(spelled, [r[2] for r in group], [r[3] for r in group])
 
 
-def pair_index(ids: DataFrame, byte_vocabulary: str | None = None, piece_model: str | None = None) -> tuple[DataFrame, int]:
+def pair_index(ids: DataFrame, spelled: tuple[Spelling, Spelling]) -> tuple[DataFrame, int]:
     """Segments of the perfect hash over all distinct linked pairs (segment, levels, words, keys), and their number."""
 
     def distinct(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for _, aligned in laid(incoming, byte_vocabulary, piece_model):
+        for _, aligned in laid(incoming, spelled):
             held.append(np.unique(aligned.keys))
             size += len(held[-1])
             if size > 1 << 20:
@@ -270,7 +331,7 @@ class Lookup:
         return out
 
 
-def counted(ids: DataFrame, index: DataFrame, n_segments: int, byte_vocabulary: str | None = None, piece_model: str | None = None) -> DataFrame:
+def counted(ids: DataFrame, index: DataFrame, n_segments: int, spelled: tuple[Spelling, Spelling]) -> DataFrame:
     """The index with ``counts``, a dense vector for each segment, summed as a tree."""
     spark, vectors = ids.sparkSession, None
     leaves = max(2, isqrt(ids.rdd.getNumPartitions()))
@@ -280,7 +341,7 @@ def counted(ids: DataFrame, index: DataFrame, n_segments: int, byte_vocabulary:
         def count(incoming: Iterator[pa.RecordBatch], sent=sent, lo=lo) -> Iterator[pa.RecordBatch]:
             look = Lookup(sent.value, lo, n_segments)
             total = np.zeros(look.starts[-1], dtype=np.int64)
-            for _, aligned in laid(incoming, byte_vocabulary, piece_model):
+            for _, aligned in laid(incoming, spelled):
                 at = look.places(aligned.keys)
                 total += np.bincount(at[at >= 0], minlength=len(total))
             leaf = TaskContext.get().partitionId() % leaves
@@ -338,8 +399,9 @@ def align(docs: DataFrame, byte_vocabulary: str | None = None, piece_model: str
     """One row for each document (``ALIGNED`` without ``row``), and the counts of all pairs."""
     spark = docs.sparkSession
     ids = save(encoded(docs, byte_vocabulary, piece_model, id_col, text_col), "ids")
-    bare, n_segments = pair_index(ids, byte_vocabulary, piece_model)
-    index = counted(ids, bare, n_segments, byte_vocabulary, piece_model)
+    spelled = spellings(byte_vocabulary, piece_model)
+    bare, n_segments = pair_index(ids, spelled)
+    index = counted(ids, bare, n_segments, spelled)
     highest = np.zeros(1, dtype=np.int64)
     for r in pair_counts(index).groupBy("b_id").agg(F.max("count").alias("most")).collect():  # one row for each id of a vocabulary
         if r["b_id"] >= len(highest):
@@ -350,8 +412,8 @@ def align(docs: DataFrame, byte_vocabulary: str | None = None, piece_model: str
         sent = spark.sparkContext.broadcast([r.asDict() for r in index.filter(F.col("segment").between(lo, hi)).collect()])
 
         def look_up(incoming: Iterator[pa.RecordBatch], sent=sent, lo=lo) -> Iterator[pa.RecordBatch]:
-            look = Lookup(sent.value, lo, n_segments)
-            for group, aligned in laid(incoming, byte_vocabulary, piece_model):
+            look, numbers = Lookup(sent.value, lo, n_segments), [f"{k}{sign}" for k in range(max(len(x.size) for x in spelled)) for sign in ",|;"]
+            for group, aligned in laid(incoming, spelled):
                 at = look.places(aligned.keys)
                 mine = at >= 0
                 counts, doc = look.counts[at[mine]], aligned.doc[mine]
@@ -360,7 +422,7 @@ def align(docs: DataFrame, byte_vocabulary: str | None = None, piece_model: str
                 total = np.zeros(len(group), dtype=np.int64)
                 np.add.at(total, doc, counts)
                 columns = [*aligned.sizes, per[0], per[0], per[1], total]
-                digests = aligned.digests() if lo == 0 else [None] * len(group)
+                digests = aligned.digests(numbers) if lo == 0 else [None] * len(group)
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in group], pa.int64()) for k in (0, 1)] + [pa.array(c.astype(np.int64)) for c in columns] + [pa.array(digests, pa.string())], names=["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
         found = ids.mapInArrow(lean(look_up), ALIGNED)

@@ -189,6 +189,9 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")  # the vocabulary's sign for a leading space
 
+    def starts(self, raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        return piece_starts(raw, texts)
+
     def plain(self, texts: list[str]) -> list[bytes]:
         """Straight through the library."""
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -239,7 +242,7 @@ class Encoder:
         if not len(raw):
             return [b""] * len(texts)
         offsets = np.cumsum(sizes) - sizes
-        start = piece_starts(raw, offsets[sizes > 0])
+        start = self.starts(raw, offsets[sizes > 0])
         end = np.append(start[1:], len(raw))
         long = np.flatnonzero(end - start > LONG_PIECE)
         whole = {k for k, t in enumerate(texts) if any(x in t for x in self.specials)}
