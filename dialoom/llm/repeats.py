@@ -15,7 +15,7 @@ the threshold. The rank of a string is a fingerprint of the pair of ranks below
 Pairs travel as packed arrays, one row for each task and bucket of ranks. A task settles what it can: of equal blocks or windows
 all but its own smallest document's go without travelling, so a passage of any number of documents sends a few pairs a task to its bucket. A
 rank that many blocks of a task share (``CROWD``) is known to be no unique one, so its blocks are dealt by block instead, with a single witness for
-the blocks of other tasks. The rank of step 3 has two independent fingerprints (128 bits together), as has a whole block.
+the blocks of other tasks. A window is known by 96 bits of two independent fingerprints, a whole block by 112.
 
 Defined results: null text is empty and has nothing to remove; a null id is smaller than all others; rows with the same id do not remove each
 other's bytes, and each is judged by its own text; an empty table gives no rows; extra columns are ignored; texts are cut between bytes, so
@@ -117,64 +117,117 @@ def groups_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
+def repeated(rank: np.ndarray, check: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The rows whose rank is not unique, in the order of rank, check and document; unique ranks need no second sort."""
+    order = np.argsort(rank)
+    same = rank[order[1:]] == rank[order[:-1]]
+    rows = order[np.append(same, False) | np.append(False, same)]
+    return rows[np.lexsort((own[rows], check[rows], rank[rows]))]
+
+
+def spread(own: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the largest document among the rows of each group that count."""
+    return np.minimum.reduceat(np.where(counts, own, np.iinfo(np.int64).max), at), np.maximum.reduceat(np.where(counts, own, LEAST), at)
+
+
+def merged(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs in the order of documents, neighbours and overlaps as one."""
+    order = np.lexsort((first, doc))
+    doc, first, last = doc[order], first[order], last[order]
+    start = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (first[1:] > last[:-1] + 1)))
+    return doc[start], first[start], np.maximum.reduceat(last, start)
+
+
 def by_document(ids: np.ndarray, marks: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray, kind: int) -> Iterator[tuple]:
     """Rows (id, mark, kind, bytes of (first, last) in runs) for each document."""
     if not len(doc):
         return
-    order = np.lexsort((first, doc))
-    doc, first, last = doc[order], first[order], last[order]
-    if kind == REMOVED:  # neighbours become one run
-        joined = (doc[1:] == doc[:-1]) & (first[1:] <= last[:-1] + 1)
-        start = np.flatnonzero(np.append(True, ~joined))
-        doc, first, last = doc[start], first[start], np.maximum.reduceat(last, start)
+    doc, first, last = merged(doc, first, last)
     at, _ = groups_of(doc)
-    pairs = np.stack([first, last], axis=1).astype("<i4")
-    for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(doc)], strict=True):
-        yield int(ids[doc[lo]]), int(marks[doc[lo]]), kind, pairs[lo:hi].tobytes()
+    raw, ids, marks = np.stack([first, last], axis=1).astype("<i4").tobytes(), ids[doc[at]].tolist(), marks[doc[at]].tolist()
+    for k, (lo, hi) in enumerate(zip(at.tolist(), [*at[1:].tolist(), len(doc)], strict=True)):
+        yield ids[k], marks[k], kind, raw[8 * lo : 8 * hi]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Differences of 32-bit numbers, all low bytes first, so that what is small and alike is packed well on its way."""
+    return np.diff(values.astype("<i4"), prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-SENT = "bucket int, settled boolean, n int, ids binary, marks binary, ranks binary, checks binary, docs binary, firsts binary, lasts binary"
-_SENT = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("n", pa.int32()), *[(c, pa.binary()) for c in ("ids", "marks", "ranks", "checks", "docs", "firsts", "lasts")]])
+def unplaned(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel(), dtype=np.int32)
+
+
+def cut_to(values: np.ndarray, width: int) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def widened(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
+_BYTES = ("ids", "marks", "ranks", "checks", "docs", "firsts", "sizes", "signs")
+SENT = "bucket int, settled boolean, " + ", ".join(f"{c} binary" for c in _BYTES)
+_SENT = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), *[(c, pa.binary()) for c in _BYTES]])
+BLOCK, CROWDED, WITNESS = range(3)
+#: Bytes of (rank, check) that travel: a block's rank only chooses what is looked at again, its check and a window's both are its identity.
+WIDTHS = {True: (6, 8), False: (8, 4)}
 
 
 def sent(held: Packed, buckets: int, blocks: bool) -> Iterator[pa.RecordBatch]:
     """Settle what the task can by itself and pack the rest, a row for each bucket."""
     rank, check, doc, first, last = held.arrays()
-    ids, marks = np.array(held.ids, dtype="<i8"), np.array(held.marks, dtype="<i8")
     if not len(rank):
         return
-    order = np.lexsort((ids[doc], check, rank))
-    rank, check, doc, first, last = (c[order] for c in (rank, check, doc, first, last))
-    at, group = groups_of(rank, check)
-    settled = ids[doc] > ids[doc[at]][group]
-    target = rank.copy()
-    if blocks:
-        # ranks with many different blocks and more than one document: dealt by block, and the smallest and largest document as witnesses
-        at, group = groups_of(rank)
-        kinds = np.add.reduceat((~settled).astype(np.int64), at)
-        low, high = np.minimum.reduceat(ids[doc], at), np.maximum.reduceat(ids[doc], at)
-        crowd = (kinds >= CROWD) & (low != high)
-        crowded = crowd[group] & ~settled
-        target[crowded] = paired(rank[crowded], check[crowded])
-        witness = np.flatnonzero(crowd)
-        lasts = np.append(at[1:], len(rank))[witness]
-        places = [int(lo + np.argmin(ids[doc[lo:hi]])) for lo, hi in zip(at[witness].tolist(), lasts.tolist(), strict=True)] + [int(lo + np.argmax(ids[doc[lo:hi]])) for lo, hi in zip(at[witness].tolist(), lasts.tolist(), strict=True)]
-        # a crowded block has first > last for the witness (which is no block) and a negative last for itself
-        last = np.where(crowded, -1 - last, last)
-        rank, check, doc, settled, target = (np.concatenate([c, c[places]]) for c in (rank, check, doc, settled, target))
-        first, last = np.concatenate([first, np.ones(len(places), first.dtype)]), np.concatenate([last, np.zeros(len(places), last.dtype)])
-        settled[len(settled) - len(places) :] = False
-        target[len(target) - len(places) :] = rank[len(rank) - len(places) :]
-    bucket = ((target ^ (target >> np.uint64(33))) % np.uint64(buckets)).astype(np.int32)
-    bucket[settled] = doc[settled] % buckets
-    order = np.lexsort((first, doc, bucket, settled))
-    rank, check, doc, first, last, bucket, settled = (c[order] for c in (rank, check, doc, first, last, bucket, settled))
-    at, _ = groups_of(settled, bucket)
-    for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(rank)], strict=True):
-        used, place = np.unique(doc[lo:hi], return_inverse=True)
-        done = bool(settled[lo])
-        row = [int(bucket[lo]), done, hi - lo, ids[used].tobytes(), marks[used].tobytes(), b"" if done else rank[lo:hi].tobytes(), b"" if done else check[lo:hi].tobytes(), place.astype("<i4").tobytes(), first[lo:hi].astype("<i4").tobytes(), last[lo:hi].astype("<i4").tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SENT, strict=True)], schema=_SENT)
+    ids, marks = np.array(held.ids, dtype="<i8"), np.array(held.marks, dtype="<i8")
+    widths = WIDTHS[blocks]
+    rank, check = (c & np.uint64((1 << 8 * w) - 1) for c, w in zip((rank, check), widths, strict=True))
+    own, target, sign = ids[doc], rank.copy(), np.zeros(len(rank), dtype=np.uint8)
+    settled, witness = np.zeros(len(rank), dtype=bool), np.zeros(0, dtype=np.int64)
+    rows = repeated(rank, check, own)
+    if len(rows):
+        at, group = groups_of(rank[rows], check[rows])
+        settled[rows] = own[rows] > own[rows[at]][group]
+        if blocks:
+            # ranks with many different blocks and more than one document: dealt by block, and rows of the first and last document as witnesses
+            at, group = groups_of(rank[rows])
+            kinds = np.add.reduceat((~settled[rows]).astype(np.int64), at)
+            low, high = spread(own[rows], ~settled[rows], at)
+            crowd = (kinds >= CROWD) & (low < high)
+            crowded = rows[crowd[group] & ~settled[rows]]
+            target[crowded], sign[crowded] = paired(rank[crowded], check[crowded]), CROWDED
+            inside = np.flatnonzero(crowd[group])
+            for edge in (low, high) if len(inside) else ():
+                hit = inside[(own[rows[inside]] == edge[group[inside]]) & ~settled[rows[inside]]]
+                witness = np.append(witness, rows[hit[groups_of(group[hit])[0]]])
+
+    def row(bucket: int, done: bool, doc: np.ndarray, *columns: bytes) -> pa.RecordBatch:
+        used, place = np.unique(doc, return_inverse=True)
+        values = [bucket, done, ids[used].tobytes(), marks[used].tobytes(), *columns[:2], planes(place), *columns[2:]]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _SENT, strict=True)], schema=_SENT)
+
+    done = np.flatnonzero(settled)
+    if len(done):
+        runs = merged(doc[done], first[done], last[done])
+        number = runs[0] % buckets
+        order = np.argsort(number, kind="stable")
+        runs, number = [c[order] for c in runs], number[order]
+        at, _ = groups_of(number)
+        for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(number)], strict=True):
+            yield row(int(number[lo]), True, runs[0][lo:hi], b"", b"", planes(runs[1][lo:hi]), planes(runs[2][lo:hi] - runs[1][lo:hi]), b"")
+    rest = np.flatnonzero(~settled)
+    target = np.concatenate([target[rest], rank[witness]])
+    sign = np.concatenate([sign[rest], np.full(len(witness), WITNESS, np.uint8)])
+    rest = np.concatenate([rest, witness])
+    number = ((target ^ (target >> np.uint64(31))) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int32)
+    order = np.argsort(number, kind="stable")  # documents and places stay in order
+    rest, number, sign = rest[order], number[order], sign[order]
+    at, _ = groups_of(number)
+    for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(rest)], strict=True):
+        one = rest[lo:hi]
+        yield row(int(number[lo]), False, doc[one], cut_to(rank[one], widths[0]), cut_to(check[one], widths[1]), planes(first[one]), planes(last[one] - first[one]), sign[lo:hi].tobytes())
 
 
 JUDGED = "doc_id long, mark long, kind int, runs binary"
@@ -188,36 +241,37 @@ def judged(incoming: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(4)], names=["doc_id", "mark", "kind", "runs"])
 
     def bucket(rows: list[dict]) -> Iterator[tuple]:
-        of = lambda name, kind: [np.frombuffer(r[name], kind) for r in rows]
-        ids, marks = of("ids", "<i8"), of("marks", "<i8")
+        ids, marks = ([np.frombuffer(r[name], "<i8") for r in rows] for name in ("ids", "marks"))
         shift = np.cumsum([0, *map(len, ids)])
-        doc = np.concatenate([d + s for d, s in zip(of("docs", "<i4"), shift, strict=False)])
+        doc = np.concatenate([unplaned(r["docs"]) + s for r, s in zip(rows, shift, strict=False)])
         ids, marks = np.concatenate(ids), np.concatenate(marks)
-        rank, check, first, last = (np.concatenate(of(*x)) for x in (("ranks", "<u8"), ("checks", "<u8"), ("firsts", "<i4"), ("lasts", "<i4")))
-        order = np.lexsort((ids[doc], check, rank))
-        rank, check, doc, first, last = (c[order] for c in (rank, check, doc, first, last))
-        crowded, witness = last < 0, first > last
-        witness &= ~crowded
-        last = np.where(crowded, -1 - last, last)
+        rank, check = (np.concatenate([widened(r[name], w) for r in rows]) for name, w in zip(("ranks", "checks"), WIDTHS[blocks], strict=True))
+        first, size = (np.concatenate([unplaned(r[name]) for r in rows]) for name in ("firsts", "sizes"))
+        sign = np.concatenate([np.frombuffer(r["signs"], np.uint8) for r in rows])
         own = ids[doc]
-        at, group = groups_of(rank, check)
-        # witnesses hold no block of their own, so they settle nothing
-        smallest = np.minimum.reduceat(np.where(witness, np.iinfo(np.int64).max, own), at)[group]
-        gone = (own > smallest) & ~witness
-        yield from by_document(ids, marks, doc[gone], first[gone], last[gone], REMOVED)
+        found = repeated(rank, check, own)
+        gone, shared = np.zeros(len(rank), dtype=bool), sign == CROWDED
+        if len(found):
+            at, group = groups_of(rank[found], check[found])
+            # witnesses hold no block of their own, so they settle nothing
+            smallest = np.minimum.reduceat(np.where(sign[found] == WITNESS, np.iinfo(np.int64).max, own[found]), at)[group]
+            gone[found] = (own[found] > smallest) & (sign[found] != WITNESS)
+            if blocks:
+                at, group = groups_of(rank[found])
+                low, high = spread(own[found], ~gone[found], at)  # a block that goes is one with a block that stays
+                shared[found] |= (low < high)[group]
+        yield from by_document(ids, marks, doc[gone], first[gone], (first + size)[gone], REMOVED)
         if blocks:
-            at, group = groups_of(rank)
-            shared = (np.minimum.reduceat(own, at) != np.maximum.reduceat(own, at))[group] | crowded
-            open_ = shared & ~gone & ~witness
-            yield from by_document(ids, marks, doc[open_], first[open_], last[open_], OPEN)
+            left = shared & ~gone & (sign != WITNESS)
+            yield from by_document(ids, marks, doc[left], first[left], (first + size)[left], OPEN)
 
     def held() -> Iterator[tuple]:
         number, rows = None, []
         for batch in incoming:
             for r in batch.to_pylist():
                 if r["settled"]:
-                    ids, marks, doc, first, last = (np.frombuffer(r[k], kind) for k, kind in (("ids", "<i8"), ("marks", "<i8"), ("docs", "<i4"), ("firsts", "<i4"), ("lasts", "<i4")))
-                    yield from by_document(ids, marks, doc, first, last, REMOVED)
+                    doc, first, size = (unplaned(r[name]) for name in ("docs", "firsts", "sizes"))
+                    yield from by_document(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["marks"], "<i8"), doc, first, first + size, REMOVED)
                     continue
                 if r["bucket"] != number and rows:
                     yield from bucket(rows)
@@ -328,11 +382,12 @@ def window_pairs(rows: DataFrame, length: int, buckets: int) -> DataFrame:
                     continue
                 spans = np.frombuffer(b"".join(runs), "<i4").reshape(-1, 2)
                 for first, last in spans[np.argsort(spans[:, 0])].tolist():
-                    parts.append((doc, first, raw[first : last + length]))
-                    size += last + length - first
-                    if size >= PART:
-                        held.add(*_windows(parts, length, half))
-                        parts, size = [], 0
+                    for lo in range(first, last + 1, PART):
+                        parts.append((doc, lo, raw[lo : min(lo + PART, last + 1) + length - 1]))
+                        size += len(parts[-1][2])
+                        if size >= PART:
+                            held.add(*_windows(parts, length, half))
+                            parts, size = [], 0
                 if held.n >= HELD:
                     if parts:
                         held.add(*_windows(parts, length, half))
