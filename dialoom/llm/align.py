@@ -128,8 +128,9 @@ class PieceEncoder(Encoder):
         return np.flatnonzero(cut)
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        """Texts with the space before them that the library adds."""
-        return [np.array(x, dtype=self.dtype).tobytes() for x in self.library.encode([t[1:] for t in texts], num_threads=1)]
+        """Texts with the space before them that the library adds, but for an empty text."""
+        alone = [self.library.piece_to_id("\u2581")]
+        return [np.array(x or alone, dtype=self.dtype).tobytes() for x in self.library.encode([t[1:] for t in texts], num_threads=1)]
 
     encode_pieces = plain
 

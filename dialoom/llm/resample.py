@@ -37,11 +37,12 @@ def features(text: Column, longest: int = 1) -> Column:
     words = F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
     if longest == 1:
         return words
-    runs = [words]
-    for n in range(2, longest + 1):
+
+    def runs(n: int) -> Column:
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return F.concat(*runs)
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    return F.concat(words, *map(runs, range(2, longest + 1)))
 
 
 def bucket_of(feature: Column, buckets: int = BUCKETS) -> Column:
