@@ -2,42 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.functions import rules
-from dialoom.functions.text import normalize_text
-from dialoom.operators.matching import Alias, match
+from dialoom.operators.matching import Alias, reading_of
 
 SIGNALED = "array<struct<entity_id:string,signal:string,polarity:string,basis:string>>"
-STATE = f"struct<users:array<string>,assistants:array<string>,ai_norm:string,rows:array<struct<source_row:bigint,entities:{SIGNALED},inherited:boolean>>>"
-
-
-def clause(text: Column, norm: Column, hit: Column, hits: Column, pieces: Column) -> Column:
-    """The clauses that hold the alias, cut to the span between the neighbour entities; ``pieces`` are the text's normalised clauses."""
-    own = F.filter(pieces, lambda p: F.instr(p, hit["normalized"]) > 0)
-    whole = F.when(F.size(own) > 0, F.array_join(own, "")).otherwise(norm)
-    others = F.filter(hits, lambda h: (h["entity_id"] != hit["entity_id"]) & (F.instr(whole, h["normalized"]) > 0))
-    at = F.instr(whole, hit["normalized"]) - 1
-    ends = F.transform(F.filter(others, lambda h: F.instr(whole, h["normalized"]) - 1 < at), lambda h: F.instr(whole, h["normalized"]) - 1 + F.char_length(h["normalized"]))
-    begins = F.transform(F.filter(others, lambda h: F.instr(whole, h["normalized"]) - 1 > at), lambda h: F.instr(whole, h["normalized"]) - 1)
-    before = F.coalesce(F.array_max(ends), F.lit(0))
-    after = F.coalesce(F.array_min(begins), F.char_length(whole))
-    stop = at + F.char_length(hit["normalized"])
-    predicate = F.regexp_instr(F.substring(whole, stop + 1, F.greatest(after - stop, F.lit(0))), F.lit(rules.NEXT_PREDICATE))
-    after = F.when((predicate > 0) & (after < F.char_length(whole)), stop + predicate - 1).otherwise(after)
-    return F.substring(whole, before + 1, F.greatest(after - before, F.lit(0)))
+#: What the fold reads of a turn, and what it adds to it.
+READ = ("client_id", "cid", "usable", "is_content", "asks_on", "named", "forms", "ai_ids", "ai_norm")
+CARRIED = "inherited boolean, context_id string, was_user array<boolean>, was_ai array<boolean>"
+_CARRIED = pa.schema([("inherited", pa.bool_()), ("context_id", pa.string()), ("was_user", pa.list_(pa.bool_())), ("was_ai", pa.list_(pa.bool_()))])
 
 
 def with_row_labels(turns: DataFrame, aliases: list[Alias], topics: dict[str, str]) -> DataFrame:
     """Everything a row tells by itself: normal form, hits of both sides, local clauses, polarity, route, topic, behaviour."""
-    df = match(turns, "text", aliases, "hits")
-    df = match(df, "ai_text", aliases, "ai_hits")
-    df = df.withColumns({"norm": normalize_text(F.col("text")), "ai_norm": normalize_text(F.col("ai_text"))})
-    broken = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), rules.CLAUSE_BREAK, -1), lambda p: p), "\u0001")
-    df = df.withColumn("pieces", F.split(_normalized_pieces(broken), "\u0001", -1))
-    located = F.transform("hits", lambda h: F.struct(h["entity_id"].alias("entity_id"), h["normalized"].alias("normalized"), clause(F.col("text"), F.col("norm"), h, F.col("hits"), F.col("pieces")).alias("clause")))
-    df = df.withColumn("located", located)
+    df = turns.withColumns({"_read": reading_of(F.col("text"), aliases), "_heard": reading_of(F.col("ai_text"), aliases)})
+    located = F.zip_with("_read.hits", "_read.clauses", lambda h, c: F.struct(h["entity_id"].alias("entity_id"), h["normalized"].alias("normalized"), c.alias("clause")))
+    df = df.select("*", F.col("_read.hits").alias("hits"), F.col("_heard.hits").alias("ai_hits"), F.col("_read.norm").alias("norm"), F.col("_heard.norm").alias("ai_norm"), located.alias("located")).drop("_read", "_heard")
     named = F.create_map(*[F.lit(x) for kv in topics.items() for x in kv]) if topics else None
     entity_topic = F.try_element_at(named, F.get("hits", F.lit(0))["entity_id"]) if topics else None
     return df.withColumns({
@@ -48,48 +33,67 @@ def with_row_labels(turns: DataFrame, aliases: list[Alias], topics: dict[str, st
     })
 
 
-def _normalized_pieces(text: Column) -> Column:
-    return normalize_text(text)
+class Context:
+    """What the turn before left: the entities that it was given, and those and the words of the assistant's answer."""
 
+    def __init__(self, canonical: frozenset[str]):
+        self.canonical, self.session = canonical, None
+        self.users: list[str] = []
+        self.assistants: list[str] = []
+        self.ai_norm = ""
 
-def session_fold(rows: DataFrame, canonical: list[str]) -> DataFrame:
-    """source_row, entities (id, signal, polarity, basis) and inherited, folded along each session.
+    def step(self, client, cid, usable, is_content, asks_on, named, forms, ai_ids, ai_norm) -> tuple:
+        """One turn in order: whether it inherits and what, and for each of its own entities who had named it before."""
+        if (client, cid) != self.session:
+            self.session, self.users, self.assistants, self.ai_norm = (client, cid), [], [], ""
+        context = {*self.users, *self.assistants}
+        only = next(iter(context)) if len(context) == 1 else None
+        inherits = bool(usable and asks_on and not named and only in self.canonical)
+        out = inherits, only if inherits else None, [i in self.users for i in named], [i in self.assistants or form in self.ai_norm for i, form in zip(named, forms, strict=True)]
+        self.users = [only] if inherits else named if is_content else []
+        self.assistants, self.ai_norm = ai_ids, ai_norm
+        return out
 
-    A session is one array (one dialogue of a day; ``audit`` reports longer ones than expected), so the state passes from turn to turn
-    without a shuffle per step; a window lag could not see inherited entities.
-    """
-    usable = (F.col("is_invalid_turn") == "否") & (F.col("is_template") != "是")
-    item = F.struct("source_row", usable.alias("usable"), "norm", F.when(usable, F.col("located")).otherwise(F.filter("located", lambda x: F.lit(False))).alias("located"), F.transform("ai_hits", lambda h: h["entity_id"]).alias("ai_ids"), "ai_norm", "is_content", "asks_on")
-    none = F.array().cast("array<string>")
-    self_named = F.lit(canonical) if canonical else none
-    start = F.struct(none.alias("users"), none.alias("assistants"), F.lit("").alias("ai_norm"), F.array().cast(f"array<struct<source_row:bigint,entities:{SIGNALED},inherited:boolean>>").alias("rows")).cast(STATE)
 
-    def step(state, turn):
-        context = F.array_union(state["users"], state["assistants"])
-        inherits = turn["usable"] & (F.size(turn["located"]) == 0) & turn["asks_on"] & (F.size(context) == 1) & F.array_contains(self_named, F.get(context, F.lit(0)))
-
-        def judged(x):
-            before = F.array_contains(state["users"], x["entity_id"])
-            by_ai = F.array_contains(state["assistants"], x["entity_id"]) | (F.instr(state["ai_norm"], x["normalized"]) > 0)
-            substantive = x["clause"].rlike(rules.SUBSTANTIVE) & (x["clause"] != x["normalized"])
-            signal = F.when(before | by_ai, F.when(substantive, rules.SIGNALS[2]).otherwise(rules.SIGNALS[3])).otherwise(rules.SIGNALS[1])
-            return F.struct(x["entity_id"].alias("entity_id"), signal.alias("signal"), rules.polarity(x["clause"]).alias("polarity"), F.lit("explicit_alias").alias("basis"))
-
-        carried = F.transform(context, lambda i: F.struct(i.alias("entity_id"), F.lit(rules.SIGNALS[2]).alias("signal"), F.lit("neutral").alias("polarity"), F.lit("single_context").alias("basis")))
-        entities = F.when(inherits, carried).otherwise(F.transform(turn["located"], judged)).cast(SIGNALED)
-        users = F.when(turn["is_content"] | inherits, F.transform(entities, lambda e: e["entity_id"])).otherwise(none)
-        row = F.struct(turn["source_row"].alias("source_row"), entities.alias("entities"), inherits.alias("inherited"))
-        return F.struct(users.alias("users"), turn["ai_ids"].alias("assistants"), turn["ai_norm"].alias("ai_norm"), F.concat(state["rows"], F.array(row)).alias("rows")).cast(STATE)
+def session_fold(rows: DataFrame, canonical: list[str]) -> DataFrame:
+    """The labelled rows with ``entities`` (id, signal, polarity, basis) and ``inherited``, folded along each session.
 
-    folded = rows.groupBy("client_id", "cid").agg(F.array_sort(F.collect_list(item)).alias("turns"))
-    return folded.select(F.inline(F.aggregate("turns", start, step, lambda s: s["rows"])))
+    Sessions are dealt by key and sorted by source_row; a task reads them as a stream and holds the turn before and nothing else, so a session
+    of any length costs its rows once. All columns travel with their row: nothing is joined back, no session is collected.
+    """
+    usable = F.coalesce((F.col("is_invalid_turn") == "否") & (F.col("is_template") != "是"), F.lit(False))
+    slim = rows.withColumn("usable", usable).withColumn("located", F.when(F.col("usable"), F.col("located")).otherwise(F.filter("located", lambda x: F.lit(False))))
+    slim = slim.withColumns({"named": F.transform("located", lambda x: x["entity_id"]), "forms": F.transform("located", lambda x: x["normalized"]), "ai_ids": F.transform("ai_hits", lambda h: h["entity_id"])}).drop("hits", "ai_hits")
+    names, places = frozenset(canonical), [slim.columns.index(c) for c in READ]
+
+    def carry(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = Context(names)
+        for batch in incoming:
+            found = [context.step(*turn) for turn in zip(*(batch.column(k).to_pylist() for k in places), strict=True)]
+            added = [pa.array([f[k] for f in found], field.type) for k, field in enumerate(_CARRIED)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *_CARRIED.names])
+
+    dealt = slim.repartition("client_id", "cid").sortWithinPartitions("client_id", "cid", "source_row")
+    schema = slim.schema
+    for field in rows.sparkSession.createDataFrame([], CARRIED).schema:
+        schema = schema.add(field)
+    folded = dealt.mapInArrow(carry, schema)
+
+    def judged(x: Column, i: Column) -> Column:
+        substantive = x["clause"].rlike(rules.SUBSTANTIVE) & (x["clause"] != x["normalized"])
+        signal = F.when(F.get("was_user", i) | F.get("was_ai", i), F.when(substantive, rules.SIGNALS[2]).otherwise(rules.SIGNALS[3])).otherwise(rules.SIGNALS[1])
+        return F.struct(x["entity_id"].alias("entity_id"), signal.alias("signal"), rules.polarity(x["clause"]).alias("polarity"), F.lit("explicit_alias").alias("basis"))
+
+    carried = F.array(F.struct(F.col("context_id").alias("entity_id"), F.lit(rules.SIGNALS[2]).alias("signal"), F.lit("neutral").alias("polarity"), F.lit("single_context").alias("basis")))
+    entities = F.when(F.col("inherited"), carried.cast(SIGNALED)).otherwise(F.transform("located", judged).cast(SIGNALED))
+    return folded.withColumn("entities", entities).drop("usable", "named", "forms", "ai_ids", "context_id", "was_user", "was_ai", "located")
 
 
 def classify_turns(turns: DataFrame, aliases: list[Alias], topics: dict[str, str] | None = None, canonical: dict[str, str] | None = None) -> DataFrame:
     """The classified turn table: route, topic, behaviour, entities, summary signal. ``canonical`` lists entities whose own name matches them."""
     rows = with_row_labels(turns, aliases, topics or {})
     names = sorted(canonical if canonical is not None else {a.entity_id for a in aliases if a.policy == "auto"})
-    out = rows.drop("pieces", "located", "hits", "ai_hits").join(session_fold(rows, names), "source_row")
+    out = session_fold(rows, names)
     named = F.create_map(*[F.lit(x) for kv in (topics or {}).items() for x in kv]) if topics else None
     route = F.when(F.col("inherited"), rules.ROUTES[5]).otherwise(F.col("row_route"))
     content = route == rules.ROUTES[5]

@@ -15,8 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.functions.rules import CLAUSE_BREAK, NEXT_PREDICATE
 from dialoom.functions.text import PUNCTUATION, normalize_text
 
+BREAK, PREDICATE = re.compile(CLAUSE_BREAK), re.compile(NEXT_PREDICATE)
 STRIPPED = re.compile(PUNCTUATION.removeprefix("(?U)"))
 HITS = "array<struct<rank:int,entity_id:string,normalized:string,start:int,stop:int>>"
 
@@ -57,6 +59,13 @@ class Matcher:
             self.automaton.add_word(text, (len(text), ranks))
         self.automaton.make_automaton()
 
+    def read(self, text: str | None) -> tuple[str, list[dict], list[str]]:
+        """The normal form, the greedy hits and the clause of each, from one pass."""
+        hits = self.hits(text, True)
+        pieces = [normal(p) for p in BREAK.split(text or "")] if hits else []
+        norm = normal(text)
+        return norm, hits, [clause(h, hits, pieces, norm) for h in hits]
+
     def every(self, text: str) -> list[tuple[int, int, int]]:
         """(rank, start, stop) of every alias that matches, in rank order, only its first place."""
         folded = unicodedata.normalize("NFKC", text).casefold()
@@ -77,6 +86,23 @@ class Matcher:
         return free(found) if greedily else found
 
 
+def normal(text: str | None) -> str:
+    """X1 of one text."""
+    return STRIPPED.sub("", unicodedata.normalize("NFKC", text or "").casefold())
+
+
+def clause(hit: dict, hits: list[dict], pieces: list[str], norm: str) -> str:
+    """The clauses that hold the alias, cut to the span between the neighbour entities; ``pieces`` are the text's normalised clauses."""
+    whole = "".join(p for p in pieces if hit["normalized"] in p) or norm
+    at = whole.find(hit["normalized"])
+    stop = at + len(hit["normalized"])
+    others = [(whole.find(h["normalized"]), len(h["normalized"])) for h in hits if h["entity_id"] != hit["entity_id"] and h["normalized"] in whole]
+    before = max((p + n for p, n in others if p < at), default=0)
+    after = min((p for p, _ in others if p > at), default=len(whole))
+    said = PREDICATE.search(whole[stop : max(after, stop)]) if after < len(whole) else None
+    return whole[before : stop + said.start() if said else after]
+
+
 def _row(rank: int, entity_id: str, normalized: str, start: int, stop: int) -> dict:
     return {"rank": rank, "entity_id": entity_id, "normalized": normalized, "start": start, "stop": stop}
 
@@ -112,6 +138,17 @@ def hits_of(text: Column, aliases: list[Alias], greedily: bool = True) -> Column
     return F.pandas_udf(find, HITS)(text)
 
 
+def reading_of(text: Column, aliases: list[Alias]) -> Column:
+    """struct(norm, hits, clauses): X1, E1 to E5 and E9 of a text column in one Arrow function."""
+    frozen = tuple(aliases)
+
+    def find(texts: pd.Series) -> pd.DataFrame:
+        own = matcher(frozen)
+        return pd.DataFrame([own.read(t) for t in texts], columns=["norm", "hits", "clauses"])
+
+    return F.pandas_udf(find, f"struct<norm:string,hits:{HITS},clauses:array<string>>")(text)
+
+
 def match(df: DataFrame, text_col: str, aliases: list[Alias], out: str = "hits") -> DataFrame:
     """Add the greedy matches of a text column."""
     return df.withColumn(out, hits_of(F.col(text_col), aliases))
@@ -132,7 +169,7 @@ def match_by_gram(df: DataFrame, text_col: str, aliases: list[Alias], out: str,
     def find(texts: pd.Series, near: pd.Series) -> pd.Series:
         own, held = matcher(few), []
         for text, aliases in zip(texts, near, strict=True):
-            norm = STRIPPED.sub("", unicodedata.normalize("NFKC", text or "").casefold())
+            norm = normal(text)
             hits = [{**h, "rank": plain[h["rank"]]} for h in own.hits(text, False)]
             for a in aliases if aliases is not None else ():
                 at = norm.find(a["normalized"]) if a["mode"] == "substring" else 0 if norm == a["normalized"] else -1

@@ -17,12 +17,12 @@ ORDERED = [a.normalized for a in matching.ordered(ALIASES)]
 NORM_SQL = r"""regexp_replace(replace(lower(text), 'ß', 'ss'), '[\s，。！？、,.!?；;：:“”"''‘’（）()《》【】\[\]~～_\-]+', '', 'g')"""
 
 
-def _greedy_sql(source: str, key: str) -> str:
+def _greedy_sql(source: str, key: str, step: str = "g", at: str = "s", norm: str = "norm") -> str:
     """The greedy match unrolled over the six aliases."""
-    steps = [f"g0 AS (SELECT {key}, {NORM_SQL} AS norm FROM {source})"]
+    steps = [f"{step}0 AS (SELECT {key}, {NORM_SQL} AS {norm} FROM {source})"]
     for i, a in enumerate(ORDERED):
-        free = " AND ".join(["true", *[f"NOT (s{j} > 0 AND strpos(norm, '{a}') < s{j} + {len(ORDERED[j])} AND strpos(norm, '{a}') + {len(a)} > s{j})" for j in range(i)]])
-        steps.append(f"g{i + 1} AS (SELECT *, CASE WHEN strpos(norm, '{a}') > 0 AND {free} THEN strpos(norm, '{a}') ELSE 0 END AS s{i} FROM g{i})")
+        free = " AND ".join(["true", *[f"NOT ({at}{j} > 0 AND strpos({norm}, '{a}') < {at}{j} + {len(ORDERED[j])} AND strpos({norm}, '{a}') + {len(a)} > {at}{j})" for j in range(i)]])
+        steps.append(f"{step}{i + 1} AS (SELECT *, CASE WHEN strpos({norm}, '{a}') > 0 AND {free} THEN strpos({norm}, '{a}') ELSE 0 END AS {at}{i} FROM {step}{i})")
     return ", ".join(steps)
 
 
@@ -122,16 +122,89 @@ def q_polarity(spark, d):
     return v.table(spark, d, "events").select("event_id", rules.polarity(said).alias("polarity"))
 
 
-@query()
+#: Turns whose texts ask to go on, name entities again and judge them, so that contexts are carried over several turns.
+SPOKEN = f"""WITH RECURSIVE {v.V1}, spoken AS (SELECT * REPLACE (
+  CASE (turn_index // 2 + source_row // 1000) % 6 WHEN 1 THEN '继续' WHEN 2 THEN '然后呢' WHEN 3 THEN '我喜欢the，thing不喜欢hand' WHEN 4 THEN text || '，想看ion' WHEN 5 THEN '还有呢' ELSE text END AS text,
+  CASE (turn_index // 2 + source_row // 1000) % 4 WHEN 0 THEN '' WHEN 1 THEN 'hand' WHEN 2 THEN '讲the' ELSE ai_text END AS ai_text) FROM v1)"""
+PLAIN = f"WITH RECURSIVE {v.V1}, spoken AS (SELECT * FROM v1)"
+
+
+def _spoken(spark, d):
+    k = F.floor(F.col("turn_index") / 2) + F.floor(F.col("source_row") / 1000)
+    said = F.when(k % 6 == 1, "继续").when(k % 6 == 2, "然后呢").when(k % 6 == 3, "我喜欢the，thing不喜欢hand").when(k % 6 == 4, F.concat("text", F.lit("，想看ion"))).when(k % 6 == 5, "还有呢").otherwise(F.col("text"))
+    heard = F.when(k % 4 == 0, "").when(k % 4 == 1, "hand").when(k % 4 == 2, "讲the").otherwise(F.col("ai_text"))
+    return v.v1_turns(spark, d).withColumns({"text": said, "ai_text": heard})
+
+
+def _clause_sql(i: int) -> str:
+    """E9 of alias i in the row's norm and pieces."""
+    a = ORDERED[i]
+    whole = f"coalesce(nullif(array_to_string(list_filter(pieces, lambda p: strpos(p, '{a}') > 0), ''), ''), norm)"
+    others = [f"CASE WHEN s{j} > 0 THEN strpos(w, '{x}') END" for j, x in enumerate(ORDERED) if j != i]
+    ends = ", ".join(f"CASE WHEN {p} > 0 AND {p} < t THEN {p} - 1 + {len(x)} END" for p, x in zip(others, [x for x in ORDERED if x != a], strict=True))
+    starts = ", ".join(f"CASE WHEN {p} > t THEN {p} - 1 END" for p in others)
+    cut = f"(SELECT CASE WHEN e < length(w) AND regexp_matches(rest, '{rules.NEXT_PREDICATE}') THEN t - 1 + {len(a)} + length(regexp_extract(rest, '^(.*?)(?:{rules.NEXT_PREDICATE})', 1)) ELSE e END AS stop, b, w FROM (SELECT *, substr(w, t + {len(a)}, greatest(e - t + 1 - {len(a)}, 0)) AS rest FROM (SELECT w, t, coalesce(list_max([{ends}]), 0) AS b, coalesce(list_min([{starts}]), length(w)) AS e FROM (SELECT w, strpos(w, '{a}') AS t FROM (SELECT {whole} AS w)))))"
+    return f"(SELECT substr(w, b + 1, greatest(stop - b, 0)) FROM {cut})"
+
+
+def _listed(prefix: str) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN {prefix}{i} > 0 THEN '{a}' END" for i, a in enumerate(ORDERED)) + "], lambda x: x IS NOT NULL)"
+
+
+def _fold_sql(head: str) -> str:
+    """The session fold, one turn after the other, by a recursive table; ``done`` has a row for each turn."""
+    entity = ", ".join(
+        f"CASE WHEN s{i} > 0 AND usable THEN {{'entity_id': '{a}', 'signal': CASE WHEN list_contains(users, '{a}') OR list_contains(assistants, '{a}') OR strpos(before_ai, '{a}') > 0 THEN CASE WHEN regexp_matches(c{i}, '{rules.SUBSTANTIVE}') AND c{i} <> '{a}' THEN '{rules.SIGNALS[2]}' ELSE '{rules.SIGNALS[3]}' END ELSE '{rules.SIGNALS[1]}' END, "
+        f"'polarity': CASE WHEN regexp_matches(c{i}, '{rules.NEGATIVE}') AND regexp_matches(regexp_replace(c{i}, '{rules.NEGATIVE}', '', 'g'), '{rules.POSITIVE}') THEN 'mixed' WHEN regexp_matches(c{i}, '{rules.NEGATIVE}') THEN 'negative' WHEN regexp_matches(c{i}, '{rules.POSITIVE}') THEN 'positive' ELSE 'neutral' END, 'basis': 'explicit_alias'}} END"
+        for i, a in enumerate(ORDERED)
+    )
+    carried = f"[{{'entity_id': context[1], 'signal': '{rules.SIGNALS[2]}', 'polarity': 'neutral', 'basis': 'single_context'}}]"
+    mine, heard = _greedy_sql("spoken", "source_row"), _greedy_sql("(SELECT source_row, ai_text AS text FROM spoken)", "source_row", "h", "a", "ai_norm")
+    inherits = "usable AND asks AND len(named) = 0 AND len(list_distinct(list_concat(f.next_users, f.next_ai))) = 1"
+    return f"""{head}, {mine}, {heard},
+facts AS (SELECT spoken.*, norm, ai_norm, {", ".join(f"s{i}" for i in range(len(ORDERED)))}, {_listed("a")} AS ai_ids, is_template <> '是' AS usable, regexp_matches(norm, '{rules.CONTINUE_REQUEST}') AS asks, {ROUTE_SQL} AS row_route, {TOPIC_SQL} AS row_topic, {BEHAVIOR_SQL} AS row_behavior,
+  list_transform(regexp_split_to_array(text, '{rules.CLAUSE_BREAK}'), lambda p: {NORM_SQL.replace("text", "p")}) AS pieces, CASE WHEN is_template <> '是' THEN {_listed("s")} ELSE [] END AS named FROM spoken JOIN {LAST} USING (source_row) JOIN h{len(ORDERED)} USING (source_row)),
+turns AS (SELECT *, row_route = '{rules.ROUTES[5]}' AS content, row_number() OVER (PARTITION BY cid ORDER BY source_row) AS r FROM facts),
+fold AS (SELECT cid, r, source_row, CAST([] AS VARCHAR[]) AS users, CAST([] AS VARCHAR[]) AS assistants, '' AS before_ai, CAST([] AS VARCHAR[]) AS context, false AS inherited, CASE WHEN content THEN named ELSE [] END AS next_users, ai_ids AS next_ai, ai_norm AS next_norm FROM turns WHERE r = 1
+  UNION ALL SELECT t.cid, t.r, t.source_row, f.next_users, f.next_ai, f.next_norm, list_distinct(list_concat(f.next_users, f.next_ai)), {inherits}, CASE WHEN {inherits} THEN list_distinct(list_concat(f.next_users, f.next_ai)) WHEN content THEN named ELSE [] END, ai_ids, ai_norm FROM fold f JOIN turns t ON t.cid = f.cid AND t.r = f.r + 1),
+clauses AS (SELECT source_row, {", ".join(f"CASE WHEN s{i} > 0 THEN {_clause_sql(i)} END AS c{i}" for i in range(len(ORDERED)))} FROM turns),
+done AS (SELECT *, CASE WHEN len(list_distinct(list_transform(entities, lambda x: x.signal))) = 1 THEN entities[1].signal ELSE '{rules.SIGNALS[0]}' END AS signal FROM (
+  SELECT turns.source_row, turns.cid, client_id, turn_index, CASE WHEN inherited THEN '{rules.ROUTES[5]}' ELSE row_route END AS route, CASE WHEN inherited OR content THEN row_topic END AS topic,
+  CASE WHEN inherited OR row_route = '{rules.ROUTES[4]}' THEN '{rules.BEHAVIORS[7]}' WHEN content THEN row_behavior END AS behavior, CASE WHEN inherited THEN {carried} ELSE list_filter([{entity}], lambda x: x IS NOT NULL) END AS entities
+  FROM turns JOIN fold USING (source_row) JOIN clauses USING (source_row)))"""
+
+
+FOLDED = """SELECT source_row, route, behavior, signal, '[' || array_to_string(list_transform(entities, lambda e: '{"entity_id":"' || e.entity_id || '","signal":"' || e.signal || '","polarity":"' || e.polarity || '","basis":"' || e.basis || '"}'), ',') || ']' AS entities FROM done"""
+SAID = "SELECT e.entity_id AS entity_id, e.signal AS signal, e.polarity AS polarity, count(*) AS rows FROM (SELECT unnest(entities) AS e FROM done WHERE route = '" + rules.ROUTES[5] + "') GROUP BY ALL"
+
+
+def _folded(turns):
+    return classify.classify_turns(turns, ALIASES).select("source_row", "route", "behavior", "signal", F.to_json("entities").alias("entities"))
+
+
+def _said(turns):
+    return classify.mentions(classify.classify_turns(turns, ALIASES)).groupBy("entity_id", "signal", "polarity").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(f"{_fold_sql(PLAIN)} {FOLDED}")
 def q_context_fold(spark, d):
-    out = classify.classify_turns(v.v1_turns(spark, d), ALIASES)
-    return out.select("source_row", "route", "behavior", "signal", F.to_json("entities").alias("entities"))
+    return _folded(v.v1_turns(spark, d))
 
 
-@query()
+@query(f"{_fold_sql(SPOKEN)} {FOLDED}")
+def q_context_chain(spark, d):
+    """The same over turns that carry contexts."""
+    return _folded(_spoken(spark, d))
+
+
+@query(f"{_fold_sql(PLAIN)} {SAID}")
 def q_signals(spark, d):
-    found = classify.mentions(classify.classify_turns(v.v1_turns(spark, d), ALIASES))
-    return found.groupBy("entity_id", "signal", "polarity").agg(F.count(F.lit(1)).alias("rows"))
+    return _said(v.v1_turns(spark, d))
+
+
+@query(f"{_fold_sql(SPOKEN)} {SAID}")
+def q_signals_carried(spark, d):
+    return _said(_spoken(spark, d))
 
 
 @query()
@@ -139,6 +212,16 @@ def q_safe_turns(spark, d):
     return sinks.safe_turns(classify.classify_turns(v.v1_turns(spark, d), ALIASES), "v1")
 
 
+KEYED = "substr(sha256('{kind}' || chr(0) || 'v1' || chr(0) || {value}), 1, 20)"
+
+
+@query(_fold_sql(SPOKEN) + f" SELECT source_row, {KEYED.format(kind='user', value='client_id')} AS user_key, {KEYED.format(kind='session', value='cid')} AS session_key, turn_index, route, topic, behavior, signal, " + ", ".join(f"array_to_string(list_transform(entities, lambda e: e.{one}), '|') AS {many}" for one, many in (("entity_id", "entity_ids"), ("signal", "signals"), ("polarity", "polarities"), ("basis", "bases"))) + " FROM done")
+def q_safe_turn_lists(spark, d):
+    """The pseudonymised turns with their lists as text."""
+    out = sinks.safe_turns(classify.classify_turns(_spoken(spark, d), ALIASES), "v1")
+    return out.withColumns({c: text.joined(F.col(c)) for c in ("entity_ids", "signals", "polarities", "bases")})
+
+
 # --- candidates
 
 
