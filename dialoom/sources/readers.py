@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dialoom.functions.text import normalize_text, strip
+from dialoom.sources import records
 
 TURN_COLUMNS = ("source_row", "clientId", "cid", "sceneId", "text", "ai_text", "turn_index", "is_template", "is_invalid_turn", "invalid_reason", "profile_age", "age_status", "profile_gender", "gender_status", "city_normalized", "city_status")
 
@@ -14,10 +15,9 @@ TURN_COLUMNS = ("source_row", "clientId", "cid", "sceneId", "text", "ai_text", "
 def turn_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = TURN_COLUMNS, extra: tuple[str, ...] = ("created_at",)) -> DataFrame:
     """The turn export, every field a string as in the file (a missing field is ''), typed columns beside: UTF-8 with BOM, quoted text over lines.
 
-    Files are split by Spark only between files, as quoted line ends forbid splitting one; land to Parquet once.
+    A file is read by many tasks (``records``), so the largest upload needs no task for itself.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
-    raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
+    raw = records.table(spark, path, ",")
     missing = sorted(set(columns) - set(raw.columns))
     if missing:
         raise ValueError(f"columns missing: {missing}")
@@ -32,15 +32,9 @@ def header_separator(spark: SparkSession, path: str) -> str:
 
 
 def raw_export(spark: SparkSession, path: str) -> DataFrame:
-    """The raw export by sniffed separator, with ``source_row``, the record's number in its file, the header being 1.
-
-    Quoted line ends keep a file in one task, so the running number of Spark counts without gaps in a file; its first value is taken off.
-    """
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", header_separator(spark, path)).csv(path)
-    df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
-    counted = df.withColumns({"_file": F.input_file_name(), "_no": F.monotonically_increasing_id()})
-    firsts = counted.groupBy("_file").agg(F.min("_no").alias("_first"))  # one row for each file
-    return counted.join(F.broadcast(firsts), "_file").withColumn("source_row", F.col("_no") - F.col("_first") + 2).drop("_file", "_no", "_first")
+    """The raw export by sniffed separator, with ``source_row``, the record's number in its file, the header being 1; read by many tasks."""
+    df = records.table(spark, path)
+    return df.select(*[c for c in df.columns if c not in ("record_number", "source_row")], F.col("record_number").alias("source_row"))
 
 
 def ragged_lines(spark: SparkSession, path: str) -> DataFrame:
