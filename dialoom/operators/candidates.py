@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.functions.text import CONTACT_LIKE, growth, normalize_text, redacted
+from dialoom.functions.text import CONTACT_LIKE, growth, redacted, strip
 from dialoom.operators import matching
+from dialoom.sources.shared import saved
 
 # Extraction patterns and the generic-phrase lists.
 TITLE = r"《([^》]{2,16})》"
@@ -33,50 +35,72 @@ def is_generic(norm: Column) -> Column:
     return norm.isin(*STOP) | norm.rlike(DIALOGUE) | norm.rlike(ASKING) | norm.rlike(BEGINNING) | norm.rlike(ENDING)
 
 
-def candidate_phrases(turns: DataFrame, text_col: str = "text", aliases_col: str | None = None) -> DataFrame:
-    """One row (source_row, phrase, norm) per phrase of a turn, the first form of each normalised phrase.
+def _normal_forms(texts: Column) -> Column:
+    """X1 of every text in an array of arrays."""
+
+    def change(rows: pd.Series) -> pd.Series:
+        return pd.Series([[[matching.normal(t) for t in piece] for piece in row] for row in rows], dtype=object)
+
+    return F.pandas_udf(change, "array<array<string>>")(texts)
+
+
+def candidate_phrases(turns: DataFrame, text_col: str = "text", aliases_col: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row (source_row, phrase, norm and the columns to keep) per phrase of a turn, the first form of each normalised phrase.
 
     Known aliases are replaced by a comma and the rest is cut into pieces; every piece is mined for itself. A piece without
-    a pattern hit falls back to its whole short text.
+    a pattern hit falls back to its whole short text. All of it happens inside the row: nothing is shuffled, and Python runs once.
     """
-    raw = F.trim(F.coalesce(text_col, F.lit("")))
+    raw = strip(F.col(text_col))
     if aliases_col:
         longest = F.sort_array(F.transform(aliases_col, lambda a: F.struct((-F.char_length(a)).alias("k"), a.alias("a"))))
         cut = F.aggregate(longest, raw, lambda text, a: F.regexp_replace(text, F.concat(F.lit(r"(?iu)\Q"), a["a"], F.lit(r"\E")), F.lit("，")))
         pieces = F.when(F.size(aliases_col) > 0, F.split(cut, PIECES, -1)).otherwise(F.array(raw))
     else:
         pieces = F.array(raw)
-    clean = turns.filter(~raw.rlike(CONTACT_LIKE)).select("source_row", F.posexplode(pieces).alias("piece_no", "piece")).withColumn("piece", F.trim("piece"))
-    forms = F.concat(F.regexp_extract_all("piece", F.lit(TITLE), F.lit(1)), F.regexp_extract_all("piece", F.lit(CUE), F.lit(1)))
-    clean = clean.withColumn("forms", F.transform(forms, lambda f: F.regexp_replace(F.trim(f), TRAILING, "")))
-    cued = clean.select("source_row", "piece_no", F.posexplode("forms").alias("no", "phrase")).withColumn("norm", normalize_text(F.col("phrase")))
-    cued = cued.filter(F.char_length("norm").between(2, 16) & ~is_generic(F.col("norm")))
-    short = clean.select("source_row", "piece_no", F.lit(0).alias("no"), F.col("piece").alias("phrase")).withColumn("norm", normalize_text(F.col("phrase")))
-    short = short.filter(F.char_length("norm").between(2, 12) & ~is_generic(F.col("norm")) & ~F.col("norm").rlike(FALLBACK_ASKING))
-    short = short.join(cued.select("source_row", "piece_no").distinct(), ["source_row", "piece_no"], "left_anti")
-    both = cued.unionByName(short)
-    return both.groupBy("source_row", "norm").agg(F.min_by("phrase", F.struct("piece_no", "no")).alias("phrase"))
+    forms = lambda p: F.concat(F.regexp_extract_all(p, F.lit(TITLE), F.lit(1)), F.regexp_extract_all(p, F.lit(CUE), F.lit(1)))
+    mined = lambda p: F.concat(F.transform(forms(p), lambda f: F.regexp_replace(strip(f), TRAILING, "")), F.array(p))
+    clean = turns.filter(~raw.rlike(CONTACT_LIKE)).select("source_row", *[c for c in keep if c != "source_row"], F.transform(pieces, strip).alias("_pieces"))
+    clean = clean.withColumn("_said", F.transform("_pieces", mined))
+    clean = clean.withColumn("_norm", _normal_forms(F.col("_said")))
+    pairs = F.zip_with("_said", "_norm", lambda said, norm: F.zip_with(said, norm, lambda s, n: F.struct(s.alias("phrase"), n.alias("norm"))))
+    fits = lambda x, most: F.char_length(x["norm"]).between(2, most) & ~is_generic(x["norm"])
+
+    def of_piece(all_forms: Column) -> Column:
+        cued = F.filter(F.slice(all_forms, 1, F.size(all_forms) - 1), lambda x: fits(x, 16))
+        short = F.filter(F.slice(all_forms, -1, 1), lambda x: fits(x, 12) & ~x["norm"].rlike(FALLBACK_ASKING))
+        return F.when(F.size(cued) > 0, cued).otherwise(short)
+
+    found = clean.withColumn("_found", F.flatten(F.transform(pairs, of_piece)))
+    norms = F.transform("_found", lambda x: x["norm"])
+    first = F.filter("_found", lambda x, k: F.array_position(norms, x["norm"]) == k + 1)
+    return found.select(*[c for c in clean.columns if not c.startswith("_")], F.inline(first)).select("source_row", "norm", "phrase", *[c for c in keep if c != "source_row"])
 
 
 def unknown(found: DataFrame, aliases: list[matching.Alias]) -> DataFrame:
-    """Rows whose phrase the dictionary does not match. Each distinct phrase is matched once; (norm, phrase) is its key, as token aliases look at the phrase itself."""
-    phrases = found.select("norm", "phrase").distinct()
-    known = matching.match(phrases, "phrase", aliases, "known_hits").filter(F.size("known_hits") > 0)
-    return found.join(known.select("norm", "phrase"), ["norm", "phrase"], "left_anti")
+    """Rows whose phrase the dictionary does not match, by one pass of its automaton over the phrase."""
+    return found.filter(F.size(matching.hits_of(F.col("phrase"), aliases)) == 0)
 
 
-def aggregate_candidates(found: DataFrame, *by: str) -> DataFrame:
-    """C6 from rows (norm, phrase, client_id, cid, text): counts, distinct users and sessions, at most three examples in order."""
+def aggregate_candidates(found: DataFrame, *by: str, least_rows: int = 1) -> DataFrame:
+    """C6 from rows (norm, phrase, client_id, cid, text): counts, distinct users and sessions, at most three examples in order.
+
+    The rows are written once. Phrases of fewer than ``least_rows`` rows go before users, sessions and examples are built: one that needs so
+    many users cannot reach them with fewer rows.
+    """
     keys = [*by, "norm"]
-    pairs = found.repartition(*keys, "client_id").groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
-    users = pairs.groupBy(*keys, "client_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sessions"), F.min("phrase").alias("phrase"), F.min("text").alias("text"))
+    found = saved(found.select(*keys, "client_id", "cid", "phrase", redacted(F.col("text")).alias("example")), "phrases")
+    if least_rows > 1:
+        frequent = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_rows).drop("n")
+        found = found.join(frequent, keys, "left_semi")
+    pairs = found.groupBy(*keys, "client_id", "cid").agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("phrase"))
+    users = pairs.groupBy(*keys, "client_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sessions"), F.min("phrase").alias("phrase"))
     out = users.groupBy(*keys).agg(F.min("phrase").alias("phrase"), F.sum("n").alias("query_count"), F.count(F.lit(1)).alias("users"), F.sum("sessions").alias("sessions"))
     return out.join(first_examples(found, keys), keys, "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
 
 
 def first_examples(found: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, examples): the first distinct redacted texts; a phrase's texts are dealt by hash and cut in every part, so that EXAMPLES * DEALT at most meet."""
-    texts = found.select(*keys, redacted(F.col("text")).alias("example")).filter("example is not null").distinct()
+    """(*keys, examples): the first distinct redacted texts (``example``); a phrase's texts are dealt by hash and cut in every part, so that EXAMPLES * DEALT at most meet."""
+    texts = found.select(*keys, "example").filter("example is not null").distinct()
     order = Window.partitionBy(*keys, "dealt").orderBy("example")
     first = texts.withColumn("dealt", F.pmod(F.xxhash64("example"), F.lit(DEALT))).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= EXAMPLES)
     return first.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("example")), 1, EXAMPLES).alias("examples"))

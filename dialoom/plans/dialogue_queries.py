@@ -230,9 +230,8 @@ def _phrased(spark, d):
 
 
 def _found(spark, d):
-    t = _phrased(spark, d)
-    found = candidates.unknown(candidates.candidate_phrases(t), ALIASES)
-    return found.join(t.select("source_row", "client_id", "cid", "text", "data_date"), "source_row")
+    found = candidates.candidate_phrases(_phrased(spark, d), keep=("client_id", "cid", "text", "data_date"))
+    return candidates.unknown(found, ALIASES)
 
 
 CAND = v.V2 + ", p AS (SELECT *, event_type || ' ' || CAST(k AS VARCHAR) AS phrase, event_type || CAST(k AS VARCHAR) AS norm FROM v2), ca AS (SELECT norm, min(phrase) AS phrase, count(*) AS query_count, count(DISTINCT client_id) AS users, count(DISTINCT cid) AS sessions, list_aggregate(list_sort(list(DISTINCT phrase))[1:3], 'string_agg', '|') AS examples FROM p GROUP BY norm)"
@@ -252,10 +251,31 @@ def q_candidate_cooccurrence(spark, d):
 
 @query(f"WITH {CAND} SELECT * FROM ca WHERE users >= 5 AND sessions >= 8")
 def q_candidates(spark, d):
-    out = candidates.eligible(candidates.aggregate_candidates(_found(spark, d)))
+    out = candidates.eligible(candidates.aggregate_candidates(_found(spark, d), least_rows=3))
     return out.select("norm", "phrase", "query_count", "users", "sessions", text.joined(F.col("examples")).alias("examples"))
 
 
+#: Phrases of which some are generic (C3) and some hold an alias of the dictionary (C5), by event type.
+MINED = {"view": "会飞的邮筒", "click": "The Hand", "purchase": "什么东西", "signup": "香草味", "error": "嘻嘻嘻"}
+
+
+def _mined_sql() -> str:
+    said = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{p}'" for k, p in MINED.items()) + " ELSE event_type END || CASE WHEN k % 3 = 0 THEN '' ELSE CAST(k % 5 AS VARCHAR) END"
+    generic = f"norm IN ({', '.join(repr(x) for x in candidates.STOP)}) OR " + " OR ".join(f"regexp_matches(norm, '{p}')" for p in (candidates.DIALOGUE, candidates.ASKING, candidates.BEGINNING, candidates.ENDING, candidates.FALLBACK_ASKING))
+    known = " OR ".join(f"strpos(norm, '{a}') > 0" for a in ORDERED)
+    return f"WITH {v.V2}, said AS (SELECT client_id, cid, {said} AS text FROM v2), normal AS (SELECT *, {NORM_SQL} AS norm FROM said) SELECT norm, min(text) AS phrase, count(*) AS query_count, count(DISTINCT client_id) AS users, count(DISTINCT cid) AS sessions FROM normal WHERE length(norm) BETWEEN 2 AND 12 AND NOT ({generic}) AND NOT ({known}) GROUP BY norm"
+
+
+@query(_mined_sql())
+def q_candidates_mined(spark, d):
+    """Phrases of which the generic ones and those that the dictionary knows go."""
+    spoken = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in MINED.items() for x in pair]), F.col("event_type")), F.col("event_type"))
+    t = v.v2_turns(spark, d)
+    t = t.withColumn("text", F.concat(spoken, F.when(F.col("k") % 3 == 0, "").otherwise((F.col("k") % 5).cast("string"))))
+    found = candidates.unknown(candidates.candidate_phrases(t, keep=("client_id", "cid", "text")), ALIASES)
+    return candidates.aggregate_candidates(found).drop("examples")
+
+
 @query(f"WITH {CAND} SELECT norm, users FROM (SELECT * FROM ca WHERE users >= 5 AND sessions >= 8 ORDER BY users DESC, sessions DESC, query_count DESC, norm LIMIT 10 OFFSET 20)")
 def q_candidate_page(spark, d):
     return candidates.page(candidates.eligible(candidates.aggregate_candidates(_found(spark, d))), 20, 10).select("norm", "users")

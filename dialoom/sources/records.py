@@ -10,8 +10,6 @@ A quotation mark belongs to a quoted field or is doubled in one, as in RFC 4180;
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +23,6 @@ RECORDS = "file string, number long, piece long, crossing boolean, record string
 _RECORDS = pa.schema([("file", pa.string()), ("number", pa.int64()), ("piece", pa.int64()), ("crossing", pa.bool_()), ("record", pa.string())])
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's shared folder (spark.checkpoint.dir), else, in local runs, below the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = spark.conf.get("spark.sql.warehouse.dir")
-    return os.path.join(folder, f"dialoom-{name}-{uuid.uuid4().hex}")
-
-
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """file, start (of the byte range) and the line, in the order of the file within a range."""
     text = spark.read.option("lineSep", "\n").text(path)
