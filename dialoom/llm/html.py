@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import save, table
+from dialoom.llm.common import hub_join, save, table
 
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.3
@@ -50,6 +50,10 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 NOISE_TAG = frozenset("nav aside footer form head button script style noscript template iframe svg math select textarea title object canvas audio video menu dialog".split())
 NOISE_ROLE = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 NOISE_NAME = re.compile(r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|copyright|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|notices|notification|alert|popup|modal|promo\w*|related|replies|respond|share|sharing|sidebar|side-bar|social|sponsor\w*|subscribe|toolbar|widget\w*)(?:$|[-_\s\d])")
+#: First words that say what an element has or lacks.
+NEGATED = frozenset("no not non has have with without".split())
+#: Elements that a slash closes, besides the void ones.
+FOREIGN = frozenset(("svg", "math"))
 P_CLOSERS = BLOCK - {"html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "legend", "summary"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset(("ul", "ol", "dl", "table", "select", "menu"))
@@ -69,6 +73,15 @@ class Node:
         self.key = 0
 
 
+def noise_name(names: str) -> bool:
+    """A class or id word that names a menu, advert and so on; one that says what an element has or lacks (``has-sidebar``, ``no-comments``) names nothing."""
+    for word in names.lower().split():
+        m = NOISE_NAME.search(word)
+        if m and not NEGATED.intersection(re.split("[-_]", word[: m.start() + 1])):
+            return True
+    return False
+
+
 def is_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if tag in NOISE_TAG or (tag == "header" and not inside) or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
@@ -76,54 +89,80 @@ def is_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return False
     if attributes.get("role") in NOISE_ROLE:
         return True
-    return any(NOISE_NAME.search(attributes[a].lower()) for a in ("class", "id") if attributes.get(a))
+    return any(noise_name(attributes[a]) for a in ("class", "id") if attributes.get(a))
+
+
+class Open:
+    """The open elements, with the depths of each tag, of blocks and of scopes, so that no end tag has to look for its element."""
+
+    def __init__(self):
+        self.nodes = [Node("#", None)]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks, self.scopes, self.articles = [0], [0], [0]
+
+    def kinds(self, tag: str) -> list[list[int]]:
+        return [self.depths.setdefault(tag, [0]), *[held for held, tags in ((self.blocks, BLOCK), (self.scopes, SCOPE), (self.articles, HEADER_OK)) if tag in tags]]
+
+    def push(self, node: Node) -> None:
+        for held in self.kinds(node.tag):
+            held.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, depth: int) -> None:
+        """Close the elements from this depth on."""
+        while len(self.nodes) > depth:
+            for held in self.kinds(self.nodes.pop().tag):
+                held.pop()
+
+    def last(self, tag: str) -> int:
+        """Depth of the innermost open element of a tag, 0 if there is none."""
+        return self.depths.get(tag, (0,))[-1]
+
+    def end(self, tag: str) -> None:
+        depth = self.last(tag)
+        if depth and (tag in ("body", "html", *HEADER_OK) or depth > self.articles[-1]):
+            self.close(depth)
+
+    def shut_for(self, tag: str) -> None:
+        """Close what the start of this tag closes: a paragraph, or a sibling item of the same list or table."""
+        if tag in CLOSES:
+            depth = max(map(self.last, CLOSES[tag]))
+            if depth > self.scopes[-1]:
+                self.close(depth)
+        elif tag in P_CLOSERS and self.nodes[self.blocks[-1]].tag == "p":
+            self.close(self.blocks[-1])
 
 
 def parse(html: str) -> Node:
     """The DOM; texts are decoded strings among the children."""
-    root = node = Node("#", None)
-    inside, at, size = 0, 0, len(html)
+    open_, at, size = Open(), 0, len(html)
     while at < size:
         m = TOKEN.search(html, at)
         if m is None:
-            node.children.append(unescape(html[at:]))
+            open_.nodes[-1].children.append(unescape(html[at:]))
             break
         if m.start() > at:
-            node.children.append(unescape(html[at : m.start()]))
+            open_.nodes[-1].children.append(unescape(html[at : m.start()]))
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = node
-            while up is not root and up.tag != tag and up.tag not in ("article", "main") * (tag not in ("body", "html", "article", "main")):
-                up = up.parent
-            if up is not root and up.tag == tag:
-                while node is not up:
-                    inside -= node.tag in HEADER_OK
-                    node = node.parent
-                inside -= node.tag in HEADER_OK
-                node = node.parent
+            open_.end(tag)
             continue
-        shut = ("p",) if tag in P_CLOSERS else CLOSES.get(tag, ())
-        if shut:
-            up = node
-            while up is not root and up.tag not in shut and (up.tag not in BLOCK or (tag in CLOSES and up.tag not in SCOPE)):
-                up = up.parent
-            if up is not root and up.tag in shut:
-                node = up.parent
+        open_.shut_for(tag)
+        node = open_.nodes[-1]
         attributes = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in ATTRIBUTE.finditer(m[3])} if m[3] else {}
-        child = Node(tag, node, f"{attributes.get('class', '')}|{attributes.get('id', '')}|{attributes.get('role', '')}" if attributes else "", is_noise(tag, attributes, inside > 0))
+        child = Node(tag, node, f"{attributes.get('class', '')}|{attributes.get('id', '')}|{attributes.get('role', '')}" if attributes else "", is_noise(tag, attributes, len(open_.articles) > 1))
         node.children.append(child)
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or (tag in FOREIGN and m[3].endswith("/")):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = end.end() if end else size
             continue
-        inside += tag in HEADER_OK
-        node = child
-    return root
+        open_.push(child)
+    return open_.nodes[0]
 
 
 def walk(root: Node) -> Iterator[Node]:
@@ -187,21 +226,20 @@ def main_text(html: str | None, removed: frozenset[int] = frozenset()) -> str:
 
 def _main_text(html: str, removed: frozenset[int]) -> str:
     root = parse(html)
-    tops, within = [], set()
-    for node in walk(root):
-        if id(node.parent) in within or node.tag in HEADER_OK:
-            within.add(id(node))
-        if node.key in removed and (node.names or id(node) not in within):
+    tops, within = [], {}
+    for node in walk(root):  # parents first
+        around = within.get(id(node.parent))  # the innermost article or main element around it
+        if node.key in removed and (node.names or (around is None and node.tag not in HEADER_OK)):
             node.noise = True
         elif node.tag in HEADER_OK:
-            tops.append(node)
-    chosen, within = [], set()
-    for top in tops:  # parents first
-        if top.noise or not has_text(top):
-            continue
-        if not _below(top, within):
+            tops.append((node, around))
+        within[id(node)] = node if node.tag in HEADER_OK else around
+    chosen, seen = [], set()
+    for top, around in tops:
+        # what stands in an element that was looked at is part of it
+        if id(around) not in seen and not top.noise and has_text(top):
             chosen.append(top)
-            within.add(id(top))
+        seen.add(id(top))
     chosen = chosen or [root]
     blocks: list[list[str]] = [[]]
     for top in chosen:
@@ -226,14 +264,6 @@ def _main_text(html: str, removed: frozenset[int]) -> str:
     return "\n\n".join(b for b in joined if b)
 
 
-def _below(node: Node, tops: set[int]) -> bool:
-    """A node below one of some article or main elements; only such elements are asked for, so a page has few walks."""
-    node = node.parent
-    while node is not None and id(node) not in tops:
-        node = node.parent
-    return node is not None
-
-
 KEYED = "host string, page string, key long, content long"
 
 
@@ -264,12 +294,13 @@ def keys_to_remove(trees: DataFrame, min_pages: int = MIN_PAGES, min_importance:
     return trees.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance)).select("host", "key")
 
 
-def found_keys(keys: DataFrame, low: DataFrame) -> DataFrame:
-    """(tree_host, tree_page, tree_keys): the keys of a page that its host's tree or the merged tree removes."""
+def found_keys(keys: DataFrame, low: DataFrame, sizes: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(tree_host, tree_page, tree_keys): the keys of a page that its host's tree removes, or the merged tree if the host (sizes: host, pages, keys) has too few pages for its own."""
     salted = keys.select("host", "page", "key", F.pmod(F.xxhash64("page"), F.lit(SALTS)).alias("salt"))
     low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
     own = salted.join(low.filter("host != ''"), ["host", "key", "salt"], "left_semi").select("host", "page", "key")
-    every = salted.join(low.filter("host = ''").drop("host"), ["key", "salt"], "left_semi").select("host", "page", "key")
+    small = hub_join(salted, sizes.filter((F.col("pages") < min_pages) | (F.col("host") == "")), "host", "keys", keys.count()).select("host", "page", "key", "salt")
+    every = small.join(low.filter("host = ''").drop("host"), ["key", "salt"], "left_semi").select("host", "page", "key")
     return own.unionByName(every).groupBy(F.col("host").alias("tree_host"), F.col("page").alias("tree_page")).agg(F.collect_set("key").alias("tree_keys"))
 
 
@@ -279,9 +310,11 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_
     digest = F.md5(F.col(html_col).cast("binary"))
     keys = save(page_keys(pages.select(host.alias("host"), digest.alias("page"), F.col(html_col).alias("html"))), "page_keys")
     low = save(keys_to_remove(style_trees(keys), min_pages), "low_keys")
+    pages_of = pages.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+    sizes = save(pages_of.join(keys.groupBy("host").agg(F.count(F.lit(1)).alias("keys")), "host"), "host_sizes")
     # null pages stay apart
     hosted = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in (html_col, "text")]).alias("other_columns"), F.col(html_col).alias("page_html"), host.alias("page_host"), F.coalesce(digest, F.md5(F.col(url_col).cast("binary"))).alias("page_digest"))
-    joined = hosted.join(found_keys(keys, low), (F.col("page_host") == F.col("tree_host")) & (F.col("page_digest") == F.col("tree_page")), "left")
+    joined = hosted.join(found_keys(keys, low, sizes, min_pages), (F.col("page_host") == F.col("tree_host")) & (F.col("page_digest") == F.col("tree_page")), "left")
 
     def text(html: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([main_text(h, frozenset(k) if k is not None else frozenset()) for h, k in zip(html, found, strict=True)], dtype=object)
