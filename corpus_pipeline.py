@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates; texts without words are classes of their own, rows with a null id stay, of repeated rows one stays."""
-    return deduplicate(docs).select(docs.columns)
+    return deduplicate(docs).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ its words. Two texts are linked if the Jaccard similarity of their shingle sets
 5. Links are counted per set, copies included; classes are the components of the verified links.
 
 Defined results: texts without words (null or empty) are linked to nothing and are classes of their own; rows with a null
-id share the set of their text and count as copies, and a set of only such rows has no links and class null;
+id are linked like all others, and a class of only such rows has class null;
 repeated rows are copies; rows that repeat an id with another text are judged by their own text; an empty table gives no
 rows; extra columns are ignored (kept by ``deduplicate``).
 """
@@ -285,7 +285,10 @@ def with_shingles(docs: DataFrame, sets: DataFrame, chosen: DataFrame) -> DataFr
 
     members = save(chosen.withColumnRenamed("node", "sid").join(sets.select("sid", "set_key", "first_id", "copies", "low"), "sid"), "chosen")
     ids = save(members.select(F.col("first_id").alias("doc_id")).distinct(), "chosen_ids")  # Spark broadcasts it if its file is small
-    texts = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(lean(read), "set_key binary, shingles binary").dropDuplicates(["set_key"])
+    wanted = docs.join(ids, "doc_id", "left_semi")
+    if not members.filter("first_id is null").isEmpty():  # sets that only rows without an id have
+        wanted = wanted.unionByName(docs.filter("doc_id is null"))
+    texts = wanted.select("text").mapInArrow(lean(read), "set_key binary, shingles binary").dropDuplicates(["set_key"])
     held = save(members.drop("first_id").join(texts, "set_key").drop("set_key"), "shingles")
     sizes = held.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("shingles")).alias("bytes"))
     blocks = F.ceil(F.greatest(F.col("m") / F.lit(HELD_ROWS), F.col("bytes") / F.lit(HELD_BYTES))).cast("int")
@@ -370,8 +373,7 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sign = save(signed(docs), "signed")
     sets = sign.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("low").alias("low"), F.first("bands").alias("bands"))
     sets = save(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")  # written once, so the numbers stay
-    named = sets.filter("first_id is not null")
-    links, classes = links_and_classes(docs, named, candidates(named))
+    links, classes = links_and_classes(docs, sets, candidates(sets))
     known = sets.select("sid", "set_key", "first_id", "copies").join(links, "sid", "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left")
     known = save(known.withColumn("component", F.coalesce("component", "sid")), "known")
     firsts = known.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.min("first_id").alias("class_id"))

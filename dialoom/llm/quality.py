@@ -60,7 +60,7 @@ def _measures(texts: pd.Series) -> pd.DataFrame:
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add the counts, base_failed and soft_failures."""
     out = docs.withColumn("quality_measures", F.pandas_udf(_measures, MEASURES)(F.col(text_col)))
-    out = out.select(*[c for c in docs.columns if c not in {part.split()[0] for part in MEASURES.split(", ")}], "quality_measures.*")
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in {part.split()[0] for part in MEASURES.split(", ")}], "quality_measures.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     soft = (5 * F.col("n_symbols") > F.col("n_words")).cast("int") + (2 * F.col("n_dup_lines") > F.col("n_lines")).cast("int")
     return out.withColumns({"base_failed": failed, "soft_failures": soft})
