@@ -5,7 +5,8 @@ document order, ``seq`` counts blocks in it and ``part_start`` says how many ids
 block. ``ids`` holds the concatenated ids (little-endian, 2 bytes if the vocabulary allows, else 4), every
 document closed by the end id. The ends of the documents inside the block are an Elias-Fano sequence:
 ``lows`` (low bits), ``highs`` (unary high bits) and ``hints`` (position of every 256th one, for select).
-So a boundary takes about 2 + log2(ids per document) bits, and an offset is found without a table.
+So a boundary takes about 2 + log2(ids per document) bits, and an offset is found without a table. The ids of the documents, in ascending
+order from ``first_id`` on after ``n_null`` null ones, are a second such sequence (``id_lows``, ``id_highs``).
 
 Spark's own writer makes the files, so a lost executor's task is run again and only committed files count,
 and any store that Spark can write will do. Documents are dealt by range of the id column; a block holds
@@ -37,7 +38,9 @@ LONG_PIECE = 256
 HINT = 256
 END_ID = 0
 BLOCKS = ("part int, seq int, part_start long, n_docs int, n_ids long, width int, ids binary, "
-          "low_bits int, lows binary, highs binary, hints binary, doc_ids array<long>")
+          "low_bits int, lows binary, highs binary, hints binary, n_null int, first_id long, id_low_bits int, id_lows binary, id_highs binary")
+#: Ids of a block lie closer than this.
+ID_RANGE = 1 << 62
 
 class EliasFano:
     """A non-decreasing sequence of integers in [0, universe]."""
@@ -306,9 +309,13 @@ def _block(part: int, seq: int, start: int, docs: list[tuple[int | None, bytes]]
     width = np.dtype(dtype).itemsize
     ends = np.cumsum([len(b) // width for _, b in docs])
     ef = EliasFano.encode(ends, int(ends[-1]))
+    ids = [d for d, _ in docs if d is not None]
+    first = ids[0] if ids else 0
+    id_ef = EliasFano.encode(np.array(ids, dtype=np.int64) - first, ids[-1] - first if ids else 0)
     row = {"part": part, "seq": seq, "part_start": start, "n_docs": len(docs), "n_ids": int(ends[-1]), "width": width, "ids": b"".join(b for _, b in docs),
-           "low_bits": ef.low_bits, "lows": ef.lows, "highs": ef.highs, "hints": ef.hints, "doc_ids": [d for d, _ in docs]}
-    kinds = {"part": pa.int32(), "seq": pa.int32(), "part_start": pa.int64(), "n_docs": pa.int32(), "n_ids": pa.int64(), "width": pa.int32(), "low_bits": pa.int32(), "doc_ids": pa.list_(pa.int64())}
+           "low_bits": ef.low_bits, "lows": ef.lows, "highs": ef.highs, "hints": ef.hints,
+           "n_null": len(docs) - len(ids), "first_id": first, "id_low_bits": id_ef.low_bits, "id_lows": id_ef.lows, "id_highs": id_ef.highs}
+    kinds = {"part": pa.int32(), "seq": pa.int32(), "part_start": pa.int64(), "n_docs": pa.int32(), "n_ids": pa.int64(), "width": pa.int32(), "low_bits": pa.int32(), "n_null": pa.int32(), "first_id": pa.int64(), "id_low_bits": pa.int32()}
     return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()], names=list(row))
 
 
@@ -318,13 +325,15 @@ def write_blocks(docs: DataFrame, path: str, vocabulary: str | None = None, id_c
     def encoded(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         end = np.array([end_id], dtype=coder.dtype).tobytes()
-        part, seq, start, held, n = TaskContext.get().partitionId(), 0, 0, [], 0
+        part, seq, start, held, n, first = TaskContext.get().partitionId(), 0, 0, [], 0, None
         rows = ((i.as_py(), t.as_py() or "") for batch in incoming for i, t in zip(batch.column(0), batch.column(1), strict=True))
         for group in batches(rows, lambda r: len(r[1]) + 100, BATCH_CHARS):
             for (doc_id, _), ids in zip(group, coder.encode([t for _, t in group]), strict=True):
-                if held and (n + len(ids) // len(end) + 1 > BLOCK_IDS or len(held) >= BLOCK_DOCS):
+                far = first is not None and doc_id - first >= ID_RANGE
+                if held and (n + len(ids) // len(end) + 1 > BLOCK_IDS or len(held) >= BLOCK_DOCS or far):
                     yield _block(part, seq, start, held, coder.dtype)
-                    seq, start, held, n = seq + 1, start + n, [], 0
+                    seq, start, held, n, first = seq + 1, start + n, [], 0, None
+                first = doc_id if first is None else first
                 held.append((doc_id, ids + end))
                 n += len(ids) // len(end) + 1
         if held:
@@ -352,13 +361,14 @@ def boundaries(spark: SparkSession, path: str) -> DataFrame:
             for b in batch.to_pylist():
                 found = EliasFano(b["n_docs"], b["low_bits"], b["lows"], b["highs"], b["hints"])
                 ends = np.array([found.select(i) for i in range(found.n)])
+                ids = EliasFano(b["n_docs"] - b["n_null"], b["id_low_bits"], b["id_lows"], b["id_highs"], b"").decode() + b["first_id"]
+                doc_ids = [None] * b["n_null"] + ids.tolist()
                 starts = np.concatenate([[0], ends[:-1]])
-                ids = np.frombuffer(b["ids"], f"<u{b['width']}").astype("<u4")
-                raw = memoryview(ids.tobytes())
+                raw = memoryview(np.frombuffer(b["ids"], f"<u{b['width']}").astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(b["doc_ids"], pa.int64()), pa.array(starts + b["block_start"], pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(starts + b["block_start"], pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    wanted = ["block_start", "n_docs", "width", "ids", "low_bits", "lows", "highs", "hints", "doc_ids"]
+    wanted = ["block_start", "n_docs", "width", "ids", "low_bits", "lows", "highs", "hints", "n_null", "first_id", "id_low_bits", "id_lows", "id_highs"]
     return read_blocks(spark, path).select(*wanted).mapInArrow(lean(decoded), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -78,6 +78,15 @@ def test_rows_that_repeat_an_id_are_judged_by_their_text(spark):
     assert kept == sorted([(7, " ".join(a)), (7, " ".join(b)), (7, ""), (3, "alone"), (9, "some more")])
 
 
+def test_rows_without_an_id_are_linked(spark):
+    words = [f"w{i}" for i in range(80)]
+    docs = [(1, " ".join(words)), (None, " ".join([*words, "zz"])), (None, " ".join([*words, "zz"])), (3, " ".join([*words, "qq"])), (None, "all alone here"), (None, "all alone here")]
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"]) for r in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == [(0, 0, 1), (0, 0, 1), (0, 1, 3), (0, 1, 3), (1, 1, 3), (3, 1, 3)]
+    kept = jaccard.deduplicate(spark.createDataFrame(docs, "doc_id long, text string").withColumn("a.b", F.lit("x"))).collect()
+    assert sorted(r["doc_id"] or 0 for r in kept) == [0, 0, 0, 0, 1] and {r["a.b"] for r in kept} == {"x"}
+
+
 def test_prune_makes_rows_in_proportion_to_a_group(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)
     base, made = [f"w{i}" for i in range(200)], {}

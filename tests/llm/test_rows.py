@@ -9,6 +9,7 @@ from html import unescape
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -181,8 +182,12 @@ TEXTS = ["", " x", "a  b\n c \n\n d  ", "don't  stop 'll \t x", "日本 語 ", "
 
 
 def test_encoder_equals_library():
+    plain_specials = Tokenizer.from_file(tokens.default_vocabulary())
+    plain_specials.encode_special_tokens = True
+    own = tokens.Encoder(tokens.default_vocabulary(), True)
+    assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(TEXTS)] == [e.ids for e in plain_specials.encode_batch(TEXTS, add_special_tokens=False)]
     coder = tokens.Encoder(tokens.default_vocabulary())
-    plain = coder.tokenizer.encode_batch(TEXTS, add_special_tokens=False)
+    plain = Tokenizer.from_file(tokens.default_vocabulary()).encode_batch(TEXTS, add_special_tokens=False)
     for _ in range(2):  # new and known pieces
         assert [np.frombuffer(b, coder.dtype).tolist() for b in coder.encode(TEXTS)] == [e.ids for e in plain]
     assert coder.encode([]) == [] and coder.encode(["", ""]) == [b"", b""]
@@ -214,10 +219,11 @@ def test_two_pieces_with_one_hash(coder, monkeypatch):
 
 
 def test_token_files(spark):
-    df = odd(spark)
+    texts = [(20, "a<|endoftext|>b"), (20, "<|endoftext|>"), (-(1 << 63), "least"), ((1 << 63) - 1, "most"), (None, "none"), (None, "none <|endoftext|>")]
+    df = odd(spark).select("doc_id", "text").unionByName(spark.createDataFrame(texts, "doc_id long, text string"))
     got = sorted(((r["doc_id"] is not None, r["doc_id"]), r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokens.token_boundaries(df).collect())
-    coder, start, want = tokens.Encoder(tokens.default_vocabulary()).tokenizer, 0, []
-    for doc_id, text in sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=lambda x: (x[0] is not None, x[0] or 0)):
+    coder, start, want = Tokenizer.from_file(tokens.default_vocabulary()), 0, []
+    for doc_id, text in sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
         ids = [*coder.encode(text or "", add_special_tokens=False).ids, 0]
         want.append(((doc_id is not None, doc_id), start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -286,6 +292,28 @@ def test_deep_pages_take_linear_time():
     assert time.process_time() - began < 5
 
 
+def test_unclosed_and_stray_tags_take_linear_time():
+    import time
+
+    began = time.process_time()
+    for page, text in (("<i>" * 20_000 + "</x>" * 20_000 + "a", "a"), ("<main>" * 20_000 + "<p>" * 20_000 + "b", "b"), ("<article>" * 9_000 + "<b>" * 20_000 + "<p>" * 9_000 + "c", "c"), ("<li><b>" * 20_000 + "d", "d")):
+        assert html.main_text(page) == text
+    assert time.process_time() - began < 8
+
+
+def test_names_that_only_contain_a_noise_word():
+    pages = {'<div class="layout has-sidebar"><p>Hello world</p></div>': "Hello world", '<div class="post no-comments">a</div>': "a", "<script src=/js/>var x=1;</script>b": "b", '<div class="without_ads with-header">c</div>': "c", '<div class="main sidebar">x</div><div id="no-nav-menu">y</div>d': "y\n\nd", "<div/>e</div>f": "e\n\nf"}
+    assert {h: html.main_text(h) for h in pages} == pages
+
+
+def test_other_hosts_do_not_judge_a_large_host(spark):
+    good = [(i, f"http://good.org/{i}", f"<div class='box'><p>article {i} says {i * 7}</p></div>") for i in range(12)]
+    spam = [(100 + i, f"http://spam.org/{i}", "<div class='box'><p>buy this</p></div>") for i in range(200)]
+    few = [(900 + i, f"http://few.org/{i}", f"<div class='box'><p>buy this</p></div><p>story {i}</p>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(good + spam + few, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"article {i} says {i * 7}" for i in range(12)) and all(got[900 + i] == f"story {i}" for i in range(3))
+
+
 def brute_trees(pages):
     """Low keys by host from the contents of all nodes, compared as whole texts."""
     held = {}
@@ -322,10 +350,11 @@ def test_style_trees_equal_brute_force(spark):
         rng.shuffle(parts)
         rows.append((i, f"http://{host}/{i}", f"<body>{''.join(parts)}<p>page {i}</p></body>"))
     low = brute_trees([(u.split("/")[2], h) for _, u, h in rows])
-    want = {}
+    want, pages = {}, Counter(u.split("/")[2] for _, u, _ in rows)
     for i, u, h in rows:
         host = u.split("/")[2]
-        want[i] = html.main_text(h, frozenset(k for k in html.style_rows(h) if (host, k) in low or ("", k) in low))
+        small = pages[host] < html.MIN_PAGES
+        want[i] = html.main_text(h, frozenset(k for k in html.style_rows(h) if (host, k) in low or (small and ("", k) in low)))
     assert any(h != "" for h, _ in low) and any(t.count("\n\n") < 12 for t in want.values())
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in CLASHES})
     got = html.extract(df).collect()
