@@ -8,7 +8,8 @@ from dialoom.functions import rules, text
 from dialoom.operators import audit, candidates, classify, interest, matching, periods, review, sessions
 from dialoom.plans import views as v
 from dialoom.plans.queries import DAYS, HITS, LATEST, SEG, STRUCTURE, V2A, _active, _daily, _days, _hits, _pairs, _reviewed, _sessions3, _user_days, _whole, domain, query, rounded
-from dialoom.sources import sinks
+from dialoom.sources import readers, sinks
+from dialoom.sources.shared import shared_path
 
 #: The six literal aliases of the dictionary view; they overlap on purpose.
 WORDS = ("there", "the", "thing", "hand", "and", "ion")
@@ -222,6 +223,82 @@ def q_safe_turn_lists(spark, d):
     return out.withColumns({c: text.joined(F.col(c)) for c in ("entity_ids", "signals", "polarities", "bases")})
 
 
+# --- exports and stored days, written and read back
+
+
+def _exported(turns, sep):
+    """The rows as a quoted export in the shared folder, texts with marks and line ends inside."""
+    path = shared_path(turns.sparkSession, "export")
+    turns.write.option("header", True).option("sep", sep).option("quoteAll", True).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+NOISY = "text || chr(10) || 'said \"' || turn_index || '\", twice' || chr(9)"
+
+
+def _noisy(spark, d):
+    return v.v1_turns(spark, d).withColumn("text", F.concat("text", F.lit('\nsaid "'), F.col("turn_index").cast("string"), F.lit('", twice\t')))
+
+
+@query(f"WITH {v.V1} SELECT source_row, cid, client_id, {NOISY} AS text, ai_text, CAST(turn_index AS INTEGER) AS turn_index FROM v1")
+def q_turn_export(spark, d):
+    """Turns through a comma export and back."""
+    turns = _noisy(spark, d).withColumnRenamed("client_id", "clientId")
+    turns = turns.withColumns({c: F.lit("x") for c in readers.TURN_COLUMNS if c not in turns.columns})
+    return readers.turn_csv(spark, _exported(turns, ",")).select("source_row", "cid", "client_id", "text", "ai_text", "turn_index")
+
+
+@query(f"WITH {v.V1} SELECT CAST(source_row AS VARCHAR) AS id, {NOISY} AS text, count(*) OVER () AS records FROM v1")
+def q_raw_export(spark, d):
+    """Turns through a tab export and back; the record numbers of its files, which begin at 2, tell how many records there are."""
+    path = _exported(_noisy(spark, d).select(F.col("source_row").alias("id"), "text"), "\t")
+    records = readers.raw_export(spark, path)
+    numbered = records.groupBy("source_row").agg(F.count(F.lit(1)).alias("files")).agg(F.sum("files").alias("records"), F.max("source_row").alias("highest"), F.count(F.lit(1)).alias("numbers"))
+    sound = numbered.filter(F.col("highest") == F.col("numbers") + 1).select("records")  # no number is missing
+    return records.select("id", "text").crossJoin(F.broadcast(sound))
+
+
+STORED = "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS data_date, CASE WHEN day(ts) % 2 = 0 THEN value * 2 ELSE value END AS value FROM events WHERE NOT (day(ts) % 2 = 0 AND event_id % 3 = 0)"
+
+
+@query(STORED)
+def q_replaced_days(spark, d):
+    """All days stored, then the even ones again with fewer and other rows; a replaced day keeps none of its old rows."""
+    e = v.table(spark, d, "events").select(F.col("event_id").cast("long").alias("event_id"), F.to_date("ts").alias("data_date"), "value", F.lit("M1").alias("product"))
+    path = shared_path(spark, "days")
+    sinks.replace_days(e, path)
+    even = e.filter((F.dayofmonth("data_date") % 2 == 0) & (F.col("event_id") % 3 != 0)).withColumn("value", F.col("value") * 2)
+    sinks.replace_days(even, path)
+    return sinks.stored(spark, path).select("event_id", "data_date", "value")
+
+
+@query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS data_date FROM events WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE value > 99)")
+def q_backed_up_days(spark, d):
+    """The days that are about to be replaced, copied whole."""
+    e = v.table(spark, d, "events").select(F.col("event_id").cast("long").alias("event_id"), F.to_date("ts").alias("data_date"), "value", F.lit("M1").alias("product"))
+    path, copy = shared_path(spark, "days"), shared_path(spark, "copy")
+    sinks.replace_days(e, path)
+    sinks.backup_days(spark, path, e.filter("value > 99"), copy)
+    return readers.history(spark, copy, "M1", "1900-01-01", "2999-12-31").select("event_id", "data_date")
+
+
+@query("SELECT CAST(ts AS DATE) AS data_date, false AS again, day(CAST(ts AS DATE)) = 1 AS changed FROM events GROUP BY 1")
+def q_unchanged_days(spark, d):
+    """Whether each day would be written again, as stored and with the values of the first of a month changed; both answers come from the stored rows."""
+    e = v.table(spark, d, "events").select(F.col("event_id").cast("long").alias("event_id"), F.to_date("ts").alias("data_date"), "value", F.lit("M1").alias("product"))
+    path = shared_path(spark, "days")
+    sinks.replace_if_changed(e, path)
+    again = sinks.replace_if_changed(e, path)
+    old = periods.table_digest(sinks.stored(spark, path).select(*e.columns), "data_date")
+    new = periods.table_digest(e.withColumn("value", F.when(F.dayofmonth("data_date") == 1, F.col("value") + 1).otherwise(F.col("value"))).select(*e.columns), "data_date")
+    same = [c for c in old.columns if c != "data_date"]
+    both = old.join(new.withColumnsRenamed({c: f"new_{c}" for c in same}), "data_date")
+    changed = ~F.lit(True)
+    for c in same:
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"new_{c}"))
+    return both.select("data_date", F.lit(again).alias("again"), changed.alias("changed"))
+
+
 # --- candidates
 
 

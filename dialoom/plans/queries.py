@@ -196,7 +196,13 @@ def q_pseudonym(spark, d):
     return v.table(spark, d, "documents").select("doc_id", text.day_key("user", F.col("doc_id").cast("string"), F.lit("src")).alias("pseudonym"))
 
 
-@query()
+def _hmac_sql(secret: str, message: str) -> str:
+    """X4 as two nested digests over the padded key (of 64 bytes at most)."""
+    inner, outer = (bytes(b ^ pad for b in secret.encode().ljust(64, b"\0")).hex() for pad in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({message}))))"
+
+
+@query(f"SELECT doc_id, {_hmac_sql('not-a-secret', "'user:' || CAST(doc_id AS VARCHAR)")} AS pseudonym FROM documents")
 def q_stable_pseudonym(spark, d):
     return v.table(spark, d, "documents").select("doc_id", text.stable_key("not-a-secret", "user", F.col("doc_id").cast("string")).alias("pseudonym"))
 
