@@ -17,6 +17,7 @@ ALLOWED = {"constellation_users", "constellation_eligible_users", "constellation
 IDENTIFIER = r"^[0-9a-f]{20,40}$"
 PSEUDONYM = r"^[0-9a-f]{20}$"
 HEX64 = r"^[0-9a-f]{64}$"
+UNFOLD = 10_000
 
 
 def _rule(rows: DataFrame, rule: str, key: str) -> DataFrame:
@@ -30,6 +31,21 @@ def _all(found: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _broken(rows: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:
+    """(rule, key) of all rules (name, key column, condition or number of times) that a row breaks, in one pass over the rows.
+
+    A group that breaks a rule several times is unfolded in two steps, so no array is longer than ``UNFOLD`` or the times over it."""
+    times = [n.cast("long") for _, _, n in rules]
+    each = [F.struct(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), n.alias("times")) for (rule, key, _), n in zip(rules, times, strict=True)]
+    found = rows.filter(F.greatest(*times, F.lit(0)) > 0).select(F.inline(F.array(*each))).filter("times > 0")
+    found = found.withColumn("step", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / UNFOLD))))
+    return found.withColumn("one", F.explode(F.sequence(F.lit(1), F.least(F.lit(UNFOLD), F.col("times") - F.col("step") * UNFOLD)))).select("rule", "key")
+
+
+def _times(condition: Column, name: str) -> Column:
+    return F.count_if(F.coalesce(condition, F.lit(False))).alias(name)
+
+
 def _off(share: Column, n: Column, d: Column) -> Column:
     """The share is not n over max(1, d)."""
     return ~F.coalesce(F.abs(share - n / F.greatest(d, F.lit(1))) < 1e-12, F.lit(False))
@@ -64,16 +80,22 @@ def date_span(df: DataFrame) -> DataFrame:
 
 
 def identity(df: DataFrame, row_start: int = 1, longest: int = 10_000) -> DataFrame:
-    """(rule, key): repeated ids or rows, gaps, empty users or sessions, sessions of several users or of unexpected length."""
-    span = df.agg(F.min("source_row").alias("lo"), F.max("source_row").alias("hi"), F.count(F.lit(1)).alias("n"))
-    sessions = df.groupBy("cid").agg(F.min("client_id").alias("a"), F.max("client_id").alias("b"), F.count(F.lit(1)).alias("n"))
-    found = [
-        _rule(df.groupBy("id").count().filter("count > 1"), "id repeated", "id"), _rule(df.groupBy("source_row").count().filter("count > 1"), "row repeated", "source_row"),
-        _rule(span.filter((F.col("lo") != row_start) | (F.col("hi") - F.col("lo") + 1 != F.col("n"))), "rows have gaps", "n"),
-        _rule(df.filter("coalesce(client_id, '') = ''"), "no user", "source_row"), _rule(df.filter("coalesce(cid, '') = ''"), "no session", "source_row"),
-        _rule(sessions.filter("a != b"), "several users", "cid"), _rule(sessions.filter(F.col("n") > longest), "long session", "cid"),
-    ]
-    return _all(found)
+    """(rule, key): repeated ids or rows, gaps, empty users or sessions, sessions of several users or of unexpected length.
+
+    Every row gives one mark for its id, its row number, its session and the table, and one of its own if its user or session is empty; all marks
+    are counted in one grouping. Null ids are one id."""
+    row, user, none = F.col("source_row").cast("long"), F.col("client_id").cast("string"), F.lit(None)
+    mark = lambda kind, key, at=none: F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), at.cast("long").alias("at"))
+    empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    own = [F.when(empty(c), mark(kind, F.col("source_row"), F.monotonically_increasing_id())) for c, kind in (("client_id", "no user"), ("cid", "no session"))]
+    marks = F.array_compact(F.array(mark("id", F.col("id")), mark("row", F.col("source_row")), mark("session", F.col("cid")), mark("table", none), *own))
+    groups = df.select(row.alias("row"), user.alias("user"), F.inline(marks)).groupBy("kind", "key", "at").agg(F.count(F.lit(1)).alias("n"), F.min("user").alias("a"), F.max("user").alias("b"), F.min("row").alias("lo"), F.max("row").alias("hi"))
+    kind, n = F.col("kind"), F.col("n")
+    return _broken(groups, [
+        ("id repeated", "key", (kind == "id") & (n > 1)), ("row repeated", "key", (kind == "row") & (n > 1)),
+        ("rows have gaps", "n", (kind == "table") & ((F.col("lo") != row_start) | (F.col("hi") - F.col("lo") + 1 != n))), ("no user", "key", kind == "no user"), ("no session", "key", kind == "no session"),
+        ("several users", "key", (kind == "session") & (F.col("a") != F.col("b"))), ("long session", "key", (kind == "session") & (n > longest)),
+    ])
 
 
 def ratios(rows: DataFrame) -> DataFrame:
@@ -102,20 +124,28 @@ def partition_sums(rows: DataFrame, by: list[str], parts: Column, whole: DataFra
 
 def profile_section(section: DataFrame, statuses: DataFrame, items: DataFrame, by: str) -> DataFrame:
     """(rule, key) over sections (by, eligible_users, normal_users, coverage), their statuses (by, status, users) and their items
-    (by, label, users, sessions, turns, five_plus_sessions, user_share, average, five_plus_share, sample_status)."""
-    users, sessions = F.col("users"), F.col("sessions")
-    parts = statuses.groupBy(by).agg(F.sum("users").alias("status_sum"), F.coalesce(F.sum(F.when(F.col("status") == NORMAL, users)), F.lit(0)).alias("status_normal"))
-    parts = section.join(parts, by, "left").join(items.groupBy(by).agg(F.sum("users").alias("item_sum")), by, "left")
-    known = items.join(section.select(by, "normal_users"), by)
-    negative = F.least("users", "sessions", "turns", "five_plus_sessions") < 0
-    return _all([
-        _rule(section.filter((F.col("normal_users") < 0) | (F.col("normal_users") > F.col("eligible_users"))), "counts", by), _rule(section.filter(_off(F.col("coverage"), F.col("normal_users"), F.col("eligible_users"))), "coverage", by),
-        _rule(parts.filter(F.coalesce("status_sum", F.lit(0)) != F.col("eligible_users")), "statuses do not cover users", by), _rule(parts.filter(F.coalesce("status_normal", F.lit(0)) != F.col("normal_users")), "normal status", by),
-        _rule(parts.filter(F.coalesce("item_sum", F.lit(0)) != F.col("normal_users")), "items do not cover normal users", by), _rule(statuses.filter("users < 0"), "status count", by),
-        _rule(statuses.groupBy(by, "status").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "status repeated", by), _rule(items.groupBy(by, "label").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "label repeated", by),
-        _rule(items.filter(negative | (F.col("five_plus_sessions") > sessions)), "item counts", "label"), _rule(known.filter(_off(F.col("user_share"), users, F.col("normal_users"))), "user share", "label"),
-        _rule(items.filter(_off(F.col("average"), F.col("turns"), sessions)), "average", "label"), _rule(items.filter(_off(F.col("five_plus_share"), F.col("five_plus_sessions"), sessions)), "five plus share", "label"),
-        _rule(items.filter(F.col("sample_status") != sample_label(users)), "sample label", "label"),
+    (by, label, users, sessions, turns, five_plus_sessions, user_share, average, five_plus_share, sample_status).
+
+    Statuses and items are read once: each row counts for its label and for its section, all in one grouping. A section is one row."""
+    users, sessions, none = F.col("users"), F.col("sessions"), F.lit(None)
+    of_item = {
+        "item counts": (F.least("users", "sessions", "turns", "five_plus_sessions") < 0) | (F.col("five_plus_sessions") > sessions), "user share": F.col("known") & _off(F.col("user_share"), users, F.col("section_normal")),
+        "average": _off(F.col("average"), F.col("turns"), sessions), "five plus share": _off(F.col("five_plus_share"), F.col("five_plus_sessions"), sessions), "sample label": F.col("sample_status") != sample_label(users),
+    }
+    of_section = {"counts": (F.col("normal_users") < 0) | (F.col("normal_users") > F.col("eligible_users")), "coverage": _off(F.col("coverage"), F.col("normal_users"), F.col("eligible_users"))}
+    wrong = lambda found: [c.cast("int").alias(r) for r, c in found.items()]
+    twice = lambda label, kind: F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), x.cast("string").alias("label")) for k, x in ((kind, label), ("section", none))]))
+    known = items.join(section.select(by, F.col("normal_users").alias("section_normal"), F.lit(True).alias("known")), by, "left")
+    marks = known.select(by, users.alias("item_users"), *wrong(of_item), twice(F.col("label"), "item"))
+    marks = marks.unionByName(statuses.select(by, users.alias("status_users"), F.when(F.col("status") == NORMAL, users).alias("status_normal"), *wrong({"status count": users < 0}), twice(F.col("status"), "status")), True)
+    marks = marks.unionByName(section.select(by, "eligible_users", "normal_users", *wrong(of_section), F.lit("section").alias("kind"), none.cast("string").alias("label"), F.lit(1).alias("listed")), True)
+    sums = [F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in ("item_users", "status_users", "status_normal", "listed", *of_item, "status count", *of_section)]
+    groups = marks.groupBy("kind", by, "label").agg(F.count(F.lit(1)).alias("n"), F.max("eligible_users").alias("eligible_users"), F.max("normal_users").alias("normal_users"), *sums)
+    kind, times, whole = F.col("kind"), (lambda r, k: F.when(F.col("kind") == k, F.col(f"`{r}`"))), (F.col("kind") == "section") & (F.col("listed") > 0)
+    return _broken(groups, [
+        *[(r, by, times(r, "section")) for r in of_section], ("statuses do not cover users", by, whole & (F.col("status_users") != F.col("eligible_users"))), ("normal status", by, whole & (F.col("status_normal") != F.col("normal_users"))),
+        ("items do not cover normal users", by, whole & (F.col("item_users") != F.col("normal_users"))), ("status count", by, times("status count", "status")),
+        ("status repeated", by, (kind == "status") & (F.col("n") > 1)), ("label repeated", by, (kind == "item") & (F.col("n") > 1)), *[(r, "label", times(r, "item")) for r in of_item],
     ])
 
 
@@ -149,16 +179,24 @@ def opening_groups(groups: DataFrame, structure_row: DataFrame) -> DataFrame:
 
 def opening_directions(directions: DataFrame, coverage: DataFrame, groups: DataFrame) -> DataFrame:
     """(rule, key): directions that are repeated, have more replies than sessions or a wrong share, or do not add up to the classified
-    sessions; parts of the coverage that do not add up to the placeholder sessions. ``coverage`` and the placeholder group are one row each."""
-    start = groups.filter("category = 'startPrompt'").select(F.col("sessions").alias("start_sessions"), F.col("total_turns").alias("start_turns"), F.col("reply_sessions").alias("start_replies"))
-    sums = directions.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{c}") for c in ("sessions", "turns", "reply_sessions")])
-    whole = coverage.join(F.broadcast(start)).join(F.broadcast(sums))
-    every = F.col("classified") + F.col("unlabelled") + F.col("unsupported")
-    return _all([
-        _rule(directions.groupBy("direction").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "direction"), _rule(directions.filter("reply_sessions > sessions or least(sessions, turns, reply_sessions) < 0"), "counts", "direction"),
-        _rule(directions.join(F.broadcast(start)).filter(_inexact(F.col("share"), F.col("sessions"), F.col("start_sessions"))), "share", "direction"), _rule(whole.filter(every != F.col("start_sessions")), "coverage parts", "start_sessions"),
-        _rule(whole.filter(_inexact(F.col("coverage"), F.col("classified"), F.col("start_sessions"))), "coverage", "coverage"), _rule(whole.filter("sum_sessions != classified"), "directions are not the classified", "sum_sessions"),
-        _rule(whole.filter("sum_sessions > start_sessions or sum_turns > start_turns or sum_reply_sessions > start_replies"), "more than the group", "sum_sessions"),
+    sessions; parts of the coverage that do not add up to the placeholder sessions. ``coverage`` and the placeholder group are one row each.
+
+    Each table is read once; a direction's row counts for its direction and for the whole."""
+    parts = ["sessions", "turns", "reply_sessions"]
+    start = groups.agg(*[F.max(F.when(F.col("category") == "startPrompt", F.col(c))).alias(n) for c, n in (("sessions", "start_sessions"), ("total_turns", "start_turns"), ("reply_sessions", "start_replies"))])
+    ones = start.join(F.broadcast(coverage.agg(*[F.max(c).alias(c) for c in ("classified", "unlabelled", "unsupported", "coverage")])))  # one row, whatever the tables hold
+    nothing = directions.sparkSession.range(1).select(F.lit(True).alias("whole"), *[F.lit(0).cast("long").alias(c) for c in parts])
+    marks = directions.select("direction", "share", *parts, F.explode(F.array(F.lit(False), F.lit(True))).alias("whole")).unionByName(nothing, True).join(F.broadcast(ones))
+    begun = F.col("start_sessions").isNotNull()
+    counts = F.expr("reply_sessions > sessions or least(sessions, turns, reply_sessions) < 0")
+    one = [F.first(c).alias(c) for c in ones.columns]
+    sums = marks.groupBy("whole", F.when(~F.col("whole"), F.col("direction")).alias("direction")).agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{c}") for c in parts], *one, _times(counts, "counts"), _times(begun & _inexact(F.col("share"), F.col("sessions"), F.col("start_sessions")), "shares"))
+    whole, every = F.col("whole") & begun & F.col("classified").isNotNull(), F.col("classified") + F.col("unlabelled") + F.col("unsupported")
+    more = F.expr("sum_sessions > start_sessions or sum_turns > start_turns or sum_reply_sessions > start_replies")
+    return _broken(sums, [
+        ("repeated", "direction", ~F.col("whole") & (F.col("n") > 1)), ("counts", "direction", F.when(~F.col("whole"), F.col("counts"))), ("share", "direction", F.when(~F.col("whole"), F.col("shares"))),
+        ("coverage parts", "start_sessions", whole & (every != F.col("start_sessions"))), ("coverage", "coverage", whole & _inexact(F.col("coverage"), F.col("classified"), F.col("start_sessions"))),
+        ("directions are not the classified", "sum_sessions", whole & (F.col("sum_sessions") != F.col("classified"))), ("more than the group", "sum_sessions", whole & more),
     ])
 
 
@@ -184,22 +222,32 @@ def segment_counts(rows: DataFrame) -> DataFrame:
 
 def segment_sets(groups: DataFrame, overall: DataFrame, counts: DataFrame, sets: list[str], key: str = "entity_id") -> DataFrame:
     """(rule, key): dimension sets that are missing from the overall table, listed entities that are repeated, sparse counts that are
-    zero, above the group's eligible users or of an entity the overall table does not list, groups with a wrong sample label."""
+    zero, above the group's eligible users or of an entity the overall table does not list, groups with a wrong sample label.
+
+    The sparse counts meet their groups (one row each) in one join, then the overall table and the asked sets in one grouping by set and entity."""
     asked = overall.sparkSession.createDataFrame([(s,) for s in sets], "dimension_set string")
     dims = [c for c in groups.columns if c not in ("dimension_set", "users", "eligible_users", "sample_status")]
-    own, other = counts.alias("x"), groups.alias("y")
+    own, other = counts.alias("x"), groups.withColumn("found", F.lit(True)).alias("y")
     same = F.col("x.dimension_set") == F.col("y.dimension_set")
     for d in dims:
         same &= F.col(f"x.{d}").eqNullSafe(F.col(f"y.{d}"))
-    found = [
-        _rule(asked.join(overall, "dimension_set", "left_anti"), "set missing", "dimension_set"), _rule(overall.groupBy("dimension_set", key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "entity repeated", key),
-        _rule(counts.join(overall.select("dimension_set", key), ["dimension_set", key], "left_anti"), "entity not listed", key), _rule(own.join(other, same, "left_anti").select("x.dimension_set"), "group missing", "dimension_set"),
-        _rule(own.join(other, same).filter("x.interest_users <= 0 or x.interest_users > y.eligible_users").select(F.col(f"x.{key}").alias("who")), "sparse count", "who"),
-        _rule(groups.filter("users < 0 or eligible_users < 0 or eligible_users > users"), "group counts", "dimension_set"),
-    ]
+    sparse = F.expr("x.interest_users <= 0 or x.interest_users > y.eligible_users") & F.col("y.found")
+    marks = own.join(other, same, "left").select(F.col("x.dimension_set").alias("dimension_set"), F.col(f"x.{key}").alias(key), F.lit(1).alias("counted"), F.col("y.found").isNull().alias("lost"), sparse.alias("sparse"))
+    marks = marks.unionByName(overall.select("dimension_set", key, F.lit(1).alias("listed")), True)
+    # a listed entity counts for its set too
+    marks = marks.withColumn("of_set", F.explode(F.when(F.col("listed") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    marks = marks.withColumn(key, F.when(~F.col("of_set"), F.col(key))).unionByName(asked.withColumns({"of_set": F.lit(True), "asked": F.lit(1)}), True)
+    sums = marks.groupBy("of_set", "dimension_set", key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("counted", "listed", "asked")], _times(F.col("lost"), "lost"), _times(F.col("sparse"), "sparse"))
+    unlisted = (F.col("listed") == 0) | F.col("dimension_set").isNull() | F.col(key).isNull()
+    entity = lambda n: F.when(~F.col("of_set"), n)
+    found = _broken(sums, [
+        ("set missing", "dimension_set", F.when(F.col("of_set") & (F.col("listed") == 0), F.col("asked"))), ("entity repeated", key, entity(F.col("listed") > 1)), ("entity not listed", key, entity(F.when(unlisted, F.col("counted")))),
+        ("group missing", "dimension_set", entity(F.col("lost"))), ("sparse count", key, entity(F.col("sparse"))),
+    ])
+    of_group = [("group counts", "dimension_set", F.expr("users < 0 or eligible_users < 0 or eligible_users > users"))]
     if "sample_status" in groups.columns:
-        found.append(_rule(groups.filter(F.col("sample_status") != sample_label(F.col("eligible_users"))), "sample label", "dimension_set"))
-    return _all(found)
+        of_group.append(("sample label", "dimension_set", F.col("sample_status") != sample_label(F.col("eligible_users"))))
+    return found.unionByName(_broken(groups, of_group))
 
 
 def demographic_view(rows: DataFrame, overall: DataFrame, groups: DataFrame, dims: list[str], key: str = "entity_id") -> DataFrame:
@@ -207,14 +255,16 @@ def demographic_view(rows: DataFrame, overall: DataFrame, groups: DataFrame, dim
     eligible_users, interest_users, coverage) of one dimension set and its groups (dims, position, eligible_users) in the fixed order of the domains."""
     fixed = groups.withColumn("right_position", F.row_number().over(Window.orderBy(*dims)))  # a grid of small fixed domains
     eligible = overall.agg(F.max("eligible_users").alias("overall_eligible")).join(F.broadcast(groups.agg(F.sum("eligible_users").alias("group_sum"))))
-    both = rows.join(overall.select(key, F.col("coverage").alias("overall_coverage")), key, "left")
+    both = rows.join(overall.select(key, F.col("coverage").alias("overall_coverage"), F.lit(True).alias("listed")), key, "left")
     gap = F.when(F.col("coverage").isNull() | F.col("overall_coverage").isNull(), F.col("difference").isNull()).otherwise(F.coalesce(F.abs(F.col("difference") - (F.col("coverage") - F.col("overall_coverage"))) < 1e-12, F.lit(False)))
     order = Window.orderBy(F.desc("interest_users"), F.desc(F.coalesce("coverage", F.lit(0.0))), key)  # one row for each listed entity
     ranked = overall.withColumn("right_rank", F.row_number().over(order))
     return _all([
         _rule(fixed.filter("position != right_position"), "group order", "position"), _rule(eligible.filter("overall_eligible != group_sum"), "eligible users", "group_sum"), _rule(ranked.filter("rank != right_rank"), "list order", key),
-        _rule(rows.filter("interest_users < 0 or interest_users > eligible_users"), "counts", key), _rule(rows.filter(_inexact(F.col("coverage"), F.col("interest_users"), F.col("eligible_users"))), "coverage", key),
-        _rule(both.filter(~gap), "difference", key), _rule(rows.join(overall, key, "left_anti"), "entity not listed", key),
+        _broken(both, [
+            ("counts", key, F.expr("interest_users < 0 or interest_users > eligible_users")), ("coverage", key, _inexact(F.col("coverage"), F.col("interest_users"), F.col("eligible_users"))),
+            ("difference", key, ~gap), ("entity not listed", key, F.col("listed").isNull()),
+        ]),
     ])
 
 
@@ -314,16 +364,31 @@ def dictionary(entities: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def contributions(users: DataFrame, hits: DataFrame, rollups: DataFrame, allowed: list[str], totals: DataFrame | None = None) -> DataFrame:
-    """(rule, key); ``totals`` (rollup_id, queries) are the day's rollups, which the hits have to add up to."""
+    """(rule, key); ``totals`` (rollup_id, queries) are the day's rollups, one row each, which the hits have to add up to.
+
+    Every table is read once: a hit counts for itself, for its user and for its rollup, all in one grouping."""
+    text, none = "string", F.lit(None)
+    mark = lambda kind, user=none, rollup=none, cid=none: F.struct(F.lit(kind).alias("kind"), user.cast(text).alias("client_id"), rollup.cast(text).alias("rollup_id"), cid.cast(text).alias("cid"))
+    user, rollup = F.col("client_id"), F.col("rollup_id")
+    odd = F.size(F.array_except("polarities", F.lit(allowed))) > 0
+    marks = hits.select(F.lit(1).alias("hit"), "queries", odd.alias("odd"), F.inline(F.array(mark("hit", user, rollup, F.col("cid")), mark("user", user), mark("rollup", none, rollup))))
+    for kind, df, key in (("user", users, mark("user", user)), ("rollup", rollups, mark("rollup", none, rollup))):
+        marks = marks.unionByName(df.select(F.lit(1).alias(f"known_{kind}"), F.inline(F.array(key))), True)
+    if totals is not None:
+        marks = marks.unionByName(totals.select(F.lit(1).alias("day"), F.col("queries").alias("day_queries"), F.inline(F.array(mark("rollup", none, rollup)))), True)
+    counted = ["hit", "known_user", "known_rollup", *(["day"] if totals is not None else [])]
+    sums = [F.sum("queries").alias("hit_queries"), *([F.sum("day_queries").alias("day_queries")] if totals is not None else [])]
+    groups = marks.groupBy("kind", "client_id", "rollup_id", "cid").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted], *sums, _times(F.col("queries") <= 0, "low"), _times(F.col("odd"), "odd"))
+    of = lambda kind, n: F.when(F.col("kind") == kind, n)
+    unknown = lambda kind, key: of(kind, F.when((F.col(f"known_{kind}") == 0) | key.isNull(), F.col("hit")))
     found = [
-        _rule(users.filter(~F.col("client_id").rlike(HEX64)), "user key form", "client_id"), _rule(hits.join(users, "client_id", "left_anti"), "unknown user", "client_id"), _rule(hits.join(rollups, "rollup_id", "left_anti"), "unknown rollup", "rollup_id"),
-        _rule(hits.filter("queries <= 0"), "count not positive", "rollup_id"), _rule(hits.filter(F.size(F.array_except("polarities", F.lit(allowed))) > 0), "polarity", "rollup_id"),
-        _rule(hits.groupBy("client_id", "rollup_id", "cid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated", "rollup_id"),
+        ("user key form", "client_id", of("user", F.when(~user.rlike(HEX64), F.col("known_user")))), ("unknown user", "client_id", unknown("user", user)), ("unknown rollup", "rollup_id", unknown("rollup", rollup)),
+        ("count not positive", "rollup_id", of("hit", F.col("low"))), ("polarity", "rollup_id", of("hit", F.col("odd"))), ("repeated", "rollup_id", of("hit", F.col("hit") > 1)),
     ]
     if totals is not None:
-        sums = hits.groupBy("rollup_id").agg(F.sum("queries").alias("hit_queries")).join(totals.select("rollup_id", F.col("queries").alias("day_queries")), "rollup_id", "full_outer")
-        found.append(_rule(sums.filter(~F.col("hit_queries").eqNullSafe(F.col("day_queries"))), "day sum", "rollup_id"))
-    return _all(found)
+        summed = (F.col("hit") + F.col("day") > 0) & ~F.col("hit_queries").eqNullSafe(F.col("day_queries"))
+        found.append(("day sum", "rollup_id", of("rollup", summed)))
+    return _broken(groups, found)
 
 
 def candidate_table(rows: DataFrame, most: int = 200, min_users: int = 5, min_sessions: int = 8, growth_users: int = 3, min_growth: float = 3.0) -> DataFrame:
@@ -384,13 +449,13 @@ def labels(rows: DataFrame, domains: dict[str, list], annotators: tuple[str, str
 
 def aligned_labels(rows: DataFrame, key: str, entities: str, lists: dict[str, list[str]], provenance: tuple[str, str] | None = None) -> DataFrame:
     """P25: (rule, key): reviewed rows with a repeated entity, with label lists (arrays beside the entities) of another length or outside
-    their domain, or of another provenance (column, wanted value)."""
-    found = [_rule(rows.filter(F.size(F.array_distinct(entities)) != F.size(entities)), "entity repeated", key)]
+    their domain, or of another provenance (column, wanted value); one pass over the rows."""
+    found = [("entity repeated", key, F.size(F.array_distinct(entities)) != F.size(entities))]
     for column, domain in lists.items():
-        found += [_rule(rows.filter(F.size(column) != F.size(entities)), f"{column}: length", key), _rule(rows.filter(F.size(F.array_except(column, F.lit(domain))) > 0), f"{column}: domain", key)]
+        found += [(f"{column}: length", key, F.size(column) != F.size(entities)), (f"{column}: domain", key, F.size(F.array_except(column, F.lit(domain))) > 0)]
     if provenance:
-        found.append(_rule(rows.filter(~F.col(provenance[0]).eqNullSafe(F.lit(provenance[1]))), "provenance", key))
-    return _all(found)
+        found.append(("provenance", key, ~F.col(provenance[0]).eqNullSafe(F.lit(provenance[1]))))
+    return _broken(rows, found)
 
 
 def ranks(rows: DataFrame, by: list[str], rank: str, order: list[Column]) -> DataFrame:

@@ -226,3 +226,53 @@ def test_segment_query_takes_one_to_four_known_groups(spark):
     for wrong in ([], [("a",)] * 2, [("z",)]):
         with pytest.raises(ValueError):
             ask(*wrong)
+
+
+def _rules(df):
+    return sorted(((r["rule"], r["key"]) for r in df.collect()), key=repr)
+
+
+def test_identity_audit_counts_every_row_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(audit, "UNFOLD", 2)  # groups that break a rule more often than an array may hold
+    rows = [(None, 3, "u", "s"), (None, 3, "v", "s"), ("a", 5, "", None), ("b", 6, None, "t")] + [("c", 9, "", "t")] * 5
+    df = spark.createDataFrame(rows, "id string, source_row long, client_id string, cid string")
+    want = [("id repeated", None), ("id repeated", "c"), ("long session", "t"), ("no session", "5"), *[("no user", "5"), ("no user", "6")], *[("no user", "9")] * 5, ("row repeated", "3"), ("row repeated", "9"), ("rows have gaps", "9"), ("several users", "s")]
+    assert sorted(_rules(audit.identity(df, 1, 4)), key=repr) == sorted(want, key=repr)
+    assert audit.identity(df.limit(0)).isEmpty()
+    assert audit.identity(df)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + audit.identity(df)._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1  # one scan
+
+
+def test_contributions_audit_counts_every_hit(spark, monkeypatch):
+    monkeypatch.setattr(audit, "UNFOLD", 2)
+    key, hit = "a" * 64, "client_id string, rollup_id string, cid string, queries long, polarities array<string>"
+    hits = spark.createDataFrame([(key, "r", "1", 2, ["good"]), (key, "r", "1", 0, ["odd"]), *[("b" * 64, "x", str(i), 1, ["good"]) for i in range(5)], (None, None, "9", 1, [])], hit)
+    users, rollups = spark.createDataFrame([(key,), ("short",), (None,)], "client_id string"), spark.createDataFrame([("r",), ("y",)], "rollup_id string")
+    totals = spark.createDataFrame([("r", 2), ("x", 4), ("y", 0)], "rollup_id string, queries long")
+    got = sorted(_rules(audit.contributions(users, hits, rollups, ["good"], totals)), key=repr)
+    b = "b" * 64
+    want = [("user key form", "short"), *[("unknown user", b)] * 5, ("unknown user", None), *[("unknown rollup", "x")] * 5, ("unknown rollup", None), ("count not positive", "r"), ("polarity", "r"), ("repeated", "r"), ("day sum", "x"), ("day sum", "y"), ("day sum", None)]
+    assert got == sorted(want, key=repr)
+    assert audit.contributions(users.limit(0), hits.limit(0), rollups.limit(0), ["good"], totals.limit(0)).isEmpty()
+
+
+def test_directions_audit_without_rows(spark):
+    directions = spark.createDataFrame([], "direction string, sessions long, turns long, reply_sessions long, share double")
+    coverage = spark.createDataFrame([(2, 1, 0, 2 / 3)], "classified long, unlabelled long, unsupported long, coverage double")
+    groups = spark.createDataFrame([("startPrompt", 3, 4, 1), ("other", 9, 9, 0)], "category string, sessions long, total_turns long, reply_sessions long")
+    assert _rules(audit.opening_directions(directions, coverage, groups)) == [("directions are not the classified", "0")]
+    own = spark.createDataFrame([("night", 2, 3, 1, 2 / 3)], directions.schema)
+    assert audit.opening_directions(own, coverage, groups).isEmpty()
+    assert audit.opening_directions(directions, coverage.limit(0), groups.limit(0)).isEmpty()
+    assert _rules(audit.opening_directions(own.union(own), coverage, groups)) == [("directions are not the classified", "4"), ("more than the group", "4"), ("repeated", "night")]
+
+
+def test_profile_audit_counts_every_item(spark):
+    section = spark.createDataFrame([("g", 5, 3, 0.6), ("h", 1, 2, 2.0)], "part string, eligible_users long, normal_users long, coverage double")
+    statuses = spark.createDataFrame([("g", "normal", 3), ("g", "other", 2), ("h", "other", -1), ("h", "other", 2)], "part string, status string, users long")
+    kind = "part string, label string, users long, sessions long, turns long, five_plus_sessions long, user_share double, average double, five_plus_share double, sample_status string"
+    label = audit.sample_label(F.col("users"))
+    items = spark.createDataFrame([("g", "x", 3, 6, 12, 3, 1.0, 2.0, 0.5, None), ("h", "y", 1, 1, 1, 2, 0.5, 1.0, 2.0, None), ("h", "y", 1, 2, 2, 0, 0.1, 1.0, 0.0, None)], kind).withColumn("sample_status", label)
+    statuses = statuses.withColumn("status", F.when(F.col("status") == "normal", audit.NORMAL).otherwise(F.col("status")))
+    want = [("counts", "h"), ("item counts", "y"), ("label repeated", "h"), ("normal status", "h"), ("status count", "h"), ("status repeated", "h"), ("user share", "y")]
+    assert _rules(audit.profile_section(section, statuses, items, "part")) == want
+    assert audit.profile_section(section.limit(0), statuses.limit(0), items.limit(0), "part").isEmpty()
