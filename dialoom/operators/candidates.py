@@ -121,8 +121,19 @@ def ranked(stats: DataFrame, limit: int = 200) -> DataFrame:
     return stats.orderBy(F.desc("users"), F.desc("sessions"), F.desc("query_count"), "norm").limit(limit)
 
 
+def page_after(stats: DataFrame, last: dict | None, limit: int) -> DataFrame:
+    """The next ``limit`` rows after the last row of the page before (users, sessions, query_count, norm; None for the first page).
+
+    Rows up to that row are filtered away, so what is sorted is one page of each task; a page does not move if earlier rows are added. Counts and
+    norm are never null."""
+    if last is not None:
+        place = F.struct(-F.col("users"), -F.col("sessions"), -F.col("query_count"), "norm")
+        stats = stats.filter(place > F.struct(*[F.lit(-last[c]).cast("long") for c in ("users", "sessions", "query_count")], F.lit(last["norm"])))
+    return ranked(stats, limit)
+
+
 def page(stats: DataFrame, offset: int, limit: int) -> DataFrame:
-    """W10."""
+    """W10 by number; ``page_after`` sorts less."""
     return stats.orderBy(F.desc("users"), F.desc("sessions"), F.desc("query_count"), "norm").offset(offset).limit(limit)
 
 

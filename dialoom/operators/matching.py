@@ -19,6 +19,7 @@ from dialoom.functions.rules import CLAUSE_BREAK, NEXT_PREDICATE
 from dialoom.functions.text import PUNCTUATION, normalize_text
 
 BREAK, PREDICATE = re.compile(CLAUSE_BREAK), re.compile(NEXT_PREDICATE)
+WORD = re.compile(r"\w")
 STRIPPED = re.compile(PUNCTUATION.removeprefix("(?U)"))
 HITS = "array<struct<rank:int,entity_id:string,normalized:string,start:int,stop:int>>"
 
@@ -39,25 +40,45 @@ def ordered(aliases: list[Alias]) -> list[Alias]:
     return sorted(kept, key=lambda a: (a.mode != "pattern", -len(a.normalized)))
 
 
+def required(pattern: str) -> str:
+    """The longest run of characters that every text which matches the pattern holds in its normal form; '' if none is known. An i is left out, as
+    without case it is a dotless one too."""
+    best = run = ""
+    for kind, value in re._parser.parse(pattern):
+        c = chr(value).casefold() if kind is re._constants.LITERAL else ""
+        run = run + c if len(c) == 1 and c != "i" and (c.isascii() or c == c.upper()) else ""
+        best = max(best, run, key=len)
+    return best
+
+
 class Matcher:
-    """One pass over a text for all aliases: an automaton for substrings, a table for exact ones, patterns one by one."""
+    """One pass over a text for all aliases: an automaton for substrings and for what patterns require, one for tokens, a table for exact ones.
+
+    Only patterns whose required characters are in the text are tried, and those that require none."""
 
     def __init__(self, aliases: list[Alias]):
         import ahocorasick
 
         self.aliases = ordered(aliases)
-        self.automaton, self.exact, self.other = ahocorasick.Automaton(), {}, []
-        places: dict[str, list[int]] = {}
+        self.automaton, self.tokens, self.exact, self.patterns, self.free = ahocorasick.Automaton(), ahocorasick.Automaton(), {}, {}, []
+        places: dict[str, tuple[list[int], list[int]]] = {}
+        words: dict[str, list[int]] = {}
         for rank, a in enumerate(self.aliases):
             if a.mode == "exact":
                 self.exact.setdefault(a.normalized, []).append(rank)
-            elif a.mode in ("token", "pattern"):
-                self.other.append((rank, re.compile(rf"(?<!\w){re.escape(a.value.casefold())}(?!\w)" if a.mode == "token" else f"^(?:{a.value})$", re.I if a.mode == "pattern" else 0)))
-            elif a.normalized:
-                places.setdefault(a.normalized, []).append(rank)
-        for text, ranks in places.items():
-            self.automaton.add_word(text, (len(text), ranks))
-        self.automaton.make_automaton()
+            elif a.mode == "token" and a.value:
+                words.setdefault(a.value.casefold(), []).append(rank)
+            elif a.mode == "pattern":
+                self.patterns[rank] = re.compile(f"^(?:{a.value})$", re.I)
+                held = required(a.value)
+                places.setdefault(held, ([], []))[1].append(rank) if held else self.free.append(rank)
+            elif a.mode not in ("token", "pattern") and a.normalized:
+                places.setdefault(a.normalized, ([], []))[0].append(rank)
+        for text, (ranks, tried) in places.items():
+            self.automaton.add_word(text, (len(text), ranks, tried))
+        for text, ranks in words.items():
+            self.tokens.add_word(text, (len(text), ranks))
+        self.automaton.make_automaton(), self.tokens.make_automaton()
 
     def read(self, text: str | None) -> tuple[str, list[dict], list[str]]:
         """The normal form, the greedy hits and the clause of each, from one pass."""
@@ -71,11 +92,18 @@ class Matcher:
         folded = unicodedata.normalize("NFKC", text).casefold()
         norm = STRIPPED.sub("", folded)
         found = {rank: (0, len(norm)) for rank in self.exact.get(norm, ())}
-        for end, (size, ranks) in self.automaton.iter(norm) if len(self.automaton) else ():
+        tried = set(self.free)
+        for end, (size, ranks, patterns) in self.automaton.iter(norm) if len(self.automaton) else ():
+            tried.update(patterns)
             for rank in ranks:
                 found.setdefault(rank, (end - size + 1, end + 1))
-        for rank, pattern in self.other:
-            m = pattern.search(folded if self.aliases[rank].mode == "token" else norm)
+        for end, (size, ranks) in self.tokens.iter(folded) if len(self.tokens) else ():
+            start, stop = end - size + 1, end + 1
+            if not (WORD.match(folded, start - 1, start) if start else None) and not WORD.match(folded, stop):
+                for rank in ranks:
+                    found.setdefault(rank, (start, stop))
+        for rank in tried:
+            m = self.patterns[rank].search(norm)
             if m:
                 found[rank] = m.span()
         fits = lambda a: a.policy != "context" or any(t in norm for t in a.terms)
@@ -194,11 +222,16 @@ def ancestors(entities: DataFrame) -> DataFrame:
     return zero.unionByName(up.withColumn("depth", F.lit(1))).unionByName(two.withColumn("depth", F.lit(2)))
 
 
-def rollup_members(entities: DataFrame, matched: DataFrame, standalone_types: list[str]) -> DataFrame:
-    """(rollup_id, entity_id): public parents with their matched public descendants and themselves, and public standalone entities."""
+def rollup_members(entities: DataFrame, matched: DataFrame | None, standalone_types: list[str]) -> DataFrame:
+    """(rollup_id, entity_id): public parents with their matched public descendants and themselves, and public standalone entities.
+
+    Without ``matched`` all of them, from the dictionary alone: enough where the members are joined with the mentions anyway."""
     public = entities.filter("visibility = 'public'")
     parents = public.filter("parent_id is not null").select(F.col("parent_id").alias("entity_id")).distinct().join(public.select("entity_id"), "entity_id", "left_semi")
     closure = ancestors(public)
     family = closure.join(parents.select(F.col("entity_id").alias("ancestor_id")), "ancestor_id", "left_semi").select(F.col("ancestor_id").alias("rollup_id"), "entity_id")
     lone = public.filter(F.col("parent_id").isNull() & F.col("type").isin(*standalone_types)).join(parents, "entity_id", "left_anti").select(F.col("entity_id").alias("rollup_id"), "entity_id")
-    return family.unionByName(lone).join(matched.select("entity_id").distinct(), "entity_id", "left_semi").select("rollup_id", "entity_id").distinct()
+    members = family.unionByName(lone)
+    if matched is not None:
+        members = members.join(matched.select("entity_id").distinct(), "entity_id", "left_semi")
+    return members.select("rollup_id", "entity_id").distinct()

@@ -149,7 +149,7 @@ P15 = f"{v.V3}, e AS (SELECT entity_id, count(DISTINCT query) AS q FROM m GROUP
 @query(f"WITH {P15} SELECT 'entities' AS \"table\", entity_id AS key, 'queries' AS columns FROM e WHERE q % 5 = 0 UNION ALL SELECT 'counters', 'all', 'rows' FROM (SELECT count(*) FROM e) UNION ALL SELECT 'structure', CAST(data_date AS VARCHAR), 'total_turns' FROM (SELECT DISTINCT CAST(ts AS DATE) AS data_date FROM events) WHERE day(data_date) = 7")
 def q_audit_p15_tables(spark, d):
     m, t = v.v3_mentions(spark, d), v.v2_turns(spark, d)
-    members = v.v3_members(spark, d)
+    members = v.v3_members(spark, d, False)
     entities = interest.entity_metrics(m).select("entity_id", (F.col("queries") + F.when(F.col("queries") % 5 == 0, 1).otherwise(0)).alias("queries"), "mention_users")
     rollups = interest.rollup_metrics(m, members).select("rollup_id", "queries", "mention_users")
     structure = sessions.session_structure(t, "data_date").select("data_date", (F.col("total_turns") + F.when(F.dayofmonth("data_date") == 7, 1).otherwise(0)).alias("total_turns"), "total_sessions")
@@ -201,6 +201,19 @@ def q_match_modes(spark, d):
     return out.select("event_id", F.coalesce("hit.entity_id", F.lit("none")).alias("entity_id"), F.coalesce(F.col("hit.stop") + F.when(F.col("hit.entity_id") == "T", 1).otherwise(0), F.lit(0)).alias("stop"))
 
 
+@query("""WITH e AS (SELECT event_id, event_type, event_id % 4 AS k FROM events),
+ a AS (SELECT event_id, 'E' AS entity_id, 0 AS start, 4 AS stop FROM e WHERE event_type = 'view' AND k IN (0, 2) UNION ALL SELECT event_id, 'T', 0, 5 FROM e WHERE event_type = 'click' AND k IN (0, 2) UNION ALL SELECT event_id, 'T', 2, 7 FROM e WHERE event_type = 'click' AND k = 1
+ UNION ALL SELECT event_id, 'P', 0, 8 FROM e WHERE event_type = 'purchase' AND k IN (0, 2) UNION ALL SELECT event_id, 'S', CASE WHEN k = 1 THEN 1 ELSE 0 END, CASE WHEN k = 1 THEN 7 ELSE 6 END FROM e WHERE event_type = 'signup')
+ SELECT event_id, entity_id, start, stop FROM a""")
+def q_match_every_mode(spark, d):
+    """All hits of exact, token, pattern and substring aliases, those that would be of the wrong place or mode too."""
+    aliases = [matching.Alias("E", "view", "view", "exact"), matching.Alias("T", "click", "click", "token"), matching.Alias("P", "p.r.h.s.", "p.r.h.s.", "pattern"), matching.Alias("S", "signup", "signup"), matching.Alias("C", "error", "error", policy="candidate")]
+    k = F.col("event_id") % 4
+    said = F.when(k == 1, F.concat(F.lit("a "), "event_type", F.lit("!"))).when(k == 3, F.concat("event_type", F.lit("s"))).otherwise(F.col("event_type"))
+    hits = v.table(spark, d, "events").select("event_id", F.explode(matching.hits_of(said, aliases, False)).alias("hit"))
+    return hits.select("event_id", "hit.entity_id", "hit.start", "hit.stop")
+
+
 @query(f"WITH {SEG} {DENSE} SELECT gender AS gender_label, region, brand, CAST(row_number() OVER (PARTITION BY gender, region ORDER BY interest_users DESC, brand) AS INTEGER) AS position, round((coverage - overall) * 100, 6) AS difference_points, CASE WHEN eligible_users >= 30 THEN 'describable' ELSE 'small_sample' END AS sample FROM di")
 def q_age_gender_shape(spark, d):
     rows = interest.age_gender_view(_dense_interest(spark, d), {"none": "?"}, "region", "gender", "brand")

@@ -358,6 +358,18 @@ def q_candidate_page(spark, d):
     return candidates.page(candidates.eligible(candidates.aggregate_candidates(_found(spark, d))), 20, 10).select("norm", "users")
 
 
+@query("""WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS norm, count(*) AS users, count(DISTINCT o_orderstatus) AS sessions, count(DISTINCT o_orderpriority) AS query_count FROM orders GROUP BY o_custkey)
+ SELECT norm, users, sessions, query_count FROM s ORDER BY users DESC, sessions DESC, query_count DESC, norm LIMIT 25 OFFSET 50""")
+def q_page_after(spark, d):
+    """The third page of customers by orders, reached from the last row of the page before."""
+    o = v.table(spark, d, "orders")
+    stats = o.groupBy(F.col("o_custkey").cast("string").alias("norm")).agg(F.count(F.lit(1)).alias("users"), F.count_distinct("o_orderstatus").alias("sessions"), F.count_distinct("o_orderpriority").alias("query_count"))
+    last = None
+    for _ in range(2):
+        last = candidates.page_after(stats, last, 25).orderBy(F.asc("users"), F.asc("sessions"), F.asc("query_count"), F.desc("norm")).first()
+    return candidates.page_after(stats, last, 25).select("norm", "users", "sessions", "query_count")
+
+
 @query(f"WITH {CAND} SELECT norm, users, sessions, query_count FROM ca ORDER BY users DESC, sessions DESC, query_count DESC, norm LIMIT 200")
 def q_candidate_top(spark, d):
     return candidates.ranked(candidates.aggregate_candidates(_found(spark, d))).select("norm", "users", "sessions", "query_count")

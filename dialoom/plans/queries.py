@@ -423,7 +423,7 @@ YEAR = "data_date >= DATE '1997-01-01' AND data_date < DATE '1998-01-01'"
 
 
 def _hits(spark, d):
-    return periods.contribution_hits(v.v3_mentions(spark, d), v.v3_members(spark, d))
+    return periods.contribution_hits(v.v3_mentions(spark, d), v.v3_members(spark, d, False))
 
 
 def _user_days(spark, d):

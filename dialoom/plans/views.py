@@ -130,7 +130,7 @@ def v3_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable_profile(v3_profile_rows(spark, sf_dir), [*DIMS, "priority"], F.col("is_content"), F.col("unmapped"))
 
 
-def v3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v3_members(spark: SparkSession, sf_dir: str, matched: bool = True) -> DataFrame:
     from dialoom.operators.matching import rollup_members
 
-    return rollup_members(v3_entities(spark, sf_dir), v3_mentions(spark, sf_dir).select("entity_id"), STANDALONE)
+    return rollup_members(v3_entities(spark, sf_dir), v3_mentions(spark, sf_dir) if matched else None, STANDALONE)
