@@ -272,6 +272,21 @@ def q_replaced_days(spark, d):
     return sinks.stored(spark, path).select("event_id", "data_date", "value")
 
 
+@query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS data_date, CASE WHEN day(ts) % 2 = 0 THEN value * 2 ELSE value END AS value FROM events WHERE day(ts) % 5 <> 0 AND NOT (day(ts) % 2 = 0 AND event_id % 3 = 0)")
+def q_published_days(spark, d):
+    """All days published, the even ones again with fewer and other rows and every fifth without any, then a run whose audit fails."""
+    e = v.table(spark, d, "events").select(F.col("event_id").cast("long").alias("event_id"), F.to_date("ts").alias("data_date"), "value", F.lit("M1").alias("product"))
+    path, day = shared_path(spark, "published"), F.dayofmonth("data_date")
+    sinks.publish_days(e, path)
+    again = e.filter((day % 2 == 0) | (day % 5 == 0))
+    sinks.publish_days(again.filter((day % 5 != 0) & (F.col("event_id") % 3 != 0)).withColumn("value", F.col("value") * 2), path, again)
+    try:
+        sinks.publish_days(e.withColumn("value", F.lit(-1.0)), path, audits=lambda rows: [rows.filter("value < 0")])
+    except ValueError:
+        return sinks.published(spark, path).select("event_id", "data_date", "value")
+    raise AssertionError("the audit did not hold the run back")
+
+
 @query("SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ts AS DATE) AS data_date FROM events WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE value > 99)")
 def q_backed_up_days(spark, d):
     """The days that are about to be replaced, copied whole."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,62 @@ def replace_if_changed(df: DataFrame, path: str, by: tuple[str, ...] = DAY) -> b
     return True
 
 
+def pointers(spark: SparkSession, path: str) -> DataFrame | None:
+    """The version that each day of a published table shows, with the digest of its rows; one row for each day, None if nothing was published."""
+    every = stored(spark, f"{path}/pointers")
+    return None if every is None else every.groupBy(*DAY).agg(F.max_by(F.struct("version", "hash_sum", "rows"), "version").alias("last")).select(*DAY, "last.*")
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a published table: of each day those of the version that its pointer names; null days are days too.
+
+    Versions are folders, so those that no pointer names are not read: the list of the versions in use (at most one for each day) picks the folders."""
+    now = pointers(spark, path)
+    if now is None:
+        return None
+    used = [r["version"] for r in now.filter("rows > 0").select("version").distinct().collect()]
+    folders = [f"{path}/versions/v{n:08d}" for n in sorted(used)] or [f"{path}/versions/*"]
+    rows = spark.read.option("basePath", f"{path}/versions").parquet(*folders) if used else spark.read.parquet(*folders).limit(0).withColumn("version", F.lit(0))
+    named = now.select("version", *[F.col(c).alias(f"day_{c}") for c in DAY])
+    same = F.col("in_version") == F.col("version")
+    for c in DAY:
+        same &= F.col(c).eqNullSafe(F.col(f"day_{c}"))
+    return rows.withColumnRenamed("version", "in_version").join(F.broadcast(named), same, "left_semi").drop("in_version")  # one row for each day
+
+
+def publish_days(df: DataFrame, path: str, days: DataFrame | None = None, audits: Callable[[DataFrame], list[DataFrame]] | None = None) -> int | None:
+    """Write, audit, then publish. The days' rows are written as a version of their own and read back, the audits run on what was
+    written, and only then one committed file of pointers makes all days show them at once. A run that is killed before leaves the old days as they are;
+    its version is never read, and the next run writes over it.
+
+    ``days`` (product, data_date) are the days the run covers; one of them without rows is empty afterwards. Days whose digest is that of the stored
+    rows get no new pointer. Gives the version, or None if no day changed. One run at a time may publish to a path."""
+    spark, old = df.sparkSession, pointers(df.sparkSession, path)
+    version = 1 if old is None else old.agg(F.max("version")).first()[0] + 1
+    folder = f"{path}/versions/v{version:08d}"
+    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c not in DAY]), F.lit(16))
+    df.withColumn("version", F.lit(version)).repartition(*[F.col(c) for c in DAY], deal).write.mode("overwrite").parquet(folder)
+    written = spark.read.parquet(folder).drop("version")
+    if audits is not None and any(not a.isEmpty() for a in audits(written)):
+        raise ValueError("an audit has violations; nothing was published")
+    new = periods.table_digest(written.select(*sorted(written.columns)), *DAY)
+    if days is not None:
+        own = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DAY])
+        empty = days.select(*DAY).distinct().withColumn("own", own).join(new.select(own.alias("own")), "own", "left_anti").drop("own")
+        new = new.unionByName(empty.withColumns({"hash_sum": F.lit(0).cast("decimal(38,0)"), "rows": F.lit(0).cast("long")}))
+    if old is not None:
+        key = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*DAY, "hash_sum", "rows")]
+        new = new.alias("n").join(old.alias("o"), key, "left_anti")
+    new = new.select(*DAY, F.lit(version).alias("version"), F.col("hash_sum").cast("decimal(38,0)").alias("hash_sum"), F.col("rows").cast("long").alias("rows")).coalesce(1).persist()  # one row for each day
+    try:
+        if new.isEmpty():
+            return None
+        new.write.mode("append").parquet(f"{path}/pointers")
+        return version
+    finally:
+        new.unpersist()
+
+
 def backup_days(spark: SparkSession, path: str, days: DataFrame, target: str) -> None:
     """Copy the partitions that are about to be replaced."""
     old = stored(spark, path)

@@ -276,3 +276,27 @@ def test_profile_audit_counts_every_item(spark):
     want = [("counts", "h"), ("item counts", "y"), ("label repeated", "h"), ("normal status", "h"), ("status count", "h"), ("status repeated", "h"), ("user share", "y")]
     assert _rules(audit.profile_section(section, statuses, items, "part")) == want
     assert audit.profile_section(section.limit(0), statuses.limit(0), items.limit(0), "part").isEmpty()
+
+
+def test_days_are_published_at_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    make = lambda rows: spark.createDataFrame(rows, "product string, data_date date, n long")
+    seen = lambda: sorted(((r["product"], r["data_date"].day, r["n"]) for r in sinks.published(spark, path).collect()), key=repr)
+    assert sinks.published(spark, path) is None
+    first = make([("M1", D(2026, 8, 1), 1), ("M1", D(2026, 8, 2), 2), (None, D(2026, 8, 2), 7)])
+    assert sinks.publish_days(first, path) == 1 and sinks.publish_days(first, path) is None
+    # a run that ends between write and publish leaves the old days readable, and the next one takes its place
+    with monkeypatch.context() as m:
+        m.setattr(sinks.periods, "table_digest", lambda *a: 1 / 0)
+        try:
+            sinks.publish_days(make([("M1", D(2026, 8, 1), 9)]), path)
+        except ZeroDivisionError:
+            pass
+    assert seen() == sorted([("M1", 1, 1), ("M1", 2, 2), (None, 2, 7)], key=repr)
+    again = make([("M1", D(2026, 8, 2), 2), ("M1", D(2026, 8, 3), 3), ("M1", D(2026, 8, 3), 3)])
+    assert sinks.publish_days(again, path, make([("M1", D(2026, 8, k), 0) for k in (1, 2, 3, 4)])) == 2
+    assert seen() == sorted([("M1", 2, 2), ("M1", 3, 3), ("M1", 3, 3), (None, 2, 7)], key=repr)
+    assert {(r["data_date"].day, r["version"], r["rows"]) for r in sinks.pointers(spark, path).filter("product = 'M1'").collect()} == {(1, 2, 0), (2, 1, 1), (3, 2, 2), (4, 2, 0)}
+    nothing = make([])
+    assert sinks.publish_days(nothing, path, first.unionByName(again)) == 3 and seen() == []
+    assert sinks.publish_days(nothing, path) is None
