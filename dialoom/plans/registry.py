@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dialoom.plans import check_queries, dialogue_queries, queries as plain  # noqa: F401  (the first two register their own)
+from dialoom.plans import check_queries, dialogue_queries, period_queries, queries as plain  # noqa: F401  (the first three register their own)
 
 FLAGSHIP = "q_entity_metrics"
 

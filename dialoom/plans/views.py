@@ -67,14 +67,14 @@ g AS (SELECT *, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 13 = 1 THEN 'unsupported
   ELSE ['knowledge','operation','preference','unfinished_topic','birthday','anniversary','holiday','night','fallback','general_interest'][k % 10 + 1] END AS found FROM f WHERE category = 'startPrompt')"""
 
 
-def v3_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions of orders: user = customer, session = order, query = order line, entity = part."""
+def v3_mentions(spark: SparkSession, sf_dir: str, day: str = "o_orderdate") -> DataFrame:
+    """Mentions of orders: user = customer, session = order, query = order line, entity = part; ``day`` is the column that dates them."""
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     signal = F.when(F.col("l_returnflag") == "A", "initiation").when(F.col("l_returnflag") == "N", "continuation").otherwise("passive")
     polarity = F.when(F.col("l_discount") == 0, "mixed").when((F.col("l_linestatus") == "O") & (F.col("l_discount") > 0.055), "positive").when((F.col("l_linestatus") == "F") & (F.col("l_discount") > 0.075), "negative").otherwise("neutral")
     joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(F.col("l_partkey").cast("string").alias("entity_id"), F.col("o_custkey").cast("string").alias("client_id"), F.col("o_orderkey").cast("string").alias("cid"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("query"),
-                         signal.alias("signal"), polarity.alias("polarity"), F.to_date("o_orderdate").alias("data_date"))
+                         signal.alias("signal"), polarity.alias("polarity"), F.to_date(day).alias("data_date"))
 
 
 V3 = """

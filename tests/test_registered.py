@@ -12,7 +12,7 @@ SF = Path("/root/testdata/sf0.001")
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}
 #: A cross-section by group, to keep the run short; every other query is compared in the same way at sf0.01 by the driver.
 NAMES = ["q_session_structure", "q_opening_groups", "q_opening_directions", "q_retention", "q_entity_metrics", "q_rollup_metrics", "q_segment_overall", "q_segment_top10", "q_period_metrics", "q_candidate_baseline", "q_two_factor", "q_stratified_sample", "q_match_greedy", "q_routes", "q_candidates_multi_day", "q_audit_p18_dictionary",
-         "q_context_fold", "q_context_chain", "q_signals_carried", "q_safe_turn_lists", "q_candidates_mined", "q_stable_pseudonym", "q_turn_export", "q_raw_export", "q_replaced_days", "q_backed_up_days", "q_unchanged_days"]
+         "q_context_fold", "q_context_chain", "q_signals_carried", "q_safe_turn_lists", "q_candidates_mined", "q_stable_pseudonym", "q_turn_export", "q_raw_export", "q_replaced_days", "q_backed_up_days", "q_unchanged_days", "q_period_words", "q_period_words_backfill"]
 
 
 @pytest.fixture(scope="module")
