@@ -19,18 +19,19 @@ from dialoom.sources.shared import saved
 USER, SESSION = ("client_id",), ("client_id", "cid")
 
 
-def numbered(rows: DataFrame, key: tuple[str, ...], known: DataFrame | None = None) -> DataFrame:
-    """(key, number) of all keys; keys of ``known`` keep their numbers, new ones come after them, those with most rows first, so that busy users share words.
+def numbered(rows: DataFrame, key: tuple[str, ...], known: DataFrame | None = None, near: tuple[str, ...] = ()) -> DataFrame:
+    """(key, number) of all keys; keys of ``known`` keep their numbers, new ones come after them, in the order of their smallest values in the columns
+    ``near`` (sessions of one rollup and day share words), then those with most rows first (busy users share words).
 
     The numbers are written once: they are positions in a sorted table, with gaps, and so need no single task.
     """
-    new = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("weight"))
+    new = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.lit(0).alias("none"), *near)).alias("place"))
     first = 0
     if known is not None:
         new = new.alias("n").join(known.alias("k"), _same("n", "k", key), "left_anti")
         top = known.agg(F.max("number")).first()[0]
         first = 0 if top is None else (top // 64 + 1) * 64
-    order = [F.desc("weight"), *[F.col(c) for c in key]]
+    order = [F.col("place"), F.desc("weight"), *[F.col(c) for c in key]]
     found = saved(new.orderBy(*order).select(*key, (F.monotonically_increasing_id() + F.lit(first)).alias("number")), "numbers")
     return found if known is None else known.select(*found.columns).unionByName(found)
 

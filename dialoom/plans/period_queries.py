@@ -25,7 +25,7 @@ def _shipped(spark, d):
 
 def _words(hits, *by):
     """The hits' users and sessions numbered, and their words by day."""
-    users, sessions = day_words.numbered(hits, day_words.USER), day_words.numbered(hits, day_words.SESSION)
+    users, sessions = day_words.numbered(hits, day_words.USER), day_words.numbered(hits, day_words.SESSION, near=("rollup_id", "data_date"))
     return day_words.user_words(hits, users, *by), day_words.session_words(hits, sessions, *by)
 
 
