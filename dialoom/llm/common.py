@@ -84,6 +84,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(saved: DataFrame) -> None:
+    """Delete the files of a saved table that nothing reads any more; lazy plans over it must not be left."""
+    spark = saved.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in saved.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def packed(docs: DataFrame, *used: str) -> DataFrame:
     """The used columns and all others in one struct, so that no column of an operator can meet one of the same name."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in used]

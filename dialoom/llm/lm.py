@@ -6,10 +6,12 @@ attention layer over the window adds. Both factors' tables come from discounted
 all training texts. Texts are lower-cased words joined by one space and closed by an end id. The probability of a word is
 three quarters that of its ids and one quarter its share of the training tokens (of common words; the rest of that quarter is not given out).
 Where the ``ORDER`` words before it were followed twice or more by one word in training, that word gets up to ``TRUST`` of the
-probability. This memory of the corpus grows with it and is joined by shuffle; it looks at contexts whose hash is a multiple of ``KEPT``.
+probability. This memory of the corpus grows with it: every context of every text is counted and looked up, dealt by hash in ``buckets`` of
+some ``BUCKET`` words. A context is known by its bucket and 48 bits. Common contexts (a 5,000th of the training words or more) are looked up in the tasks;
+of the others those that a bit array of the memory's contexts excludes are not sent, which loses none of the memory's own.
 The score is the log10 probability of the whole word sequence.
 
-Training. One pass over the training documents counts words, ids, pairs of ids and contexts and keeps every window. The attention
+Training. One pass over the training documents counts words, ids and pairs of ids and keeps every window. The attention
 weights are trained data-parallel: in each of ``ROUNDS`` rounds every partition runs Adam from the same weights over that round's share of
 the windows (by hash, so each window is trained on once), in groups of ``SHUFFLED`` windows that are put in random order, and Spark averages
 the results by rows (index, value), so the driver gets one set of weights whatever the number of partitions and a task holds one group.
@@ -30,14 +32,16 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import crc32_of, hub_join, save, table
+from dialoom.llm import common
+from dialoom.llm.common import crc32_of, discard, lean, save, table
 from dialoom.llm.tokens import batches, encoder
 
 HOT = 1_000_000
@@ -45,6 +49,8 @@ VOCABULARY, END = 50_257, 50_256
 OWN_IN, OWN_OUT, SHARED, SHARED_OUT = 2048, 48, 16, 8
 N_IN, N_OUT = OWN_IN + 2 * SHARED, OWN_OUT + 2 * SHARED_OUT
 ORDER, KEPT, TRUST = 4, 8, 0.9
+BUCKET, LEAST_BUCKETS, BITS = 500_000, 256, 1 << 27
+HELD_WORDS, HELD_DOCS = 2_000_000, 60_000  # of a task, before it gives them away
 WORD_SHARE = 0.25
 WINDOW, OVERLAP, DIM = 32, 8, 16
 SHUFFLED = 16_384
@@ -111,9 +117,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def contexts(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kept contexts of a text (its ids and the number of ids of each word, the end being a word of one id): place of the word after
-    ``ORDER`` others, hash of these, hash of the word."""
+def contexts(ids: np.ndarray, lengths: np.ndarray, part: int | None = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of a text (its ids and the number of ids of each word, the end being a word of one id): place of the word after
+    ``ORDER`` others, hash of these, hash of the word. ``part`` is one of the ``KEPT`` that hashes make, None all of them."""
     n = len(lengths)
     if n <= ORDER:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -124,7 +130,7 @@ def contexts(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     before = np.zeros(n - ORDER, dtype=np.uint64)
     for k in range(ORDER):
         before = _mixed(before + word[k : k + n - ORDER])
-    kept = np.flatnonzero(before % np.uint64(KEPT) == 0)
+    kept = np.arange(n - ORDER) if part is None else np.flatnonzero(before % np.uint64(KEPT) == part)
     return kept + ORDER, before[kept].view(np.int64), word[kept + ORDER].view(np.int64)
 
 
@@ -273,18 +279,17 @@ def train_shard(flat: np.ndarray, bigram: np.ndarray, groups: Iterator[tuple[np.
 
 
 WINDOW_BYTES = 2 * (WINDOW + 1) + WINDOW
-COUNTED = "kind int, word string, id int, n long, window binary, next int, context long, follows long"
+COUNTED = "kind int, word string, id int, n long, window binary, next int"
 
 
 def count_pass(docs: DataFrame, vocabulary: str | None) -> DataFrame:
-    """Rows of training documents (text): words (kind 0), ids (kind 1) and pairs of ids (kind 3) with counts added up in the task, windows (kind 2)
-    and kept contexts with the word that follows (kind 4)."""
+    """Rows of training documents (text): words (kind 0), ids (kind 1) and pairs of ids (kind 3) with counts added up in the task, and windows (kind 2)."""
 
-    def rows(kind: int, words=None, ids=None, n=None, windows=None, after=None, context=None, follows=None) -> pa.RecordBatch:
-        size = len(next(x for x in (words, ids, windows, context) if x is not None))
+    def rows(kind: int, words=None, ids=None, n=None, windows=None, after=None) -> pa.RecordBatch:
+        size = len(next(x for x in (words, ids, windows) if x is not None))
         fill = lambda x, t: pa.array([None] * size if x is None else x, t)
-        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.int32()), fill(words, pa.string()), fill(ids, pa.int32()), fill(n, pa.int64()), fill(windows, pa.binary()), fill(after, pa.int32()), fill(context, pa.int64()), fill(follows, pa.int64())],
-                                          names=["kind", "word", "id", "n", "window", "next", "context", "follows"])
+        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.int32()), fill(words, pa.string()), fill(ids, pa.int32()), fill(n, pa.int64()), fill(windows, pa.binary()), fill(after, pa.int32())],
+                                          names=["kind", "word", "id", "n", "window", "next"])
 
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, ids, n_docs = word_ids(vocabulary), Counter(), np.zeros(VOCABULARY, dtype=np.int64), 0
@@ -301,8 +306,6 @@ def count_pass(docs: DataFrame, vocabulary: str | None) -> DataFrame:
             if len(pairs) > 1_000_000:
                 yield rows(3, ids=pairs // VOCABULARY, n=pair_n, after=pairs % VOCABULARY)
                 pairs, pair_n = pairs[:0], pair_n[:0]
-            known = [contexts(found, np.append(coder.lengths(words), 1))[1:] for words, found in zip(docs_words, encoded, strict=True)]
-            yield rows(4, context=np.concatenate([k[0] for k in known]), follows=np.concatenate([k[1] for k in known]))
             for words, found in zip(docs_words, encoded, strict=True):
                 held.update(words)
                 every, scored = windows_of(found)
@@ -366,49 +369,140 @@ def train(windows: DataFrame, classes: Classes) -> np.ndarray:
     return flat
 
 
-SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, score double, word string, n long, context long, follows long, log_p double"
+def packed(*columns: np.ndarray) -> bytes:
+    return b"".join(c.tobytes() for c in columns)
 
 
-def score_pass(docs: DataFrame, vocabulary: str | None, hot: dict[bytes, float], n_train: int, classes: Classes, flat: np.ndarray) -> DataFrame:
-    """A row for each document, with the share of the hot words in its base score; rows (rid, word, n) of its other words; and rows (rid, context,
-    follows, log_p) of the words after kept contexts."""
+def split(raw: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The columns that ``packed`` put into one value."""
+    n, at, out = len(raw) // sum(np.dtype(k).itemsize for k in kinds), 0, []
+    for k in kinds:
+        out.append(np.frombuffer(raw, k, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+LOW = np.uint64((1 << 48) - 1)
+PAIRS = ("<u4", "<u2", "<u4", "<u4")  # a context's low 32 and next 16 bits, the word that follows, how often
+KNOWN = ("<u4", "<u2", "<u4", "<f4")  # a context, its top word, and the probability it gets
+PLACES = ("<u4", "<u2", "<u4", "<f4", "<u2")  # a context, the word that follows, its log10 probability, and its row from the first on
+
+
+def dealt_by_bucket(context: np.ndarray, n_buckets: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed) of contexts' low bits and the columns beside them, in their order."""
+    bucket = bucket_of(context, n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, context = bucket[order], context[order]
+    columns = [(context & np.uint64(0xFFFFFFFF)).astype("<u4"), ((context >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2"), *[c[order] for c in columns]]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
+    for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+        yield int(bucket[lo]), packed(*[c[lo:hi] for c in columns])
+
+
+def bucket_of(context: np.ndarray, n_buckets: int) -> np.ndarray:
+    return ((context >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int32)
+
+
+def joined_key(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+
+
+class Memory:
+    """What scoring tasks know of the memory: the common contexts, and a bit for each of a run of places in every bucket."""
+
+    def __init__(self, rows: list, n_buckets: int):
+        self.n_buckets, self.width = n_buckets, bits_of(n_buckets)
+        self.bits = np.zeros(n_buckets * self.width // 8, dtype=np.uint8)
+        keys, tops, trusts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.float32)]
+        for r in rows:
+            lo = r["bucket"] * self.width // 8
+            self.bits[lo : lo + self.width // 8] = np.frombuffer(r["bits"], np.uint8)
+            low, high, top, trust = split(r["hubs"], KNOWN)
+            keys.append(joined_key(low, high) * np.uint64(n_buckets) + np.uint64(r["bucket"])), tops.append(top), trusts.append(trust)
+        keys, tops, trusts = (np.concatenate(x) for x in (keys, tops, trusts))
+        order = np.argsort(keys)
+        self.keys, self.tops, self.trusts = keys[order], tops[order], trusts[order]
+
+    def look_up(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of contexts that the memory may hold, those of the common ones, and the common ones' numbers."""
+        bucket, low = bucket_of(context, self.n_buckets), context & LOW
+        place = bucket.astype(np.int64) * self.width + (low % np.uint64(self.width)).astype(np.int64)
+        maybe = np.flatnonzero((self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+        if not len(self.keys):
+            return maybe, maybe[:0], maybe[:0]
+        key = low[maybe] * np.uint64(self.n_buckets) + bucket[maybe].astype(np.uint64)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hub = self.keys[at] == key
+        return maybe[~hub], maybe[hub], at[hub]
+
+
+def bits_of(n_buckets: int) -> int:
+    return max(8, BITS // n_buckets // 8 * 8)
+
+
+def mixture(log_p: np.ndarray, trust: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """What the memory adds to log10 probabilities of words after contexts that it holds."""
+    log_p, trust = log_p.astype(np.float64), trust.astype(np.float64)
+    return np.where(hit, np.log10((1 - trust) * 10.0**log_p + trust) - log_p, np.log10(1 - trust))
+
+
+SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, score double, word string, n long, bucket int, places binary"
+
+
+def score_pass(docs: DataFrame, vocabulary: str | None, hot: dict[bytes, float], n_train: int, classes: Classes, flat: np.ndarray, memory: Broadcast) -> DataFrame:
+    """A row for each document, with the share of the hot words in its base score; rows (rid, word, n) of its other words; and rows (rid, bucket,
+    places) of words after contexts that the memory may hold, for documents from that rid on."""
     kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "log_c": pa.float64(), "score": pa.float64(), "word": pa.string(), "n": pa.int64(),
-             "context": pa.int64(), "follows": pa.int64(), "log_p": pa.float64()}
+             "bucket": pa.int32(), "places": pa.binary()}
 
     def rows(size: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in kinds.items()], names=list(kinds))
 
+    def given(first: int, held: list[tuple[np.ndarray, ...]], n_buckets: int) -> pa.RecordBatch:
+        context, follows, log_p, row = (np.concatenate([h[k] for h in held]) for k in range(4))
+        out = list(dealt_by_bucket(context, n_buckets, [follows, log_p, row]))
+        return rows(len(out), rid=[first] * len(out), bucket=[b for b, _ in out], places=[x for _, x in out])
+
     def score(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, model, rid = word_ids(vocabulary), Attention(flat, classes.bigram), TaskContext.get().partitionId() << 33
+        coder, model, rid, known_contexts = word_ids(vocabulary), Attention(flat, classes.bigram), TaskContext.get().partitionId() << 33, memory.value
         texts = ((i.as_py(), h.as_py(), t.as_py()) for batch in incoming for i, h, t in zip(*batch.columns, strict=True))
         end, share = hot.get(END_WORD.encode(), -1.0), math.log10(max(n_train, 1))
+        held_places, n_held, first = [], 0, rid
         for group in batches(texts, lambda r: len(r[2] or "") + 100, GROUP_CHARS):
             docs_words = [words_of(t) for _, _, t in group]
             encoded = coder.encode(docs_words)
             logs = target_logs(model, classes, [windows_of(x) for x in encoded])
-            out, cold, memory, at = [], [], [], 0
+            out, cold, at = [], [], 0
             for (doc_id, held, _), words, ids in zip(group, docs_words, encoded, strict=True):
                 lengths = np.append(coder.lengths(words), 1)
                 counts = np.array([*[hot.get(w, -1.0) for w in words], end])  # log10(c + 1), -1 if not hot
                 spelled = np.add.reduceat(logs[at : at + len(ids) + 1], np.cumsum(lengths) - lengths)
                 at += len(ids) + 1
                 known = counts >= 0
-                common = np.where(known, np.log10(np.maximum(10.0**counts - 1, 1e-30)) - share, -np.inf)
-                words_log = np.logaddexp((spelled + math.log10(1 - WORD_SHARE)) * LN10, (common + math.log10(WORD_SHARE)) * LN10) / LN10
+                common_log = np.where(known, np.log10(np.maximum(10.0**counts - 1, 1e-30)) - share, -np.inf)
+                words_log = np.logaddexp((spelled + math.log10(1 - WORD_SHARE)) * LN10, (common_log + math.log10(WORD_SHARE)) * LN10) / LN10
                 for w, n in Counter(w for w, k in zip(words, known[:-1].tolist(), strict=True) if not k).items():
                     cold.append((rid, w.decode("utf-8", "replace"), n))
-                where, context, follows = contexts(ids, lengths)
-                memory.append((np.full(len(where), rid), context, follows, words_log[where]))
-                out.append((rid, doc_id, held, len(words) + 1, int(known.sum()), float(counts[known].sum()), float(words_log.sum())))
+                where, context, follows = contexts(ids, lengths, None)
+                context, follows = context.view(np.uint64), follows.astype(np.uint32)
+                maybe, hub, number = known_contexts.look_up(context)
+                gain = float(mixture(words_log[where[hub]], known_contexts.trusts[number], follows[hub] == known_contexts.tops[number]).sum())
+                if len(maybe):
+                    held_places.append((context[maybe], follows[maybe], words_log[where[maybe]].astype("<f4"), np.full(len(maybe), rid - first, "<u2")))
+                    n_held += len(maybe)
+                out.append((rid, doc_id, held, len(words) + 1, int(known.sum()), float(counts[known].sum()), float(words_log.sum()) + gain))
                 rid += 1
+                if n_held > HELD_WORDS or rid - first >= HELD_DOCS:
+                    if held_places:
+                        yield given(first, held_places, known_contexts.n_buckets)
+                    held_places, n_held, first = [], 0, rid
             yield rows(len(out), **{c: [r[k] for r in out] for k, c in enumerate(list(kinds)[:7])})
             if cold:
                 yield rows(len(cold), rid=[r[0] for r in cold], word=[r[1] for r in cold], n=[r[2] for r in cold])
-            found = [np.concatenate([m[k] for m in memory]) for k in range(4)]
-            if len(found[0]):
-                yield rows(len(found[0]), rid=found[0], context=found[1], follows=found[2], log_p=found[3])
+        if held_places:
+            yield given(first, held_places, known_contexts.n_buckets)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(score, SCORED)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(lean(score), SCORED)
 
 
 LN10 = math.log(10)
@@ -426,18 +520,88 @@ def target_logs(model: Attention, classes: Classes, cut: list[tuple[np.ndarray,
     return np.concatenate(out).astype(np.float64) / LN10
 
 
-def context_memory(counted: DataFrame) -> DataFrame:
-    """(context, top, trust, total): the word that most often follows a context, of those that did twice or more, and the probability it gets."""
-    pairs = counted.filter("kind = 4").groupBy("context", "follows").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    found = pairs.groupBy("context").agg(F.max_by("follows", F.struct("c", "follows")).alias("top"), F.max("c").alias("most"), F.sum("c").alias("total"))
-    return found.select("context", "top", (F.lit(TRUST) * F.col("most") / F.col("total")).alias("trust"), "total")
+def by_bucket(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    """Rows of a stream that is sorted by its first column, bucket by bucket."""
+    rows = (r for batch in incoming for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    return groupby(rows, key=lambda r: r[0])
+
 
+def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tuple[DataFrame, int]:
+    """Rows of buckets and the number of buckets. A bucket has its contexts that a word followed twice or more in the texts (``KNOWN``) with the word
+    that most often did and the probability it gets, those of them that are common, and its run of bits."""
+    n_buckets = min(1 << 24, max(LEAST_BUCKETS, n_train // BUCKET))
+    width, least = bits_of(n_buckets), max(common.FEW_ROWS // 200, math.ceil(n_train / common.HUBS))
 
-def remembered(rows: DataFrame, memory: DataFrame, n_rows: int) -> DataFrame:
+    def pairs(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            context, follows = (np.concatenate([h[k] for h in held]) for k in range(2))
+            _, one, n = np.unique(_mixed(context + _mixed(follows.astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
+            out = list(dealt_by_bucket(context[one], n_buckets, [follows[one], n.astype("<u4")]))
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "pairs"])
+
+        coder, held, size = word_ids(vocabulary), [], 0
+        texts = (t.as_py() for batch in incoming for t in batch.column(0))
+        for group in batches(texts, lambda t: len(t or "") + 100, GROUP_CHARS):
+            docs_words = [words_of(t) for t in group]
+            for words, ids in zip(docs_words, coder.encode(docs_words), strict=True):
+                _, context, follows = contexts(ids, np.append(coder.lengths(words), 1), None)
+                held.append((context.view(np.uint64), follows.astype(np.uint32)))
+                size += len(context)
+            if size > HELD_WORDS:
+                yield added_up(held)
+                held, size = [], 0
+        if size:
+            yield added_up(held)
+
+    def remember(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in by_bucket(incoming):
+            low, high, follows, n = (np.concatenate(x) for x in zip(*(split(r[1], PAIRS) for r in rows), strict=True))
+            context = joined_key(low, high)
+            _, one, pair = np.unique(_mixed(context + _mixed(follows.astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
+            c = np.bincount(pair, weights=n).astype(np.int64)
+            every, one, times, c = context[one], one[c > 1], c, c[c > 1]
+            order = np.lexsort((follows[one], c, context[one]))
+            context, follows, c = context[one][order], follows[one][order], c[order]
+            first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, int)
+            last = np.append(first[1:], len(context)) - 1 if len(first) else first
+            total = np.add.reduceat(c, first) if len(first) else c
+            context, top, trust = context[first], follows[last], (TRUST * c[last] / total).astype("<f4")
+            at = np.searchsorted(context, every)
+            mine = np.flatnonzero(context[np.minimum(at, len(context) - 1)] == every) if len(context) else at[:0]
+            rows_of = np.bincount(at[mine], weights=times[mine], minlength=len(context))  # also those that a word followed once
+            flags = np.zeros(width, dtype=np.uint8)
+            flags[(context % np.uint64(width)).astype(np.int64)] = 1
+            columns = [(context & np.uint64(0xFFFFFFFF)).astype("<u4"), (context >> np.uint64(32)).astype("<u2"), top, trust]
+            known = [packed(*[x[chosen] for x in columns]) for chosen in (rows_of < least, rows_of >= least)]
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in (*known, np.packbits(flags, bitorder="little").tobytes())]], names=["bucket", "known", "hubs", "bits"])
+
+    found = docs.select("text").mapInArrow(lean(pairs), "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
+    return save(found.mapInArrow(lean(remember), "bucket int, known binary, hubs binary, bits binary"), "memory"), n_buckets
+
+
+def remembered(places: DataFrame, memory: DataFrame) -> DataFrame:
     """(rid, gain): what the memory adds to the score of a document."""
-    joined = hub_join(rows, memory, "context", "total", n_rows)
-    mixed = F.log10((1 - F.col("trust")) * F.pow(F.lit(10.0), "log_p") + F.col("trust")) - F.col("log_p")
-    return joined.groupBy("rid").agg(F.sum(F.when(F.col("follows") == F.col("top"), mixed).otherwise(F.log10(1 - F.col("trust")))).alias("gain"))
+
+    def look_up(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_bucket(incoming):
+            key, top, trust = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.float32)
+            for _, rid, raw in rows:  # the memory comes first
+                if rid is None:
+                    low, high, top, trust = split(raw, KNOWN)
+                    key = joined_key(low, high)
+                    continue
+                low, high, follows, log_p, row = split(raw, PLACES)
+                wanted = joined_key(low, high)
+                at = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
+                held = np.flatnonzero(key[at] == wanted) if len(key) else at[:0]
+                at, row = at[held], row[held].astype(np.int64)
+                gain = np.bincount(row, weights=mixture(log_p[held], trust[at], follows[held] == top[at])) if len(row) else np.zeros(0)
+                row = np.unique(row)
+                yield pa.RecordBatch.from_arrays([pa.array(rid + row, pa.int64()), pa.array(gain[row], pa.float64())], names=["rid", "gain"])
+
+    both = memory.select("bucket", F.lit(None).cast("long").alias("rid"), F.col("known").alias("raw")).unionByName(places.select("bucket", "rid", F.col("places").alias("raw")))
+    gains = both.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("rid")).mapInArrow(lean(look_up), "rid long, gain double")
+    return gains.groupBy("rid").agg(F.sum("gain").alias("gain"))
 
 
 def lm_scores(docs: DataFrame, held_out: Column, vocabulary: str | None = None) -> DataFrame:
@@ -455,13 +619,15 @@ def lm_scores(docs: DataFrame, held_out: Column, vocabulary: str | None = None)
     classes = Classes(ids, encoder(vocabulary, True).opens[:VOCABULARY])
     classes.learn_pairs(pair_table(counted, classes))
     flat = train(counted.filter("kind = 2"), classes)
-    scored = save(score_pass(docs, vocabulary, hot, n, classes, flat), "scored")
-    places = scored.filter("context is not null").select("rid", "context", "follows", "log_p")
-    gains = remembered(places, save(context_memory(counted), "memory"), places.count())
+    discard(counted)
+    memory, n_buckets = context_memory(docs.filter(~F.col("held_out")), vocabulary, n)
+    sent = docs.sparkSession.sparkContext.broadcast(Memory(memory.select("bucket", "hubs", "bits").collect(), n_buckets))
+    scored = save(score_pass(docs, vocabulary, hot, n, classes, flat, sent), "scored")
+    gains = save(remembered(scored.filter("places is not null"), memory), "gains")
     cold = scored.filter("word is not null").select("rid", "word", "n")
     rare = words.filter((F.col("c") * HOT < n) & (F.col("word") != END_WORD))
     found = cold.join(rare.hint("shuffle_hash"), "word").groupBy("rid").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("cold_log"), F.sum("n").alias("cold_known"))
-    out = scored.filter("n_tokens is not null").drop("word", "n").join(found, "rid", "left").join(gains, "rid", "left")
+    out = scored.filter("n_tokens is not null").drop("word", "n", "bucket", "places").join(found, "rid", "left").join(gains, "rid", "left")
     base = F.col("log_c") + F.coalesce("cold_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(n + v + 1))
     known = F.col("n_known") + F.coalesce("cold_known", F.lit(0))
     return out.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))

@@ -299,6 +299,25 @@ def test_repeated_documents_are_remembered(spark, monkeypatch, few):
     assert max(got[i] for i in range(40)) < min(got[i] for i in range(40, 51))
 
 
+@pytest.mark.parametrize("few", [100_000, 10])
+def test_every_context_is_remembered(spark, monkeypatch, few):
+    """Texts of five words have two contexts; all of them count, also those that are in the memory as hubs."""
+    from dialoom.llm import common
+
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    texts = [" ".join(f"w{5 * i + k}" for k in range(5)) for i in range(24)]
+    texts = [*texts, *texts, *(f"x{i} y{i} z{i} u{i} v{i}" for i in range(10))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = lm.context_memory(docs, None, 6 * len(texts))[0].select("known", "hubs").collect()
+    known = [x for r in held for part in (r["known"], r["hubs"]) for x in zip(*(c.tolist() for c in lm.split(part, lm.KNOWN)), strict=True)]
+    assert len(known) == 48 and all(x[3] == pytest.approx(lm.TRUST) for x in known) and any(r["hubs"] for r in held) == (few == 10)
+    with_memory = {r["doc_id"]: r["score"] for r in lm.lm_scores(docs, F.lit(False)).collect()}
+    monkeypatch.setattr(lm, "TRUST", 0.0)
+    without = {r["doc_id"]: r["score"] for r in lm.lm_scores(docs, F.lit(False)).collect()}
+    assert all(with_memory[i] - without[i] > 0.5 for i in range(48))
+    assert all(with_memory[i] == pytest.approx(without[i], abs=1e-3) for i in range(48, 58))
+
+
 def test_base_scores_and_odd_rows(spark):
     docs = [(i, f"The cat {i % 3} sat\ton the MAT é{i}") for i in range(60)] + [(100, None), (101, ""), (102, LONG)]
     got = {r["doc_id"]: r for r in lm.lm_scores(spark.createDataFrame(docs, "doc_id long, text string").withColumn("word", F.lit("clash")), F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2).collect()}
