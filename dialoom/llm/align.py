@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import lean, save, table
-from dialoom.llm.tokens import Encoder, Pieces, batches, encoder
+from dialoom.llm.common import lean, save, table, trimmed
+from dialoom.llm.tokens import _ENCODERS, Encoder, Pieces, batches, encoder
 
 #: Distinct pairs of a segment, about.
 SEGMENT = 1 << 15
@@ -119,7 +119,6 @@ class PieceEncoder(Encoder):
             raise ValueError("pieces of this model may cross a space")
         self.dtype = "<u2" if n <= 1 << 16 else "<u4"
         self.specials, self.pieces = [], Pieces(self.dtype)
-        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
 
     def starts(self, raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
         cut = np.zeros(len(raw), dtype=bool)
@@ -245,9 +244,18 @@ class Aligned:
         return out
 
 
+def release() -> None:
+    """Let go of the tokenizers of this worker process, their pieces and powers: passes over ids do not need them, and later tasks that do load them again."""
+    _LOADED.clear()
+    _ENCODERS.clear()
+    Encoder.powers[:] = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
+    trimmed()
+
+
 def laid(incoming: Iterator[pa.RecordBatch], spelled: tuple[Spelling, Spelling]) -> Iterator[tuple[list, Aligned]]:
+    release()
     rows = (r for batch in incoming for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-    for group in batches(rows, lambda r: len(r[2]) + 100, 4 * BATCH_CHARS):
+    for group in batches(rows, lambda r: len(r[2]) + 100, 2 * BATCH_CHARS):
         yield group, Aligned(spelled, [r[2] for r in group], [r[3] for r in group])
 
 

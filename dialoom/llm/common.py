@@ -32,15 +32,20 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def trimmed() -> None:
+    """Give free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The function for mapInArrow, with free memory given back to the system at its end, as the worker process lives on beside later tasks."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(incoming)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim:
-            trim(0)
+        trimmed()
 
     return run
 

@@ -178,6 +178,9 @@ class Encoder:
     ordinary text. Texts that hold one go to the library whole.
     """
 
+    #: Powers of the multipliers and of their inverses, one set for all encoders of a process.
+    powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
+
     def __init__(self, vocabulary: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -187,7 +190,6 @@ class Encoder:
         self.specials = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.pieces = Pieces(self.dtype)
-        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * 2
         self.opens = np.zeros(1 << 8 * np.dtype(self.dtype).itemsize if self.dtype == "<u2" else self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("\u0120")  # the vocabulary's sign for a leading space

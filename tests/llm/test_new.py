@@ -193,3 +193,15 @@ def test_perfect_hash_is_minimal():
     assert sorted(places.tolist()) == list(range(len(keys))) and (order[places] == keys).all()
     assert (found.placed(keys + np.uint64(1 << 50), np.zeros(len(keys), dtype=np.int64)) == -1).all()
     assert len(words) * 8 < 4 * len(keys)
+
+
+def test_passes_over_ids_hold_no_tokenizers():
+    from dialoom.llm import tokens
+
+    spelled = align.spellings()
+    one, other = tokens.encoder(None, True), align.piece_encoder()
+    before = [one.encode([" some words of a text"]), other.encode([" some words of a text"])]
+    assert one.powers is other.powers and len(one.powers[0][0]) > 1
+    assert list(align.laid(iter([]), spelled)) == []
+    assert not tokens._ENCODERS and not align._LOADED and len(tokens.Encoder.powers[0][0]) == 1
+    assert before == [tokens.encoder(None, True).encode([" some words of a text"]), align.piece_encoder().encode([" some words of a text"])]
