@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionAll(edges.select(F.col("b").alias("x"), F.col("a").alias("y")))
         lowest = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"), F.count(F.lit(1)).alias("degree"))
-        large = hub_join(both.filter("y > x"), lowest, "x", "degree", 2 * before[0]).select(F.col("y").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+        large = hub_join(both.filter("y > x"), lowest, "x", "degree", 2 * before[0]).select(F.col("y").alias("a"), F.col("m").alias("b")).filter("a != b")
         down = large.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m"))
         small = large.join(down, large["a"] == down["x"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").unionAll(down.select(F.col("x").alias("a"), F.col("m").alias("b")))
         edges, after = _saved(small.distinct())

@@ -299,6 +299,23 @@ def test_repeated_documents_are_remembered(spark, monkeypatch, few):
     assert max(got[i] for i in range(40)) < min(got[i] for i in range(40, 51))
 
 
+def test_chains_are_short_and_thin():
+    rng = np.random.default_rng(3)
+    ids = np.sort(rng.choice(1 << 40, 3000, replace=False))
+    shuffled = rng.permutation(ids[:2500])
+    edges = jaccard.chains(np.concatenate([shuffled[1:], ids[2501:]]), np.concatenate([shuffled[:-1], ids[2500:-1]]))
+    over = dict(edges.tolist())
+    assert len(over) == len(edges) == 2499 + 499 and all(a > b for a, b in over.items())
+    for i in ids.tolist():
+        steps = 0
+        top = i
+        while top in over:
+            top, steps = over[top], steps + 1
+        assert top == ids[0 if i <= ids[2499] else 2500] and steps <= 4
+    assert np.unique(edges[:, 1], return_counts=True)[1].max() <= jaccard.FAN
+    assert len(jaccard.chains(ids[:0], ids[:0])) == 0
+
+
 @pytest.mark.parametrize("few", [100_000, 10])
 def test_every_context_is_remembered(spark, monkeypatch, few):
     """Texts of five words have two contexts; all of them count, also those that are in the memory as hubs."""
