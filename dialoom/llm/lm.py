@@ -11,8 +11,11 @@ some ``BUCKET`` words. A context is known by its bucket and 48 bits. Common cont
 of the others those that a bit array of the memory's contexts excludes are not sent, which loses none of the memory's own.
 The score is the log10 probability of the whole word sequence.
 
-Training. One pass over the training documents counts words, ids and pairs of ids and keeps every window. The attention
-weights are trained data-parallel: in each of ``ROUNDS`` rounds every partition runs Adam from the same weights over that round's share of
+Texts are encoded once; all other passes read the ids, many texts at a time as arrays (``Texts``). A word is known by its ids, which spell it: up to
+``KEY_IDS`` of them make a key, longer words are kept whole.
+
+Training. One pass over the training documents counts words and ids, one counts pairs of classes. The attention
+weights are trained data-parallel: in each of ``ROUNDS`` rounds every partition cuts all windows and runs Adam from the same weights over that round's share of
 the windows (by hash, so each window is trained on once), in groups of ``SHUFFLED`` windows that are put in random order, and Spark averages
 the results by rows (index, value), so the driver gets one set of weights whatever the number of partitions and a task holds one group.
 
@@ -32,7 +35,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +59,8 @@ WINDOW, OVERLAP, DIM = 32, 8, 16
 SHUFFLED = 16_384
 ROUNDS, BATCH, LEARNING = 2, 64, 1e-2
 DISCOUNT = 0.75
-END_WORD = "\n"  # never a word
-GROUP_CHARS = 1_000_000
+SLAB = 32
+GROUP_CHARS, GROUP_IDS = 1_000_000, 400_000
 KNOWN_WORDS = 1_000_000
 CHUNK = 96  # windows scored at once: their arrays stay in a core's cache
 
@@ -75,15 +78,21 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, docs: list[list[bytes]]) -> list[np.ndarray]:
-        wanted = set().union(*docs)
-        missing = wanted.difference(self.known)
+        return [np.frombuffer(x, self.coder.dtype).astype(np.int32) for x in self.spelled(docs)]
+
+    def spelled(self, docs: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text as bytes."""
+        words = list(chain.from_iterable(docs))
+        found = list(map(self.known.get, words))
+        missing = list({w for w, x in zip(words, found, strict=True) if x is None})
         if len(self.known) + len(missing) > KNOWN_WORDS:
             self.known.clear()
-            missing = wanted
-        missing = list(missing)
-        self.known.update(zip(missing, self.coder.after_space([w.decode("utf-8", "replace") for w in missing]), strict=True))
-        find = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(find, d)), self.coder.dtype).astype(np.int32) for d in docs]
+            missing = list(set(words))
+        if missing:
+            self.known.update(zip(missing, self.coder.after_space([w.decode("utf-8", "replace") for w in missing]), strict=True))
+            found = list(map(self.known.__getitem__, words))
+        each = iter(found)
+        return [b"".join(islice(each, len(d))) for d in docs]
 
     def lengths(self, words: list[bytes]) -> np.ndarray:
         """Number of ids of each word of encoded texts."""
@@ -102,13 +111,104 @@ def word_ids(vocabulary: str | None) -> WordIds:
 
 def windows_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows (n, WINDOW + 1) of begin, ids, end; and the places (n, WINDOW) of the targets that the window scores."""
-    seq = np.concatenate([[END], ids, [END]]).astype(np.int32)
-    targets, stride = len(seq) - 1, WINDOW - OVERLAP
-    n = 1 + max(0, -(-(targets - WINDOW) // stride))
-    place = np.arange(n)[:, None] * stride + np.arange(WINDOW + 1)
-    scored = place[:, :-1] < targets
-    scored[1:, :OVERLAP] = False
-    return seq[np.minimum(place, targets)], scored
+    return Texts(np.append(ids, END), np.array([len(ids) + 1])).windows()
+
+
+class Texts:
+    """Encoded texts in a row, each closed by ``END``: ids, and the number of ids of each."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes, self.first = ids, sizes, np.cumsum(sizes) - sizes
+        self.chain = np.append(END, ids).astype(np.int32)  # every text begins after an end id
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Those of all texts, as ``windows_of`` gives them for one."""
+        stride = WINDOW - OVERLAP
+        count = 1 + np.maximum(0, -(-(self.sizes - WINDOW) // stride))
+        number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        last = np.repeat(self.sizes, count)[:, None]
+        place = number[:, None] * stride + np.arange(WINDOW + 1)
+        scored = place[:, :-1] < last
+        scored[number > 0, :OVERLAP] = False
+        np.minimum(place, last, out=place)
+        place += np.repeat(self.first, count)[:, None]
+        return self.chain[place], scored
+
+    def split_into_words(self, opens: np.ndarray) -> None:
+        """First id and number of ids of each word, and the number of words of each text, the end being one; ``opens`` tells ids that begin a word."""
+        self.word_first = np.flatnonzero(opens[self.ids] | (self.ids == END))
+        self.lengths = np.diff(np.append(self.word_first, len(self.ids)))
+        self.text_first = np.searchsorted(self.word_first, self.first)
+        self.n_words = np.diff(np.append(self.text_first, len(self.word_first)))
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """A key of each word, and the places of the words that it does not hold: it has ``KEY_IDS`` ids, and ``NO_ID`` after a shorter word's last one."""
+        key, last = np.zeros(len(self.word_first), np.uint64), len(self.ids) - 1
+        for k in range(KEY_IDS):
+            part = np.where(self.lengths > k, self.ids[np.minimum(self.word_first + k, last)], NO_ID)
+            key |= part.astype(np.uint64) << np.uint64(16 * k)
+        return key, np.flatnonzero(self.lengths > KEY_IDS)
+
+    def spelled(self, words: np.ndarray) -> list[bytes]:
+        raw = self.ids.astype("<u2").tobytes()
+        return [raw[2 * lo : 2 * hi] for lo, hi in zip(self.word_first[words].tolist(), (self.word_first + self.lengths)[words].tolist(), strict=True)]
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        where, context, follows = contexts(self.ids, self.lengths, None)
+        own = where - np.repeat(self.text_first, self.n_words)[where] >= ORDER
+        return where[own], context[own].view(np.uint64), follows[own].astype(np.uint32)
+
+
+KEY_IDS, NO_ID = 4, 0xFFFF
+END_KEY = np.array([END, NO_ID, NO_ID, NO_ID], "<u2").tobytes()
+
+
+def column_of(values: np.ndarray) -> pa.Array:
+    """Rows of equal size as a binary column."""
+    values = np.ascontiguousarray(values).reshape(len(values), -1)
+    ends = np.arange(len(values) + 1, dtype=np.int32) * np.int32(values.shape[1] * values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def flat_column(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column in a row, and the size of each."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], "u1")[ends[0] : ends[-1]].view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
+def texts_of(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
+    """Runs of some ``GROUP_IDS`` ids of a column of encoded texts: first row, row after the last, texts."""
+    ids, sizes = flat_column(column, "<u2")
+    ends = np.cumsum(sizes)
+    cuts = np.flatnonzero(np.diff(ends // GROUP_IDS, append=-1)) + 1
+    for lo, hi in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+        yield lo, hi, Texts(ids[ends[lo] - sizes[lo] : ends[hi - 1]].astype(np.int64), sizes[lo:hi])
+
+
+def encoded(docs: DataFrame, vocabulary: str | None) -> DataFrame:
+    """The table with its texts as ids (little-endian, two bytes each, closed by ``END``); a table that has them stays."""
+    if "ids" in docs.columns:
+        return docs
+    others = [c for c in docs.columns if c != "text"]
+
+    def encode(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, end = word_ids(vocabulary), np.array([END], "<u2").tobytes()
+        for batch in incoming:
+            texts, at = batch.column(len(others)).to_pylist(), 0
+            for group in batches(iter(texts), lambda t: len(t or "") + 100, GROUP_CHARS):
+                docs_words = [words_of(t) for t in group]
+                out = [x + end for x in coder.spelled(docs_words)]
+                raw = np.frombuffer(b"".join(out), "<u2")
+                if int(np.count_nonzero(coder.coder.opens[raw])) != sum(map(len, docs_words)):
+                    raise ValueError("the vocabulary does not mark every word")
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(at, len(group)) for k in range(len(others))), pa.array(out, pa.binary())], names=[*others, "ids"])
+                at += len(group)
+
+    kinds = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others), "ids binary"])
+    return docs.select(*others, "text").mapInArrow(lean(encode), kinds)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -195,63 +295,82 @@ def first_weights() -> np.ndarray:
 class Attention:
     def __init__(self, flat: np.ndarray, bigram: np.ndarray):
         self.flat, self.w, self.bigram = flat, unpack(flat), bigram
+        top = bigram.max(axis=1)
+        #: Rows of log probabilities can be left out of the exponents; any others are added to the logits, less their maximum.
+        self.shares = np.exp(bigram) if -10 <= top.min() and top.max() <= 10 and bigram.min() >= -80 else None
+        self.ones = np.ones(max(N_OUT, WINDOW), dtype=flat.dtype)
+
+    def projections(self) -> np.ndarray:
+        return np.concatenate([self.w["wq"] * self.flat.dtype.type(DIM**-0.5), self.w["wk"], self.w["wv"]], axis=1)
 
     def hidden(self, into: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Inputs, scaled queries, keys and values, weights before the division by their sums, these sums, what attention says, and what leaves the layer."""
         w = self.w
-        x = w["emb"][into] + w["pos"]
-        x[:, 1:] += w["last"][into[:, :-1]]
-        q, k, v = x @ w["wq"], x @ w["wk"], x @ w["wv"]
-        weights = np.matmul(q * np.float32(DIM**-0.5), k.transpose(0, 2, 1))
-        np.exp(np.minimum(weights, 30, out=weights), out=weights)
+        x = w["emb"].take(into, axis=0)
+        x += w["pos"]
+        x[:, 1:] += w["last"].take(into[:, :-1], axis=0)
+        qkv = x.reshape(-1, DIM) @ self.projections()
+        q, k, v = (qkv.reshape(*into.shape, 3 * DIM)[:, :, lo : lo + DIM] for lo in (0, DIM, 2 * DIM))
+        weights = np.matmul(q, k.transpose(0, 2, 1))
+        if weights.max(initial=0) > 30:
+            np.minimum(weights, 30, out=weights)
+        np.exp(weights, out=weights)
         weights *= MASK
-        weights /= weights.sum(axis=2, keepdims=True)
-        return x, q, k, v, weights, x + np.matmul(weights, v)
+        total = (weights.reshape(-1, WINDOW) @ self.ones[:WINDOW]).reshape(*into.shape, 1)
+        said = np.matmul(weights, v)
+        said /= total
+        return x, q, k, v, weights, total, said, x + said
+
+    def unscaled(self, logits: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the classes times a factor of each row, from what the layer adds (overwritten), and the log of what they were multiplied by."""
+        if self.shares is not None and (not logits.size or -50 <= logits.min() and logits.max() <= 50):
+            np.exp(logits, out=logits)
+            logits *= self.shares.take(before, axis=0)
+            return logits, np.zeros(1, dtype=logits.dtype)
+        logits += self.bigram.take(before, axis=0)
+        top = logits.max(axis=1, keepdims=True)
+        logits -= top
+        return np.exp(logits, out=logits), top.ravel()
 
     def log_probabilities(self, into: np.ndarray, out: np.ndarray, scored: np.ndarray) -> np.ndarray:
         """Natural log P(class) of the scored targets, in order."""
-        h = self.hidden(into)[-1][scored]
-        logits = h @ self.w["out"]
-        logits += self.bigram[into[scored]]
-        logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[np.arange(len(logits)), out[scored]]
-        return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+        rows = np.flatnonzero(scored)
+        logits = self.hidden(into)[-1].reshape(-1, DIM).take(rows, axis=0) @ self.w["out"]
+        before, target = into.ravel().take(rows), out.ravel().take(rows)
+        picked = logits[np.arange(len(rows)), target] + self.bigram[before, target]
+        p, top = self.unscaled(logits, before)
+        return picked - top - np.log(p @ self.ones[:N_OUT])
 
     def gradient(self, into: np.ndarray, out: np.ndarray, scored: np.ndarray) -> np.ndarray:
-        w, n = self.w, max(1, int(scored.sum()))
-        x, q, k, v, a, h = self.hidden(into)
-        said = h[scored]
-        p = said @ w["out"]
-        p += self.bigram[into[scored]]
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), out[scored]] -= 1
-        p /= np.float32(n)
-        g = {"out": said.T @ p}
+        w, kind = self.w, self.flat.dtype
+        flat = np.empty_like(self.flat)
+        g, rows = unpack(flat), np.flatnonzero(scored)
+        x, q, k, v, weights, total, heard, h = self.hidden(into)
+        said = h.reshape(-1, DIM).take(rows, axis=0)
+        p, _ = self.unscaled(said @ w["out"], into.ravel().take(rows))
+        p *= (1 / (p @ self.ones[:N_OUT] * kind.type(max(1, len(rows)))))[:, None]
+        p[np.arange(len(rows)), out.ravel().take(rows)] -= kind.type(1 / max(1, len(rows)))
+        np.matmul(said.T, p, out=g["out"])
         dh = np.zeros_like(h)
-        dh[scored] = p @ w["out"].T
-        da = np.matmul(dh, v.transpose(0, 2, 1))
-        dv = np.matmul(a.transpose(0, 2, 1), dh)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM**-0.5)
-        dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-        dx = dh.copy()
-        for name, d in (("wq", dq), ("wk", dk), ("wv", dv)):
-            g[name] = np.tensordot(x, d, axes=((0, 1), (0, 1)))
-            dx += d @ w[name].T
-        g["pos"] = dx.sum(axis=0)
-        g["emb"] = np.zeros_like(w["emb"])
-        add_rows(g["emb"], into.ravel(), dx.reshape(-1, DIM))
-        g["last"] = np.zeros_like(w["last"])
-        add_rows(g["last"], into[:, :-1].ravel(), dx[:, 1:].reshape(-1, DIM))
-        return np.concatenate([g[name].ravel() for name, _ in SHAPES])
-
-
-def add_rows(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
-    """total[index] += rows with repeated indices, by sorted runs."""
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    total[index[first]] += np.add.reduceat(rows[order], first, axis=0)
+        dh.reshape(-1, DIM)[rows] = p @ w["out"].T
+        each = dh / total
+        ds = np.matmul(each, v.transpose(0, 2, 1))
+        ds -= np.einsum("ijk,ijk->ij", each, heard)[:, :, None]
+        ds *= weights
+        d = np.empty((*into.shape, 3 * DIM), dtype=kind)
+        np.matmul(ds, k, out=d[:, :, :DIM])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, DIM : 2 * DIM])
+        np.matmul(weights.transpose(0, 2, 1), each, out=d[:, :, 2 * DIM :])
+        d, by = d.reshape(-1, 3 * DIM), self.projections()
+        of = x.reshape(-1, DIM).T @ d
+        g["wq"][:], g["wk"][:], g["wv"][:] = of[:, :DIM] * kind.type(DIM**-0.5), of[:, DIM : 2 * DIM], of[:, 2 * DIM :]
+        dh += (d @ by.T).reshape(dh.shape)
+        np.matmul(np.ones(len(dh), kind), dh.reshape(len(dh), -1), out=g["pos"].reshape(-1))
+        index = into[:, :, None] * DIM + np.arange(DIM)
+        g["emb"][:], g["last"][:] = 0, 0
+        np.add.at(g["emb"].reshape(-1), index.reshape(-1), dh.reshape(-1))  # in one dimension, where it is fast
+        np.add.at(g["last"].reshape(-1), index[:, :-1].reshape(-1), dh[:, 1:].reshape(-1))
+        return flat
 
 
 def train_shard(flat: np.ndarray, bigram: np.ndarray, groups: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int) -> tuple[np.ndarray, int]:
@@ -266,78 +385,112 @@ def train_shard(flat: np.ndarray, bigram: np.ndarray, groups: Iterator[tuple[np.
             pick = order[lo : lo + BATCH]
             g = model.gradient(into[pick], out[pick], scored[pick])
             step += 1
-            m += np.float32(0.1) * (g - m)
+            m *= np.float32(0.9)  # sums, of which the means are a tenth and a hundredth
+            m += g
             g *= g
-            v += np.float32(0.01) * (g - v)
+            v *= np.float32(0.99)
+            v += g
             np.sqrt(v, out=g)
-            g *= np.float32((1 - 0.99**step) ** -0.5)
-            g += np.float32(1e-8)
+            scale = (1 - 0.99**step) ** -0.5
+            g += np.float32(1e-7 / scale)
             np.divide(m, g, out=g)
-            g *= np.float32(LEARNING / (1 - 0.9**step))
+            g *= np.float32(LEARNING / (1 - 0.9**step) / scale)
             flat -= g
     return flat, seen
 
 
 WINDOW_BYTES = 2 * (WINDOW + 1) + WINDOW
-COUNTED = "kind int, word string, id int, n long, window binary, next int"
+COUNTED = "kind int, word binary, id int, n long, window binary"
+
 
+def count_pass(docs: DataFrame, vocabulary: str | None, kinds: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    """Rows of training documents (text or ids) of these kinds: words (0) and ids (1) with counts added up in the task, and windows (2)."""
 
-def count_pass(docs: DataFrame, vocabulary: str | None) -> DataFrame:
-    """Rows of training documents (text): words (kind 0), ids (kind 1) and pairs of ids (kind 3) with counts added up in the task, and windows (kind 2)."""
+    def rows(kind: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns["kind"] = pa.array(np.full(size, kind, np.int32))
+        types = {"kind": pa.int32(), "word": pa.binary(), "id": pa.int32(), "n": pa.int64(), "window": pa.binary()}
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, t) for c, t in types.items()], names=list(types))
 
-    def rows(kind: int, words=None, ids=None, n=None, windows=None, after=None) -> pa.RecordBatch:
-        size = len(next(x for x in (words, ids, windows) if x is not None))
-        fill = lambda x, t: pa.array([None] * size if x is None else x, t)
-        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.int32()), fill(words, pa.string()), fill(ids, pa.int32()), fill(n, pa.int64()), fill(windows, pa.binary()), fill(after, pa.int32())],
-                                          names=["kind", "word", "id", "n", "window", "next"])
+    def counted_words(held: list[np.ndarray], longer: Counter) -> Iterator[pa.RecordBatch]:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        yield rows(0, len(keys), word=column_of(keys), n=pa.array(n, pa.int64()))
+        if longer:
+            yield rows(0, len(longer), word=pa.array(list(longer), pa.binary()), n=pa.array(list(longer.values()), pa.int64()))
 
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, held, ids, n_docs = word_ids(vocabulary), Counter(), np.zeros(VOCABULARY, dtype=np.int64), 0
-        pairs, pair_n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        texts = (t.as_py() for batch in incoming for t in batch.column(0))
-        for group in batches(texts, lambda t: len(t or "") + 100, GROUP_CHARS):
-            docs_words = [words_of(t) for t in group]
-            windows, encoded = [], coder.encode(docs_words)
-            chain = np.concatenate([[END], *(x for found in encoded for x in (found, [END]))]).astype(np.int64)
-            ids += np.bincount(chain[1:], minlength=VOCABULARY)
-            new, new_n = np.unique(chain[:-1] * VOCABULARY + chain[1:], return_counts=True)
-            pairs, where = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-            pair_n = np.bincount(where, weights=np.concatenate([pair_n, new_n]), minlength=len(pairs)).astype(np.int64)
-            if len(pairs) > 1_000_000:
-                yield rows(3, ids=pairs // VOCABULARY, n=pair_n, after=pairs % VOCABULARY)
-                pairs, pair_n = pairs[:0], pair_n[:0]
-            for words, found in zip(docs_words, encoded, strict=True):
-                held.update(words)
-                every, scored = windows_of(found)
-                raw = np.concatenate([every.astype("<u2").view("u1"), scored.astype("u1")], axis=1).tobytes()
-                windows += [raw[at : at + WINDOW_BYTES] for at in range(0, len(raw), WINDOW_BYTES)]
-            n_docs += len(group)
-            if windows:
-                yield rows(2, windows=windows)
-            if len(held) > 400_000:
-                yield rows(0, words=[w.decode("utf-8", "replace") for w in held], n=list(held.values()))
-                held.clear()
-        if n_docs:
-            held[END_WORD.encode()] += n_docs
-            yield rows(0, words=[w.decode("utf-8", "replace") for w in held], n=list(held.values()))
-            some = np.flatnonzero(ids)
-            yield rows(1, ids=some.tolist(), n=ids[some].tolist())
-            if len(pairs):
-                yield rows(3, ids=pairs // VOCABULARY, n=pair_n, after=pairs % VOCABULARY)
-
-    return docs.select("text").mapInArrow(count, COUNTED)
-
-
-def pair_table(counted: DataFrame, classes: Classes) -> np.ndarray:
-    """Counts of pairs of input classes; the driver gets at most N_IN * N_IN sums."""
-    spark = counted.sparkSession
-    kinds = spark.createDataFrame(pa.table({"id": np.arange(VOCABULARY, dtype=np.int32), "kind_in": classes.into}))
-    pairs = counted.filter("kind = 3").select("id", "next", "n").join(F.broadcast(kinds), "id")
-    pairs = pairs.join(F.broadcast(kinds.select(F.col("id").alias("next"), F.col("kind_in").alias("next_in"))), "next")
-    got = pairs.groupBy("kind_in", "next_in").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((N_IN, N_IN))
-    out[got["kind_in"].to_numpy(int), got["next_in"].to_numpy(int)] = got["n"].to_numpy(float)
-    return out
+        opens, ids, held, n_held, longer = encoder(vocabulary, True).opens, np.zeros(VOCABULARY, dtype=np.int64), [], 0, Counter()
+        for batch in incoming:
+            for _, _, texts in texts_of(batch.column(0)):
+                if 2 in kinds:
+                    windows, scored = texts.windows()
+                    yield rows(2, len(windows), window=column_of(np.concatenate([windows.astype("<u2").view("u1"), scored.view("u1")], axis=1)))
+                if 1 in kinds:
+                    ids += np.bincount(texts.ids, minlength=VOCABULARY)
+                if 0 in kinds:
+                    texts.split_into_words(opens)
+                    key, long = texts.words()
+                    held.append(np.delete(key, long))
+                    longer.update(texts.spelled(long))
+                    n_held += len(key)
+                    if n_held > HELD_WORDS:
+                        yield from counted_words(held, longer)
+                        held, n_held, longer = [], 0, Counter()
+        if held:
+            yield from counted_words(held, longer)
+        some = np.flatnonzero(ids)
+        if len(some):
+            yield rows(1, len(some), id=pa.array(some, pa.int32()), n=pa.array(ids[some]))
+
+    return encoded(docs, vocabulary).select("ids").mapInArrow(lean(count), COUNTED)
+
+
+SUMS = ("<u4", "<i8")  # a pair's place in its slab, how often
+
+
+def pair_table(docs: DataFrame, vocabulary: str | None, classes: Classes) -> np.ndarray:
+    """Counts of pairs of input classes, added up in the task and then by slabs of ``SLAB`` classes; the driver gets at most N_IN * N_IN sums."""
+    into = classes.into
+
+    def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(N_IN * N_IN, dtype=np.int64)
+        for batch in incoming:
+            for _, _, texts in texts_of(batch.column(0)):
+                kinds = into[texts.chain].astype(np.int64)
+                np.add.at(total, kinds[:-1] * N_IN + kinds[1:], 1)
+        for slab, part in enumerate(total.reshape(-1, SLAB * N_IN)):
+            some = np.flatnonzero(part)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([packed(some.astype("<u4"), part[some].astype("<i8"))], pa.binary())], names=["slab", "sums"])
+
+    def add(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slab, rows in by_bucket(incoming):
+            total = np.zeros(SLAB * N_IN, dtype=np.int64)
+            for _, raw in rows:
+                place, n = split(raw, SUMS)
+                total[place] += n
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([packed(some.astype("<u4"), total[some].astype("<i8"))], pa.binary())], names=["slab", "sums"])
+
+    out = np.zeros((N_IN // SLAB, SLAB * N_IN))
+    found = encoded(docs, vocabulary).select("ids").mapInArrow(lean(count), "slab int, sums binary").repartition("slab").sortWithinPartitions("slab")
+    for r in found.mapInArrow(add, "slab int, sums binary").collect():
+        place, n = split(r["sums"], SUMS)
+        out[r["slab"], place] = n
+    return out.reshape(N_IN, N_IN)
+
+
+def regrouped(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Rows of arrays in arrays of ``SHUFFLED`` rows, the last one smaller."""
+    held, n = [], 0
+    for part in parts:
+        held, n = [*held, part], n + len(part)
+        if n >= SHUFFLED:
+            joined = np.concatenate(held)
+            yield from (joined[lo : lo + SHUFFLED] for lo in range(0, n - n % SHUFFLED, SHUFFLED))
+            n %= SHUFFLED
+            held = [joined[len(joined) - n :].copy()]
+    if n:
+        yield np.concatenate(held)
 
 
 def train(windows: DataFrame, classes: Classes) -> np.ndarray:
@@ -345,8 +498,7 @@ def train(windows: DataFrame, classes: Classes) -> np.ndarray:
     into_of, out_of, bigram = classes.into, classes.out, classes.bigram
 
     def load(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for group in batches((w for batch in incoming for w in batch.column(0).to_pylist()), lambda _: 1, SHUFFLED):
-            rows = np.frombuffer(b"".join(group), "u1").reshape(-1, WINDOW_BYTES)
+        for rows in regrouped(flat_column(batch.column(0), "u1")[0].reshape(-1, WINDOW_BYTES) for batch in incoming):
             into = into_of[np.ascontiguousarray(rows[:, : 2 * (WINDOW + 1)]).view("<u2")]
             yield into[:, :-1], out_of[into[:, 1:]], rows[:, 2 * (WINDOW + 1) :].astype(bool)
 
@@ -391,7 +543,7 @@ PLACES = ("<u4", "<u2", "<u4", "<f4", "<u2")  # a context, the word that follows
 def dealt_by_bucket(context: np.ndarray, n_buckets: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed) of contexts' low bits and the columns beside them, in their order."""
     bucket = bucket_of(context, n_buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if n_buckets <= 1 << 16 else bucket, kind="stable")
     bucket, context = bucket[order], context[order]
     columns = [(context & np.uint64(0xFFFFFFFF)).astype("<u4"), ((context >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2"), *[c[order] for c in columns]]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
@@ -440,23 +592,43 @@ def bits_of(n_buckets: int) -> int:
     return max(8, BITS // n_buckets // 8 * 8)
 
 
+class HotWords:
+    """log10(c + 1) of the common words, by key, and by their ids where the key does not hold the word."""
+
+    def __init__(self, words: list[bytes], counts: list[int]):
+        log = np.log10(np.array(counts, dtype=np.float64) + 1)
+        short = np.array([len(w) == 2 * KEY_IDS for w in words], dtype=bool)
+        keys = np.frombuffer(b"".join(w for w in words if len(w) == 2 * KEY_IDS), "<u8")
+        order = np.argsort(keys)
+        self.keys, self.logs = keys[order], log[short][order]
+        self.longer = {w: x for w, x, s in zip(words, log.tolist(), short.tolist(), strict=True) if not s}
+
+    def look_up(self, key: np.ndarray, long: np.ndarray, texts: Texts) -> np.ndarray:
+        """-1 where a word is not among them."""
+        each, of = np.unique(key, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, each), max(len(self.keys) - 1, 0))
+        out = (np.where(self.keys[at] == each, self.logs[at], -1.0) if len(self.keys) else np.full(len(each), -1.0))[of]
+        out[long] = [self.longer.get(w, -1.0) for w in texts.spelled(long)]
+        return out
+
+
 def mixture(log_p: np.ndarray, trust: np.ndarray, hit: np.ndarray) -> np.ndarray:
     """What the memory adds to log10 probabilities of words after contexts that it holds."""
     log_p, trust = log_p.astype(np.float64), trust.astype(np.float64)
     return np.where(hit, np.log10((1 - trust) * 10.0**log_p + trust) - log_p, np.log10(1 - trust))
 
 
-SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, score double, word string, n long, bucket int, places binary"
+SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, score double, word binary, n long, bucket int, places binary"
 
 
-def score_pass(docs: DataFrame, vocabulary: str | None, hot: dict[bytes, float], n_train: int, classes: Classes, flat: np.ndarray, memory: Broadcast) -> DataFrame:
+def score_pass(docs: DataFrame, vocabulary: str | None, hot: Broadcast, n_train: int, classes: Classes, flat: np.ndarray, memory: Broadcast) -> DataFrame:
     """A row for each document, with the share of the hot words in its base score; rows (rid, word, n) of its other words; and rows (rid, bucket,
     places) of words after contexts that the memory may hold, for documents from that rid on."""
-    kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "log_c": pa.float64(), "score": pa.float64(), "word": pa.string(), "n": pa.int64(),
+    kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "log_c": pa.float64(), "score": pa.float64(), "word": pa.binary(), "n": pa.int64(),
              "bucket": pa.int32(), "places": pa.binary()}
 
     def rows(size: int, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in kinds.items()], names=list(kinds))
+        return pa.RecordBatch.from_arrays([(columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c], t)) if c in columns else pa.nulls(size, t) for c, t in kinds.items()], names=list(kinds))
 
     def given(first: int, held: list[tuple[np.ndarray, ...]], n_buckets: int) -> pa.RecordBatch:
         context, follows, log_p, row = (np.concatenate([h[k] for h in held]) for k in range(4))
@@ -464,53 +636,58 @@ def score_pass(docs: DataFrame, vocabulary: str | None, hot: dict[bytes, float],
         return rows(len(out), rid=[first] * len(out), bucket=[b for b, _ in out], places=[x for _, x in out])
 
     def score(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, model, rid, known_contexts = word_ids(vocabulary), Attention(flat, classes.bigram), TaskContext.get().partitionId() << 33, memory.value
-        texts = ((i.as_py(), h.as_py(), t.as_py()) for batch in incoming for i, h, t in zip(*batch.columns, strict=True))
-        end, share = hot.get(END_WORD.encode(), -1.0), math.log10(max(n_train, 1))
-        held_places, n_held, first = [], 0, rid
-        for group in batches(texts, lambda r: len(r[2] or "") + 100, GROUP_CHARS):
-            docs_words = [words_of(t) for _, _, t in group]
-            encoded = coder.encode(docs_words)
-            logs = target_logs(model, classes, [windows_of(x) for x in encoded])
-            out, cold, at = [], [], 0
-            for (doc_id, held, _), words, ids in zip(group, docs_words, encoded, strict=True):
-                lengths = np.append(coder.lengths(words), 1)
-                counts = np.array([*[hot.get(w, -1.0) for w in words], end])  # log10(c + 1), -1 if not hot
-                spelled = np.add.reduceat(logs[at : at + len(ids) + 1], np.cumsum(lengths) - lengths)
-                at += len(ids) + 1
+        model, rid, known_contexts, known_words = Attention(flat, classes.bigram), TaskContext.get().partitionId() << 33, memory.value, hot.value
+        opens, share, held_places, n_held, first = encoder(vocabulary, True).opens, math.log10(max(n_train, 1)), [], 0, rid
+        for batch in incoming:
+            for lo, hi, texts in texts_of(batch.column(2)):
+                if held_places and (n_held > HELD_WORDS or rid + hi - lo - first > HELD_DOCS):
+                    yield given(first, held_places, known_contexts.n_buckets)
+                    held_places, n_held = [], 0
+                if not held_places:
+                    first = rid
+                texts.split_into_words(opens)
+                text = np.repeat(np.arange(hi - lo), texts.n_words)
+                spelled = np.add.reduceat(target_logs(model, classes, texts.windows()), texts.word_first)
+                key, long = texts.words()
+                counts = known_words.look_up(key, long, texts)  # log10(c + 1), -1 if not hot
                 known = counts >= 0
                 common_log = np.where(known, np.log10(np.maximum(10.0**counts - 1, 1e-30)) - share, -np.inf)
                 words_log = np.logaddexp((spelled + math.log10(1 - WORD_SHARE)) * LN10, (common_log + math.log10(WORD_SHARE)) * LN10) / LN10
-                for w, n in Counter(w for w, k in zip(words, known[:-1].tolist(), strict=True) if not k).items():
-                    cold.append((rid, w.decode("utf-8", "replace"), n))
-                where, context, follows = contexts(ids, lengths, None)
-                context, follows = context.view(np.uint64), follows.astype(np.uint32)
+                where, context, follows = texts.contexts()
                 maybe, hub, number = known_contexts.look_up(context)
-                gain = float(mixture(words_log[where[hub]], known_contexts.trusts[number], follows[hub] == known_contexts.tops[number]).sum())
+                gain = mixture(words_log[where[hub]], known_contexts.trusts[number], follows[hub] == known_contexts.tops[number])
+                gain = np.bincount(text[where[hub]], weights=gain, minlength=hi - lo)
                 if len(maybe):
-                    held_places.append((context[maybe], follows[maybe], words_log[where[maybe]].astype("<f4"), np.full(len(maybe), rid - first, "<u2")))
+                    held_places.append((context[maybe], follows[maybe], words_log[where[maybe]].astype("<f4"), (text[where[maybe]] + (rid - first)).astype("<u2")))
                     n_held += len(maybe)
-                out.append((rid, doc_id, held, len(words) + 1, int(known.sum()), float(counts[known].sum()), float(words_log.sum()) + gain))
-                rid += 1
-                if n_held > HELD_WORDS or rid - first >= HELD_DOCS:
-                    if held_places:
-                        yield given(first, held_places, known_contexts.n_buckets)
-                    held_places, n_held, first = [], 0, rid
-            yield rows(len(out), **{c: [r[k] for r in out] for k, c in enumerate(list(kinds)[:7])})
-            if cold:
-                yield rows(len(cold), rid=[r[0] for r in cold], word=[r[1] for r in cold], n=[r[2] for r in cold])
+                of_texts = lambda x, at=texts.text_first: np.add.reduceat(x, at)
+                yield rows(hi - lo, rid=np.arange(rid, rid + hi - lo), doc_id=batch.column(0).slice(lo, hi - lo), held_out=batch.column(1).slice(lo, hi - lo), n_tokens=texts.n_words,
+                           n_known=of_texts(known.astype(np.int64)), log_c=of_texts(np.where(known, counts, 0.0)), score=of_texts(words_log) + gain)
+                cold = ~known
+                cold[long] = False
+                cold[texts.text_first + texts.n_words - 1] = False  # the end
+                cold = np.flatnonzero(cold)
+                if len(cold):
+                    cold = cold[np.lexsort((key[cold], text[cold]))]
+                    new = np.flatnonzero(np.append(True, (key[cold][1:] != key[cold][:-1]) | (text[cold][1:] != text[cold][:-1])))
+                    yield rows(len(new), rid=rid + text[cold[new]], word=column_of(key[cold[new]]), n=np.diff(np.append(new, len(cold))))
+                long = long[~known[long]]
+                if len(long):
+                    found = Counter(zip(text[long].tolist(), texts.spelled(long), strict=True))
+                    yield rows(len(found), rid=[rid + t for t, _ in found], word=[w for _, w in found], n=list(found.values()))
+                rid += hi - lo
         if held_places:
             yield given(first, held_places, known_contexts.n_buckets)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(lean(score), SCORED)
+    return docs.select("doc_id", "held_out", "ids").mapInArrow(lean(score), SCORED)
 
 
 LN10 = math.log(10)
 
 
-def target_logs(model: Attention, classes: Classes, cut: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def target_logs(model: Attention, classes: Classes, cut: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """log10 probability of every target of some documents in order, from their windows, many at a time."""
-    windows, scored = np.concatenate([w for w, _ in cut]), np.concatenate([s for _, s in cut])
+    windows, scored = cut
     out = []
     for lo in range(0, len(windows), CHUNK):
         w, s = windows[lo : lo + CHUNK], scored[lo : lo + CHUNK]
@@ -526,6 +703,15 @@ def by_bucket(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterato
     return groupby(rows, key=lambda r: r[0])
 
 
+def alike(context: np.ndarray, follows: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Of equal pairs: the place of one, how many there are, and the sum of their ``n``."""
+    key = _mixed(context + _mixed(follows.astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+    return order[first], np.diff(np.append(first, len(key))), None if n is None else np.add.reduceat(n[order].astype(np.int64), first)
+
+
 def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tuple[DataFrame, int]:
     """Rows of buckets and the number of buckets. A bucket has its contexts that a word followed twice or more in the texts (``KNOWN``) with the word
     that most often did and the probability it gets, those of them that are common, and its run of bits."""
@@ -535,21 +721,19 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
     def pairs(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
             context, follows = (np.concatenate([h[k] for h in held]) for k in range(2))
-            _, one, n = np.unique(_mixed(context + _mixed(follows.astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
+            one, n, _ = alike(context, follows)
             out = list(dealt_by_bucket(context[one], n_buckets, [follows[one], n.astype("<u4")]))
             return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "pairs"])
 
-        coder, held, size = word_ids(vocabulary), [], 0
-        texts = (t.as_py() for batch in incoming for t in batch.column(0))
-        for group in batches(texts, lambda t: len(t or "") + 100, GROUP_CHARS):
-            docs_words = [words_of(t) for t in group]
-            for words, ids in zip(docs_words, coder.encode(docs_words), strict=True):
-                _, context, follows = contexts(ids, np.append(coder.lengths(words), 1), None)
-                held.append((context.view(np.uint64), follows.astype(np.uint32)))
-                size += len(context)
-            if size > HELD_WORDS:
-                yield added_up(held)
-                held, size = [], 0
+        opens, held, size = encoder(vocabulary, True).opens, [], 0
+        for batch in incoming:
+            for _, _, texts in texts_of(batch.column(0)):
+                texts.split_into_words(opens)
+                held.append(texts.contexts()[1:])
+                size += len(held[-1][0])
+                if size > HELD_WORDS:
+                    yield added_up(held)
+                    held, size = [], 0
         if size:
             yield added_up(held)
 
@@ -557,8 +741,8 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
         for bucket, rows in by_bucket(incoming):
             low, high, follows, n = (np.concatenate(x) for x in zip(*(split(r[1], PAIRS) for r in rows), strict=True))
             context = joined_key(low, high)
-            _, one, pair = np.unique(_mixed(context + _mixed(follows.astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
-            c = np.bincount(pair, weights=n).astype(np.int64)
+            one, _, sums = alike(context, follows, n)
+            c = sums
             every, one, times, c = context[one], one[c > 1], c, c[c > 1]
             order = np.lexsort((follows[one], c, context[one]))
             context, follows, c = context[one][order], follows[one][order], c[order]
@@ -575,7 +759,7 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
             known = [packed(*[x[chosen] for x in columns]) for chosen in (rows_of < least, rows_of >= least)]
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in (*known, np.packbits(flags, bitorder="little").tobytes())]], names=["bucket", "known", "hubs", "bits"])
 
-    found = docs.select("text").mapInArrow(lean(pairs), "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
+    found = encoded(docs, vocabulary).select("ids").mapInArrow(lean(pairs), "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
     return save(found.mapInArrow(lean(remember), "bucket int, known binary, hubs binary, bits binary"), "memory"), n_buckets
 
 
@@ -607,25 +791,29 @@ def remembered(places: DataFrame, memory: DataFrame) -> DataFrame:
 def lm_scores(docs: DataFrame, held_out: Column, vocabulary: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document; learns from rows not held out."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    counted = save(count_pass(docs.filter(~F.col("held_out")), vocabulary), "counted")
+    docs = save(encoded(docs, vocabulary), "encoded")
+    training = docs.filter(~F.col("held_out"))
+    counted = save(count_pass(training, vocabulary, (0, 1)), "counted")
     words = save(counted.filter("kind = 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
     size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = size["n"], size["v"]
-    hot_rows = words.filter((F.col("c") * HOT >= n) | (F.col("word") == END_WORD)).toPandas()
-    hot = {w.encode(): math.log10(c + 1) for w, c in zip(hot_rows["word"], hot_rows["c"], strict=True)}
+    is_hot = (F.col("c") * HOT >= n) | (F.col("word") == F.lit(END_KEY))
+    hot_rows = words.filter(is_hot).toPandas()
+    hot = docs.sparkSession.sparkContext.broadcast(HotWords([bytes(w) for w in hot_rows["word"]], hot_rows["c"].tolist()))
     ids = np.zeros(VOCABULARY)
     for r in counted.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).collect():
         ids[r["id"]] = r["n"]
-    classes = Classes(ids, encoder(vocabulary, True).opens[:VOCABULARY])
-    classes.learn_pairs(pair_table(counted, classes))
-    flat = train(counted.filter("kind = 2"), classes)
     discard(counted)
-    memory, n_buckets = context_memory(docs.filter(~F.col("held_out")), vocabulary, n)
+    classes = Classes(ids, encoder(vocabulary, True).opens[:VOCABULARY])
+    classes.learn_pairs(pair_table(training, vocabulary, classes))
+    flat = train(count_pass(training, vocabulary, (2,)), classes)
+    memory, n_buckets = context_memory(training, vocabulary, n)
     sent = docs.sparkSession.sparkContext.broadcast(Memory(memory.select("bucket", "hubs", "bits").collect(), n_buckets))
     scored = save(score_pass(docs, vocabulary, hot, n, classes, flat, sent), "scored")
+    discard(docs)
     gains = save(remembered(scored.filter("places is not null"), memory), "gains")
     cold = scored.filter("word is not null").select("rid", "word", "n")
-    rare = words.filter((F.col("c") * HOT < n) & (F.col("word") != END_WORD))
+    rare = words.filter(~is_hot)
     found = cold.join(rare.hint("shuffle_hash"), "word").groupBy("rid").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("cold_log"), F.sum("n").alias("cold_known"))
     out = scored.filter("n_tokens is not null").drop("word", "n", "bucket", "places").join(found, "rid", "left").join(gains, "rid", "left")
     base = F.col("log_c") + F.coalesce("cold_log", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(n + v + 1))

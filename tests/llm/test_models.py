@@ -2,10 +2,12 @@
 
 import math
 import random
+import uuid
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -398,3 +400,40 @@ def test_pipeline_against_brute_force(spark):
         assert set(ids) == kept and len(ids) == len(kept), name
     out = corpus_pipeline.STAGES[4][1](spark, docs, sf)
     assert out.count() == docs.count() and out.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] == out.agg(F.sum("n_tokens")).first()[0]
+
+
+def test_texts_in_a_row_are_cut_like_single_ones(monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_IDS", 300)
+    rng = random.Random(4)
+    said = [" ".join(rng.choice(["a", "the", "Onda", "unpronounceably-strange-token-xyzzy", "é" * 9, "12345678901"]) for _ in range(n)) for n in (0, 1, 4, 5, 60, 0, 200, 3)]
+    coder, docs = lm.word_ids(None), [lm.words_of(t) for t in said]
+    ids = coder.encode(docs)
+    column = pa.array([b"?", *(np.append(x, lm.END).astype("<u2").tobytes() for x in ids)], pa.binary())[1:]
+    windows, scored, contexts, counts = [], [], [], Counter()
+    for lo, hi, texts in lm.texts_of(column):
+        texts.split_into_words(coder.coder.opens)
+        assert texts.n_words.tolist() == [len(d) + 1 for d in docs[lo:hi]]
+        key, long = texts.words()
+        counts.update(texts.spelled(long))
+        counts.update(x.tobytes() for x in np.delete(key, long))
+        for out, found in zip((windows, scored), texts.windows(), strict=True):
+            out += found.tolist()
+        contexts += list(zip(*(x.tolist() for x in texts.contexts()[1:]), strict=True))
+    each = [lm.windows_of(x) for x in ids]
+    assert windows == [w for x, _ in each for w in x.tolist()] and scored == [s for _, x in each for s in x.tolist()]
+    by_text = [lm.contexts(x, np.append(coder.lengths(d), 1), None) for x, d in zip(ids, docs, strict=True)]
+    assert contexts == [(c, f) for _, before, follows in by_text for c, f in zip(before.view(np.uint64).tolist(), follows.astype(np.uint32).tolist(), strict=True)]
+    assert sorted(counts.values()) == sorted(Counter(w for d in docs for w in [*d, b"\n"]).values()) and counts[lm.END_KEY] == len(docs)
+
+
+def test_texts_are_encoded_once(spark, tmp_path):
+    """One pass reads the texts; counting, training, the memory and scoring read their ids."""
+
+    def noted(incoming):
+        for batch in incoming:
+            (tmp_path / uuid.uuid4().hex).write_text(str(batch.num_rows))
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"text number {i % 7} of a few") for i in range(30)], "doc_id long, text string").mapInArrow(noted, "doc_id long, text string")
+    assert len(lm.lm_scores(docs, F.col("doc_id") == 5).collect()) == 30
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == 30
