@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, groupby, islice
 
 import numpy as np
@@ -44,8 +44,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm import common
-from dialoom.llm.common import crc32_of, discard, lean, save, table
-from dialoom.llm.tokens import batches, encoder
+from dialoom.llm.common import crc32_of, discard, lean, save, table, trimmed
+from dialoom.llm.tokens import _ENCODERS, batches, encoder
 
 HOT = 1_000_000
 VOCABULARY, END = 50_257, 50_256
@@ -109,6 +109,18 @@ def word_ids(vocabulary: str | None) -> WordIds:
     return _WORD_IDS[vocabulary]
 
 
+def over_ids(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function for mapInArrow, lean, in a worker that lets go of the tokenizers and of the known words first."""
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _WORD_IDS.clear()
+        _ENCODERS.clear()
+        trimmed()
+        yield from lean(function)(incoming)
+
+    return run
+
+
 def windows_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows (n, WINDOW + 1) of begin, ids, end; and the places (n, WINDOW) of the targets that the window scores."""
     return Texts(np.append(ids, END), np.array([len(ids) + 1])).windows()
@@ -405,6 +417,7 @@ COUNTED = "kind int, word binary, id int, n long, window binary"
 
 def count_pass(docs: DataFrame, vocabulary: str | None, kinds: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
     """Rows of training documents (text or ids) of these kinds: words (0) and ids (1) with counts added up in the task, and windows (2)."""
+    opens = encoder(vocabulary, True).opens
 
     def rows(kind: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
         columns["kind"] = pa.array(np.full(size, kind, np.int32))
@@ -418,7 +431,7 @@ def count_pass(docs: DataFrame, vocabulary: str | None, kinds: tuple[int, ...] =
             yield rows(0, len(longer), word=pa.array(list(longer), pa.binary()), n=pa.array(list(longer.values()), pa.int64()))
 
     def count(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opens, ids, held, n_held, longer = encoder(vocabulary, True).opens, np.zeros(VOCABULARY, dtype=np.int64), [], 0, Counter()
+        ids, held, n_held, longer = np.zeros(VOCABULARY, dtype=np.int64), [], 0, Counter()
         for batch in incoming:
             for _, _, texts in texts_of(batch.column(0)):
                 if 2 in kinds:
@@ -441,7 +454,7 @@ def count_pass(docs: DataFrame, vocabulary: str | None, kinds: tuple[int, ...] =
         if len(some):
             yield rows(1, len(some), id=pa.array(some, pa.int32()), n=pa.array(ids[some]))
 
-    return encoded(docs, vocabulary).select("ids").mapInArrow(lean(count), COUNTED)
+    return encoded(docs, vocabulary).select("ids").mapInArrow(over_ids(count), COUNTED)
 
 
 SUMS = ("<u4", "<i8")  # a pair's place in its slab, how often
@@ -472,7 +485,7 @@ def pair_table(docs: DataFrame, vocabulary: str | None, classes: Classes) -> np.
             yield pa.RecordBatch.from_arrays([pa.array([slab], pa.int32()), pa.array([packed(some.astype("<u4"), total[some].astype("<i8"))], pa.binary())], names=["slab", "sums"])
 
     out = np.zeros((N_IN // SLAB, SLAB * N_IN))
-    found = encoded(docs, vocabulary).select("ids").mapInArrow(lean(count), "slab int, sums binary").repartition("slab").sortWithinPartitions("slab")
+    found = encoded(docs, vocabulary).select("ids").mapInArrow(over_ids(count), "slab int, sums binary").repartition("slab").sortWithinPartitions("slab")
     for r in found.mapInArrow(add, "slab int, sums binary").collect():
         place, n = split(r["sums"], SUMS)
         out[r["slab"], place] = n
@@ -512,7 +525,7 @@ def train(windows: DataFrame, classes: Classes) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(N_WEIGHTS), pa.int32()), pa.array(new * n, pa.float64()), pa.array([n] * N_WEIGHTS, pa.float64())], names=["i", "x", "n"])
 
         own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(ROUNDS)) == turn)
-        got = own.select("window").mapInArrow(shard, "i int, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
+        got = own.select("window").mapInArrow(over_ids(shard), "i int, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
         if not got:
             break
         flat = flat.copy()
@@ -624,6 +637,7 @@ SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def score_pass(docs: DataFrame, vocabulary: str | None, hot: Broadcast, n_train: int, classes: Classes, flat: np.ndarray, memory: Broadcast) -> DataFrame:
     """A row for each document, with the share of the hot words in its base score; rows (rid, word, n) of its other words; and rows (rid, bucket,
     places) of words after contexts that the memory may hold, for documents from that rid on."""
+    opens = encoder(vocabulary, True).opens
     kinds = {"rid": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "log_c": pa.float64(), "score": pa.float64(), "word": pa.binary(), "n": pa.int64(),
              "bucket": pa.int32(), "places": pa.binary()}
 
@@ -637,7 +651,7 @@ def score_pass(docs: DataFrame, vocabulary: str | None, hot: Broadcast, n_train:
 
     def score(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, rid, known_contexts, known_words = Attention(flat, classes.bigram), TaskContext.get().partitionId() << 33, memory.value, hot.value
-        opens, share, held_places, n_held, first = encoder(vocabulary, True).opens, math.log10(max(n_train, 1)), [], 0, rid
+        share, held_places, n_held, first = math.log10(max(n_train, 1)), [], 0, rid
         for batch in incoming:
             for lo, hi, texts in texts_of(batch.column(2)):
                 if held_places and (n_held > HELD_WORDS or rid + hi - lo - first > HELD_DOCS):
@@ -679,7 +693,7 @@ def score_pass(docs: DataFrame, vocabulary: str | None, hot: Broadcast, n_train:
         if held_places:
             yield given(first, held_places, known_contexts.n_buckets)
 
-    return docs.select("doc_id", "held_out", "ids").mapInArrow(lean(score), SCORED)
+    return docs.select("doc_id", "held_out", "ids").mapInArrow(over_ids(score), SCORED)
 
 
 LN10 = math.log(10)
@@ -716,7 +730,7 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
     """Rows of buckets and the number of buckets. A bucket has its contexts that a word followed twice or more in the texts (``KNOWN``) with the word
     that most often did and the probability it gets, those of them that are common, and its run of bits."""
     n_buckets = min(1 << 24, max(LEAST_BUCKETS, n_train // BUCKET))
-    width, least = bits_of(n_buckets), max(common.FEW_ROWS // 200, math.ceil(n_train / common.HUBS))
+    opens, width, least = encoder(vocabulary, True).opens, bits_of(n_buckets), max(common.FEW_ROWS // 200, math.ceil(n_train / common.HUBS))
 
     def pairs(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -725,7 +739,7 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
             out = list(dealt_by_bucket(context[one], n_buckets, [follows[one], n.astype("<u4")]))
             return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "pairs"])
 
-        opens, held, size = encoder(vocabulary, True).opens, [], 0
+        held, size = [], 0
         for batch in incoming:
             for _, _, texts in texts_of(batch.column(0)):
                 texts.split_into_words(opens)
@@ -759,7 +773,7 @@ def context_memory(docs: DataFrame, vocabulary: str | None, n_train: int) -> tup
             known = [packed(*[x[chosen] for x in columns]) for chosen in (rows_of < least, rows_of >= least)]
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in (*known, np.packbits(flags, bitorder="little").tobytes())]], names=["bucket", "known", "hubs", "bits"])
 
-    found = encoded(docs, vocabulary).select("ids").mapInArrow(lean(pairs), "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
+    found = encoded(docs, vocabulary).select("ids").mapInArrow(over_ids(pairs), "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
     return save(found.mapInArrow(lean(remember), "bucket int, known binary, hubs binary, bits binary"), "memory"), n_buckets
 
 
